@@ -283,4 +283,22 @@ def build() -> dict[str, str]:
         "domain_check": q(["loans_raw"], "SELECT DISTINCT employment_sector FROM loans_raw WHERE employment_sector NOT IN ('BUILDING','AUTOMOBILE','MACHINERY')"),
         "head_preview": q(["loans"], "SELECT loan_id, loan_type, loan_amount, risk_score FROM loans WHERE loan_id IS NOT NULL ORDER BY loan_id LIMIT 5"),
     }
+    typed = "SELECT * REPLACE (TRY_CAST(origination_date AS DATE) AS origination_date) FROM loans_raw"
+    out |= {
+        "csv_round_trip": q(["loans_raw"], typed),
+        "csv_partitioned": q(["loans_raw"], typed),
+        "load_tolerant": q(["loans_raw"], """SELECT 'loaded' AS reason, COUNT(*) AS rows FROM loans_raw WHERE loan_id IS NOT NULL AND loan_type IS NOT NULL AND TRY_CAST(origination_date AS DATE) IS NOT NULL
+ UNION ALL SELECT 'bad_origination_date', COUNT(*) FROM loans_raw WHERE TRY_CAST(origination_date AS DATE) IS NULL
+ UNION ALL SELECT 'null_loan_id', COUNT(*) FROM loans_raw WHERE loan_id IS NULL UNION ALL SELECT 'null_loan_type', COUNT(*) FROM loans_raw WHERE loan_type IS NULL"""),
+        "partitioned_write": q(["features_etl"], "SELECT * FROM features_etl"),
+        "filter_year": q(["features_etl"], "SELECT * FROM features_etl WHERE origination_year=2020"),
+        "product_subsets": q(["loans_raw"], "SELECT 'loans_raw' AS file_set, COUNT(*) AS rows FROM loans_raw UNION ALL SELECT 'loans_mortgage', COUNT(*) FROM loans_raw WHERE loan_type='Mortgage' UNION ALL SELECT 'loans_auto', COUNT(*) FROM loans_raw WHERE loan_type='Auto'"),
+        "export_extract": q(["loans"], "SELECT " + ", ".join(f"{c} AS {c.upper()}" for c in (
+            "state", "loan_type", "loan_count", "default_rate_pct", "total_exposure_millions", "avg_credit_score",
+            "avg_dti", "avg_risk_score", "total_defaults", "defaulted_exposure_millions")) + f" FROM ({GEOGRAPHY})"),
+        "ingest_arrivals": q(["features_etl"], "SELECT * FROM features_etl"),
+        "arrival_events": """SELECT event_id, 'lake-' || event_type AS bucket, 'raw/loans/' || user_id || s || '.csv' AS key,
+ CASE WHEN event_id%5=0 THEN CAST(0 AS BIGINT) ELSE coalesce(CAST(props->>'$.k' AS BIGINT),0) END AS size
+ FROM events JOIN (VALUES ('_a'),('_b')) AS t(s) ON s='_a' OR event_id%7=0 WHERE event_type<>'error' AND event_id%3<>0""",
+    }
     return out

@@ -19,8 +19,9 @@ from riskweave.operators import (
 )
 from riskweave.plans import dashboards, report, views
 from riskweave.schemas import INCOMING_SCORES, LOANS_CLEAN_CONTRACT, RAW_LOANS
-from riskweave.session import staged
-from riskweave.sources import sample_book
+from riskweave.session import scratch_path, staged
+from riskweave.sources import arrivals, files, sample_book
+from riskweave.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = V.OBSERVATION_END
@@ -171,6 +172,69 @@ def _union(spark, sf):
     return summaries.union_products(*[book.where(F.col("loan_type") == p.upper()) for p in V.PRODUCTS])
 
 
+# ---------------------------------------------------------------- files and streams
+
+def _csv_round_trip(spark, sf):
+    path = scratch_path(spark, "csv")
+    files.write_csv(raw(spark, sf), path)
+    return files.read_raw_loans(spark, path)
+
+
+def _csv_partitioned(spark, sf):
+    path = scratch_path(spark, "csv-by-year")
+    files.write_raw_partitioned(raw(spark, sf), path)
+    return files.read_raw_loans(spark, path)
+
+
+def _load_tolerant(spark, sf):
+    path = scratch_path(spark, "csv")
+    files.write_csv(raw(spark, sf), path)
+    good, bad = files.load_tolerant(spark, path)
+    reason = bad.select(F.explode("reasons").alias("reason")).groupBy("reason")
+    loaded = good.select(F.lit("loaded").alias("reason")).groupBy("reason")
+    return loaded.agg(F.count(F.lit(1)).alias("rows")).unionByName(reason.agg(F.count(F.lit(1)).alias("rows")))
+
+
+def _partitioned_write(spark, sf):
+    path = scratch_path(spark, "clean")
+    files.write_clean(features_etl(spark, sf), path)
+    return files.read_clean(spark, path)
+
+
+def _filter_year(spark, sf):
+    return files.filter_year(_partitioned_write(spark, sf), 2020)
+
+
+def _product_subsets(spark, sf):
+    folders = files.write_product_subsets(raw(spark, sf), scratch_path(spark, "subsets"))
+    parts = [
+        files.read_raw_loans(spark, folder).agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(name).alias("file_set"), "rows")
+        for name, folder in folders.items()
+    ]
+    return summaries.union_products(*parts)
+
+
+def _extract(spark, sf):
+    path = scratch_path(spark, "extract")
+    files.export_extract(views.geographic_risk(loans(spark, sf)), path)
+    schema = "STATE string, LOAN_TYPE string, LOAN_COUNT bigint, DEFAULT_RATE_PCT double, TOTAL_EXPOSURE_MILLIONS double, AVG_CREDIT_SCORE double, AVG_DTI double, AVG_RISK_SCORE double, TOTAL_DEFAULTS bigint, DEFAULTED_EXPOSURE_MILLIONS double"
+    return spark.read.option("header", True).option("enforceSchema", False) \
+        .option("ignoreLeadingWhiteSpace", False).schema(schema).csv(path)
+
+
+def _ingest(spark, sf):
+    root = scratch_path(spark, "ingest")
+    files.write_csv(raw(spark, sf), f"{root}/landing")
+    ingest.ingest_arrivals(spark, f"{root}/landing", f"{root}/checkpoint", f"{root}/clean")
+    return ingest.read_ingested(spark, f"{root}/clean")
+
+
+def _arrival_events(spark, sf):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    return arrivals.parse_arrival_events(arrivals.sample_events(events), "event", ["event_id"])
+
+
 QUERIES: dict[str, Query] = {
     "loans_raw": raw,
     "model_scores": scores,
@@ -240,4 +304,13 @@ QUERIES: dict[str, Query] = {
     "head_preview": lambda s, d: summaries.head(
         loans(s, d).where(F.col("loan_id").isNotNull())
         .select("loan_id", "loan_type", "loan_amount", "risk_score"), ["loan_id"]),
+    "csv_round_trip": _csv_round_trip,
+    "csv_partitioned": _csv_partitioned,
+    "load_tolerant": _load_tolerant,
+    "partitioned_write": _partitioned_write,
+    "filter_year": _filter_year,
+    "product_subsets": _product_subsets,
+    "export_extract": _extract,
+    "ingest_arrivals": _ingest,
+    "arrival_events": _arrival_events,
 }
