@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskweave import fixed_values as V
 from riskweave.functions import risk
-from riskweave.models import metrics, split
+from riskweave.models import gates, metrics, shapley, split, training
 from riskweave.operators import (
     cleaning, features, lookups, mutations, quality, ranking, summaries,
 )
@@ -235,6 +235,49 @@ def _arrival_events(spark, sf):
     return arrivals.parse_arrival_events(arrivals.sample_events(events), "event", ["event_id"])
 
 
+# ---------------------------------------------------------------- models
+
+BOOSTED_TREES = 20  # enough for the gates; 300 is the library default
+_trained: dict[tuple[str, str], training.TrainedModels] = {}
+
+
+def models(spark: SparkSession, sf: str) -> training.TrainedModels:
+    """Models trained on this book; kept per application, since several queries report on them."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _trained:
+        _trained[key] = training.train_models(model_frame(spark, sf), trees=BOOSTED_TREES)
+    return _trained[key]
+
+
+def _score_frame(spark, sf):
+    trained = models(spark, sf)
+    return training.score_frame(trained.predict(trained.test))
+
+
+def _model_scores_of(column):
+    def run(spark, sf):
+        trained = models(spark, sf)
+        return trained.predict(trained.test).select("loan_id", "is_default", column)
+    return run
+
+
+def _explained(spark, sf):
+    trained = models(spark, sf)
+    tables = shapley.tree_contributions(trained.boosted, trained.features, spark)
+    return shapley.shap_values(tables, trained.test)
+
+
+def _gates(spark, sf):
+    trained = models(spark, sf)
+    return gates.validation_gates(staged(_score_frame(spark, sf), "score-frame"), trained.split)
+
+
+def _model_summary(spark, sf):
+    trained = models(spark, sf)
+    predicted = staged(trained.predict(trained.test), "predicted")
+    return metrics.performance_summary(predicted, MODEL_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "loans_raw": raw,
     "model_scores": scores,
@@ -313,4 +356,20 @@ QUERIES: dict[str, Query] = {
     "export_extract": _extract,
     "ingest_arrivals": _ingest,
     "arrival_events": _arrival_events,
+    "logistic_scores": _model_scores_of("lr_default_prob"),
+    "boosted_scores": _model_scores_of("xgb_default_prob"),
+    "isolation_forest": lambda s, d: models(s, d).forest.score(models(s, d).test).select(
+        "loan_id", "is_default", "if_anomaly_score", "if_is_anomaly"),
+    "smote_balance": lambda s, d: models(s, d).balanced,
+    "class_balance_report": lambda s, d: training.balance_report(models(s, d)),
+    "importances": lambda s, d: training.feature_importances(s, models(s, d).boosted, models(s, d).features),
+    "top_features": lambda s, d: training.feature_importances(
+        s, models(s, d).boosted, models(s, d).features, top=10),
+    "score_frame": _score_frame,
+    "model_summary": _model_summary,
+    "shap_values": lambda s, d: _explained(s, d).select("loan_id", "shap", "shap_base"),
+    "shap_importance": lambda s, d: shapley.shap_importance(_explained(s, d), models(s, d).features),
+    "shap_direction": lambda s, d: shapley.shap_direction(_explained(s, d), models(s, d).features),
+    "validation_gates": _gates,
+    "shuffle_rows": lambda s, d: summaries.shuffle_rows(cleaned(s, d).select("loan_id", "loan_type")),
 }

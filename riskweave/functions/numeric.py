@@ -66,3 +66,10 @@ def rate_mean(c: Column | str) -> Column:
 def percent_of_rows(flag: Column | str) -> Column:
     """Mean of a 0/1 column in percent, unrounded."""
     return F.avg(_col(flag)) * 100
+
+
+def correlation(x: Column | str, y: Column | str) -> Column:
+    """Pearson correlation over rows with both values; NULL, not an error, for a constant column."""
+    x, y = _col(x).cast("double"), _col(y).cast("double")
+    paired_x, paired_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return ratio(F.covar_pop(x, y), F.stddev_pop(paired_x) * F.stddev_pop(paired_y))

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave import fixed_values as V
-from riskweave.functions.numeric import money_mean, percent_of_rows, rate_mean, ratio, round_half_up
+from riskweave.functions.numeric import (
+    correlation, money_mean, percent_of_rows, rate_mean, ratio, round_half_up,
+)
 from riskweave.functions.risk import risk_tier
 from riskweave.operators.ranking import exact_percentiles
 
@@ -89,7 +91,7 @@ def feature_correlation(df: DataFrame, features: list[str] | None = None,
                         label: str = "is_default", ordered: bool = False) -> DataFrame:
     """(feature, correlation) with the label, three decimals, from one aggregation."""
     features = features or V.CORRELATED_FEATURES
-    wide = df.agg(*[F.corr(F.col(f).cast("double"), F.col(label).cast("double")).alias(f) for f in features])
+    wide = df.agg(*[correlation(f, label).alias(f) for f in features])
     pairs = ", ".join(f"'{f}', `{f}`" for f in features)
     long = wide.selectExpr(f"stack({len(features)}, {pairs}) AS (feature, r)").select(
         "feature", round_half_up("r", 3).alias("correlation")
