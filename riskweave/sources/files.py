@@ -62,7 +62,9 @@ def _scan(spark: SparkSession, path: str, mode: str, corrupt: bool) -> DataFrame
     reader = spark.read.options(**CSV_DIALECT).schema(schema).option("mode", mode)
     reader = reader.option("enforceSchema", corrupt).option("pathGlobFilter", "*.csv")
     if corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", _CORRUPT)
+        # without pruning every field of a line is parsed, whatever columns are asked for later;
+        # otherwise a short line would pass unnoticed in a plain count
+        reader = reader.option("columnNameOfCorruptRecord", _CORRUPT).option("columnPruning", False)
     return reader.csv(path)
 
 
