@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.operators.ranking import exact_percentiles
@@ -49,6 +49,11 @@ def _grow(points: np.ndarray, rng: np.random.Generator, limit: int) -> list[tupl
     return nodes
 
 
+def _point(features: list[str]) -> Column:
+    """The features as one struct, which a pandas function receives as a frame."""
+    return F.struct(*[F.col(f).cast("double").alias(f) for f in features])
+
+
 @dataclass
 class IsolationForest:
     """Trees as padded arrays (trees x nodes), the sample size and the flagging threshold."""
@@ -86,15 +91,15 @@ class IsolationForest:
         features, columns = self.features, df.columns
 
         @F.pandas_udf("double")
-        def scores(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             forest = shared.value
-            for parts in batches:
-                points = np.column_stack([p.to_numpy(dtype=float) for p in parts])
+            for part in batches:
+                points = part.to_numpy(dtype=float)
                 step = 20_000
                 out = [forest.anomaly_scores(points[i:i + step]) for i in range(0, len(points), step)]
                 yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
-        scored = df.select(*columns, scores(*[F.col(f).cast("double") for f in features]).alias(name))
+        scored = df.select(*columns, scores(_point(features)).alias(name))
         if self.cutoff is None:
             return scored
         return scored.withColumn(flag, (F.col(name) < F.lit(self.cutoff)).cast("int"))

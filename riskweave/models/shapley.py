@@ -117,13 +117,13 @@ def shap_values(contributions: TreeContributions, df: DataFrame) -> DataFrame:
     features = contributions.features
 
     @F.pandas_udf("array<double>")
-    def explain(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for parts in batches:
-            points = np.column_stack([p.to_numpy(dtype=float) for p in parts])
-            yield pd.Series(list(shared.value.explain(points)))
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for part in batches:
+            yield pd.Series(list(shared.value.explain(part.to_numpy(dtype=float))))
 
+    point = F.struct(*[F.col(f).cast("double").alias(f) for f in features])
     return df.select(
-        "*", explain(*[F.col(f).cast("double") for f in features]).alias("shap"),
+        "*", explain(point).alias("shap"),
         F.lit(contributions.base).alias("shap_base"),
     )
 
