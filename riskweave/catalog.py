@@ -231,7 +231,7 @@ def _ingest(spark, sf):
 
 
 def _arrival_events(spark, sf):
-    events = spark.read.parquet(f"{sf}/events.parquet")
+    events = sample_book.table(spark, sf, "events")
     return arrivals.parse_arrival_events(arrivals.sample_events(events), "event", ["event_id"])
 
 

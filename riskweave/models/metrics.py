@@ -6,8 +6,6 @@ maximum over running totals of positives and negatives.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,11 +40,8 @@ def _above(kind: str) -> Column:
     return F.col(f"all_{kind}") - F.col(f"run_{kind}") + F.col(kind)
 
 
-def ranking_metrics(df: DataFrame, score: str, label: str = "is_default",
-                    by: list[str] | None = None) -> DataFrame:
-    """Per group: n, positives, AUC, Gini, average precision and KS, from one curve."""
-    by = by or []
-    curve = score_curve(df, score, label, by)
+def _curve_metrics(curve: DataFrame, by: list[str], extra: list[Column] | None = None) -> DataFrame:
+    """Per group: sizes, AUC, Gini, average precision and KS from the running totals."""
     tp, fp = _above("pos"), _above("neg")
     precision = _d(tp) / _d(tp + fp)
     gain = ratio(_d("pos"), _d("all_pos"))
@@ -54,19 +49,28 @@ def ranking_metrics(df: DataFrame, score: str, label: str = "is_default",
         ratio(_d("run_pos"), _d("all_pos")) - ratio(_d("run_neg"), _d("all_neg"))
     )
     raw = curve.groupBy(*by).agg(
-        F.max("all_pos").alias("positives"), F.max("all_neg").alias("negatives"),
+        F.max("all_pos").alias("n_defaults"), F.max("all_neg").alias("_negatives"),
         _auc_terms().cast("double").alias("_pairs"),
-        F.sum(gain * precision).alias("_ap"), F.max(distance).alias("_ks"),
-    )
-    auc = ratio(F.col("_pairs"), 2 * _d("positives") * _d("negatives"))
-    return raw.select(
-        *by, (F.col("positives") + F.col("negatives")).alias("n_samples"),
-        F.col("positives").alias("n_defaults"),
-        round_half_up(auc, _DIGITS).alias("auc_roc"),
-        round_half_up(2 * auc - 1, _DIGITS).alias("gini_coefficient"),
-        round_half_up("_ap", _DIGITS).alias("auc_pr"),
-        round_half_up("_ks", _DIGITS).alias("ks_statistic"),
+        F.sum(gain * precision).alias("_ap"), F.max(distance).alias("_ks"), *(extra or []),
     )
+    auc = ratio(F.col("_pairs"), 2 * _d("n_defaults") * _d("_negatives"))
+    return raw.withColumns({
+        "n_samples": F.col("n_defaults") + F.col("_negatives"),
+        "auc_roc": round_half_up(auc, _DIGITS),
+        "gini_coefficient": round_half_up(2 * auc - 1, _DIGITS),
+        "auc_pr": round_half_up("_ap", _DIGITS),
+        "ks_statistic": round_half_up("_ks", _DIGITS),
+    })
+
+
+_RANKING = ["n_samples", "n_defaults", "auc_roc", "gini_coefficient", "auc_pr", "ks_statistic"]
+
+
+def ranking_metrics(df: DataFrame, score: str, label: str = "is_default",
+                    by: list[str] | None = None) -> DataFrame:
+    """Per group: n, positives, AUC, Gini, average precision and KS, from one curve."""
+    by = by or []
+    return _curve_metrics(score_curve(df, score, label, by), by).select(*by, *_RANKING)
 
 
 def auc_roc(df, score, label="is_default", by=None) -> DataFrame:
@@ -141,18 +145,21 @@ def long_scores(scored: DataFrame, columns: dict[str, str], keep: list[str]) ->
 
 def performance_summary(scored: DataFrame, columns: dict[str, str], label: str = "is_default",
                         by: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
-    """All metrics per model (and per group): the ranking and the confusion metrics side by side."""
+    """All metrics per model (and per group), from one curve per model.
+
+    The confusion counts are sums over the curve's distinct scores, so the rows are read once.
+    """
     by = by or []
     long = long_scores(scored, columns, [*by, label])
     keys = [*by, "model_name"]
-    ranked = ranking_metrics(long, "score", label, keys)
-    confused = confusion_metrics(long, "score", label, threshold, keys)
-    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
-    return ranked.alias("r").join(confused.alias("c"), same).select(
-        *[F.col(f"r.{k}").alias(k) for k in keys],
-        "n_samples", "n_defaults", "auc_roc", "gini_coefficient", "auc_pr", "ks_statistic",
-        "accuracy", "precision_score", "recall_score", "f1_score",
-    )
+    chosen = F.col("score") >= threshold
+    count = lambda side, kind: F.sum(F.when(side, F.col(kind)).otherwise(0))
+    confusion = [
+        count(chosen, "pos").alias("tp"), count(chosen, "neg").alias("fp"),
+        count(~chosen, "neg").alias("tn"), count(~chosen, "pos").alias("fn"),
+    ]
+    merged = _curve_metrics(score_curve(long, "score", label, keys), keys, confusion)
+    return merged.select(*keys, *_RANKING, *_ratios(*[F.col(c) for c in ("tp", "fp", "tn", "fn")]))
 
 
 def ensemble(scored: DataFrame, left: str = "lr_default_prob", right: str = "xgb_default_prob",

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.risk import row_hash
 
 _HASH_PREFIX = 4  # 65,536 cells below one sort value
+_CELLS = (64, 64 * 4096, 64 * 4096 * 4096)
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -75,6 +76,16 @@ def _refine(df: DataFrame, cuts: DataFrame, by: list[str], known: list[str], key
     )
 
 
+def value_cells(value: Column) -> list[Column]:
+    """Three nested cell numbers of a number, coarse to fine, ascending with it.
+
+    Cells have a relative width of about 1/64, then 1/4096 of that twice; doubles of any
+    size fall into less than 100,000 coarse cells, and each cell has at most 4,096 finer ones.
+    """
+    place = F.signum(value) * F.log1p(F.abs(value) * 1e6)
+    return [F.floor(place * n) for n in _CELLS]
+
+
 def _with_hash_keys(df: DataFrame, id_cols: list[str], seed: int | str | None) -> DataFrame:
     """Two tie-break keys: a hash prefix, then hash and id together."""
     ids = F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols])
@@ -89,18 +100,22 @@ def _with_hash_keys(df: DataFrame, id_cols: list[str], seed: int | str | None) -
 
 def ntile_descending(df: DataFrame, score: str, tiles: int, id_cols: list[str],
                      name: str = "tile", nulls_first: bool = True,
-                     at_most: int | None = None) -> DataFrame:
+                     at_most: int | None = None, continuous: bool = False) -> DataFrame:
     """NTILE(tiles) over (order by score desc), ties ordered by md5(id).
 
     The ``tiles - 1`` boundary rows are found with :func:`rank_cuts`; the rows themselves are then
-    labelled, and with ``at_most`` also filtered, in a map-only pass.  The frame is scanned four
+    labelled, and with ``at_most`` also filtered, in a map-only pass.  The frame is scanned several
     times, so pass a stored table.  NULL scores come first or last as ``nulls_first`` says.
+
+    A score rounded to a few decimals has few distinct values and is counted per value at once;
+    ``continuous=True`` narrows the value down through nested cells first, at two more scans.
     """
-    null_place = F.when(F.col(score).isNull(), -1 if nulls_first else 1).otherwise(0)
-    keyed = _with_hash_keys(
-        df.withColumn("_k0", F.struct(null_place.alias("place"), (-F.col(score)).alias("value"))),
-        id_cols, None,
-    )
+    place = F.when(F.col(score).isNull(), -1 if nulls_first else 1).otherwise(0)
+    value = -F.col(score)
+    levels = [F.struct(place, c) for c in (value_cells(value) if continuous else [])]
+    levels.append(F.struct(place.alias("place"), value.alias("value")))
+    sort_keys = [f"_s{i}" for i in range(len(levels))]
+    keyed = _with_hash_keys(df.withColumns(dict(zip(sort_keys, levels))), id_cols, None)
 
     def last_rank_of_tile(n: Column) -> Column:
         size, extra = F.floor(n / tiles), n % tiles
@@ -109,22 +124,22 @@ def ntile_descending(df: DataFrame, score: str, tiles: int, id_cols: list[str],
             lambda t: (t * size + F.least(t.cast("bigint"), extra)).cast("bigint"),
         )
 
-    keys = ["_k0", "_k1", "_k2"]
+    order = [sort_keys[-1], "_k1", "_k2"]
     bounds = (
-        rank_cuts(keyed, keys, last_rank_of_tile)
-        .groupBy().agg(F.sort_array(F.collect_list(F.struct("cut", F.struct(*keys).alias("at")))).alias("b"))
+        rank_cuts(keyed, [*sort_keys, "_k1", "_k2"], last_rank_of_tile)
+        .groupBy().agg(F.sort_array(F.collect_list(F.struct("cut", F.struct(*order).alias("at")))).alias("b"))
         .select(F.transform("b", lambda c: c["at"]))
         .scalar()
     )
-    row = F.struct(*keys)
+    row = F.struct(*order)
     wanted = tiles if at_most is None else at_most
-    if at_most is not None:
+    if at_most is not None and at_most < tiles:
         keyed = keyed.where(row <= F.try_element_at(bounds, F.lit(at_most)))
     passed = [
         F.coalesce((row > F.try_element_at(bounds, F.lit(i))).cast("int"), F.lit(0))
-        for i in range(1, min(wanted, tiles - 1) + 1)
+        for i in range(1, min(wanted, tiles))
     ]
-    return keyed.withColumn(name, reduce(lambda a, b: a + b, passed, F.lit(1))).drop(*keys)
+    return keyed.withColumn(name, reduce(lambda a, b: a + b, passed, F.lit(1))).drop(*sort_keys, "_k1", "_k2")
 
 
 def lowest_hashed(df: DataFrame, id_cols: list[str], wanted: Callable[[Column], Column],
@@ -152,16 +167,17 @@ def lowest_hashed(df: DataFrame, id_cols: list[str], wanted: Callable[[Column],
 
 
 def exact_percentiles(df: DataFrame, value: str, fractions: list[float],
-                      by: list[str] | None = None, cells: tuple[float, ...] = (1e2, 1e6)) -> DataFrame:
+                      by: list[str] | None = None) -> DataFrame:
     """Linear-interpolated percentiles per group, exact, as columns ``p<percent>``.
 
-    ``cells`` are the grids (units per 1.0) used to locate the wanted ranks before the values
-    themselves are compared.  The built-in exact percentile keeps every distinct value of a group
-    in one task's memory; this one keeps counts per cell.
+    The wanted ranks are located in nested cells before values themselves are compared.  The
+    built-in exact percentile keeps every distinct value of a group in one task's memory; this
+    one keeps counts per cell.  ``by`` names columns with few distinct values.
     """
     by = by or []
+    cells = value_cells(F.col(value))
     keyed = df.where(F.col(value).isNotNull()).select(
-        *by, value, *[F.floor(F.col(value) * c).alias(f"_g{i}") for i, c in enumerate(cells)]
+        *by, value, *[c.alias(f"_g{i}") for i, c in enumerate(cells)]
     )
     positions = lambda n: [(n - 1) * F.lit(float(f)) for f in fractions]
 

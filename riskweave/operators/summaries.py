@@ -77,7 +77,7 @@ def describe_by(df: DataFrame, by: str, value: str, digits: int = 4) -> DataFram
     )
     quartiles = exact_percentiles(df, value, [0.25, 0.50, 0.75], [by])
     joined = moments.alias("m").join(
-        F.broadcast(quartiles).alias("q"), F.col(f"m.{by}").eqNullSafe(F.col(f"q.{by}")), "left"
+        quartiles.alias("q"), F.col(f"m.{by}").eqNullSafe(F.col(f"q.{by}")), "left"
     )
     return joined.select(
         F.col(f"m.{by}").alias(by), "count",

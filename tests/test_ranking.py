@@ -18,12 +18,12 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("tiles", [2, 7, 10])
-@pytest.mark.parametrize("nulls_first", [True, False])
-def test_ntile_equals_the_window_function(skewed, tiles, nulls_first):
+@pytest.mark.parametrize("nulls_first, continuous", [(True, False), (False, False), (True, True)])
+def test_ntile_equals_the_window_function(skewed, tiles, nulls_first, continuous):
     order = F.desc_nulls_first("score") if nulls_first else F.desc_nulls_last("score")
     expected = skewed.select("loan_id", F.ntile(tiles).over(
         Window.orderBy(order, F.md5("loan_id"), "loan_id")).alias("e"))
-    got = ranking.ntile_descending(skewed, "score", tiles, ["loan_id"], "t", nulls_first)
+    got = ranking.ntile_descending(skewed, "score", tiles, ["loan_id"], "t", nulls_first, continuous=continuous)
     both = got.join(expected, "loan_id")
     assert both.count() == 5003
     assert both.where(F.col("t") != F.col("e")).count() == 0
@@ -97,3 +97,13 @@ def test_running_totals_equal_a_global_window(spark, scale):
     both = got.join(expected, "id")
     assert both.count() == 400 and both.where(F.col("run_id") != F.col("e")).count() == 0
     assert got.select("all_id").distinct().collect()[0][0] == sum(range(400))
+
+
+def test_value_cells_are_nested_and_ascending(spark):
+    values = sorted([-1e12, -3.5, -1e-9, 0.0, 1e-12, 0.1, 0.1 + 1e-12, 1.0, 1.5, 2e5, 2e5 + 1e-6, 1e15])
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select(
+        "v", *ranking.value_cells(F.col("v"))).orderBy("v").collect()
+    for level in (1, 2, 3):
+        cells = [r[level] for r in rows]
+        assert cells == sorted(cells)
+    assert len({r[3] for r in rows}) >= 10
