@@ -57,23 +57,42 @@ def fit_logistic(train: DataFrame, label: str = "is_default", column: str = "sca
 
 def fit_boosted_trees(train: DataFrame, label: str = "is_default", key: str = "loan_id",
                       trees: int = 300, depth: int = 6, learning_rate: float = 0.05,
-                      row_share: float = 0.8, column_share: float = 0.8, min_rows: int = 5,
-                      validation: float = 0.1, seed: int = 42) -> GBTClassificationModel:
+                      row_share: float = 0.8, column_share: float = 0.8, min_rows: int = 20,
+                      validation: float = 0.1, patience: int = 20, seed: int = 42) -> GBTClassificationModel:
     """Boosted trees on the unbalanced training part, positives weighted by negatives/positives.
 
-    A slice of the training part decides when to stop; the test part is never looked at.
+    A slice of the training part decides the number of trees: growing ends once its loss has not
+    improved for ``patience`` rounds, and the trees up to the best round are kept.  The test part
+    is never looked at.  The built-in early stop has no patience and would end after a few rounds.
+    ``min_rows`` of 20 is a child weight of 5, where one row weighs p(1 - p), at most a quarter.
     """
     sizes = {r[label]: r["count"] for r in train.groupBy(label).count().collect()}  # two classes
-    ratio = sizes[0] / sizes[1]
+    weight = F.when(F.col(label) == 1, F.lit(sizes[0] / sizes[1])).otherwise(1.0)
+    weighted = train.withColumn("_weight", weight)
+
+    def grow(rows: DataFrame, rounds: int) -> GBTClassificationModel:
+        return GBTClassifier(
+            featuresCol="features", labelCol=label, weightCol="_weight", maxIter=rounds, maxDepth=depth,
+            stepSize=learning_rate, subsamplingRate=row_share, featureSubsetStrategy=str(column_share),
+            minInstancesPerNode=min_rows, seed=seed,
+        ).setProbabilityCol("xgb_vector").setRawPredictionCol("xgb_raw").setPredictionCol("xgb_class").fit(rows)
+
+    if trees <= patience:  # nothing to decide
+        return grow(weighted, trees)
     marked = lowest_hashed(
-        train, [key], lambda n: F.ceil(n * F.lit(validation)), f"validation-{seed}", [label], "_validation"
+        weighted, [key], lambda n: F.ceil(n * F.lit(validation)), f"validation-{seed}", [label], "_held"
     )
-    weighted = marked.withColumn("_weight", F.when(F.col(label) == 1, F.lit(ratio)).otherwise(1.0))
-    return GBTClassifier(
-        featuresCol="features", labelCol=label, weightCol="_weight", maxIter=trees, maxDepth=depth,
-        stepSize=learning_rate, subsamplingRate=row_share, featureSubsetStrategy=str(column_share),
-        minInstancesPerNode=min_rows, validationIndicatorCol="_validation", seed=seed,
-    ).setProbabilityCol("xgb_vector").setRawPredictionCol("xgb_raw").setPredictionCol("xgb_class").fit(weighted)
+    marked = staged(marked.select(key, label, "features", "_weight", "_held"), "boosting")
+    held, rest = marked.where("_held"), marked.where("NOT _held")
+    rounds = min(trees, 2 * patience)
+    while True:
+        model = grow(rest, rounds)
+        losses = model.evaluateEachIteration(held)
+        best = losses.index(min(losses)) + 1
+        if rounds == trees or rounds - best >= patience:
+            break
+        rounds = min(trees, 2 * rounds)
+    return model if best == rounds else grow(rest, best)
 
 
 def feature_importances(spark: SparkSession, model: GBTClassificationModel, features: list[str],
