@@ -20,7 +20,7 @@ from riskweave.models.isolation import IsolationForest, fit_isolation_forest
 from riskweave.models.smote import smote
 from riskweave.models.split import stratified_split
 from riskweave.operators.ranking import lowest_hashed
-from riskweave.session import staged
+from riskweave.session import scratch_path, staged
 
 
 def feature_vector(features: list[str]) -> VectorAssembler:
@@ -48,11 +48,16 @@ def fit_logistic(train: DataFrame, label: str = "is_default", column: str = "sca
     weight = F.lit(None).cast("double")
     for value, n in sizes.items():
         weight = F.when(F.col(label) == value, F.lit(total / (len(sizes) * n))).otherwise(weight)
-    return LogisticRegression(
+    fitted = LogisticRegression(
         featuresCol=column, labelCol=label, weightCol="_weight", maxIter=max_iter, elasticNetParam=0.0,
         regParam=1.0 / total, standardization=False, probabilityCol="lr_vector",
         rawPredictionCol="lr_raw", predictionCol="lr_class",
     ).fit(train.withColumn("_weight", weight))
+    # a freshly fitted model carries its training summary and with it the session, which cannot be
+    # sent to tasks once the session has observed a query; the stored model carries only itself
+    path = scratch_path(train.sparkSession, "logistic-model")
+    fitted.write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def fit_boosted_trees(train: DataFrame, label: str = "is_default", key: str = "loan_id",

@@ -4,6 +4,7 @@ from math import factorial
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from riskweave import catalog
@@ -191,6 +192,15 @@ def test_models_beat_chance_and_scores_are_probabilities(trained, spark):
     assert checks["default rate within 5-25 %"] and checks["anomaly rate within 2-10 %"]
 
 
+def test_models_score_in_a_session_that_observed_a_query(trained, spark):
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    vectors = trained.scaler.transform(training.feature_vector(trained.features).transform(trained.train))
+    fitted = training.fit_logistic(vectors, max_iter=5)
+    assert fitted.transform(vectors).agg(F.max(training.positive("lr_vector"))).first()[0] <= 1
+
+
 def test_importances_sum_to_one(trained, spark):
     rows = training.feature_importances(spark, trained.boosted, trained.features).collect()
     assert sum(r["importance"] for r in rows) == pytest.approx(1.0)
