@@ -301,4 +301,19 @@ def build() -> dict[str, str]:
  CASE WHEN event_id%5=0 THEN CAST(0 AS BIGINT) ELSE coalesce(CAST(props->>'$.k' AS BIGINT),0) END AS size
  FROM events JOIN (VALUES ('_a'),('_b')) AS t(s) ON s='_a' OR event_id%7=0 WHERE event_type<>'error' AND event_id%3<>0""",
     }
+    from riskweave.schemas import LOANS_CLEAN  # only the column names
+    out |= {
+        "loans_clean": q(["loans"], "SELECT " + ", ".join(LOANS_CLEAN.fieldNames()[:-1]) + " FROM loans"),
+        "shuffle_rows": q(["cleaned"], "SELECT loan_id, loan_type FROM cleaned"),
+        "class_balance_report": q(["features_notebook"], f"""SELECT split AS part, COUNT(*) AS rows, {big('SUM(is_default)')} AS defaults, {r('AVG(is_default)', 6)} AS default_rate FROM split GROUP BY split
+ UNION ALL SELECT 'train balanced', {big('2*MAX(n)')}, {big('MAX(n)')}, CAST(0.5 AS DOUBLE) FROM (SELECT COUNT(*) AS n FROM split WHERE split='train' GROUP BY is_default)""",
+                                  _SPLIT.replace("features_etl", "features_notebook")),
+        "register_views": q(["loans"], " UNION ALL ".join(
+            f"SELECT 'vw_{name}' AS view_name, COUNT(*) AS rows FROM (SELECT DISTINCT {keys} FROM loans)" for name, keys in (
+                ("portfolio_overview", "loan_type, origination_year"),
+                ("default_by_credit_tier", "origination_year, credit_tier, credit_score_bucket, loan_type"),
+                ("risk_segmentation", "dti_bucket, ltv_bucket, loan_type"), ("geographic_risk", "state, loan_type"),
+                ("economic_regime", "origination_year, origination_quarter, loan_type"),
+                ("sector_risk", "employment_sector, loan_type")))),
+    }
     return out

@@ -7,6 +7,7 @@ Every query starts from the given tables; the loan book and the scores are deriv
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,27 +36,50 @@ SWEEP_CUTS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
 # ---------------------------------------------------------------- base frames
 
+def _built_once(function: Query) -> Query:
+    """Keep the plan (not the rows) of a base frame per application and folder.
+
+    Putting together these wide plans takes longer than planning them; every query shares them.
+    """
+    plans: dict[tuple[str, str], DataFrame] = {}
+
+    @wraps(function)
+    def build(spark: SparkSession, sf: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf)
+        if key not in plans:
+            plans[key] = function(spark, sf)
+        return plans[key]
+
+    return build
+
+
+@_built_once
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     return sample_book.loans_raw(spark, sf)
 
 
+@_built_once
 def scores(spark: SparkSession, sf: str) -> DataFrame:
     return sample_book.model_scores(spark, sf)
 
 
+@_built_once
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_loans(quality.dq_filter(raw(spark, sf)))
 
 
+@_built_once
 def features_etl(spark: SparkSession, sf: str) -> DataFrame:
     return features.engineer_features(cleaned(spark, sf), "etl")
 
 
+@_built_once
 def loans(spark: SparkSession, sf: str) -> DataFrame:
     """The clean loan table in its warehouse form."""
     return features.engineer_features(quality.dq_filter_sql(raw(spark, sf)), "sql")
 
 
+@_built_once
 def model_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Key, label and the 20 model features."""
     frame = features.engineer_features(cleaned(spark, sf), "notebook")
@@ -172,6 +196,15 @@ def _union(spark, sf):
     return summaries.union_products(*[book.where(F.col("loan_type") == p.upper()) for p in V.PRODUCTS])
 
 
+def _registered_views(spark, sf):
+    """(view, rows) of the session views, read by name."""
+    names = views.register_views(spark, loans(spark, sf))
+    return summaries.union_products(*[
+        spark.table(name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("view_name"), "rows")
+        for name in names
+    ])
+
+
 # ---------------------------------------------------------------- files and streams
 
 def _csv_round_trip(spark, sf):
@@ -371,5 +404,7 @@ QUERIES: dict[str, Query] = {
     "shap_importance": lambda s, d: shapley.shap_importance(_explained(s, d), models(s, d).features),
     "shap_direction": lambda s, d: shapley.shap_direction(_explained(s, d), models(s, d).features),
     "validation_gates": _gates,
+    "loans_clean": lambda s, d: features.to_loans_clean(loans(s, d)).drop("processed_at"),
+    "register_views": _registered_views,
     "shuffle_rows": lambda s, d: summaries.shuffle_rows(cleaned(s, d).select("loan_id", "loan_type")),
 }

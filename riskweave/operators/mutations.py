@@ -92,8 +92,8 @@ def log_performance(target: DataFrame, metrics: DataFrame, eval_date=None) -> Da
     """Upsert metric rows by (model_name, model_version, dataset)."""
     keys = ["model_name", "model_version", "dataset"]
     rows = performance_rows(metrics, eval_date)
-    same = [target[k].eqNullSafe(rows[k]) for k in keys]
-    return target.join(rows, same, "left_anti").unionByName(rows)
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    return target.alias("t").join(rows.alias("r"), same, "left_anti").unionByName(rows)
 
 
 def performance_message(metrics: DataFrame) -> DataFrame:

@@ -16,9 +16,14 @@ _BATCH = "ingest_batch"
 
 
 def arrivals(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
-    """Stream of raw text rows from the CSV files that appear below ``src``."""
+    """Stream of raw text rows from the CSV files that appear anywhere below ``src``.
+
+    Directory keys are not read: an arriving file holds all raw fields.  A file with another
+    header stops the run instead of being read into the wrong columns.
+    """
     reader = spark.readStream.options(**CSV_DIALECT).schema(RAW_LOANS_TEXT)
     reader = reader.option("pathGlobFilter", "*.csv").option("enforceSchema", False)
+    reader = reader.option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(src)

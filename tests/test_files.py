@@ -134,7 +134,7 @@ def test_etl_job_summary_and_output(spark, raw, sf, tmp_path):
 def test_each_arriving_file_is_ingested_once(spark, raw, sf, tmp_path):
     landing, out = tmp_path / "landing", str(tmp_path / "out")
     files.write_csv(raw.where("loan_type = 'Auto'"), str(landing / "one"))
-    landing_args = (spark, str(landing / "*"), str(tmp_path / "ckpt"), out)
+    landing_args = (spark, str(landing), str(tmp_path / "ckpt"), out)
     ingest.ingest_arrivals(*landing_args, profile_out=str(tmp_path / "dq"))
     first = ingest.read_ingested(spark, out).count()
     ingest.ingest_arrivals(*landing_args)
