@@ -1,11 +1,42 @@
 """SQL building blocks for the oracle: the sample loan book, scores, cleaning and features.
 
-Written independently of the Spark code; runs on DuckDB over the same parquet tables.
+Runs on DuckDB over the same parquet tables; shares with the Spark code only the fixed values.
 """
 
 from __future__ import annotations
 
-FED = """fed AS (SELECT * FROM (VALUES (2018,1,142),(2018,2,171),(2018,3,191),(2018,4,218),(2019,1,240),(2019,2,238),(2019,3,219),(2019,4,178),(2020,1,158),(2020,2,6),(2020,3,9),(2020,4,9),(2021,1,7),(2021,2,6),(2021,3,8),(2021,4,8),(2022,1,8),(2022,2,77),(2022,3,233),(2022,4,378),(2023,1,457),(2023,2,508),(2023,3,533),(2023,4,533),(2024,1,533),(2024,2,533),(2024,3,510),(2024,4,483)) AS t(fy,fq,fc))"""
+from riskweave import fixed_values as V
+
+
+def case_at_least(column: str, bands: list[tuple], otherwise: str) -> str:
+    """CASE over lower bounds, highest first."""
+    return "CASE " + " ".join(f"WHEN {column}>={low} THEN '{label}'" for low, label in bands) + f" ELSE '{otherwise}' END"
+
+
+def case_below(column: str, bands: list[tuple], otherwise: str) -> str:
+    """CASE over upper bounds, lowest first."""
+    return "CASE " + " ".join(f"WHEN {column}<{high} THEN '{label}'" for high, label in bands) + f" ELSE '{otherwise}' END"
+
+
+def case_ordinal(column: str, edges: list[float]) -> str:
+    """Index of the right-closed interval."""
+    bounds = [(a, b) for a, b in zip(edges, edges[1:])]
+    whens = " ".join(
+        f"WHEN {column}>{a}" + ("" if b == float("inf") else f" AND {column}<={b}") + f" THEN {i}"
+        for i, (a, b) in enumerate(bounds, start=1))
+    return f"CAST(CASE {whens} END AS INT)"
+
+
+def flag(condition: str) -> str:
+    return f"CAST(CASE WHEN {condition} THEN 1 ELSE 0 END AS INT)"
+
+
+def in_list(column: str, values: list) -> str:
+    return f"{column} IN (" + ",".join(repr(v) for v in values) + ")"
+
+
+_FED_ROWS = ",".join(f"({y},{q},{round(rate * 100)})" for y, q, rate in V.FED_FUNDS_QUARTERLY)
+FED = f"fed AS (SELECT * FROM (VALUES {_FED_ROWS}) AS t(fy,fq,fc))"
 
 LOANS_RAW = FED + """,
 li AS (SELECT l_orderkey, SUM(CASE WHEN l_returnflag='R' THEN 1 ELSE 0 END) AS n_ret FROM lineitem GROUP BY l_orderkey),
@@ -43,7 +74,7 @@ loans_raw AS (SELECT
  CAST(CASE WHEN ck%20<3 THEN 1 ELSE 0 END AS INT) AS is_self_employed,
  c_mktsegment AS employment_sector, concat(' ', lower(n_name)) AS state,
  CAST(CASE WHEN k%991=2 THEN 900 ELSE cs END AS INT) AS credit_score,
- CASE WHEN cs>=800 THEN 'Exceptional' WHEN cs>=740 THEN 'Very Good' WHEN cs>=670 THEN 'Good' WHEN cs>=580 THEN 'Fair' ELSE 'Poor' END AS credit_tier,
+ """ + case_at_least("cs", V.CREDIT_TIERS_AT_LEAST, V.CREDIT_TIER_ELSE) + """ AS credit_tier,
  CAST(CASE WHEN k%983=3 THEN 12000 ELSE dti_c END AS DOUBLE)/CAST(100 AS DOUBLE) AS dti_ratio,
  CAST(1 + ck%25 AS INT) AS num_open_accounts, CAST(n_ret AS INT) AS num_delinquencies,
  CAST(CASE WHEN k%211=0 THEN NULL ELSE k%7 END AS INT) AS num_inquiries_12m,
@@ -102,12 +133,21 @@ CLEANED = f"""cleaned AS (SELECT * REPLACE (
  coalesce(num_delinquencies,0) AS num_delinquencies, coalesce(num_inquiries_12m,0) AS num_inquiries_12m,
  coalesce(months_to_default,-1) AS months_to_default) FROM loans_raw WHERE {VALID_KEYS})"""
 
-_SCORE = "(850-credit_score)/550.0::DOUBLE*40.0::DOUBLE + dti_ratio/2.0::DOUBLE + ltv_ratio/10.0::DOUBLE + num_delinquencies*5 + num_inquiries_12m*2"
-_HIGH = "CAST(CASE WHEN credit_score<620 OR dti_ratio>43 OR ltv_ratio>95 OR num_delinquencies>2 THEN 1 ELSE 0 END AS INT)"
-_BANDS = """CASE WHEN credit_score>=800 THEN '800+' WHEN credit_score>=740 THEN '740-799' WHEN credit_score>=670 THEN '670-739' WHEN credit_score>=620 THEN '620-669' WHEN credit_score>=580 THEN '580-619' ELSE '<580' END AS credit_score_bucket,
- CASE WHEN dti_ratio<20 THEN 'Low (<20)' WHEN dti_ratio<36 THEN 'Moderate (20-36)' WHEN dti_ratio<43 THEN 'High (36-43)' ELSE 'Very High (43+)' END AS dti_bucket,
- CASE WHEN ltv_ratio<60 THEN 'Low (<60)' WHEN ltv_ratio<80 THEN 'Standard (60-80)' WHEN ltv_ratio<90 THEN 'High (80-90)' WHEN ltv_ratio<97 THEN 'Very High (90-97)' ELSE 'Above 97' END AS ltv_bucket,
- CASE WHEN annual_income<40000 THEN 'Low (<40K)' WHEN annual_income<75000 THEN 'Lower-Mid (40-75K)' WHEN annual_income<120000 THEN 'Middle (75-120K)' WHEN annual_income<200000 THEN 'Upper-Mid (120-200K)' ELSE 'High (200K+)' END AS income_bucket"""
+_SCORE = " + ".join([
+    f"({V.SCORE_CEILING}-credit_score)/CAST({V.SCORE_SPAN} AS DOUBLE)*CAST({V.SCORE_WEIGHT} AS DOUBLE)",
+    f"dti_ratio/CAST({V.DTI_DIVISOR} AS DOUBLE)", f"ltv_ratio/CAST({V.LTV_DIVISOR} AS DOUBLE)",
+    f"num_delinquencies*{V.DELINQUENCY_WEIGHT}", f"num_inquiries_12m*{V.INQUIRY_WEIGHT}",
+])
+_HIGH = flag(" OR ".join([
+    f"credit_score<{V.HIGH_RISK_SCORE_BELOW}", f"dti_ratio>{V.HIGH_RISK_DTI_ABOVE}",
+    f"ltv_ratio>{V.HIGH_RISK_LTV_ABOVE}", f"num_delinquencies>{V.HIGH_RISK_DELINQUENCIES_ABOVE}",
+]))
+_BANDS = ", ".join(f"{case} AS {name}" for name, case in {
+    "credit_score_bucket": case_at_least("credit_score", V.CREDIT_SCORE_BANDS_AT_LEAST, V.CREDIT_SCORE_BAND_ELSE),
+    "dti_bucket": case_below("dti_ratio", V.DTI_BANDS_BELOW, V.DTI_BAND_ELSE),
+    "ltv_bucket": case_below("ltv_ratio", V.LTV_BANDS_BELOW, V.LTV_BAND_ELSE),
+    "income_bucket": case_below("annual_income", V.INCOME_BANDS_BELOW, V.INCOME_BAND_ELSE),
+}.items())
 _RATIOS = f"""{r('loan_amount/NULLIF(annual_income,0)', 4)} AS loan_to_income_ratio,
  {r('monthly_payment/NULLIF(monthly_income,0)', 4)} AS payment_to_income_ratio,
  {r('interest_rate-fed_funds_rate', 3)} AS rate_spread, {r(_SCORE, 2)} AS risk_score, {_HIGH} AS is_high_risk,
@@ -117,15 +157,15 @@ FEATURES_ETL = f"""features_etl AS (SELECT * EXCLUDE (origination_year, originat
  CAST(year(origination_date) AS INT) AS origination_year,
  'Q' || CAST(quarter(origination_date) AS VARCHAR) AS origination_quarter,
  CAST(month(origination_date) AS INT) AS origination_month, {_RATIOS},
- CAST(CASE WHEN year(origination_date)=2020 AND month(origination_date) BETWEEN 3 AND 12 THEN 1 ELSE 0 END AS INT) AS is_covid_period,
- CAST(CASE WHEN year(origination_date) IN (2022,2023) THEN 1 ELSE 0 END AS INT) AS is_rate_hike_period
+ {flag('year(origination_date)=2020 AND month(origination_date) BETWEEN 3 AND 12')} AS is_covid_period,
+ {flag('year(origination_date) IN (2022,2023)')} AS is_rate_hike_period
 FROM cleaned)"""
 
 FEATURES_SQL = f"""typed AS (SELECT * REPLACE (TRY_CAST(origination_date AS DATE) AS origination_date) FROM loans_raw),
 loans AS (SELECT * REPLACE (coalesce(months_to_default,-1) AS months_to_default),
  CAST(month(origination_date) AS INT) AS origination_month, {_RATIOS},
- CAST(CASE WHEN origination_year=2020 AND month(origination_date)>=3 THEN 1 ELSE 0 END AS INT) AS is_covid_period,
- CAST(CASE WHEN origination_year IN (2022,2023) THEN 1 ELSE 0 END AS INT) AS is_rate_hike_period
+ {flag('origination_year=2020 AND month(origination_date)>=3')} AS is_covid_period,
+ {flag('origination_year IN (2022,2023)')} AS is_rate_hike_period
 FROM typed WHERE {VALID})"""
 
 _np = lambda e, n: f"(round_even(({e})*1e{n}::DOUBLE, 0)/1e{n}::DOUBLE)"
@@ -133,12 +173,12 @@ FEATURES_NOTEBOOK = f"""features_notebook AS (SELECT *,
  {_np('loan_amount/NULLIF(annual_income,0)', 4)} AS loan_to_income_ratio,
  {_np('loan_amount/NULLIF(interest_rate,0)/NULLIF(monthly_income,0)', 4)} AS payment_to_income_ratio,
  {_np('interest_rate-fed_funds_rate', 3)} AS rate_spread, {_np(_SCORE, 2)} AS risk_score, {_HIGH} AS is_high_risk,
- CAST(CASE WHEN origination_year=2020 THEN 1 ELSE 0 END AS INT) AS is_covid_period,
- CAST(CASE WHEN origination_year IN (2022,2023) THEN 1 ELSE 0 END AS INT) AS is_rate_hike_period,
- CAST(CASE WHEN loan_type='MORTGAGE' THEN 1 ELSE 0 END AS INT) AS is_mortgage,
- CAST(CASE WHEN credit_score<=0 THEN NULL WHEN credit_score<=579 THEN 1 WHEN credit_score<=619 THEN 2 WHEN credit_score<=669 THEN 3 WHEN credit_score<=739 THEN 4 WHEN credit_score<=799 THEN 5 WHEN credit_score<=850 THEN 6 END AS INT) AS credit_score_bucket,
- CAST(CASE WHEN dti_ratio<=0 THEN NULL WHEN dti_ratio<=20 THEN 1 WHEN dti_ratio<=36 THEN 2 WHEN dti_ratio<=43 THEN 3 WHEN dti_ratio<=100 THEN 4 END AS INT) AS dti_bucket,
- CAST(CASE WHEN annual_income<=0 THEN NULL WHEN annual_income<=40000 THEN 1 WHEN annual_income<=75000 THEN 2 WHEN annual_income<=120000 THEN 3 WHEN annual_income<=200000 THEN 4 ELSE 5 END AS INT) AS income_bucket
+ {flag('origination_year=2020')} AS is_covid_period,
+ {flag('origination_year IN (2022,2023)')} AS is_rate_hike_period,
+ {flag("loan_type='MORTGAGE'")} AS is_mortgage,
+ {case_ordinal('credit_score', V.CREDIT_SCORE_EDGES)} AS credit_score_bucket,
+ {case_ordinal('dti_ratio', V.DTI_EDGES)} AS dti_bucket,
+ {case_ordinal('annual_income', V.INCOME_EDGES)} AS income_bucket
 FROM cleaned)"""
 
 _CTES = {

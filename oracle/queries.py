@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from oracle.base import VALID, VALID_KEYS, mean, money, query, r
+from oracle.base import (
+    VALID, VALID_KEYS, case_at_least, flag, in_list, mean, money, query, r,
+)
+from riskweave import fixed_values as V
+from riskweave.schemas import LOANS_CLEAN, LOANS_CLEAN_CONTRACT
 
 RATE = r("AVG(is_default)*100", 2) + " AS default_rate_pct"
 SCORE = r("AVG(credit_score)", 0) + " AS avg_credit_score"
 BAD_AMOUNT = money("CASE WHEN is_default=1 THEN loan_amount ELSE 0 END")
 AMOUNT = money("loan_amount")
-TIER = "CASE WHEN {0}>=0.60 THEN 'CRITICAL' WHEN {0}>=0.40 THEN 'HIGH' WHEN {0}>=0.20 THEN 'MEDIUM' ELSE 'LOW' END"
+
+
+def tier(column: str) -> str:
+    return case_at_least(column, V.RISK_TIERS_AT_LEAST, V.RISK_TIER_ELSE)
 
 
 def big(e: str) -> str:
@@ -42,13 +49,13 @@ EXTENDED = {
     "origination_year_out_of_range": "origination_year < 2018 OR origination_year > 2024",
 }
 DOMAINS = {
-    "loan_id_format": r"NOT regexp_matches(loan_id, '^(MRD-[A-Z]{3}-\d{4}-\d{7}|LN\d{8})$')",
-    "term_months_domain": "(upper(loan_type)='MORTGAGE' AND term_months NOT IN (180,240,360)) OR (upper(loan_type)='AUTO' AND term_months NOT IN (36,48,60,72,84))",
-    "loan_purpose_domain": "loan_purpose NOT IN ('Purchase','Refinance','Cash-Out Refinance')",
-    "credit_tier_domain": "credit_tier NOT IN ('Exceptional','Very Good','Good','Fair','Poor')",
-    "property_type_domain": "property_type NOT IN ('Single Family','Condo','Townhouse','Multi-Family')",
-    "vehicle_type_domain": "vehicle_type NOT IN ('New','Used','Certified Pre-Owned')",
-    "loan_status_domain": "loan_status NOT IN ('Current','Paid Off','30 DPD','60 DPD','90+ DPD','Default','Charged Off')",
+    "loan_id_format": f"NOT regexp_matches(loan_id, '{V.LOAN_ID_PATTERN}')",
+    "term_months_domain": " OR ".join(
+        f"(upper(loan_type)='{p.upper()}' AND NOT {in_list('term_months', terms)})"
+        for p, terms in zip(V.PRODUCTS, (V.MORTGAGE_TERMS, V.AUTO_TERMS))),
+    **{f"{column}_domain": f"NOT {in_list(column, words)}" for column, words in {
+        "loan_purpose": V.PURPOSES, "credit_tier": V.CREDIT_TIERS, "property_type": V.PROPERTY_TYPES,
+        "vehicle_type": V.VEHICLE_TYPES, "loan_status": V.LOAN_STATUSES}.items()},
 }
 
 
@@ -64,18 +71,9 @@ _broken = "list_filter([" + ",".join(
 _issues = "concat_ws(';'," + ",".join(
     f"CASE WHEN {n}>0 THEN concat('{n}=', {n}) END" for n in BASIC) + ")"
 
-_TEXT_LENGTHS = {
-    "loan_id": 30, "loan_type": 10, "origination_quarter": 2, "loan_purpose": 30,
-    "employment_sector": 50, "state": 2, "credit_tier": 20, "property_type": 30,
-    "vehicle_make": 30, "vehicle_model": 30, "vehicle_type": 30, "loan_status": 20,
-}
-_CLEAN_REQUIRED = ["loan_id", "loan_type", "origination_date", "origination_year", "loan_amount",
-                   "term_months", "interest_rate", "credit_score", "is_default"]
 _contract = (
-    rules_sql({f"not_null:{c}": f"{c} IS NULL" for c in _CLEAN_REQUIRED}
-              | {f"max_length:{c}": f"length({c}) > {n}" for c, n in (
-                  _TEXT_LENGTHS | {"credit_score_bucket": 10, "dti_bucket": 20, "ltv_bucket": 20,
-                                   "income_bucket": 25}).items()}, "loans")
+    rules_sql({f"not_null:{c}": f"{c} IS NULL" for c in LOANS_CLEAN_CONTRACT.not_null}
+              | {f"max_length:{c}": f"length({c}) > {n}" for c, n in LOANS_CLEAN_CONTRACT.max_length.items()}, "loans")
     + " UNION ALL SELECT 'primary_key', CAST(COUNT(loan_id) - COUNT(DISTINCT loan_id) AS BIGINT) FROM loans"
 )
 
@@ -135,10 +133,8 @@ rk AS (SELECT model_version, model_name, {big('MAX(ap)+MAX(an)')} AS n_samples,
 cf AS (SELECT model_version, model_name, {confusion('score')} FROM long GROUP BY model_version, model_name),
 summary AS (SELECT rk.*, {RATIOS} FROM rk JOIN cf USING (model_version, model_name))"""
 
-SAMPLE_LOG = """samples AS (SELECT * FROM (VALUES
- ('XGBoost','v1.0','TEST',50000,5512,0.9421,0.8103,0.9124,0.8234,0.7891,0.8045,0.7234),
- ('LogisticRegression','v1.0','TEST',50000,5512,0.8912,0.7543,0.8934,0.7823,0.7234,0.7519,0.6821),
- ('XGBoost','v1.0','TRAIN',200000,22048,0.9634,0.8891,0.9312,0.8734,0.8123,0.8417,0.7892))
+_SAMPLES = ",".join("(" + ",".join(repr(v) for v in row) + ")" for row in V.SAMPLE_PERFORMANCE)
+SAMPLE_LOG = f"""samples AS (SELECT * FROM (VALUES {_SAMPLES})
  AS t(model_name,model_version,dataset,n_samples,n_defaults,auc_roc,auc_pr,accuracy,precision_score,recall_score,f1_score,ks_statistic))"""
 _METRICS = "n_samples, n_defaults, auc_roc, auc_pr, accuracy, precision_score, recall_score, f1_score, ks_statistic"
 LOGGED = f"""measured AS (SELECT model_name, model_version, 'TEST' AS dataset, {_METRICS} FROM summary),
@@ -166,7 +162,7 @@ def merged(strict: bool) -> str:
         return f"CASE WHEN s.loan_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
     return f"""merged AS (SELECT * FROM model_scores WHERE model_version<>'v0.9' UNION ALL BY NAME
  SELECT coalesce(t.loan_id, s.loan_id) AS loan_id, 'v0.9' AS model_version, {', '.join(pick(c) for c in _SCORE_COLS)},
- CASE WHEN s.loan_id IS NOT NULL THEN {TIER.format('s.ensemble_default_prob')} ELSE t.risk_tier END AS risk_tier
+ CASE WHEN s.loan_id IS NOT NULL THEN {tier('s.ensemble_default_prob')} ELSE t.risk_tier END AS risk_tier
  FROM (SELECT * FROM model_scores WHERE model_version='v0.9') t
  FULL JOIN (SELECT * FROM model_scores WHERE model_version='v1.0') s ON t.loan_id=s.loan_id)"""
 
@@ -184,17 +180,38 @@ _CORR = ["credit_score", "dti_ratio", "ltv_ratio", "risk_score", "loan_to_income
 
 _CUTS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
-_REGIME = """CASE WHEN origination_date>=DATE '2018-01-01' AND origination_date<DATE '2020-01-01' THEN 'Gradual rate normalization'
- WHEN origination_date>=DATE '2020-01-01' AND origination_date<DATE '2020-04-01' THEN 'COVID-19 shock'
- WHEN origination_date>=DATE '2020-04-01' AND origination_date<DATE '2022-01-01' THEN 'Near-zero rates'
- WHEN origination_date>=DATE '2022-01-01' AND origination_date<DATE '2024-01-01' THEN 'Aggressive rate hikes'
- WHEN origination_date>=DATE '2024-01-01' AND origination_date<DATE '2025-01-01' THEN 'Rate stabilization' END"""
-_POINTS = """50 + CASE WHEN credit_score<580 THEN 180 WHEN credit_score<620 THEN 120 WHEN credit_score<660 THEN 70 WHEN credit_score<700 THEN 30 WHEN credit_score<740 THEN 10 ELSE -20 END
- + CASE WHEN dti_ratio>50 THEN 100 WHEN dti_ratio>43 THEN 60 WHEN dti_ratio>36 THEN 30 WHEN dti_ratio<20 THEN -20 ELSE 0 END
- + CASE WHEN upper(loan_type)='MORTGAGE' THEN CASE WHEN ltv_ratio>95 THEN 80 WHEN ltv_ratio>90 THEN 50 WHEN ltv_ratio>80 THEN 20 WHEN ltv_ratio<60 THEN -20 ELSE 0 END ELSE 0 END
- + CASE WHEN employment_years<1 THEN 40 WHEN employment_years<2 THEN 20 ELSE 0 END + CASE WHEN is_self_employed=1 THEN 30 ELSE 0 END
- + CASE WHEN year(origination_date)=2020 THEN 40 WHEN year(origination_date) IN (2022,2023) THEN 30 ELSE 0 END
- + CASE WHEN upper(loan_type)='AUTO' THEN 20 ELSE 0 END + CASE WHEN fed_funds_rate>4 THEN 20 ELSE 0 END"""
+_REGIME_ENDS = [start for start, _ in V.REGIMES_FROM[1:]] + [V.REGIMES_END]
+_REGIME = "CASE " + " ".join(
+    f"WHEN origination_date>=DATE '{start}' AND origination_date<DATE '{end}' THEN '{name}'"
+    for (start, name), end in zip(V.REGIMES_FROM, _REGIME_ENDS)) + " END"
+
+
+def _points(column: str, sign: str, steps: list[tuple], otherwise: int = 0) -> str:
+    return "CASE " + " ".join(f"WHEN {column}{sign}{limit} THEN {p}" for limit, p in steps) + f" ELSE {otherwise} END"
+
+
+_IS = "upper(loan_type)='{}'"
+_POINTS = " + ".join([
+    str(V.SCORECARD_BASE),
+    _points("credit_score", "<", V.SCORECARD_SCORE_BELOW, V.SCORECARD_SCORE_ELSE),
+    _points("dti_ratio", ">", V.SCORECARD_DTI_ABOVE),
+    _points("dti_ratio", "<", [(20, V.SCORECARD_DTI_BELOW_20)]),
+    f"CASE WHEN {_IS.format('MORTGAGE')} THEN {_points('ltv_ratio', '>', V.SCORECARD_MORTGAGE_LTV_ABOVE)}"
+    f" + {_points('ltv_ratio', '<', [(60, V.SCORECARD_MORTGAGE_LTV_BELOW_60)])} ELSE 0 END",
+    _points("employment_years", "<", V.SCORECARD_TENURE_BELOW),
+    _points("is_self_employed", "=", [(1, V.SCORECARD_SELF_EMPLOYED)]),
+    _points("year(origination_date)", "=", V.SCORECARD_YEARS),
+    f"CASE WHEN {_IS.format('AUTO')} THEN {V.SCORECARD_AUTO} ELSE 0 END",
+    _points("fed_funds_rate", ">", [(4, V.SCORECARD_FED_ABOVE_4)]),
+])
+_YEARLY = ",".join(f"({y},CAST({rate} AS DOUBLE))" for y, rate in V.FED_FUNDS_YEARLY)
+_WARNINGS = {
+    "flag_poor_credit": f"credit_score<{V.WARN_SCORE_BELOW}", "flag_high_dti": f"dti_ratio>{V.WARN_DTI_ABOVE}",
+    "flag_high_ltv": f"ltv_ratio>{V.WARN_LTV_ABOVE}",
+    "flag_delinquency": f"num_delinquencies>{V.WARN_DELINQUENCIES_ABOVE}",
+    "flag_inquiry_spike": f"num_inquiries_12m>{V.WARN_INQUIRIES_ABOVE}",
+    "flag_model_high_risk": f"ensemble_default_prob>{V.WARN_PROBABILITY_ABOVE}", "flag_anomaly": "if_is_anomaly=1",
+}
 _PENDING = "(is_default=1 AND origination_date + CAST(months_to_default*30 AS INT) > DATE '2024-12-31')"
 
 
@@ -219,14 +236,14 @@ def build() -> dict[str, str]:
              "employment_years", "is_self_employed", "fed_funds_rate", "is_high_risk", "credit_score_bucket",
              "dti_bucket", "income_bucket", "is_mortgage", "is_covid_period", "is_rate_hike_period"]) + " FROM features_notebook"),
         "scorecard": q(["cleaned"], f"""SELECT loan_id, CAST(least(850, greatest(5, {_POINTS})) AS DOUBLE)/1000 AS rule_probability,
- CASE WHEN credit_score>=800 THEN 'Exceptional' WHEN credit_score>=740 THEN 'Very Good' WHEN credit_score>=670 THEN 'Good' WHEN credit_score>=580 THEN 'Fair' ELSE 'Poor' END AS tier,
+ {case_at_least('credit_score', V.CREDIT_TIERS_AT_LEAST, V.CREDIT_TIER_ELSE)} AS tier,
  concat_ws('-', 'MRD', upper(substr(loan_type,1,3)), CAST(origination_year AS VARCHAR), lpad(CAST(CAST(substr(loan_id,3) AS BIGINT) AS VARCHAR),7,'0')) AS long_id,
  {_REGIME} AS regime FROM cleaned"""),
         "loan_outcome": q(["cleaned"], f"""SELECT loan_id, CAST(CASE WHEN {_PENDING} THEN 0 ELSE is_default END AS INT) AS is_default,
  CASE WHEN {_PENDING} THEN 'Current' WHEN is_default<>1 AND origination_date + CAST(term_months*30 AS INT) <= DATE '2024-12-31' THEN 'Paid Off' ELSE loan_status END AS loan_status FROM cleaned"""),
         "fed_rate_lookup": q(["cleaned"], f"""SELECT loan_id, coalesce(fc/100.0::DOUBLE, 2.5::DOUBLE) AS fed_funds_rate, coalesce(yr, 2.5::DOUBLE) AS fed_rate_by_year
  FROM cleaned LEFT JOIN fed ON fy=year(origination_date) AND fq=quarter(origination_date)
- LEFT JOIN (VALUES (2018,1.75::DOUBLE),(2019,2.25::DOUBLE),(2020,0.25::DOUBLE),(2021,0.10::DOUBLE),(2022,3.50::DOUBLE),(2023,5.25::DOUBLE),(2024,5.00::DOUBLE)) AS t(y,yr) ON y=year(origination_date)"""),
+ LEFT JOIN (VALUES {_YEARLY}) AS t(y,yr) ON y=year(origination_date)"""),
         "verify_load": q(["loans"], f"SELECT COUNT(*) AS total_records, {big('SUM(is_default)')} AS total_defaults, {RATE}, COUNT(DISTINCT loan_type) AS loan_types, MIN(origination_date) AS earliest_loan, MAX(origination_date) AS latest_loan FROM typed"),
         "verify_clean": q(["loans"], f"SELECT loan_type, COUNT(*) AS records, {RATE}, {SCORE}, {r(mean('dti_ratio'), 1)} AS avg_dti, {r(mean('risk_score'), 1)} AS avg_risk_score, {big('SUM(is_high_risk)')} AS high_risk_count FROM loans GROUP BY loan_type"),
         "dataset_summary": q(["loans"], f"SELECT COUNT(*) AS total_loans, {_of('loan_type', 'Mortgage')} AS mortgage_loans, {_of('loan_type', 'Auto')} AS auto_loans, {RATE}, {r(_rate_of('Mortgage'), 2)} AS mortgage_default_rate_pct, {r(_rate_of('Auto'), 2)} AS auto_default_rate_pct, {r(AMOUNT + '/COUNT(loan_amount)', 0)} AS avg_loan_amount, {SCORE}, {r(mean('dti_ratio'), 1)} AS avg_dti, {r(mean('interest_rate'), 2)} AS avg_interest_rate FROM loans"),
@@ -241,13 +258,10 @@ def build() -> dict[str, str]:
  FROM loans GROUP BY origination_year, origination_quarter, loan_type"""),
         "sector_risk": q(["loans"], f"SELECT employment_sector, loan_type, COUNT(*) AS loan_count, {RATE}, {r(money('annual_income') + '/COUNT(annual_income)', 0)} AS avg_income, {SCORE}, {r(mean('dti_ratio'), 1)} AS avg_dti, {r(AMOUNT + '/1000000', 2)} AS exposure_millions FROM loans GROUP BY employment_sector, loan_type"),
         "risk_decile": q(["loans"], f"SELECT loan_id, risk_score, CAST({_DECILES} AS INT) AS risk_decile FROM loans WHERE loan_id IS NOT NULL"),
-        "early_warning": q(["loans", "model_scores"], f"""SELECT *, flag_poor_credit+flag_high_dti+flag_high_ltv+flag_delinquency+flag_inquiry_spike+flag_model_high_risk+flag_anomaly AS total_flags FROM (
+        "early_warning": q(["loans", "model_scores"], f"""SELECT *, {'+'.join(_WARNINGS)} AS total_flags FROM (
  SELECT loan_id, loan_type, origination_date, loan_amount, credit_score, credit_tier, dti_ratio, ltv_ratio, risk_score, risk_decile, risk_tier,
  xgb_default_prob, ensemble_default_prob, if_is_anomaly, loan_status, is_default,
- CASE WHEN credit_score<580 THEN 1 ELSE 0 END AS flag_poor_credit, CASE WHEN dti_ratio>43 THEN 1 ELSE 0 END AS flag_high_dti,
- CASE WHEN ltv_ratio>95 THEN 1 ELSE 0 END AS flag_high_ltv, CASE WHEN num_delinquencies>2 THEN 1 ELSE 0 END AS flag_delinquency,
- CASE WHEN num_inquiries_12m>5 THEN 1 ELSE 0 END AS flag_inquiry_spike, CASE WHEN ensemble_default_prob>0.50 THEN 1 ELSE 0 END AS flag_model_high_risk,
- CASE WHEN if_is_anomaly=1 THEN 1 ELSE 0 END AS flag_anomaly
+ {', '.join(f'{flag(c)} AS {n}' for n, c in _WARNINGS.items())}
  FROM (SELECT l.*, s.xgb_default_prob, s.ensemble_default_prob, s.risk_tier, s.if_is_anomaly, CAST({_DECILES.replace('risk_score','l.risk_score').replace('loan_id','l.loan_id')} AS INT) AS risk_decile
   FROM (SELECT * FROM loans WHERE loan_id IS NOT NULL) l LEFT JOIN model_scores s ON l.loan_id=s.loan_id AND s.model_version='v1.0') WHERE risk_decile<=3)"""),
         "model_performance_view": q(["loans", "model_scores"], f"SELECT model_name, model_version, eval_date, dataset, n_samples, {r('default_rate', 6)} AS default_rate, {', '.join(_r4(c) for c in ('auc_roc', 'auc_pr', 'f1_score', 'precision_score', 'recall_score', 'ks_statistic', 'gini_coefficient'))}, CAST(RANK() OVER (PARTITION BY dataset ORDER BY logged.auc_roc DESC) AS INT) AS auc_rank FROM logged", ",\n".join([SUMMARY, SAMPLE_LOG, LOGGED])),
@@ -263,7 +277,7 @@ def build() -> dict[str, str]:
         "merge_scores": q(["model_scores"], "SELECT * FROM merged", merged(False)),
         "merge_scores_strict": q(["model_scores"], "SELECT * FROM merged", merged(True)),
         "insert_missing": q(["model_scores"], "SELECT * FROM model_scores WHERE model_version='v0.9' UNION ALL SELECT * FROM model_scores s WHERE model_version='v1.0' AND NOT EXISTS (SELECT 1 FROM model_scores t WHERE t.model_version='v0.9' AND t.loan_id=s.loan_id)"),
-        "refresh_risk_tiers": q(["model_scores"], f"SELECT total, critical, high, medium, low, 'Risk tiers refreshed for '||total||' loans. CRITICAL: '||critical||' | HIGH: '||high||' | MEDIUM: '||medium||' | LOW: '||low AS message FROM (SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE t='CRITICAL') AS critical, COUNT(*) FILTER (WHERE t='HIGH') AS high, COUNT(*) FILTER (WHERE t='MEDIUM') AS medium, COUNT(*) FILTER (WHERE t='LOW') AS low FROM (SELECT {TIER.format('ensemble_default_prob')} AS t FROM model_scores))"),
+        "refresh_risk_tiers": q(["model_scores"], f"SELECT total, critical, high, medium, low, 'Risk tiers refreshed for '||total||' loans. CRITICAL: '||critical||' | HIGH: '||high||' | MEDIUM: '||medium||' | LOW: '||low AS message FROM (SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE t='CRITICAL') AS critical, COUNT(*) FILTER (WHERE t='HIGH') AS high, COUNT(*) FILTER (WHERE t='MEDIUM') AS medium, COUNT(*) FILTER (WHERE t='LOW') AS low FROM (SELECT {tier('ensemble_default_prob')} AS t FROM model_scores))"),
         "tier_distribution": q(["model_scores"], "SELECT risk_tier, COUNT(*) AS loans FROM model_scores WHERE model_version='v1.0' GROUP BY risk_tier"),
         "default_rate_by_tier": q(["loans", "model_scores"], f"SELECT risk_tier, COUNT(*) AS loans, {r('AVG(is_default)', 3)} AS default_rate FROM scored WHERE model_version='v1.0' GROUP BY risk_tier", SCORED),
         "tier_separation": q(["loans", "model_scores"], f"SELECT {r('c', 6)} AS critical_rate, {r('l', 6)} AS low_rate, {r('c/NULLIF(l,0)', 4)} AS separation, c>l AS separates FROM (SELECT AVG(is_default) FILTER (WHERE risk_tier='CRITICAL') AS c, AVG(is_default) FILTER (WHERE risk_tier='LOW') AS l FROM scored WHERE model_version='v1.0')", SCORED),
@@ -301,7 +315,6 @@ def build() -> dict[str, str]:
  CASE WHEN event_id%5=0 THEN CAST(0 AS BIGINT) ELSE coalesce(CAST(props->>'$.k' AS BIGINT),0) END AS size
  FROM events JOIN (VALUES ('_a'),('_b')) AS t(s) ON s='_a' OR event_id%7=0 WHERE event_type<>'error' AND event_id%3<>0""",
     }
-    from riskweave.schemas import LOANS_CLEAN  # only the column names
     out |= {
         "loans_clean": q(["loans"], "SELECT " + ", ".join(LOANS_CLEAN.fieldNames()[:-1]) + " FROM loans"),
         "shuffle_rows": q(["cleaned"], "SELECT loan_id, loan_type FROM cleaned"),
