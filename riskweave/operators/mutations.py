@@ -38,11 +38,11 @@ def _one_row_per_loan(incoming: DataFrame) -> DataFrame:
 
 
 def merge_scores(target: DataFrame, incoming: DataFrame, version: str,
-                 strict_reference: bool = False) -> DataFrame:
+                 keep_predictions: bool = False) -> DataFrame:
     """Upsert one model version's scores by loan.
 
     A known loan gets new probabilities, anomaly values, tier and time; a new loan gets all
-    columns.  With ``strict_reference`` a known loan keeps its old class predictions, as the
+    columns.  With ``keep_predictions`` a known loan keeps its old class predictions, as the
     original procedure leaves them; otherwise they follow the new scores.  Other versions pass
     through untouched and are not shuffled.
     """
@@ -56,7 +56,7 @@ def merge_scores(target: DataFrame, incoming: DataFrame, version: str,
         target.where(same_version).withColumn("_old", F.lit(True)).alias("t")
         .join(incoming.withColumn("_new", F.lit(True)).alias("s"), "loan_id", "full")
     )
-    kept = _PREDICTIONS if strict_reference else []
+    kept = _PREDICTIONS if keep_predictions else []
 
     def merged(c: str):
         if c == "loan_id":

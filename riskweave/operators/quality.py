@@ -83,23 +83,25 @@ def dq_profile(df: DataFrame) -> DataFrame:
     return count_rules(df, basic_rules())
 
 
+def surplus_rows(df: DataFrame, keys: list[str], rule: str) -> DataFrame:
+    """(rule, violations): rows beyond the first of every complete key.
+
+    Only the key is shuffled, after map-side counting: a key repeated in a third of the rows reaches
+    its reducer as one count per task.
+    """
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    per_key = df.where(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    surplus = F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0))
+    return per_key.agg(surplus.alias("violations")).select(F.lit(rule).alias("rule"), "violations")
+
+
 def dq_extended(df: DataFrame) -> DataFrame:
     """(rule, violations) of the extended rules, zero counts included.
 
-    Uniqueness is counted per id, after map-side pre-aggregation, so one id repeated in a third of
-    the rows reaches its reducer as one partial row per task.
+    The rules are one scan with a one-row result; uniqueness reads just the id.
     """
-    rules = extended_rules()
-    per_id = df.groupBy("loan_id").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(condition).alias(rule) for rule, condition in rules.items()],
-    )
-    counts = per_id.agg(
-        F.coalesce(F.sum(F.when(F.col("loan_id").isNotNull(), F.col("_rows") - 1)), F.lit(0))
-        .alias("duplicate_loan_id"),
-        *[F.coalesce(F.sum(rule), F.lit(0)).alias(rule) for rule in rules],
-    )
-    return _long(counts, ["duplicate_loan_id", *rules])
+    counts = count_rules(df, extended_rules(), keep_zero=True)
+    return counts.unionByName(surplus_rows(df, ["loan_id"], "duplicate_loan_id"))
 
 
 def dq_domains(df: DataFrame) -> DataFrame:
@@ -185,25 +187,15 @@ def verify_clean(df: DataFrame) -> DataFrame:
 def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
     """(rule, violations) for NOT NULL, text length and primary key.
 
-    ``primary_key`` counts the surplus rows of repeated keys.  The per-key step pre-aggregates on
-    the map side, and the other rules ride along with it: one scan, one shuffle.
+    ``primary_key`` counts the surplus rows of repeated keys.
     """
     rules = {f"not_null:{c}": F.col(c).isNull() for c in contract.not_null}
     rules |= {
         f"max_length:{c}": F.length(c) > limit
         for c, limit in contract.max_length.items() if c in df.columns
     }
-    keys = contract.primary_key
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count_if(c).alias(r) for r, c in rules.items()]
-    )
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    surplus = F.sum(F.when(complete, F.col("_rows") - 1))
-    counts = per_key.agg(
-        *[F.coalesce(F.sum(F.col(f"`{r}`")), F.lit(0)).alias(r) for r in rules],
-        F.coalesce(surplus, F.lit(0)).alias("primary_key"),
-    )
-    return _long(counts, [*rules, "primary_key"])
+    counts = count_rules(df, rules, keep_zero=True)
+    return counts.unionByName(surplus_rows(df, contract.primary_key, "primary_key"))
 
 
 def outside_domain(df: DataFrame, column: str, domain: list) -> DataFrame:

@@ -32,7 +32,7 @@ def test_merge_updates_inserts_and_keeps(target, delivered):
 
 
 def test_strict_merge_leaves_old_predictions(target, delivered):
-    got = by_key(mutations.merge_scores(target, delivered, "v1", strict_reference=True))
+    got = by_key(mutations.merge_scores(target, delivered, "v1", keep_predictions=True))
     row = got["A", "v1"]
     assert (row["lr_default_prob"], row["lr_prediction"], row["ensemble_prediction"]) == (.7, 0, 0)
     assert row["if_is_anomaly"] == 1 and got["C", "v1"]["lr_prediction"] == 0
