@@ -316,6 +316,9 @@ def build() -> dict[str, str]:
  FROM events JOIN (VALUES ('_a'),('_b')) AS t(s) ON s='_a' OR event_id%7=0 WHERE event_type<>'error' AND event_id%3<>0""",
     }
     out |= {
+        "etl_job": q(["loans_raw"], f"SELECT raw_rows, clean_rows, raw_rows-clean_rows AS removed_rows, CAST(49 AS BIGINT) AS n_columns, {'+'.join(BASIC)} AS total_issues, {_issues} AS issues, clean_rows AS written_rows FROM (SELECT COUNT(*) AS raw_rows, {count_if(VALID_KEYS)} AS clean_rows, {', '.join(f'{count_if(c)} AS {n}' for n, c in BASIC.items())} FROM loans_raw)"),
+        "merge_summary": q(["model_scores"], "SELECT 'Loaded ' || COUNT(*) || ' scores for model version v0.9' AS message FROM merged WHERE model_version='v0.9'", merged(False)),
+        "performance_message": q(["loans", "model_scores"], "SELECT model_name, model_version, dataset, 'Logged performance for ' || model_name || ' v' || model_version || ' (' || dataset || '): AUC=' || auc_roc || ', F1=' || f1_score AS message FROM logged", ",\n".join([SUMMARY, SAMPLE_LOG, LOGGED])),
         "loans_clean": q(["loans"], "SELECT " + ", ".join(LOANS_CLEAN.fieldNames()[:-1]) + " FROM loans"),
         "shuffle_rows": q(["cleaned"], "SELECT loan_id, loan_type FROM cleaned"),
         "class_balance_report": q(["features_notebook"], f"""SELECT split AS part, COUNT(*) AS rows, {big('SUM(is_default)')} AS defaults, {r('AVG(is_default)', 6)} AS default_rate FROM split GROUP BY split

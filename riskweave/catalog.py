@@ -18,7 +18,7 @@ from riskweave.models import gates, metrics, shapley, split, training
 from riskweave.operators import (
     cleaning, features, lookups, mutations, quality, ranking, summaries,
 )
-from riskweave.plans import dashboards, report, views
+from riskweave.plans import dashboards, etl, report, views
 from riskweave.schemas import INCOMING_SCORES, LOANS_CLEAN_CONTRACT, RAW_LOANS
 from riskweave.session import scratch_path, staged
 from riskweave.sources import arrivals, files, sample_book
@@ -256,6 +256,18 @@ def _extract(spark, sf):
         .option("ignoreLeadingWhiteSpace", False).schema(schema).csv(path)
 
 
+def _etl_job(spark, sf):
+    """Summary row of the batch job run over the book's CSV files."""
+    root = scratch_path(spark, "etl")
+    files.write_csv(raw(spark, sf), f"{root}/raw")
+    summary = etl.run_etl(spark, f"{root}/raw", f"{root}/clean")
+    issues = ";".join(f"{rule}={n}" for rule, n in summary["issues"].items())
+    columns = ["raw_rows", "clean_rows", "removed_rows", "n_columns", "total_issues"]
+    written = files.read_clean(spark, summary["target"]).agg(F.count(F.lit(1)).alias("written_rows"))
+    return written.select(
+        *[F.lit(summary[c]).cast("bigint").alias(c) for c in columns], F.lit(issues).alias("issues"), "written_rows")
+
+
 def _ingest(spark, sf):
     root = scratch_path(spark, "ingest")
     files.write_csv(raw(spark, sf), f"{root}/landing")
@@ -404,6 +416,10 @@ QUERIES: dict[str, Query] = {
     "shap_importance": lambda s, d: shapley.shap_importance(_explained(s, d), models(s, d).features),
     "shap_direction": lambda s, d: shapley.shap_direction(_explained(s, d), models(s, d).features),
     "validation_gates": _gates,
+    "etl_job": _etl_job,
+    "merge_summary": lambda s, d: mutations.merge_summary(
+        mutations.merge_scores(scores(s, d), incoming(s, d), "v0.9"), "v0.9"),
+    "performance_message": lambda s, d: mutations.performance_message(performance(s, d)),
     "loans_clean": lambda s, d: features.to_loans_clean(loans(s, d)).drop("processed_at"),
     "register_views": _registered_views,
     "shuffle_rows": lambda s, d: summaries.shuffle_rows(cleaned(s, d).select("loan_id", "loan_type")),
