@@ -87,12 +87,11 @@ class IsolationForest:
 
     def score(self, df: DataFrame, name: str = "if_anomaly_score", flag: str = "if_is_anomaly") -> DataFrame:
         """Add the score and, once a cutoff is known, the 0/1 flag."""
-        shared = df.sparkSession.sparkContext.broadcast(self)  # trees x (2 * sample - 1) nodes
+        forest = self  # trees x (2 * sample - 1) nodes, sent along with the function
         features, columns = self.features, df.columns
 
         @F.pandas_udf("double")
         def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            forest = shared.value
             for part in batches:
                 points = part.to_numpy(dtype=float)
                 step = 20_000

@@ -112,7 +112,11 @@ def _with_blocks(rows: DataFrame, block_rows: int, seed: int) -> DataFrame:
             if len(batch):
                 yield batch.assign(leaf=_leaf_of(_matrix(batch["x"]), planes))
 
-    placed = staged(rows.mapInPandas(assign, "id string, x array<double>, leaf bigint"), "knn-leaves")
+    if leaves == 1:
+        leaf = rows.select("id", "x", F.lit(0).cast("bigint").alias("leaf"))
+    else:
+        leaf = rows.select("id", "x").mapInPandas(assign, "id string, x array<double>, leaf bigint")
+    placed = staged(leaf, "knn-leaves")
     sizes = placed.groupBy("leaf").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("parts")
     )

@@ -113,13 +113,12 @@ def tree_contributions(model: GBTClassificationModel, features: list[str], spark
 
 def shap_values(contributions: TreeContributions, df: DataFrame) -> DataFrame:
     """Add ``shap`` (one value per feature) and ``shap_base``; their sum is the log-odds."""
-    shared = df.sparkSession.sparkContext.broadcast(contributions)
     features = contributions.features
 
     @F.pandas_udf("array<double>")
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for part in batches:
-            yield pd.Series(list(shared.value.explain(part.to_numpy(dtype=float))))
+            yield pd.Series(list(contributions.explain(part.to_numpy(dtype=float))))
 
     point = F.struct(*[F.col(f).cast("double").alias(f) for f in features])
     return df.select(
