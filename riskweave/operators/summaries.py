@@ -69,7 +69,10 @@ def tier_separation(scored: DataFrame, label: str = "is_default") -> DataFrame:
 
 
 def describe_by(df: DataFrame, by: str, value: str, digits: int = 4) -> DataFrame:
-    """Count, mean, standard deviation, minimum, quartiles and maximum per group."""
+    """Count, mean, standard deviation, minimum, quartiles and maximum per group.
+
+    The quartiles are exact and scan the frame several times: pass a stored table.
+    """
     rounded = lambda c: round_half_up(c, digits)
     moments = df.groupBy(by).agg(
         F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev(value).alias("std"),

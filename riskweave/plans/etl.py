@@ -21,11 +21,11 @@ def run_etl(spark: SparkSession, source: str, target: str, year: int | None = No
     """Run the job and return its summary.
 
     Row and rule counts are observed while the rows flow to the writer, so no rule needs a scan of
-    its own.
+    its own.  With ``year`` only loans of that year are read, counted and written.
     """
     raw_seen, clean_seen = Observation("raw"), Observation("clean")
     rules = basic_rules()
-    raw = read_raw_loans(spark, source, parse_date=False).observe(
+    raw = read_raw_loans(spark, source, parse_date=False, year=year).observe(
         raw_seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(r) for r, c in rules.items()]
     )
     enriched = filter_year(transform(raw, job_name), year).observe(clean_seen, F.count(F.lit(1)).alias("rows"))

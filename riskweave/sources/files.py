@@ -68,14 +68,20 @@ def _scan(spark: SparkSession, path: str, mode: str, corrupt: bool) -> DataFrame
     return reader.csv(path)
 
 
-def read_raw_loans(spark: SparkSession, path: str, metadata: bool = False, parse_date: bool = True) -> DataFrame:
-    """Typed raw loans from CSV files, flat or laid out as ``year=Y/loan_type=T``."""
+def read_raw_loans(spark: SparkSession, path: str, metadata: bool = False, parse_date: bool = True,
+                   year: int | None = None) -> DataFrame:
+    """Typed raw loans from CSV files, flat or laid out as ``year=Y/loan_type=T``.
+
+    ``year`` keeps one origination year; with the directory layout only its folders are read.
+    """
     scan = _scan(spark, path, "PERMISSIVE", corrupt=False)
+    if year is not None and "year" in scan.columns:
+        scan = scan.where(F.col("year") == year)
     if not metadata:
-        return typed_loans(scan, parse_date)
+        return filter_year(typed_loans(scan, parse_date), year)
     scan = with_ingest_metadata(scan)
     columns = [_cast(f.name, f.dataType).alias(f.name) for f in RAW_LOANS.fields]
-    return scan.select(*columns, "ingested_at", "source_file")
+    return filter_year(scan.select(*columns, "ingested_at", "source_file"), year)
 
 
 def with_ingest_metadata(scan: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,12 @@ def test_rounding_is_decimal_half_up(spark):
     assert values(spark, numeric.round_half_up("x", 2), [0.285, 1.005, -0.285, None]) == [0.29, 1.01, -0.29, None]
 
 
+def test_rounding_of_any_two_decimal_half(spark):
+    data = [n / 1000 for n in range(-4005, 4005, 7)]
+    expected = [float(Decimal(repr(v)).quantize(Decimal("0.01"), ROUND_HALF_UP)) for v in data]
+    assert values(spark, numeric.round_half_up("x", 2), data) == expected
+
+
 def test_half_even_rounding_is_that_of_numpy(spark):
     data = np.random.default_rng(1).uniform(-5, 5, 500).tolist() + [0.5, 1.5, 2.5, 0.125]
     assert values(spark, numeric.round_half_even("x", 2), data) == list(np.round(data, 2))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskweave import catalog
+from riskweave.__main__ import main
 from riskweave.plans import etl
 from riskweave.schemas import RAW_LOANS
 from riskweave.sources import arrivals, files
@@ -67,6 +68,10 @@ def test_partitioned_csv_round_trip(spark, raw, tmp_path):
     back = files.read_raw_loans(spark, path)
     assert back.columns == RAW_LOANS.fieldNames()
     assert back.exceptAll(typed).count() == typed.exceptAll(back).count() == 0
+    one = files.read_raw_loans(spark, path, year=2020)
+    assert one.count() == typed.where("origination_year = 2020").count()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
 
 
 def test_clean_write_prunes_years_and_replaces_partitions(spark, sf, tmp_path):
@@ -155,3 +160,19 @@ def test_replayed_batch_replaces_itself(spark, raw, tmp_path):
     n = ingest.read_ingested(spark, out).count()
     ingest.store_batch(text, 0, out)
     assert ingest.read_ingested(spark, out).count() == n
+
+
+def test_jobs(spark, raw, sf, tmp_path, capsys):
+    source, target = str(tmp_path / "raw"), str(tmp_path / "clean")
+    files.write_csv(raw, source)
+    main(["etl", "--source", source, "--target", target, "--year", "2021"])
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert summary["raw_rows"] == raw.where("origination_year = 2021").count()
+    assert files.read_clean(spark, target).count() == summary["clean_rows"]
+    scores = str(tmp_path / "scores")
+    catalog.scores(spark, sf).write.parquet(scores)
+    main(["report", "--loans", target, "--scores", scores, "--target", str(tmp_path / "report"), "--as-of", "2024-06-30"])
+    rows = {r["METRIC"]: r["VALUE"] for r in spark.read.option("header", True).csv(str(tmp_path / "report")).collect()}
+    assert rows["Report Date"] == "2024-06-30" and rows["Total Loans"] == str(summary["clean_rows"])
+    main(["ingest", "--source", source, "--target", str(tmp_path / "in"), "--checkpoint", str(tmp_path / "ck")])
+    assert ingest.read_ingested(spark, str(tmp_path / "in")).count() == catalog.features_etl(spark, sf).count()

@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from riskweave import catalog
 from riskweave.models import gates, isolation, metrics, neighbours, shapley, smote, split, training
+from riskweave.operators import mutations
 from riskweave.operators.lookups import check_no_leakage
+from riskweave.plans import views
+from riskweave.schemas import INCOMING_SCORES, MODEL_SCORES
+from riskweave.session import staged
 
 
 def points_frame(spark, points):
@@ -201,6 +205,27 @@ def test_models_score_in_a_session_that_observed_a_query(trained, spark):
     assert fitted.transform(vectors).agg(F.max(training.positive("lr_vector"))).first()[0] <= 1
 
 
+def test_from_score_frame_to_early_warning(trained, spark, sf):
+    """Scores are merged into an empty table, logged and shown by the views."""
+    frame = training.score_frame(trained.predict(trained.test))
+    empty = spark.createDataFrame([], MODEL_SCORES)
+    table = mutations.merge_scores(empty, frame.select(*INCOMING_SCORES.fieldNames()), "v2.0")
+    assert table.count() == trained.test.count()
+    merged = table.join(frame.select("loan_id", F.col("risk_tier").alias("t"), "ensemble_default_prob"), "loan_id")
+    # rounding to four decimals happens before the table's tier is derived
+    near_edge = F.col("t") != F.col("risk_tier")
+    assert merged.where(near_edge).count() <= 1
+    book = staged(catalog.loans(spark, sf).where("loan_id IS NOT NULL"), "e2e")
+    warned = views.early_warning(book, table, "v2.0")
+    assert 0 < warned.where("ensemble_default_prob IS NOT NULL").count() < warned.count()
+    measured = metrics.performance_summary(
+        frame, {"LogisticRegression": "lr_default_prob", "BoostedTrees": "xgb_default_prob"}, "actual_default"
+    ).withColumns({"model_version": F.lit("v2.0"), "dataset": F.lit("TEST")})
+    log = mutations.log_performance(mutations.performance_rows(measured.limit(0)), measured)
+    ranks = sorted(r["auc_rank"] for r in views.model_performance_view(log).collect())
+    assert ranks == [1, 2]
+
+
 def test_importances_sum_to_one(trained, spark):
     rows = training.feature_importances(spark, trained.boosted, trained.features).collect()
     assert sum(r["importance"] for r in rows) == pytest.approx(1.0)
