@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 from riskweave.operators.ranking import lowest_hashed
 from riskweave.session import staged
 
-SAMPLE_ROWS = 50_000      # rows behind the split planes; bounds what the driver holds
-MAX_LEAVES = 4_096
+SAMPLE_ROWS = 100_000     # rows behind the split planes; bounds what the driver holds
+MAX_LEAVES = 8_192
 MAX_BLOCKS = 32_768       # bounds the table of bounding boxes
 _CELLS_PER_STEP = 4_000_000
+_ROUNDING = 1e-9
 
 
 def _split_planes(points: np.ndarray, leaves: int) -> list[tuple[int, float]]:
@@ -70,28 +71,43 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.vstack(column.to_numpy()) if len(column) else np.zeros((0, 0))
 
 
-def _nearest(query: np.ndarray, query_id: np.ndarray, member: np.ndarray, member_id: np.ndarray,
-             k: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Per query row: ascending distances and ids of its nearest other members."""
-    ids, distances = [], []
-    step = max(1, _CELLS_PER_STEP // max(1, len(member)))
+def _nearest(query: np.ndarray, member: np.ndarray, member_id: np.ndarray, k: int,
+             radius: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, ascending distances, ids) of the nearest members of each query row.
+
+    Without ``radius`` the members are the query rows themselves and a row is not its own neighbour.
+    With it only members nearer than the row's radius count, and rows without any are left out.
+    """
+    centre = member.mean(axis=0)
+    moved = member - centre
+    size = (moved ** 2).sum(axis=1)
+    step = max(1, _CELLS_PER_STEP // len(member))
     for start in range(0, len(query), step):
-        part = query[start:start + step]
-        squared = np.zeros((len(part), len(member)))
-        for axis in range(member.shape[1]):
-            squared += (part[:, axis, None] - member[None, :, axis]) ** 2
-        squared[query_id[start:start + step, None] == member_id[None, :]] = np.inf
-        for row in squared:
-            if len(row) > k:
-                limit = np.partition(row, k - 1)[k - 1]
-                near = np.flatnonzero(row <= limit)
-            else:
-                near = np.arange(len(row))
-            near = near[np.isfinite(row[near])]
-            near = near[np.lexsort((member_id[near], row[near]))][:k]
-            ids.append(member_id[near])
-            distances.append(np.sqrt(row[near]))
-    return distances, ids
+        part = query[start:start + step] - centre
+        own_size = (part ** 2).sum(axis=1)
+        # squared distances by one matrix product; off by less than the slack, so they only choose
+        # the candidates whose distance is then computed from the coordinates
+        rough = own_size[:, None] + size[None, :] - 2.0 * (part @ moved.T)
+        slack = _ROUNDING * (own_size + size.max())
+        if radius is None:
+            index = np.arange(len(part))
+            rough[index, start + index] = np.inf
+            far = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(member) > k else np.full(len(part), np.inf)
+            limit = far + 2 * slack
+        else:
+            limit = radius[start:start + step] ** 2 + slack
+        candidate = rough <= limit[:, None]
+        if radius is None:
+            candidate[index, start + index] = False
+        for i in np.flatnonzero(candidate.any(axis=1)) if radius is not None else index:
+            near = np.flatnonzero(candidate[i])
+            distance = np.sqrt(((member[near] - query[start + i]) ** 2).sum(axis=1))
+            if radius is not None:
+                near, distance = near[distance < radius[start + i]], distance[distance < radius[start + i]]
+                if not len(near):
+                    continue
+            order = np.lexsort((member_id[near], distance))[:k]
+            yield start + i, distance[order], member_id[near[order]]
 
 
 def _with_blocks(rows: DataFrame, block_rows: int, seed: int) -> DataFrame:
@@ -127,14 +143,14 @@ def _with_blocks(rows: DataFrame, block_rows: int, seed: int) -> DataFrame:
     )
 
 
-def nearest_neighbours(rows: DataFrame, k: int = 5, block_rows: int = 5_000, visitors: int = 20_000,
+def nearest_neighbours(rows: DataFrame, k: int = 5, block_rows: int = 1_000, visitors: int = 20_000,
                        seed: int = 42) -> DataFrame:
     """(id, neighbours) for ``rows(id string, x array<double>)``: ids of the k nearest other rows."""
     found = "id string, x array<double>, block bigint, radius double, distances array<double>, ids array<string>"
 
     def within(pdf: pd.DataFrame) -> pd.DataFrame:
-        points, names = _matrix(pdf["x"]), pdf["id"].to_numpy()
-        distances, ids = _nearest(points, names, points, names, k)
+        points = _matrix(pdf["x"])
+        _, distances, ids = zip(*_nearest(points, points, pdf["id"].to_numpy(), k))
         radius = [d[-1] if len(d) == k else np.inf for d in distances]
         return pdf[["id", "x", "block"]].assign(radius=radius, distances=distances, ids=ids)
 
@@ -166,10 +182,10 @@ def nearest_neighbours(rows: DataFrame, k: int = 5, block_rows: int = 5_000, vis
                     near = np.sqrt(gap) < part["radius"].to_numpy()[:, None]
                     near &= part["block"].to_numpy()[:, None] != names[None, :]
                     row, box = np.nonzero(near)
-                    yield part.iloc[row][["id", "x"]].assign(block=names[box])
+                    yield part.iloc[row][["id", "x", "radius"]].assign(block=names[box])
 
         asked = staged(own.select("id", "x", "block", "radius")
-                       .mapInPandas(visits, "id string, x array<double>, block bigint"), "knn-visits")
+                       .mapInPandas(visits, "id string, x array<double>, radius double, block bigint"), "knn-visits")
         load = asked.groupBy("block").agg(
             F.ceil(F.count(F.lit(1)) / F.lit(visitors)).cast("bigint").alias("copies")
         )
@@ -181,12 +197,16 @@ def nearest_neighbours(rows: DataFrame, k: int = 5, block_rows: int = 5_000, vis
         ).drop("copies")
 
         def search(query: pd.DataFrame, member: pd.DataFrame) -> pd.DataFrame:
-            if not len(query) or not len(member):
-                return pd.DataFrame({"id": [], "distances": [], "ids": []})
-            distances, ids = _nearest(
-                _matrix(query["x"]), query["id"].to_numpy(),
-                _matrix(member["x"]), member["id"].to_numpy(), k)
-            return pd.DataFrame({"id": query["id"].to_numpy(), "distances": distances, "ids": ids})
+            found = []
+            if len(query) and len(member):
+                found = list(_nearest(_matrix(query["x"]), _matrix(member["x"]), member["id"].to_numpy(), k,
+                                      query["radius"].to_numpy()))
+            names = query["id"].to_numpy()
+            return pd.DataFrame({
+                "id": pd.Series([names[i] for i, _, _ in found], dtype=object),
+                "distances": pd.Series([d for _, d, _ in found], dtype=object),
+                "ids": pd.Series([n for _, _, n in found], dtype=object),
+            })
 
         more = asked.groupBy("block", "copy").cogroup(members.groupBy("block", "copy")).applyInPandas(
             search, "id string, distances array<double>, ids array<string>")

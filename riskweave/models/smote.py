@@ -13,7 +13,7 @@ _UNIT = 2 ** 32
 
 
 def smote(df: DataFrame, features: list[str], label: str = "is_default", key: str = "loan_id",
-          k: int = 5, seed: int = 42, block_rows: int = 5_000) -> DataFrame:
+          k: int = 5, seed: int = 42, block_rows: int = 1_000) -> DataFrame:
     """(key, label, x): all rows, plus synthetic rows until both classes are equally frequent.
 
     A synthetic row lies on the segment from a minority row to one of its k nearest minority rows.
