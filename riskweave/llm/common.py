@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,16 +45,19 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Consecutive ranges of rows with about ``size`` bytes each; a longer text stands alone."""
-    first = total = 0
-    for i, t in enumerate(texts):
-        if total and total + len(t) > size:
-            yield first, i
-            first, total = i, 0
-        total += len(t)
-    if first < len(texts):
-        yield first, len(texts)
+def text_chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts of an Arrow column in ranges of about ``size`` bytes: (first row, texts).
+
+    Only one range is held as Python objects; a longer text stands alone.
+    """
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lengths)
+    first = 0
+    while first < len(column):
+        done = ends[first] - lengths[first]
+        last = max(first + 1, int(np.searchsorted(ends, done + size, side="right")))
+        yield first, utf8(column.slice(first, last - first))
+        first = last
 
 
 #: Bits of the filter by which tasks recognise wanted ids (1 MB, whatever the number of ids).

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import shingles
-from riskweave.llm.common import chunks, documents_of, utf8, without
+from riskweave.llm.common import documents_of, text_chunks, utf8, without
 from riskweave.session import staged
 
 THRESHOLD = 0.75
@@ -128,14 +128,14 @@ def _search(index):
 
     def search(batches):
         for batch in batches:
-            ids, texts, keys = batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2)
+            ids, keys = batch.column(0), batch.column(2)
             rows = []
-            for first, last in chunks(texts):
+            for first, texts in text_chunks(batch.column(1)):
                 for width in index.value.widths():
-                    sets = shingles.shingle_sets(texts[first:last], width)
+                    sets = shingles.shingle_sets(texts, width)
                     for row, own in enumerate(sets, start=first):
                         if own.size:
-                            rows += [(ids[row], i, n, k, k / n, keys[row].as_py()) for i, n, k in index.value.contained(own, width)]
+                            rows += [(ids[row].as_py(), i, n, k, k / n, keys[row].as_py()) for i, n, k in index.value.contained(own, width)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 

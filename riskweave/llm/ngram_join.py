@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import shingles
-from riskweave.llm.common import chunks, documents_of, low_bits, may_hold, row_key, utf8
+from riskweave.llm.common import documents_of, low_bits, may_hold, row_key, text_chunks
 from riskweave.llm.components import components
 from riskweave.session import staged
 
@@ -33,10 +33,10 @@ PERCENT = 75
 GROUPS = 128
 #: Entries of the frequency sketch (4 bytes each), summed in pieces.
 SKETCH_BITS, PIECE_BITS = 20, 12
-#: Keys per bucket of the block search, members per row of a block, nodes per search task.
+#: Keys per bucket of the block search, members per row of a block, nodes of a leaf and of a search task.
 BUCKET_KEYS = 500_000
 BLOCK_ROW = 512
-SEARCH_NODES = 2048
+LEAF_NODES, SEARCH_NODES = 64, 2048
 FANOUT = 16
 
 
@@ -57,9 +57,20 @@ def node_id(own: np.ndarray) -> int:
 
 def _sets(batch, column: int):
     """(row, shingle set) for every text of an Arrow column."""
-    texts = utf8(batch.column(column))
-    for a, b in chunks(texts):
-        yield from enumerate(shingles.shingle_sets(texts[a:b]), start=a)
+    for first, texts in text_chunks(batch.column(column)):
+        yield from enumerate(shingles.shingle_sets(texts), start=first)
+
+
+def _pack(counts: np.ndarray) -> bytes:
+    """A point, one byte a coordinate if that is enough."""
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+
+
+def _points(packed: list[bytes]) -> np.ndarray:
+    """Packed points as rows."""
+    if all(len(p) == GROUPS for p in packed):
+        return np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS).astype(np.uint32)
+    return np.stack([np.frombuffer(p, np.uint8 if len(p) == GROUPS else np.uint32) for p in packed]).astype(np.uint32)
 
 
 def _nodes(documents: DataFrame) -> DataFrame:
@@ -76,7 +87,7 @@ def _nodes(documents: DataFrame) -> DataFrame:
                 sizes.append(own.size)
                 nodes.append(node_id(own) if own.size else None)
                 point = np.bincount((own >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
-                points.append(point.astype(np.uint32).tobytes() if own.size else None)
+                points.append(_pack(point) if own.size else None)
                 sketch[(own & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)] += 1
             none = [None] * len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((ids, batch.column(2).to_pylist(), sizes, nodes, points, none, none), types)], names)
@@ -165,7 +176,7 @@ def _within_bound(pairs: DataFrame, points: DataFrame, percent: int) -> DataFram
     def keep(batches):
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, GROUPS) for k in (2, 3))
+                a, b = (_points(batch.column(k).to_pylist()) for k in (2, 3))
                 most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
                 n = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
                 yield batch.select(["a", "b"]).filter(pa.array(most >= overlap_needed(n, 0, percent)))
@@ -207,15 +218,28 @@ class CountTree:
 def _pairs_between_groups(blocks: DataFrame, groups: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of a block that are in different groups and whose points allow enough overlap.
 
-    A large block is cut into parts and every two parts are one task. Parts without another group are
-    left out before any point is moved.
+    Blocks of one group are left out before any point is moved. Small blocks are one leaf: their pairs
+    are listed by size and group, and each distinct pair is bounded once.
     """
     member = blocks.select("block", F.explode("members").alias("node")).join(
         groups.withColumnRenamed("node", "g_node"), F.col("node") == F.col("g_node"), "left"
     ).select("block", "node", F.coalesce("component", "node").alias("group"))
     mixed = member.groupBy(F.col("block").alias("m_block")).agg(
         F.count("*").alias("members"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high and members > 2")
-    open_members = member.join(mixed, F.col("block") == F.col("m_block")).select("block", "node", "group", "members")
+    open_members = staged(member.join(mixed, F.col("block") == F.col("m_block")).select("block", "node", "group", "members"), "join-open")
+    large = _search_large(open_members.where(F.col("members") > LEAF_NODES), points, percent)
+    sizes = points.select(F.col("node").alias("p_node"), "n")
+    # at most LEAF_NODES members a block
+    listed = open_members.where(F.col("members") <= LEAF_NODES).join(sizes, F.col("node") == F.col("p_node")).groupBy("block").agg(
+        F.collect_list(F.struct("node", "group", "n")).alias("m"))
+    fits = f"y.node > x.node AND y.group <> x.group AND least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}"
+    pairs = listed.select(F.explode(F.expr(
+        f"flatten(transform(m, x -> transform(filter(m, y -> {fits}), y -> named_struct('a', x.node, 'b', y.node))))")).alias("pair"))
+    return _within_bound(pairs.select("pair.a", "pair.b").distinct(), points, percent).unionAll(large).distinct()
+
+
+def _search_large(open_members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The same for large blocks by R-tree; a very large one is cut into parts, every two parts one task."""
     parts = F.floor((F.col("members") - 1) / SEARCH_NODES).cast("int")
     own = F.pmod(F.xxhash64("node"), parts + 1).cast("int")
     other = F.explode(F.sequence(F.lit(0), parts))
@@ -228,7 +252,7 @@ def _pairs_between_groups(blocks: DataFrame, groups: DataFrame, points: DataFram
         node, group, n = (g[c].to_numpy() for c in ("node", "group", "n"))
         out = []
         if (group != group[0]).any():
-            point = np.frombuffer(b"".join(g["point"]), np.uint32).reshape(-1, GROUPS)
+            point = _points(g["point"].tolist())
             left, right = g["own"].to_numpy() == g["x"].iloc[0], g["own"].to_numpy() == g["y"].iloc[0]
             right = np.flatnonzero(right)
             tree = CountTree(point[right], n[right])
@@ -238,7 +262,7 @@ def _pairs_between_groups(blocks: DataFrame, groups: DataFrame, points: DataFram
                 out += [(min(node[k], x), max(node[k], x)) for x in node[hit].tolist()]
         return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("block", "x", "y").applyInPandas(search, "a long, b long").distinct()
+    return rows.groupBy("block", "x", "y").applyInPandas(search, "a long, b long")
 
 
 def _verified(documents: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -248,14 +272,18 @@ def _verified(documents: DataFrame, pairs: DataFrame, percent: int) -> DataFrame
 
     def send(batches):
         for batch in batches:
-            found = {}
-            for _, own in _sets(batch, 1):
+            seen, found, size = set(), {}, 0
+            for row, own in _sets(batch, 1):
                 if own.size:
                     node = node_id(own)
-                    if node not in found and may_hold(wanted_bits.value, node):
+                    if node not in seen and may_hold(wanted_bits.value, node):
+                        seen.add(node)
                         found[node] = own.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["node", "shingles"])
+                        size += own.nbytes
+                if found and (size > 1 << 22 or row == batch.num_rows - 1):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["node", "shingles"])
+                    found, size = {}, 0
 
     sent = documents.mapInArrow(send, "node long, shingles binary").join(wanted.withColumnRenamed("node", "w_node"), F.col("node") == F.col("w_node"), "left_semi")
     sets = staged(sent.groupBy("node").agg(F.first("shingles").alias("shingles")), "join-sets")

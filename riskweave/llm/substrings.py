@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import chunks, low_bits, may_hold, utf8
+from riskweave.llm.common import low_bits, may_hold, text_chunks, utf8
 from riskweave.llm.shingles import mix, powers
 from riskweave.session import staged
 
@@ -135,14 +135,22 @@ def _packed(values: dict[str, np.ndarray], bucket: np.ndarray) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(columns, ["bucket", *values])
 
 
-def _pieces(texts: list[bytes], keys: list, length: int):
-    """Rounds of (texts, keys, offsets); a long text comes in overlapping pieces."""
-    for a, b in chunks(texts):
-        if b - a == 1 and len(texts[a]) > PIECE:
-            for at in range(0, len(texts[a]) - length + 1, PIECE):
-                yield [texts[a][at : at + PIECE + length - 1]], [keys[a]], [at]
-        else:
-            yield texts[a:b], keys[a:b], [0] * (b - a)
+def _pieces(batch: pa.RecordBatch, length: int):
+    """Rounds of (texts, keys, offsets), each distinct text once; a long text comes in overlapping pieces."""
+    seen = set()
+    for first, texts in text_chunks(batch.column(2)):
+        keys = list(zip(batch.column(0).slice(first, len(texts)).to_pylist(), batch.column(1).slice(first, len(texts)).to_pylist()))
+        own = []
+        for key, text in zip(keys, texts):
+            if key not in seen and len(text) >= length:
+                seen.add(key)
+                own.append((text, key))
+        if len(own) == 1 and len(own[0][0]) > PIECE:
+            text, key = own[0]
+            for at in range(0, len(text) - length + 1, PIECE):
+                yield [text[at : at + PIECE + length - 1]], [key], [at]
+        elif own:
+            yield [t for t, _ in own], [k for _, k in own], [0] * len(own)
 
 
 def _shared_anchors(texts: DataFrame, total: int, length: int, gram: int) -> DataFrame:
@@ -152,14 +160,8 @@ def _shared_anchors(texts: DataFrame, total: int, length: int, gram: int) -> Dat
 
     def deal(batches):
         for batch in batches:
-            raw, seen, own_texts, own_keys = utf8(batch.column(2)), set(), [], []
-            for key, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), raw):
-                if key not in seen and len(text) >= length:
-                    seen.add(key)
-                    own_texts.append(text)
-                    own_keys.append(key)
             found = []
-            for part, keys, offsets in _pieces(own_texts, own_keys, length):
+            for part, keys, offsets in _pieces(batch, length):
                 owner, start, windows, anchor = anchored(part, length, gram)
                 key = np.array(keys, np.int64).reshape(-1, 2)[owner]
                 found.append((anchor, key[:, 0], key[:, 1], start + np.array(offsets)[owner], windows.astype(np.int32)))

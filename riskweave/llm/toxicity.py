@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import chunks, documents_of, utf8, without
+from riskweave.llm.common import documents_of, text_chunks, without
 from riskweave.llm.shingles import Words
 from riskweave.session import staged
 
@@ -120,9 +120,9 @@ def mine(sample: DataFrame, most: int = MINED) -> list[int]:
     def counted(wanted):
         def count(batches):
             for batch in batches:
-                texts, parts = utf8(batch.column(1)), []
-                for a, b in chunks(texts):
-                    words = Words(texts[a:b], _SPACE)
+                parts = []
+                for _, texts in text_chunks(batch.column(1)):
+                    words = Words(texts, _SPACE)
                     features = _all_features(words)
                     for i, j in zip(words.at[:-1].tolist(), words.at[1:].tolist()):
                         own = np.unique(features[:, i:j])
@@ -168,9 +168,9 @@ def found_features(documents: DataFrame, features: Features) -> DataFrame:
     def find(batches):
         own = shared.value
         for batch in batches:
-            texts, held = utf8(batch.column(1)), []
-            for a, b in chunks(texts):
-                words = Words(texts[a:b], _SPACE)
+            held = []
+            for _, texts in text_chunks(batch.column(1)):
+                words = Words(texts, _SPACE)
                 hits, places = [], []
                 if own.hashes.size and words.starts.size:
                     for row in _all_features(words):
@@ -182,8 +182,8 @@ def found_features(documents: DataFrame, features: Features) -> DataFrame:
                 doc = np.searchsorted(words.at, where, side="right") - 1
                 pairs = np.unique(doc * np.int64(1 << 20) + at)
                 doc, at = pairs >> 20, pairs & ((1 << 20) - 1)
-                cut = np.searchsorted(doc, np.arange(b - a + 1))
-                for i, text in enumerate(texts[a:b]):
+                cut = np.searchsorted(doc, np.arange(len(texts) + 1))
+                for i, text in enumerate(texts):
                     row = at[cut[i] : cut[i + 1]].tolist()
                     held.append(row + [own.hashes.size + k for k, p in enumerate(PATTERNS.values()) if p.search(text)])
             yield pa.RecordBatch.from_arrays(
