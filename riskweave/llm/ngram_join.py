@@ -29,8 +29,8 @@ from riskweave.session import staged
 
 #: Linked if PERCENT of the union is shared, in whole numbers.
 PERCENT = 75
-#: Groups that shingles hash to: coordinates of a point.
-GROUPS = 128
+#: Groups that shingles hash to, coordinates of a point: fewest and most.
+GROUPS, MOST_GROUPS = 128, 1 << 15
 #: Entries of the frequency sketch (4 bytes each), summed in pieces.
 SKETCH_BITS, PIECE_BITS = 20, 12
 #: Keys per bucket of the block search, members per row of a block, nodes of a leaf and of a search task.
@@ -61,16 +61,24 @@ def _sets(batch, column: int):
         yield from enumerate(shingles.shingle_sets(texts), start=first)
 
 
-def _pack(counts: np.ndarray) -> bytes:
-    """A point, one byte a coordinate if that is enough."""
-    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+def _point(own: np.ndarray) -> bytes:
+    """Counts of a set's shingles by group, a byte each where that is enough.
+
+    Larger sets have more groups, four times as many for four times the size, so that sets of other
+    shingles stay apart; fewer groups are the sums of more.
+    """
+    groups = GROUPS
+    while own.size >= 8 * groups and groups < MOST_GROUPS:
+        groups *= 4
+    counts = np.bincount((own >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
+    return (b"\0" + counts.astype(np.uint8).tobytes()) if counts.max() < 256 else (b"\1" + counts.astype(np.uint32).tobytes())
 
 
-def _points(packed: list[bytes]) -> np.ndarray:
-    """Packed points as rows."""
-    if all(len(p) == GROUPS for p in packed):
-        return np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS).astype(np.uint32)
-    return np.stack([np.frombuffer(p, np.uint8 if len(p) == GROUPS else np.uint32) for p in packed]).astype(np.uint32)
+def _points(packed: list[bytes], groups: int | None = None) -> np.ndarray:
+    """Points as rows, summed to ``groups`` or to the fewest groups among them."""
+    rows = [np.frombuffer(p, np.uint32 if p[0] else np.uint8, offset=1) for p in packed]
+    groups = groups or min(r.size for r in rows)
+    return np.stack([r if r.size == groups else r.reshape(-1, groups).sum(axis=0, dtype=np.uint32) for r in rows]).astype(np.uint32)
 
 
 def _nodes(documents: DataFrame) -> DataFrame:
@@ -86,8 +94,7 @@ def _nodes(documents: DataFrame) -> DataFrame:
             for _, own in _sets(batch, 1):
                 sizes.append(own.size)
                 nodes.append(node_id(own) if own.size else None)
-                point = np.bincount((own >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
-                points.append(_pack(point) if own.size else None)
+                points.append(_point(own) if own.size else None)
                 sketch[(own & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)] += 1
             none = [None] * len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((ids, batch.column(2).to_pylist(), sizes, nodes, points, none, none), types)], names)
@@ -175,11 +182,11 @@ def _within_bound(pairs: DataFrame, points: DataFrame, percent: int) -> DataFram
     """Pairs (a, b) whose points allow enough overlap."""
     def keep(batches):
         for batch in batches:
-            if batch.num_rows:
-                a, b = (_points(batch.column(k).to_pylist()) for k in (2, 3))
-                most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
-                n = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
-                yield batch.select(["a", "b"]).filter(pa.array(most >= overlap_needed(n, 0, percent)))
+            good = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                p, q = _points([x, y])
+                good.append(int(np.minimum(p, q).sum()) >= overlap_needed(int(p.sum()) + int(q.sum()), 0, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     p, q = (points.select(F.col("node").alias(f"{x}_node"), F.col("n").alias(f"{x}_n"), F.col("point").alias(f"{x}_point")) for x in "pq")
     sized = pairs.join(p, F.col("a") == F.col("p_node")).join(q, F.col("b") == F.col("q_node")).where(
@@ -235,7 +242,7 @@ def _pairs_between_groups(blocks: DataFrame, groups: DataFrame, points: DataFram
     fits = f"y.node > x.node AND y.group <> x.group AND least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}"
     pairs = listed.select(F.explode(F.expr(
         f"flatten(transform(m, x -> transform(filter(m, y -> {fits}), y -> named_struct('a', x.node, 'b', y.node))))")).alias("pair"))
-    return _within_bound(pairs.select("pair.a", "pair.b").distinct(), points, percent).unionAll(large).distinct()
+    return _within_bound(pairs.select("pair.a", "pair.b").unionAll(large).distinct(), points, percent)
 
 
 def _search_large(open_members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -252,7 +259,7 @@ def _search_large(open_members: DataFrame, points: DataFrame, percent: int) -> D
         node, group, n = (g[c].to_numpy() for c in ("node", "group", "n"))
         out = []
         if (group != group[0]).any():
-            point = _points(g["point"].tolist())
+            point = _points(g["point"].tolist(), GROUPS)
             left, right = g["own"].to_numpy() == g["x"].iloc[0], g["own"].to_numpy() == g["y"].iloc[0]
             right = np.flatnonzero(right)
             tree = CountTree(point[right], n[right])
