@@ -9,9 +9,9 @@ of the smaller counts bounds the overlap of two sets, and for a box of points th
 upper corner bounds the overlap with all of them. An R-tree of such boxes finds the pairs that may link;
 these are verified on the shingles themselves.
 
-Groups are wanted, not all pairs. So each block's nodes are first compared with one of them, and only
-pairs that are still in different groups are searched: a block of thousands of near copies costs one
-comparison per copy. No link between different groups is lost.
+Groups are wanted, not all pairs. So each block's nodes are first compared with one of them, in large
+blocks with a few, and only pairs that are still in different groups are searched: a block of thousands
+of near copies costs a few comparisons per copy. No link between different groups is lost.
 """
 
 from __future__ import annotations
@@ -31,12 +31,15 @@ from riskweave.session import staged
 PERCENT = 75
 #: Groups that shingles hash to, coordinates of a point: fewest and most.
 GROUPS, MOST_GROUPS = 128, 1 << 15
-#: Entries of the frequency sketch (4 bytes each), summed in pieces.
-SKETCH_BITS, PIECE_BITS = 20, 12
+#: Entries of the frequency sketch in bits, fewest and most; it has one for about 200 bytes of text, as far
+#: as the bound goes. It only orders shingles. Entries are summed in pieces.
+SKETCH_BITS, PIECE_BITS = (16, 24), 12
 #: Keys per bucket of the block search, members per row of a block, nodes of a leaf and of a search task.
 BUCKET_KEYS = 500_000
 BLOCK_ROW = 512
 LEAF_NODES, SEARCH_NODES = 64, 2048
+#: Nodes of a large block that all others are first compared with.
+LEADERS = 8
 FANOUT = 16
 
 
@@ -81,21 +84,24 @@ def _points(packed: list[bytes], groups: int | None = None) -> np.ndarray:
     return np.stack([r if r.size == groups else r.reshape(-1, groups).sum(axis=0, dtype=np.uint32) for r in rows]).astype(np.uint32)
 
 
-def _nodes(documents: DataFrame) -> DataFrame:
+def _nodes(documents: DataFrame, bits: int) -> DataFrame:
     """Rows of two kinds: a document's set size, node and point; or a piece of the frequency sketch."""
     schema = "doc_id long, row_key string, n long, node long, point binary, piece int, counts binary"
     types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
     names = [f.split()[0] for f in schema.split(", ")]
 
+    mask = np.uint64((1 << bits) - 1)
+
     def read(batches):
-        sketch = np.zeros(1 << SKETCH_BITS, np.int32)
+        sketch = np.zeros(1 << bits, np.uint16)
         for batch in batches:
             ids, sizes, nodes, points = batch.column(0).to_pylist(), [], [], []
             for _, own in _sets(batch, 1):
                 sizes.append(own.size)
                 nodes.append(node_id(own) if own.size else None)
                 points.append(_point(own) if own.size else None)
-                sketch[(own & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)] += 1
+                at = (own & mask).astype(np.int64)
+                sketch[at] += sketch[at] < 65535
             none = [None] * len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((ids, batch.column(2).to_pylist(), sizes, nodes, points, none, none), types)], names)
         pieces = [(k, p.tobytes()) for k, p in enumerate(sketch.reshape(-1, 1 << PIECE_BITS)) if p.any()]
@@ -107,15 +113,15 @@ def _nodes(documents: DataFrame) -> DataFrame:
     return documents.mapInArrow(read, schema)
 
 
-def _levels(pieces: DataFrame) -> np.ndarray:
+def _levels(pieces: DataFrame, bits: int) -> np.ndarray:
     """How much more frequent than the mean each entry of the sketch is, in powers of two."""
     def total(group: pd.DataFrame) -> pd.DataFrame:
         counts = np.zeros(1 << PIECE_BITS, np.int64)
         for c in group["counts"]:
-            counts += np.frombuffer(c, np.int32)
+            counts += np.frombuffer(c, np.uint16)
         return pd.DataFrame({"piece": [group["piece"].iloc[0]], "counts": [counts.tobytes()]})
 
-    sketch = np.zeros((1 << (SKETCH_BITS - PIECE_BITS), 1 << PIECE_BITS), np.int64)
+    sketch = np.zeros((1 << (bits - PIECE_BITS), 1 << PIECE_BITS), np.int64)
     for r in pieces.groupBy("piece").applyInPandas(total, "piece int, counts binary").collect():
         sketch[r["piece"]] = np.frombuffer(r["counts"], np.int64)
     relative = (sketch.reshape(-1) + 1) / (sketch.mean() + 1)
@@ -123,13 +129,13 @@ def _levels(pieces: DataFrame) -> np.ndarray:
 
 
 def _blocks(documents: DataFrame, levels: np.ndarray, keys: int, percent: int) -> DataFrame:
-    """Nodes that share a prefix shingle: (block, members), a block's members in rows of bounded length.
+    """Nodes that share a prefix shingle: (block, leaders, members), members in rows of bounded length.
 
     Keys travel packed, a row per batch and bucket. Blocks of equal members are one block.
     """
     buckets = keys // BUCKET_KEYS + 1
     shared = documents.sparkSession.sparkContext.broadcast(levels)
-    mask = np.uint64((1 << SKETCH_BITS) - 1)
+    mask = np.uint64(levels.size - 1)
 
     def deal(batches):
         for batch in batches:
@@ -166,16 +172,19 @@ def _blocks(documents: DataFrame, levels: np.ndarray, keys: int, percent: int) -
         many = np.flatnonzero(size > 1)
         sums = np.add.reduceat(shingles.mix(nodes.view(np.uint64)), first)[many] if many.size else np.empty(0, np.uint64)
         _, one = np.unique(sums, return_index=True)  # a block of the same members once
-        blocks, members = [], []
+        blocks, leaders, members = [], [], []
         for k, name in zip(many[one].tolist(), sums[one].view(np.int64).tolist()):
             own = nodes[first[k] : first[k] + size[k]]
+            # the same nodes lead in every block that holds them
+            lead = own[np.argsort(shingles.mix(own.view(np.uint64)))[: LEADERS if own.size > LEAF_NODES else 1]].tolist()
             for at in range(0, own.size, BLOCK_ROW):
                 blocks.append(name)
+                leaders.append(lead)
                 members.append(own[at : at + BLOCK_ROW].tolist())
-        return pd.DataFrame({"block": pd.Series(blocks, dtype="int64"), "members": members})
+        return pd.DataFrame({"block": pd.Series(blocks, dtype="int64"), "leaders": leaders, "members": members})
 
     packed = documents.mapInArrow(deal, "bucket long, keys binary, nodes binary")
-    return packed.groupBy("bucket").applyInPandas(meet, "block long, members array<long>").dropDuplicates(["block", "members"])
+    return packed.groupBy("bucket").applyInPandas(meet, "block long, leaders array<long>, members array<long>").dropDuplicates(["block", "members"])
 
 
 def _within_bound(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -251,20 +260,20 @@ def _search_large(open_members: DataFrame, points: DataFrame, percent: int) -> D
     own = F.pmod(F.xxhash64("node"), parts + 1).cast("int")
     other = F.explode(F.sequence(F.lit(0), parts))
     dealt = open_members.select("block", "node", "group", own.alias("own"), other.alias("other")).select(
-        "block", "node", "group", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+        "block", "node", "group", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     rows = dealt.join(points.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node")).select(
-        "block", "x", "y", "own", "node", "group", "n", "point")
+        "block", "x", "y", "node", "group", "n", "point")
 
     def search(g: pd.DataFrame) -> pd.DataFrame:
         node, group, n = (g[c].to_numpy() for c in ("node", "group", "n"))
         out = []
         if (group != group[0]).any():
             point = _points(g["point"].tolist(), GROUPS)
-            left, right = g["own"].to_numpy() == g["x"].iloc[0], g["own"].to_numpy() == g["y"].iloc[0]
-            right = np.flatnonzero(right)
-            tree = CountTree(point[right], n[right])
-            for k in np.flatnonzero(left):
-                hit = right[tree.search(point[k], n[k], percent)]
+            # pairs inside the largest group need no search, all others have a node outside it
+            names, place, sizes = np.unique(group, return_inverse=True, return_counts=True)
+            tree = CountTree(point, n)
+            for k in np.flatnonzero(place != sizes.argmax()):
+                hit = tree.search(point[k], n[k], percent)
                 hit = hit[group[hit] != group[k]]
                 out += [(min(node[k], x), max(node[k], x)) for x in node[hit].tolist()]
         return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
@@ -321,17 +330,19 @@ def linked_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _linked(docs: DataFrame, percent: int) -> DataFrame:
-    read = staged(_nodes(docs), "join-nodes")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = int(np.clip(round(np.log2(size / 200 + 1)), *SKETCH_BITS))
+    read = staged(_nodes(docs, bits), "join-nodes")
     rows = read.where("piece IS NULL").select("doc_id", "row_key", "n", "node")
     points = staged(
         read.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point")), "join-points")
-    levels = _levels(read.where("piece IS NOT NULL").select("piece", "counts"))
+    levels = _levels(read.where("piece IS NOT NULL").select("piece", "counts"), bits)
     keys = (rows.agg(F.sum("n")).first()[0] or 0) * (100 - percent) // 100
     blocks = staged(_blocks(docs, levels, keys, percent), "join-blocks")
 
-    # first every member of a block against one of them
-    pivots = blocks.groupBy(F.col("block").alias("p_block")).agg(F.min(F.element_at("members", 1)).alias("a"))
-    star = blocks.join(pivots, F.col("block") == F.col("p_block")).select("a", F.explode("members").alias("b")).where("a <> b").distinct()
+    # first every member of a block against its leaders
+    star = blocks.select(F.explode("leaders").alias("lead"), "members").select("lead", F.explode("members").alias("node")).where(
+        "lead <> node").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
     star = staged(_within_bound(star, points, percent), "join-star")
     links = staged(_verified(docs, star, percent), "join-links")
     groups = staged(components(links), "join-groups")
