@@ -29,7 +29,8 @@ def run_etl(spark: SparkSession, source: str, target: str, year: int | None = No
         raw_seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(r) for r, c in rules.items()]
     )
     enriched = filter_year(transform(raw, job_name), year).observe(clean_seen, F.count(F.lit(1)).alias("rows"))
-    write_clean(enriched, target)
+    # a full run replaces the table, a run of one year only the partitions it writes
+    write_clean(enriched, target, mode="static" if year is None else "dynamic")
     counts, clean_rows = raw_seen.get, clean_seen.get["rows"]
     issues = {rule: counts[rule] for rule in rules if counts[rule] > 0}
     return {
