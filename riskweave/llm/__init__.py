@@ -1,7 +1,8 @@
 """Operators that prepare text corpora for language-model training.
 
 Nothing else in the library imports this package. Functions that run inside tasks travel with the
-job, so executors need numpy, pandas and pyarrow but no copy of the package.
+job, but some operators broadcast objects of their classes, so executors need the package on their
+Python path (``--py-files``) beside numpy, pandas and pyarrow.
 """
 
 import sys
