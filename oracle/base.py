@@ -111,13 +111,13 @@ def r(expression: str, digits: int) -> str:
 
 
 def money(expression: str) -> str:
-    """Exact sum in cents."""
-    return f"(CAST(SUM(CAST(ROUND(({expression})*100) AS BIGINT)) AS DOUBLE)/100)"
+    """Exact sum."""
+    return f"CAST(SUM(CAST(({expression}) AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def mean(column: str) -> str:
-    """Exact mean at four decimals."""
-    return f"(CAST(SUM(CAST(ROUND({column}*10000) AS BIGINT)) AS DOUBLE)/10000/COUNT({column}))"
+    """Exact mean."""
+    return f"(CAST(SUM(CAST({column} AS DECIMAL(28,12))) AS DOUBLE)/COUNT({column}))"
 
 
 VALID = ("loan_amount > 0 AND credit_score BETWEEN 300 AND 850 "

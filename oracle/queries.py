@@ -305,6 +305,14 @@ def build() -> dict[str, str]:
  UNION ALL SELECT 'bad_origination_date', COUNT(*) FROM loans_raw WHERE TRY_CAST(origination_date AS DATE) IS NULL
  UNION ALL SELECT 'null_loan_id', COUNT(*) FROM loans_raw WHERE loan_id IS NULL UNION ALL SELECT 'null_loan_type', COUNT(*) FROM loans_raw WHERE loan_type IS NULL"""),
         "partitioned_write": q(["features_etl"], "SELECT * FROM features_etl"),
+        "mixed_headers": q(["loans_raw"], f"SELECT * FROM ({typed}) WHERE loan_id IS NOT NULL AND loan_type IS NOT NULL AND origination_date IS NOT NULL"),
+        "etl_rerun": q(["features_etl"], "SELECT * FROM features_etl WHERE loan_type='AUTO'"),
+        "etl_year": q(["features_etl"], "SELECT * FROM features_etl WHERE origination_year=2020"),
+        "quarantine_clean": q(["loans_raw"], f"SELECT * FROM loans_raw WHERE {VALID_KEYS}"),
+        "shared_keys": q(["model_scores"], "SELECT loan_id FROM model_scores WHERE model_version='v0.9' INTERSECT SELECT loan_id FROM model_scores WHERE model_version='v1.0'"),
+        "append_rows": q(["model_scores"], "SELECT * FROM model_scores"),
+        "replace_table": q(["model_scores"], "SELECT * FROM model_scores WHERE model_version='v1.0'"),
+        "audit_columns": q(["cleaned"], "SELECT 'loan-data-transform' AS etl_job_name, COUNT(*) AS rows, COUNT(*) AS rows_with_time FROM cleaned"),
         "filter_year": q(["features_etl"], "SELECT * FROM features_etl WHERE origination_year=2020"),
         "product_subsets": q(["loans_raw"], "SELECT 'loans_raw' AS file_set, COUNT(*) AS rows FROM loans_raw UNION ALL SELECT 'loans_mortgage', COUNT(*) FROM loans_raw WHERE loan_type='Mortgage' UNION ALL SELECT 'loans_auto', COUNT(*) FROM loans_raw WHERE loan_type='Auto'"),
         "export_extract": q(["loans"], "SELECT " + ", ".join(f"{c} AS {c.upper()}" for c in (
@@ -332,4 +340,6 @@ def build() -> dict[str, str]:
                 ("economic_regime", "origination_year, origination_quarter, loan_type"),
                 ("sector_risk", "employment_sector, loan_type")))),
     }
+    for name in ("early_warning", "model_performance"):
+        out[f"view_{name}"] = out[name if name in out else f"{name}_view"]
     return out

@@ -163,10 +163,36 @@ def _merge(strict):
     return run
 
 
-def _insert_missing(spark, sf):
+def _versions(spark, sf):
     table = scores(spark, sf)
-    old, new = (table.where(F.col("model_version") == v) for v in ("v0.9", VERSION))
-    return lookups.insert_missing(old, new, ["loan_id"])
+    return [table.where(F.col("model_version") == v) for v in ("v0.9", VERSION)]
+
+
+def _insert_missing(spark, sf):
+    return lookups.insert_missing(*_versions(spark, sf), ["loan_id"])
+
+
+def _append_rows(spark, sf):
+    path = scratch_path(spark, "append")
+    for part in _versions(spark, sf):
+        mutations.append_rows(part, path)
+    return spark.read.parquet(path)
+
+
+def _replace_table(spark, sf):
+    path = scratch_path(spark, "replace")
+    for part in _versions(spark, sf):
+        mutations.replace_table(part, path)
+    return spark.read.parquet(path)
+
+
+def _view(name):
+    """Content of one of the registered views, read by its name."""
+    def run(spark, sf):
+        views.register_views(
+            spark, _ranked_loans(spark, sf), scores(spark, sf).where(F.col("model_version") == VERSION), performance(spark, sf))
+        return spark.table(name)
+    return run
 
 
 def _describe(spark, sf):
@@ -268,6 +294,41 @@ def _etl_job(spark, sf):
         *[F.lit(summary[c]).cast("bigint").alias(c) for c in columns], F.lit(issues).alias("issues"), "written_rows")
 
 
+def _mixed_headers(spark, sf):
+    """Good rows of a tolerant load over files with two column orders."""
+    root = scratch_path(spark, "mixed")
+    table = raw(spark, sf)
+    auto = F.col("loan_type") == "Auto"
+    files.write_csv(table.where(auto), f"{root}/a")
+    files.write_csv(table.where(~auto | auto.isNull()).select(*reversed(table.columns)), f"{root}/b")
+    return files.load_tolerant(spark, f"{root}/*")[0]
+
+
+def _etl_rerun(spark, sf):
+    """The clean table after a full run over all loans and another over one product's."""
+    root = scratch_path(spark, "rerun")
+    files.write_csv(raw(spark, sf), f"{root}/raw")
+    files.write_csv(raw(spark, sf).where(F.col("loan_type") == "Auto"), f"{root}/auto")
+    for source in ("raw", "auto"):
+        etl.run_etl(spark, f"{root}/{source}", f"{root}/clean")
+    return files.read_clean(spark, f"{root}/clean").select(*features_etl(spark, sf).columns)
+
+
+def _etl_year(spark, sf):
+    """What a run of one year writes."""
+    root = scratch_path(spark, "one-year")
+    files.write_csv(raw(spark, sf), f"{root}/raw")
+    etl.run_etl(spark, f"{root}/raw", f"{root}/clean", year=2020)
+    return files.read_clean(spark, f"{root}/clean").select(*features_etl(spark, sf).columns)
+
+
+def _audit_columns(spark, sf):
+    """Rows per job name, and whether all carry a time."""
+    table = cleaning.with_audit_columns(cleaned(spark, sf), "loan-data-transform")
+    return table.groupBy("etl_job_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("etl_processed_at").alias("rows_with_time"))
+
+
 def _ingest(spark, sf):
     root = scratch_path(spark, "ingest")
     files.write_csv(raw(spark, sf), f"{root}/landing")
@@ -282,7 +343,6 @@ def _arrival_events(spark, sf):
 
 # ---------------------------------------------------------------- models
 
-BOOSTED_TREES = 20  # enough for the gates; 300 is the library default
 _trained: dict[tuple[str, str], training.TrainedModels] = {}
 
 
@@ -290,7 +350,7 @@ def models(spark: SparkSession, sf: str) -> training.TrainedModels:
     """Models trained on this book; kept per application, since several queries report on them."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _trained:
-        _trained[key] = training.train_models(model_frame(spark, sf), trees=BOOSTED_TREES)
+        _trained[key] = training.train_models(model_frame(spark, sf))
     return _trained[key]
 
 
@@ -312,6 +372,14 @@ def _explained(spark, sf):
     return shapley.shap_values(tables, trained.test)
 
 
+def _boosting_rounds(spark, sf):
+    """AUC of the held slice per round that was grown, and whether the model keeps the round."""
+    trained = models(spark, sf)
+    kept = trained.boosted.getNumTrees
+    rows = [(k, auc, k <= kept) for k, auc in enumerate(trained.rounds, start=1)]
+    return spark.createDataFrame(rows, "round int, held_auc double, kept boolean")
+
+
 def _gates(spark, sf):
     trained = models(spark, sf)
     return gates.validation_gates(staged(_score_frame(spark, sf), "score-frame"), trained.split)
@@ -416,6 +484,17 @@ QUERIES: dict[str, Query] = {
     "shap_importance": lambda s, d: shapley.shap_importance(_explained(s, d), models(s, d).features),
     "shap_direction": lambda s, d: shapley.shap_direction(_explained(s, d), models(s, d).features),
     "validation_gates": _gates,
+    "boosting_rounds": _boosting_rounds,
+    "quarantine_clean": lambda s, d: quality.dq_quarantine(raw(s, d))[0],
+    "mixed_headers": _mixed_headers,
+    "etl_rerun": _etl_rerun,
+    "etl_year": _etl_year,
+    "shared_keys": lambda s, d: lookups.shared_keys(*_versions(s, d)),
+    "append_rows": _append_rows,
+    "replace_table": _replace_table,
+    "audit_columns": _audit_columns,
+    "view_early_warning": _view("vw_early_warning"),
+    "view_model_performance": _view("vw_model_performance"),
     "etl_job": _etl_job,
     "merge_summary": lambda s, d: mutations.merge_summary(
         mutations.merge_scores(scores(s, d), incoming(s, d), "v0.9"), "v0.9"),

@@ -172,11 +172,12 @@ def exact_percentiles(df: DataFrame, value: str, fractions: list[float],
 
     The wanted ranks are located in nested cells before values themselves are compared.  The
     built-in exact percentile keeps every distinct value of a group in one task's memory; this
-    one keeps counts per cell.  ``by`` names columns with few distinct values.
+    one keeps counts per cell.  ``by`` names columns with few distinct values.  NULL and NaN are no
+    values and take no part.
     """
     by = by or []
     cells = value_cells(F.col(value))
-    keyed = df.where(F.col(value).isNotNull()).select(
+    keyed = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value))).select(
         *by, value, *[c.alias(f"_g{i}") for i, c in enumerate(cells)]
     )
     positions = lambda n: [(n - 1) * F.lit(float(f)) for f in fractions]

@@ -21,11 +21,16 @@ def run_etl(spark: SparkSession, source: str, target: str, year: int | None = No
     """Run the job and return its summary.
 
     Row and rule counts are observed while the rows flow to the writer, so no rule needs a scan of
-    its own.  With ``year`` only loans of that year are read, counted and written.
+    its own.  With ``year`` only loans whose origination date lies in that year are counted and
+    written, the same rows that a full run puts below that year; ``other_year_rows`` counts those
+    whose year column says so but whose date is missing or lies elsewhere.
     """
-    raw_seen, clean_seen = Observation("raw"), Observation("clean")
+    all_seen, raw_seen, clean_seen = Observation("all"), Observation("raw"), Observation("clean")
     rules = basic_rules()
-    raw = read_raw_loans(spark, source, parse_date=False, year=year).observe(
+    everything = read_raw_loans(spark, source, parse_date=False)
+    dated = F.lit(True) if year is None else F.year(F.try_to_date("origination_date", "yyyy-MM-dd")).eqNullSafe(F.lit(year))
+    other = F.lit(False) if year is None else (F.col("origination_year") == year) & ~dated
+    raw = everything.observe(all_seen, F.count_if(other).alias("rows")).where(dated).observe(
         raw_seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(r) for r, c in rules.items()]
     )
     enriched = filter_year(transform(raw, job_name), year).observe(clean_seen, F.count(F.lit(1)).alias("rows"))
@@ -37,4 +42,5 @@ def run_etl(spark: SparkSession, source: str, target: str, year: int | None = No
         "raw_rows": counts["rows"], "clean_rows": clean_rows,
         "removed_rows": counts["rows"] - clean_rows, "n_columns": len(enriched.columns),
         "issues": issues, "total_issues": sum(issues.values()), "target": target,
+        "other_year_rows": all_seen.get["rows"],
     }

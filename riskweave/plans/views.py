@@ -69,7 +69,7 @@ def default_by_credit_tier(loans: DataFrame, ordered: bool = False) -> DataFrame
         round_half_up(money_total("loan_amount"), 2).alias("total_exposure"),
         round_half_up(_defaulted_amount(), 2).alias("defaulted_exposure"),
     )
-    return _present(view, ordered, "origination_year", "credit_score_bucket")
+    return _present(view, ordered, "origination_year", "credit_score_bucket", "credit_tier", "loan_type")
 
 
 def risk_segmentation(loans: DataFrame, ordered: bool = False) -> DataFrame:
@@ -79,7 +79,7 @@ def risk_segmentation(loans: DataFrame, ordered: bool = False) -> DataFrame:
         _mean("interest_rate", 2, "avg_interest_rate"),
         _millions(money_total("loan_amount"), "total_exposure_millions"),
     )
-    return _present(view, ordered, F.desc("default_rate_pct"))
+    return _present(view, ordered, F.desc("default_rate_pct"), "dti_bucket", "ltv_bucket", "loan_type")
 
 
 def geographic_risk(loans: DataFrame, ordered: bool = False) -> DataFrame:
@@ -90,7 +90,7 @@ def geographic_risk(loans: DataFrame, ordered: bool = False) -> DataFrame:
         F.sum("is_default").alias("total_defaults"),
         _millions(_defaulted_amount(), "defaulted_exposure_millions"),
     )
-    return _present(view, ordered, F.desc("default_rate_pct"))
+    return _present(view, ordered, F.desc("default_rate_pct"), "state", "loan_type")
 
 
 def economic_regime(loans: DataFrame, ordered: bool = False) -> DataFrame:
@@ -120,7 +120,7 @@ def sector_risk(loans: DataFrame, ordered: bool = False) -> DataFrame:
         _score(), _mean("dti_ratio", 1, "avg_dti"),
         _millions(money_total("loan_amount"), "exposure_millions"),
     )
-    return _present(view, ordered, F.desc("default_rate_pct"))
+    return _present(view, ordered, F.desc("default_rate_pct"), "employment_sector", "loan_type")
 
 
 def early_warning(loans: DataFrame, scores: DataFrame, version: str = "v1.0",
@@ -145,7 +145,7 @@ def early_warning(loans: DataFrame, scores: DataFrame, version: str = "v1.0",
             "is_default", *flags, total_flags(list(flags)).alias("total_flags"),
         )
     )
-    return _present(view, ordered, F.desc("risk_score"))
+    return _present(view, ordered, F.desc("risk_score"), "loan_id")
 
 
 def model_performance_view(performance: DataFrame, ordered: bool = False) -> DataFrame:
@@ -155,7 +155,7 @@ def model_performance_view(performance: DataFrame, ordered: bool = False) -> Dat
     rounded = ["auc_roc", "auc_pr", "f1_score", "precision_score", "recall_score",
                "ks_statistic", "gini_coefficient"]
     if ordered:
-        ranked = ranked.orderBy("dataset", F.desc("auc_roc"))
+        ranked = ranked.orderBy("dataset", F.desc("auc_roc"), "model_name", "model_version", "eval_date")
     return ranked.select(
         "model_name", "model_version", "eval_date", "dataset", "n_samples",
         round_half_up("default_rate", 6).alias("default_rate"),

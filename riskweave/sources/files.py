@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +18,7 @@ CSV_DIALECT = {"header": True, "sep": ",", "lineSep": "\n", "quote": '"', "escap
 #: Text is written as it is; the writer would otherwise strip blanks at both ends.
 _WRITE = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-_CORRUPT = "_corrupt_record"
+_CORRUPT, _FILE, _LACKING = "_corrupt_record", "_file", "_lacking"
 _CLEAN_PARTITIONS = ["origination_year", "loan_type"]
 
 
@@ -40,12 +43,23 @@ def typed_loans(df: DataFrame, parse_date: bool = True) -> DataFrame:
     return df.select(*columns)
 
 
-def _file_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names in the header of one of the files (reads a single line)."""
-    line = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path).head()
-    if line is None:
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Column names in the files' headers, and the files that have them.
+
+    Looks at the first block of each file only; what comes to the driver is the file listing, which
+    it holds anyway.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
+    # the first block of a file is read by one task from its start, so its first line is the header
+    first = lines.where("_metadata.file_block_start = 0").groupBy(F.input_file_name().alias("file")).agg(
+        F.first("value").alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("file").collect():
+        names = tuple(name.strip().strip('"').lower() for name in r["header"].split(","))
+        found.setdefault(names, []).append(unquote(r["file"]))
+    if not found:
         raise ValueError(f"no CSV file below {path}")
-    return [name.strip().strip('"').lower() for name in line[0].split(",")]
+    return found
 
 
 def _text_schema(names: list[str], extra: list[str] | None = None) -> T.StructType:
@@ -53,19 +67,36 @@ def _text_schema(names: list[str], extra: list[str] | None = None) -> T.StructTy
 
 
 def _scan(spark: SparkSession, path: str, mode: str, corrupt: bool) -> DataFrame:
-    """All fields as text, in the files' own column order.
+    """All fields as text, each file in its own column order.
 
-    CSV columns are matched by position, so the schema follows the header that is there; every
-    other file is checked against it.  Fields that exist only as directory keys come from there.
+    CSV columns are matched by position, so files are grouped by header, each group is one scan
+    and the scans are united by name.  Columns that a file lacks are NULL; columns beyond the
+    declared ones are kept.  Fields that exist only as directory keys come from there.
     """
-    schema = _text_schema(_file_header(spark, path), [_CORRUPT] if corrupt else None)
+    groups = _files_by_header(spark, path)
+    if len(groups) == 1:
+        return _scan_files(spark, [path], next(iter(groups)), mode, corrupt)
+    scans = [_scan_files(spark, found, names, mode, corrupt, path) for names, found in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def _scan_files(spark: SparkSession, paths: list[str], names: tuple[str, ...], mode: str, corrupt: bool,
+                base: str | None = None) -> DataFrame:
+    schema = _text_schema(list(names), [_CORRUPT] if corrupt else None)
     reader = spark.read.options(**CSV_DIALECT).schema(schema).option("mode", mode)
+    if base:
+        reader = reader.option("basePath", base)
     reader = reader.option("enforceSchema", corrupt).option("pathGlobFilter", "*.csv")
     if corrupt:
         # without pruning every field of a line is parsed, whatever columns are asked for later;
         # otherwise a short line would pass unnoticed in a plain count
         reader = reader.option("columnNameOfCorruptRecord", _CORRUPT).option("columnPruning", False)
-    return reader.csv(path)
+    scan = reader.csv(paths)
+    # file details belong to a scan and are lost in a union
+    scan = scan.withColumn(_FILE, F.col("_metadata.file_path"))
+    lacking = [f for f in RAW_LOANS.fieldNames() if f not in scan.columns]
+    return scan.withColumns({f: F.lit(None).cast("string") for f in lacking}).withColumn(
+        _LACKING, F.lit(",".join(lacking)))
 
 
 def read_raw_loans(spark: SparkSession, path: str, metadata: bool = False, parse_date: bool = True,
@@ -85,20 +116,22 @@ def read_raw_loans(spark: SparkSession, path: str, metadata: bool = False, parse
 
 
 def with_ingest_metadata(scan: DataFrame) -> DataFrame:
-    """When a row was read and from which file; apply directly to a file scan."""
+    """When a row was read and from which file."""
     return scan.withColumns({
-        "ingested_at": F.current_timestamp(), "source_file": F.col("_metadata.file_path"),
+        "ingested_at": F.current_timestamp(), "source_file": F.col(_FILE),
     })
 
 
 def load_tolerant(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(good, bad): typed rows, and rows that do not fit with the reasons; the source stays.
 
-    A row is bad when its line has the wrong number of fields, a non-empty cell does not fit its
-    type, or a required key is missing.  Bad rows keep their cells as text.
+    A row is bad when its line has the wrong number of fields, its file lacks a declared column, a
+    non-empty cell does not fit its type, or a required key is missing.  Bad rows keep their cells
+    as text.
     """
     scan = _scan(spark, path, "PERMISSIVE", corrupt=True)
-    reasons = [F.when(F.col(_CORRUPT).isNotNull(), F.lit("malformed_row"))]
+    reasons = [F.when(F.col(_CORRUPT).isNotNull(), F.lit("malformed_row")),
+               F.when(F.col(_LACKING) != "", F.lit("missing_column"))]
     for f in RAW_LOANS.fields:
         value = null_markers_to_null(F.col(f.name).cast("string"))
         if not isinstance(f.dataType, T.StringType):
@@ -108,7 +141,7 @@ def load_tolerant(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
             reasons.append(F.when(value.isNull(), F.lit(f"null_{f.name}")))
     marked = scan.withColumn("reasons", F.filter(F.array(*reasons), lambda x: x.isNotNull()))
     good = typed_loans(marked.where(F.size("reasons") == 0))
-    bad = marked.where(F.size("reasons") > 0)
+    bad = marked.drop(_FILE, _LACKING).where(F.size("reasons") > 0)
     return good, bad
 
 

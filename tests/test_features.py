@@ -201,3 +201,8 @@ def test_fed_rate_lookup(loan):
     assert [r["fed_funds_rate"] for r in with_fed_rate(df).orderBy("loan_id").collect()] == [1.58, 0.06, 4.83, 2.5]
     yearly = with_fed_rate(df, grain="year").orderBy("loan_id").collect()
     assert [r["fed_funds_rate"] for r in yearly] == [0.25, 0.25, 5.00, 2.5]
+
+
+def test_means_keep_small_values_and_leave_out_nan(spark):
+    assert values(spark, numeric.rate_mean("x"), [0.00002, 0.00004]) == [0.00003]
+    assert values(spark, numeric.money_total("x"), [1.5, float("nan"), float("inf")]) == [1.5]

@@ -61,6 +61,37 @@ def test_other_column_order_is_matched_by_name_or_refused(spark, tmp_path):
     assert files.read_raw_loans(spark, str(tmp_path / "r")).first()["loan_id"] == "L9"
 
 
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    names = RAW_LOANS.fieldNames()
+    swapped = [{"dti_ratio": "ltv_ratio", "ltv_ratio": "dti_ratio"}.get(n, n) for n in names]
+    cells = {"loan_id": "L2", "loan_type": "Auto", "origination_date": "2020-05-01", "dti_ratio": "30", "ltv_ratio": "80"}
+    put(tmp_path / "a b", "1.csv", HEADER + "\n" + line(dti_ratio="30", ltv_ratio="80") + "\n")
+    put(tmp_path / "a b", "2.csv", ",".join(swapped) + "\n" + ",".join(cells.get(n, "") for n in swapped) + "\n")
+    path = str(tmp_path / "a b")
+    good, bad = files.load_tolerant(spark, path)
+    for loaded in (good, files.read_raw_loans(spark, path)):
+        assert [(r["dti_ratio"], r["ltv_ratio"]) for r in loaded.collect()] == [(30.0, 80.0)] * 2
+    assert bad.count() == 0
+    names = [n for n in names if n != "state"]
+    put(tmp_path / "a b", "3.csv", ",".join(names) + "\n" + ",".join(cells.get(n, "") for n in names) + "\n")
+    good, bad = files.load_tolerant(spark, path)
+    assert good.count() == 2 and [r["reasons"] for r in bad.collect()] == [["missing_column"]]
+    sources = {r["source_file"][-5:] for r in files.read_raw_loans(spark, path, metadata=True).collect()}
+    assert sources == {"1.csv", "2.csv", "3.csv"}
+
+
+def test_one_year_is_the_same_year_of_a_full_run(spark, tmp_path):
+    base = {"credit_score": "700", "dti_ratio": "30", "is_default": "0", "origination_year": "2020"}
+    rows = [line(**base), line(**base | {"loan_id": "LN2", "origination_date": "bad"}),
+            line(**base | {"loan_id": "LN3", "origination_year": "2019"}), line(**base | {"loan_id": "LN4", "origination_date": "2019-01-01"})]
+    put(tmp_path / "raw", "a.csv", HEADER + "\n" + "\n".join(rows) + "\n")
+    full = etl.run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "full"))
+    one = etl.run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "one"), year=2020)
+    ids = [sorted(r["loan_id"] for r in files.filter_year(files.read_clean(spark, str(tmp_path / p)), 2020).collect()) for p in ("full", "one")]
+    assert ids[0] == ids[1] == ["LN00000001", "LN3"]
+    assert (full["other_year_rows"], one["other_year_rows"], one["raw_rows"]) == (0, 2, 2)
+
+
 def test_partitioned_csv_round_trip(spark, raw, tmp_path):
     path = str(tmp_path / "p")
     files.write_raw_partitioned(raw, path)

@@ -251,3 +251,13 @@ def test_importance_and_direction(trained, spark):
     assert len(directions) == 3
     by_name = {r["feature"]: r["direction"] for r in directions}
     assert by_name.get("credit_score", "decreases default risk") == "decreases default risk"
+
+
+def test_boosting_stops_early_and_keeps_the_best_round(spark, sf):
+    frame = training.feature_vector(["credit_score", "dti_ratio"]).transform(
+        catalog.model_frame(spark, sf).select(
+            "loan_id", "is_default", *[F.col(c).cast("double").alias(c) for c in ("credit_score", "dti_ratio")]).na.drop())
+    curve = []
+    model = training.fit_boosted_trees(frame, trees=60, depth=2, learning_rate=0.5, patience=2, history=curve)
+    assert len(curve) < 60 and len(curve) % 4 == 0
+    assert model.getNumTrees == curve.index(max(curve)) + 1 and len(curve) - model.getNumTrees >= 2

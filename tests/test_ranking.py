@@ -107,3 +107,8 @@ def test_value_cells_are_nested_and_ascending(spark):
         cells = [r[level] for r in rows]
         assert cells == sorted(cells)
     assert len({r[3] for r in rows}) >= 10
+
+
+def test_nan_takes_no_part_in_percentiles(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (None,)], "x double")
+    assert ranking.exact_percentiles(df, "x", [0.5]).first()["p50"] == 2.0
