@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from urllib.parse import unquote
 
@@ -76,7 +77,10 @@ def _scan(spark: SparkSession, path: str, mode: str, corrupt: bool) -> DataFrame
     groups = _files_by_header(spark, path)
     if len(groups) == 1:
         return _scan_files(spark, [path], next(iter(groups)), mode, corrupt)
-    scans = [_scan_files(spark, found, names, mode, corrupt, path) for names, found in groups.items()]
+    # directory keys are those below the part of the path without wildcards
+    base = re.split(r"[*?\[{]", path)[0]
+    base = base if base == path else base.rpartition("/")[0]
+    scans = [_scan_files(spark, found, names, mode, corrupt, base) for names, found in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
