@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from riskweave.llm import shingles
 from riskweave.llm.common import documents_of, low_bits, may_hold, row_key, text_chunks
-from riskweave.llm.components import components
+from riskweave.llm.components import components, merged
 from riskweave.session import staged
 
 #: Linked if PERCENT of the union is shared, in whole numbers.
@@ -350,8 +350,7 @@ def _linked(docs: DataFrame, percent: int) -> DataFrame:
     # then what is still apart
     rest = staged(_pairs_between_groups(blocks, groups, points, percent), "join-rest")
     more = _verified(docs, rest, percent)
-    groups = components(links.unionAll(more))
-    return _smallest(rows, groups)
+    return _smallest(rows, merged(groups, more))
 
 
 def _smallest(rows: DataFrame, groups: DataFrame) -> DataFrame:

@@ -105,6 +105,20 @@ def test_one_per_group_keeps_one(docs, spark):
     assert ngram_join.linked_groups(empty(spark, DOC)).collect() == []
 
 
+def test_merged_components(spark):
+    rng = random.Random(11)
+    first = [(rng.randrange(300), rng.randrange(300)) for _ in range(120)] + [(500, k) for k in range(501, 560)]
+    more = [(rng.randrange(320), rng.randrange(320)) for _ in range(60)] + [(7, 559), (600, 601), (520, 530)]
+    frame = lambda edges: spark.createDataFrame(edges, "a long, b long").repartition(4)
+    groups = components.components(frame(first))
+    want = dict(map(tuple, components.components(frame(first + more)).collect()))
+    got = components.merged(groups, frame(more)).collect()
+    assert len(got) == len(want) and dict(map(tuple, got)) == want
+    assert components.merged(groups, frame([(1, 1)]).where("a <> b")).count() == groups.count()
+    none = frame([(1, 2)]).where("a > b")
+    assert components.components(none).count() == 0
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (10, 11), (12, 11), (5, 5), *[(100 + i, 101 + i) for i in range(40)]]
     got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()))
