@@ -40,6 +40,8 @@ BLOCK_ROW = 512
 LEAF_NODES, SEARCH_NODES = 64, 2048
 #: Nodes of a large block that all others are first compared with.
 LEADERS = 8
+#: Large blocks that a node names, so that a pair is listed in one of those it shares and not in all.
+NAMED_BLOCKS = 32
 FANOUT = 16
 
 
@@ -255,26 +257,40 @@ def _pairs_between_groups(blocks: DataFrame, groups: DataFrame, points: DataFram
 
 
 def _search_large(open_members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """The same for large blocks by R-tree; a very large one is cut into parts, every two parts one task."""
+    """The same for large blocks by R-tree; a very large one is cut into parts, every two parts one task.
+
+    Near copies share many blocks. A node names the first of its blocks by id; where both nodes of a
+    pair name one before the present block, the pair is left to that one. The first block that two
+    nodes share never leaves a pair to another, so each is listed at least once.
+    """
+    # as many blocks as the node has prefix shingles, at most
+    named = open_members.groupBy(F.col("node").alias("b_node")).agg(F.slice(F.sort_array(F.collect_set("block")), 1, NAMED_BLOCKS).alias("named"))
     parts = F.floor((F.col("members") - 1) / SEARCH_NODES).cast("int")
     own = F.pmod(F.xxhash64("node"), parts + 1).cast("int")
     other = F.explode(F.sequence(F.lit(0), parts))
     dealt = open_members.select("block", "node", "group", own.alias("own"), other.alias("other")).select(
-        "block", "node", "group", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-    rows = dealt.join(points.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node")).select(
-        "block", "x", "y", "node", "group", "n", "point")
+        "block", "node", "group", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    rows = dealt.join(points.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node")).join(
+        named, F.col("node") == F.col("b_node")).select("block", "x", "y", "own", "node", "group", "n", "point", "named")
 
     def search(g: pd.DataFrame) -> pd.DataFrame:
-        node, group, n = (g[c].to_numpy() for c in ("node", "group", "n"))
+        node, group, n, part = (g[c].to_numpy() for c in ("node", "group", "n", "own"))
+        block, across = g["block"].iloc[0], g["x"].iloc[0] != g["y"].iloc[0]
         out = []
         if (group != group[0]).any():
             point = _points(g["point"].tolist(), GROUPS)
+            before = np.full((len(g), NAMED_BLOCKS), block)
+            for row, own in zip(before, g["named"]):
+                row[: len(own)] = own
             # pairs inside the largest group need no search, all others have a node outside it
             names, place, sizes = np.unique(group, return_inverse=True, return_counts=True)
             tree = CountTree(point, n)
             for k in np.flatnonzero(place != sizes.argmax()):
                 hit = tree.search(point[k], n[k], percent)
                 hit = hit[group[hit] != group[k]]
+                if across:  # pairs of one part belong to that part's own task
+                    hit = hit[part[hit] != part[k]]
+                hit = hit[~np.isin(before[hit], before[k][before[k] < block]).any(axis=1)]
                 out += [(min(node[k], x), max(node[k], x)) for x in node[hit].tolist()]
         return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
 

@@ -119,6 +119,23 @@ def test_merged_components(spark):
     assert components.components(none).count() == 0
 
 
+def test_large_blocks_list_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SEARCH_NODES", 20)
+    monkeypatch.setattr(ngram_join, "NAMED_BLOCKS", 3)
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    sets = [np.unique(np.where(rng.random(60) < 0.1, rng.integers(0, 1 << 63, 60, dtype=np.uint64), base)) for _ in range(70)]
+    points = spark.createDataFrame([(k, int(s.size), ngram_join._point(s)) for k, s in enumerate(sets)], "node long, n long, point binary")
+    blocks = {b: [k for k in range(70) if rng.random() < 0.8] for b in rng.integers(-(1 << 62), 1 << 62, 6).tolist()}
+    rows = [(b, k, k % 9, len(own)) for b, own in blocks.items() for k in own]
+    got = ngram_join._search_large(spark.createDataFrame(rows, "block long, node long, group long, members long"), points, 75).collect()
+    full = ngram_join._points([ngram_join._point(s) for s in sets], ngram_join.GROUPS).astype(int)
+    want = {(a, b) for own in blocks.values() for a in own for b in own if a < b and a % 9 != b % 9
+            and np.minimum(full[a], full[b]).sum() >= ngram_join.overlap_needed(sets[a].size, sets[b].size)}
+    assert want and set(map(tuple, got)) == want
+    assert len(got) < 1.5 * len(want)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (10, 11), (12, 11), (5, 5), *[(100 + i, 101 + i) for i in range(40)]]
     got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()))
