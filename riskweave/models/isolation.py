@@ -105,10 +105,16 @@ class IsolationForest:
 
 
 def _draws(df: DataFrame, key: str, n: int, trees: int, sample: int, seed: int) -> DataFrame:
-    """(row, tree) pairs: about 1.3 x sample rows per tree, cut to the sample by hash."""
-    if n <= sample:
-        return df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    expected = trees * sample * _OVERSAMPLE / n
+    """(row, tree) pairs, ``min(n, sample)`` distinct rows a tree (a few less may occur for tiny samples).
+
+    About 1.3 x sample distinct rows are drawn per tree and cut to the sample by hash. Drawing with
+    repeats needs more draws the smaller the table; below twice the sample every tree sees all rows.
+    """
+    order = Window.partitionBy("tree").orderBy(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)), key)
+    if n <= 2 * sample:
+        drawn = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        return drawn.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample).drop("_r")
+    expected = -trees * float(np.log1p(-sample * _OVERSAMPLE / n))
     whole, part = int(expected), expected - int(expected)
     chance = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(_UNIT)) / F.lit(float(_UNIT))
     count = F.lit(whole) + (chance < F.lit(part)).cast("int")
@@ -118,7 +124,6 @@ def _draws(df: DataFrame, key: str, n: int, trees: int, sample: int, seed: int)
         .withColumn("tree", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1), F.col("_i")), F.lit(trees)).cast("int"))
         .drop("_n", "_i").dropDuplicates([key, "tree"])
     )
-    order = Window.partitionBy("tree").orderBy(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)), key)
     return drawn.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample).drop("_r")
 
 

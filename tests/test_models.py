@@ -261,3 +261,11 @@ def test_boosting_stops_early_and_keeps_the_best_round(spark, sf):
     model = training.fit_boosted_trees(frame, trees=60, depth=2, learning_rate=0.5, patience=2, history=curve)
     assert len(curve) < 60 and len(curve) % 4 == 0
     assert model.getNumTrees == curve.index(max(curve)) + 1 and len(curve) - model.getNumTrees >= 2
+
+
+@pytest.mark.parametrize("n", [100, 300, 600])
+def test_every_isolation_tree_gets_its_sample(spark, n):
+    rows = spark.range(n).withColumnRenamed("id", "loan_id")
+    drawn = isolation._draws(rows, "loan_id", n, 40, min(256, n), 42).dropDuplicates(["loan_id", "tree"])
+    counts = [r["count"] for r in drawn.groupBy("tree").count().collect()]
+    assert counts == [min(256, n)] * 40
