@@ -281,6 +281,20 @@ def test_neighbours_equal_brute_force(spark, relax, least):
     assert vantage.nearest(empty(spark, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_neighbours_with_a_few_long_vectors(spark):
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(3000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[[3, 40, 1001, 2020]] *= [[20.0], [100.0], [1000.0], [0.001]]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in vantage.nearest(frame, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    products = vectors @ vectors.T
+    np.fill_diagonal(products, -np.inf)
+    assert got == {i: np.argsort(-products[i], kind="stable")[: vantage.K].tolist() for i in range(0, 3000, 20)}
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(4)
     rows, labels = [], []
