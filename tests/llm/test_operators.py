@@ -219,6 +219,37 @@ def test_repeated_runs_of_a_host_go(spark):
         assert got[9] == (bar, len(bar)) and got[10] == ("", 0) and got[11] == ("kept", 4)
 
 
+def without_host_runs(rows, run=8, least=3):
+    """Brute force: text of each article-less page without the runs that ``least`` distinct contents of its host hold."""
+    hosts = defaultdict(set)
+    for _, host, text in rows:
+        hosts[host].add(text)
+    out = []
+    for page, host, text in rows:
+        words = text.split()
+        gone = set()
+        for at in range(len(words) - run + 1):
+            held = f" {' '.join(words[at:at + run])} "
+            if sum(held in f" {t} " for t in hosts[host]) >= least:
+                gone |= set(range(at, at + run))
+        out.append((page, " ".join(w for k, w in enumerate(words) if k not in gone)))
+    return sorted(out)
+
+
+def test_copies_and_quotes_of_a_host_stay(spark):
+    rng = random.Random(8)
+    bar, quote, copied = prose(rng, 12), prose(rng, 15), prose(rng, 40)
+    rows = [(i, "h", f"{bar} {prose(rng, 30)}") for i in range(4)]
+    rows += [(10 + i, "h", f"{prose(rng, 20)} {quote} {prose(rng, 20)}") for i in range(2)]
+    rows += [(20 + i, "h", copied) for i in range(30)] + [(20, "h", copied)] + [(60 + i, "two", f"{bar} {prose(rng, 9)}") for i in range(2)]
+    # the words stand in blocks cut anywhere
+    html = lambda t: "<body>" + "".join(f"<p>{' '.join(t.split()[a:a + 6])}</p>" for a in range(0, len(t.split()), 6)) + "</body>"
+    pages = spark.createDataFrame([(p, f"http://{h}/{k}", html(t)) for k, (p, h, t) in enumerate(rows)], "page_id long, url string, html string")
+    want = without_host_runs(rows)
+    assert sorted((r.page_id, r.text) for r in html_text.extract_text(pages.repartition(5)).collect()) == want
+    assert (20, copied) in want and dict(want)[0] == rows[0][2].removeprefix(bar + " ") and quote in dict(want)[10]
+
+
 def test_token_counts_equal_library(docs, spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
