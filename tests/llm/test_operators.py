@@ -250,6 +250,31 @@ def test_copies_and_quotes_of_a_host_stay(spark):
     assert (20, copied) in want and dict(want)[0] == rows[0][2].removeprefix(bar + " ") and quote in dict(want)[10]
 
 
+def test_runs_of_a_host_are_combined_before_the_shuffle(spark):
+    """A phrase that all pages of a host hold is counted in every task; only undecided pages look it up."""
+    rng = random.Random(9)
+    bar = prose(rng, 12)
+    pages = spark.createDataFrame(
+        [(i, "http://h/", f"<nav>{bar}</nav><article>{i}</article>") for i in range(400)]
+        + [(500, "http://h/", f"<p>{bar}</p><p>own {bar[:5]} text</p>"), (501, "http://two/", f"<p>{bar}</p>")],
+        "page_id long, url string, html string").repartition(4)
+    parsed = html_text._parsed(pages).cache()
+    runs = html_text.repeated_runs(parsed, F.col("main").isNull())
+    keys = {r.page_key: r.page_id for r in parsed.collect()}
+    assert sorted((keys[r.page_key], r.start) for r in runs.collect()) == [(500, k) for k in range(12 - html_text.RUN_TOKENS + 1)]
+    plan = runs._jdf.queryExecution().sparkPlan().toString()
+    assert "partial_bit_or" in plan and "FlatMapGroups" not in plan
+    parsed.unpersist()
+
+
+def test_several_distinct_contents(spark):
+    rng = random.Random(10)
+    some = [rng.getrandbits(64) - 2**63 for _ in range(600)]
+    rows = [(k, c) for k in range(200) for c in some[3 * k : 3 * k + 1 + k % 3] * 2]
+    got = spark.createDataFrame(rows, "k long, content long").groupBy("k").agg(html_text._several("content").alias("is")).collect()
+    assert {r.k for r in got if r["is"]} == {k for k in range(200) if k % 3 == 2}
+
+
 def test_token_counts_equal_library(docs, spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
