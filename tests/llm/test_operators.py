@@ -204,6 +204,37 @@ def test_blocks_of_pages():
     assert " ".join(t for kind, t in html_text.blocks(page) if kind == html_text.ARTICLE) == "Tést & more One bold text two lines a < b < c"
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="content has-sidebar"><article>A b<p>c</article></div>',
+    '<div class="layout-sidebar-left"><div><main>A b<p>c</main></div></div>',
+    '<article class="post no-comments">A b<p>c</article>',
+    '<div class="with-banner"><article>A b<p>c</article></div>',
+    '<div id="search-results"><article>A b<p>c</article></div>',
+    '<div class="widget-area"><article>A b<p>c</article></div>',
+    '<div class="sidebar"><p>bad</p><article>A b<p>c</article>bad</div>',
+    '<form id="aspnet"><p>bad</p><article class="sidebar">A b<p>c</article></form>',
+    '<div class="header"><div role="main">A b<p>c</div></div>',
+    '<article><div class="entry-header"><h1>A</h1> <span>b</span></div><p>c</article>',
+    '<article><div class="article-header">A b</div><p>c</article>',
+    '<article><header class="header">A b</header><p>c</article>',
+    '<article><div class="header">A b</div><p>c<div class="share-buttons">bad</div></article>',
+    '<article>A b<p>c<div class="sidebar"><article>bad</article></div></article>',
+    '<main>A b<p>c<section class="comments-area"><article>bad</article></section><article class="comment">bad</article></main>',
+    '<article>A b<p>c</article><nav><article>bad</article></nav><aside><main>bad</main></aside>',
+    '<article>A b<p>c</article><div id="comments"><article>bad</article></div><div role="complementary"><article>bad</article></div>',
+])
+def test_names_of_elements_around_articles(page):
+    found = html_text.blocks(f"<body>{page}</body>")
+    assert " ".join(t for kind, t in found if kind == html_text.ARTICLE) == "A b c"
+
+
+def test_names_that_mark_a_page_set_nothing_aside():
+    for name in ("content has-sidebar", "layout-sidebar-left", "with-banner", "search-results", "widget-area", "no-comments"):
+        assert html_text.blocks(f'<div class="{name}">text</div>') == [(html_text.OPEN, "text")]
+    for name in ("x sidebar", "site-footer", "cookie-notice", "comments-area", "ad", "main-nav", "sidebar-widget", "related-posts"):
+        assert html_text.blocks(f'<div class="{name}">text</div>') == [(html_text.ASIDE, "text")]
+
+
 def test_repeated_runs_of_a_host_go(spark):
     rng = random.Random(2)
     bar = prose(rng, 12)
