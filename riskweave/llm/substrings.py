@@ -5,6 +5,10 @@ ones). Equal windows have equal anchors at the same place, so windows only need
 of equal anchor grams. Anchors are some one in seventy positions; their hashes are dealt to buckets, and
 an anchor seen once is done with.
 
+An anchor with more windows than a bucket takes (a line that very many texts hold, each with other text
+around it) goes apart: its distinct contents are cut into windows, and windows of equal digest are counted,
+combined in every task, so that no group grows with the number of texts.
+
 What is left is suffix sorting. The suffixes of a bucket are its windows' starts. They are sorted
 deep-shallow: a multikey sort on eight-byte characters to a shallow depth, then, for the groups that
 still share their prefix, blind tries: a group is only sorted at the characters where its members branch,
@@ -187,13 +191,87 @@ def _shared_anchors(texts: DataFrame, total: int, length: int, gram: int) -> Dat
         meet, "k1 long, k2 long, anchor long, start long, windows long")
 
 
-def _repeated(candidates: DataFrame, windows: int, length: int) -> DataFrame:
-    """Runs of window starts that are repeated: (k1, k2, first, last).
+def _heavy_anchors(anchors: DataFrame) -> set[int]:
+    """Anchors with more windows than a bucket takes; at most the number of buckets."""
+    sums = anchors.groupBy("anchor").agg(F.sum("windows").alias("n")).where(F.col("n") > BUCKET_WINDOWS)
+    return {r["anchor"] for r in sums.collect()}
+
+
+def _repeated_of_heavy(candidates: DataFrame, heavy: set[int], length: int) -> DataFrame:
+    """Runs as of ``_repeated``, for the anchors in ``heavy``: windows of equal 128-bit digest are the same."""
+    wanted = candidates.sparkSession.sparkContext.broadcast(heavy)
+    key, window = "c1 long, c2 long", "w1 long, w2 long"
+
+    def digest(part: bytes) -> bytes:
+        return hashlib.blake2b(part, digest_size=16).digest()
+
+    def places(batches):
+        for batch in batches:
+            seen, rows, keys = set(), [], []
+            for k1, k2, text, anchors in zip(
+                    batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), batch.column(3).to_pylist()):
+                for a in anchors:
+                    if a["anchor"] in wanted.value:
+                        content = text[a["start"] : a["start"] + a["windows"] + length - 1]
+                        keys.append(digest(content))
+                        rows.append((k1, k2, a["start"], None if keys[-1] in seen else content))
+                        seen.add(keys[-1])
+            if rows:
+                c = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+                k1, k2, start, content = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c[:, 0]), pa.array(c[:, 1]), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
+                     pa.array(start, pa.int64()), pa.array(content, pa.binary())], ["c1", "c2", "k1", "k2", "start", "content"])
+
+    def cut(bits):
+        def run(batches):
+            for batch in batches:
+                c1, c2, copies = (batch.column(k).to_numpy() for k in (0, 1, 3))
+                for k, content in enumerate(batch.column(2).to_pylist()):
+                    n = len(content) - length + 1
+                    w = np.frombuffer(b"".join(digest(content[o : o + length]) for o in range(n)), np.int64).reshape(-1, 2)
+                    at = np.arange(n)
+                    if bits is not None:
+                        at = at[[may_hold(bits.value, x) for x in w[:, 0].tolist()]]
+                    columns = (np.full(at.size, c1[k]), np.full(at.size, c2[k]), w[at, 0], w[at, 1], at, np.full(at.size, copies[k]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["c1", "c2", "w1", "w2", "at", "copies"])
+        return run
+
+    def join_up(batches):
+        for batch in batches:
+            firsts, lasts = [], []
+            for offsets in batch.column(2).to_pylist():
+                at = np.sort(np.array(offsets, np.int64))
+                new = np.append(True, np.diff(at) > 1)
+                firsts.append(at[new].tolist())
+                lasts.append(at[np.append(new[1:], True)].tolist())
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(firsts, longs), pa.array(lasts, longs)], ["d1", "d2", "firsts", "lasts"])
+
+    held = staged(candidates.mapInArrow(places, f"{key}, k1 long, k2 long, start long, content binary"), "dedup-heavy")
+    contents = staged(held.groupBy("c1", "c2").agg(F.max("content").alias("content"), F.count("*").alias("copies")), "dedup-contents")
+    schema = f"{key}, {window}, at long, copies long"
+    many = staged(
+        contents.mapInArrow(cut(None), schema).groupBy("w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1")
+        .select(F.col("w1").alias("m1"), F.col("w2").alias("m2")), "dedup-windows")
+    bits = candidates.sparkSession.sparkContext.broadcast(low_bits(many, "m1"))
+    again = contents.mapInArrow(cut(bits), schema).join(many, (F.col("w1") == F.col("m1")) & (F.col("w2") == F.col("m2")))
+    runs = again.groupBy("c1", "c2").agg(F.collect_list("at").alias("at")).mapInArrow(
+        join_up, "d1 long, d2 long, firsts array<long>, lasts array<long>")
+    return held.join(runs, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2"))).select(
+        "k1", "k2", "start", F.explode(F.arrays_zip("firsts", "lasts")).alias("run")).select(
+        "k1", "k2", (F.col("start") + F.col("run.firsts")).alias("first"), (F.col("start") + F.col("run.lasts")).alias("last"))
+
+
+def _repeated(candidates: DataFrame, windows: int, length: int, heavy: set[int]) -> DataFrame:
+    """Runs of window starts that are repeated: (k1, k2, first, last), but for the anchors in ``heavy``.
 
     The bytes of an anchor's windows travel once per task and content, with the list of places that have
     them, so a passage that very many documents share costs little more than its places.
     """
     buckets = windows // BUCKET_WINDOWS + 1
+    apart = candidates.sparkSession.sparkContext.broadcast(heavy)
     schema = "bucket long, anchor long, windows int, content binary, places binary"
 
     def deal(batches):
@@ -202,6 +280,8 @@ def _repeated(candidates: DataFrame, windows: int, length: int) -> DataFrame:
             for k1, k2, text, anchors in zip(
                     batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), batch.column(3).to_pylist()):
                 for a in anchors:
+                    if a["anchor"] in apart.value:
+                        continue
                     content = text[a["start"] : a["start"] + a["windows"] + length - 1]
                     held.setdefault((a["anchor"], a["windows"], content), []).extend((k1, k2, a["start"]))
             if held:
@@ -274,7 +354,10 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     per_text = anchors.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("anchors"))
     sent = texts.mapInArrow(wanted, "k1 long, k2 long, text string").groupBy("k1", "k2").agg(F.first("text").alias("text"))
     candidates = staged(sent.join(per_text, ["k1", "k2"]), "dedup-candidates")
-    runs = _repeated(candidates.select("k1", "k2", "text", "anchors"), windows, length)
+    heavy, dealt = _heavy_anchors(anchors), candidates.select("k1", "k2", "text", "anchors")
+    runs = _repeated(dealt, windows, length, heavy)
+    if heavy:
+        runs = runs.unionAll(_repeated_of_heavy(dealt, heavy, length))
     runs = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     return candidates.select("k1", "k2", "text").join(runs, ["k1", "k2"]), totals.where("copies > 1").select("k1", "k2", "copies")
 

@@ -333,6 +333,23 @@ def test_repeated_strings_equal_brute_force(docs, spark):
     assert substrings.remove_repeats(empty(spark, DOC)).collect() == []
 
 
+def test_line_of_many_texts_is_split(monkeypatch, spark):
+    """A line in other surroundings each time, some of them shared, gives what it gives in one bucket, in no large group."""
+    rng = random.Random(12)
+    line, passage = prose(rng, 40)[:150], prose(rng, 90)
+    texts = [f"{prose(rng, 60)} {line} {prose(rng, 60)}" for _ in range(60)]
+    texts += [f"{prose(rng, 30)} {passage} {line} {prose(rng, 30)}" for _ in range(20)]
+    texts += [f"{t[:-9]}{prose(rng, 5)}" for t in texts[:5]] + texts[:2]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).cache()
+    whole = sorted(map(tuple, substrings.remove_repeats(frame).collect()))
+    dealt, repeated = [], substrings._repeated
+    monkeypatch.setattr(substrings, "BUCKET_WINDOWS", 3000)
+    monkeypatch.setattr(substrings, "_repeated", lambda c, w, n, heavy: dealt.append(heavy) or repeated(c, w, n, heavy))
+    assert sorted(map(tuple, substrings.remove_repeats(frame).collect())) == whole
+    assert dealt[0] and sum(r[4] > 0 for r in whole) >= 27
+    frame.unpersist()
+
+
 def test_long_text_in_pieces_finds_the_same(monkeypatch, spark):
     text = prose(random.Random(3), 3000)
     frame = spark.createDataFrame([(1, text + " middle " + text[100:900])], "doc_id long, text string")
