@@ -1,7 +1,7 @@
 """Licences of files: statements matched to templates, licence files inherited along directories.
 
-Only DataFrame functions are used. Statements are the lines that hold a licence word; a statement is
-compared with the templates by the cosine of sparse TF-IDF vectors over the templates' words, where a
+Only DataFrame functions are used. Statements are the lines that hold a licence word, their sentences, SPDX
+identifiers, and two or three joined lines and the sentences across them; a statement is compared with the templates by the cosine of sparse TF-IDF vectors over the templates' words, where a
 word outside the templates adds to the length of the statement's vector alone. Files without a
 statement inherit the licence file of the nearest directory above them, resolved once per directory.
 """
@@ -41,10 +41,26 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("ISC", "ISC License"),
 ]
+_NAMED = list(dict.fromkeys(licence for licence, _ in TEMPLATES))
+TEMPLATES += [(licence, f"SPDX-License-Identifier: {licence}") for licence in _NAMED]
+TEMPLATES += [(licence, f"SPDX-License-Identifier: {licence}-{end}") for licence in _NAMED if "GPL" in licence for end in ("only", "or-later")]
 #: A line with one of these is a statement to compare.
 STATEMENT = r"(?i)licen[sc]e|unlicense|permission is hereby granted|mozilla public|spdx"
 WORD = r"[a-z0-9]+"
+#: Ends of sentences, beginnings of the part of a sentence that names the licence, and SPDX identifiers.
+SENTENCE_END = r"(?<=[.!?;:])\s+|\s+[-\u2013\u2014]+\s+"
+NAMING = r"(?is)\b(?:licensed|released|distributed) under\b.*"
+SPDX = r"(?i)SPDX-License-Identifier:\s*[\w.+-]+"
+#: Most words of a statement that is no line of its own: over twice the longest template.
+STATEMENT_WORDS = 60
 #: Least cosine of a match.
 THRESHOLD = 0.75
 #: A file of at most so many words that consists of a statement is a licence file of its directory.
@@ -79,16 +95,39 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def _parts(start: Column) -> Column:
+    """Statements that begin in the first of up to three lines: sentences, SPDX identifiers, joined lines."""
+    lines = F.split(start, "\n")
+    second = F.concat_ws("\n", F.get(lines, F.lit(0)), F.get(lines, F.lit(1)))
+
+    def sentences(text: Column) -> Column:
+        cut = F.split(text, SENTENCE_END)
+        return F.concat(cut, F.transform(cut, lambda x: F.regexp_extract(x, NAMING, 0)))
+
+    # what does not cross lines is found at its own line
+    joined = F.array(second, start)
+    across = F.concat(joined, F.flatten(F.transform(joined, sentences)))
+    first = F.get(lines, F.lit(0))
+    spdx = F.regexp_extract_all(first, F.lit(SPDX), F.lit(0))
+    parts = F.concat(sentences(first), spdx, F.filter(across, lambda x: F.contains(x, F.lit("\n"))))
+    return F.array_distinct(F.filter(parts, lambda x: x.rlike(STATEMENT) & (F.size(_words(x)) <= STATEMENT_WORDS)))
+
+
 def statements(files: DataFrame) -> DataFrame:
-    """Lines with a licence word and whole short files that have one: (path, line, text, whole_file).
+    """Lines with a licence word, their parts and joins, and whole short files that have one:
+    (path, line, text, whole_file).
 
-    ``files`` has (path, text). Whole texts are searched, each line on its own.
+    ``files`` has (path, text). Whole texts are searched; blank lines do not separate a statement.
     """
     lines = F.split(F.col("text"), r"\r\n|\r|\n")
     held = files.where(F.col("text").rlike(STATEMENT))
     by_line = held.select("path", F.posexplode(lines).alias("line", "statement")).where(F.col("statement").rlike(STATEMENT))
+    filled = held.select("path", F.filter(lines, lambda x: x.rlike(r"[A-Za-z0-9]")).alias("lines"))
+    starts = F.transform("lines", lambda x, i: F.concat_ws("\n", x, F.get("lines", i + 1), F.get("lines", i + 2)))
+    parts = filled.select("path", F.posexplode(starts).alias("line", "start")).where(F.col("start").rlike(STATEMENT)).select(
+        "path", "line", F.explode(_parts(F.col("start"))).alias("statement"))
     whole = held.where(F.size(_words(F.col("text"))) <= NOTICE_WORDS)
-    return by_line.select("path", "line", "statement", F.lit(False).alias("whole_file")).unionAll(
+    return by_line.unionAll(parts).select("path", "line", "statement", F.lit(False).alias("whole_file")).unionAll(
         whole.select("path", F.lit(-1).alias("line"), F.col("text").alias("statement"), F.lit(True).alias("whole_file")))
 
 

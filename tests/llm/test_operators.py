@@ -435,3 +435,25 @@ def test_licences_are_matched_and_inherited(spark):
         "a/LICENSE": ("MIT", "file"), "a/b/x": ("GPL-3.0", "inherited"), "a/b/y": ("Apache-2.0", "header"), "a/b/LICENSE.txt": ("GPL-3.0", "file"),
         "a/c/d/z": ("MIT", "inherited"), "q": (None, "none"), "a/b/c/t": ("GPL-3.0", "inherited")}
     assert licenses.scan(empty(spark, "path string, text string")).collect() == []
+
+
+def test_licences_in_parts_of_lines_and_across_lines(spark):
+    want = {
+        "// SPDX-License-Identifier: MIT\nint x;": "MIT", "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "/* SPDX-License-Identifier: GPL-3.0-or-later */ int main() { return 0; }": "GPL-3.0",
+        "SPDX-License-Identifier: CC-BY-NC-4.0": "CC-BY-NC-4.0", "SPDX-License-Identifier: BSD-2-Clause": "BSD-2-Clause",
+        "// SPDX-License-Identifier: AGPL-3.0-only": "AGPL-3.0", "SPDX-License-Identifier: LGPL-3.0": "LGPL-3.0",
+        "// Copyright 2020 Foo Inc. Licensed under the MIT license.\nint x;": "MIT",
+        "Copyright (c) 2019 Bar GmbH. All rights reserved. Released under the MIT License.": "MIT",
+        "Copyright 2021 Baz, this library is licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "   GNU GENERAL PUBLIC LICENSE\n      Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation": "GPL-3.0",
+        "   GNU GENERAL PUBLIC LICENSE\n      Version 2, June 1991\n": "GPL-2.0",
+        "GNU AFFERO GENERAL PUBLIC LICENSE\n\nVersion 3, 19 November 2007": "AGPL-3.0",
+        "   Apache License\n  Version 2.0, January 2004\n http://www.apache.org/licenses/": "Apache-2.0",
+        "# This work is\n# licensed under the GNU Lesser General\n# Public License, version 3. More words": "LGPL-3.0",
+        "SPDX-License-Identifier: Unheard-1.0": None, "the driver has a license. Then it rained\nand version 2.0 came": None,
+        "a license\nto be silly": None,
+    }
+    files = spark.createDataFrame([(f"d{k}/f", t) for k, t in enumerate(want)], "path string, text string")
+    got = {r.path: r.license for r in licenses.scan(files).collect()}
+    assert {t: got[f"d{k}/f"] for k, t in enumerate(want)} == want
