@@ -344,7 +344,8 @@ def _arrival_events(spark, sf):
 # ---------------------------------------------------------------- models
 
 #: Most boosting rounds of the registered queries; the library default of 300 took more than three
-#: minutes on 1,500 loans with all tasks on one machine. Early stopping acts below it.
+#: minutes on 1,500 loans with all tasks on one machine. All are grown and the best prefix is kept; the
+#: patience test needs a higher cap.
 BOOSTING_ROUNDS = 40
 _trained: dict[tuple[str, str], training.TrainedModels] = {}
 
