@@ -12,10 +12,11 @@ _SEED = np.random.default_rng(20)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: One random value per byte, A-Z as a-z; white space is 0.
 _BYTE = _SEED.integers(1, 2**63, 256, dtype=np.uint64)
+_CASED = _BYTE.copy()
 _BYTE[65:91] = _BYTE[97:123]
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
-_BYTE[SPACE] = 0
+_BYTE[SPACE] = _CASED[SPACE] = 0
 _PLACE = _SEED.integers(1, 2**63, WIDTH, dtype=np.uint64) | np.uint64(1)
 
 
@@ -40,13 +41,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words of many texts: runs of bytes outside ``space``, A-Z lower-cased.
+    """Words of many texts: runs of bytes outside ``space``, A-Z lower-cased if ``fold``.
 
     ``starts`` and ``ends`` are positions in the joined texts; the words of text i are those from
     ``at[i]`` to ``at[i + 1]``.
     """
 
-    def __init__(self, texts: list[bytes], space: np.ndarray = SPACE):
+    def __init__(self, texts: list[bytes], space: np.ndarray = SPACE, fold: bool = True):
         data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
         up, self._down = powers(1 << max(21, int(data.size).bit_length()))
         word = np.zeros(data.size + 1, np.int8)
@@ -54,7 +55,7 @@ class Words:
         edges = np.flatnonzero(np.diff(word))
         self.data, self.starts, self.ends = data, edges[::2], edges[1::2]
         self._total = np.zeros(data.size + 1, np.uint64)
-        np.cumsum(_BYTE[data] * up[: data.size], out=self._total[1:])
+        np.cumsum((_BYTE if fold else _CASED)[data] * up[: data.size], out=self._total[1:])
         begins = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
         self.at = np.searchsorted(self.starts, begins)
 
