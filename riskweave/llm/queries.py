@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import decontaminate, html_text, licenses, mixing, ngram_join, periodic, substrings, tokens, toxicity, vantage, warc
+from riskweave.llm import conversations, decontaminate, html_text, licenses, mixing, ngram_join, periodic, substrings, tokens, toxicity, vantage, warc
 from riskweave.llm.common import table
 from riskweave.session import scratch_path
 
@@ -58,11 +58,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.find_runs(table(spark, sf_dir, "documents"), tails=True).drop("n_words", "n_dropped")
 
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_source_mix, op3_license_scan, op4_benchmark_containment, op5_warc_revisits, op6_main_text, op7_token_counts,
-    op8_suffix_dedup, op9_vantage_neighbours, op10_toxicity, op13_periodic_runs,
+    op8_suffix_dedup, op9_vantage_neighbours, op10_toxicity, op12_conversation_trie, op13_periodic_runs,
 )}

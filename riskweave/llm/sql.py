@@ -76,4 +76,46 @@ SELECT doc_id, item_id, n AS item_shingles, count(*) AS shared_shingles, count(*
 FROM doc_shingles JOIN counted USING (width, s) GROUP BY r, doc_id, item_id, n HAVING count(*) >= 0.75 * n
 """
 
-ORACLE_SQL = {"op2_source_mix": OP2, "op4_benchmark_containment": OP4, "op5_warc_revisits": OP5}
+OP12 = f"""
+WITH turns AS (
+  SELECT conv_id, len(regexp_extract_all(text, {WORDS})) AS words, md5(strlen(role) || ':' || role || text) AS name,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS i
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), own AS (
+  SELECT conv_id, count(*) AS n, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END), 4294967295) % 4 AS h
+  FROM turns GROUP BY conv_id
+), convs AS (
+  SELECT o.conv_id, o.h, least(o.h, coalesce(b.n, 0)) AS opening, o.conv_id - o.conv_id % 20 AS opener
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), rebuilt AS (
+  SELECT conv_id, i - h + opening AS depth, name, words FROM turns JOIN convs USING (conv_id) WHERE i > h
+  UNION ALL
+  SELECT c.conv_id, t.i, t.name, t.words FROM convs c JOIN turns t ON t.conv_id = c.opener AND t.i <= c.opening
+), lists AS (
+  SELECT conv_id, coalesce(list(name ORDER BY depth) FILTER (WHERE depth IS NOT NULL), []) AS names,
+    coalesce(list(words ORDER BY depth) FILTER (WHERE depth IS NOT NULL), []) AS sizes
+  FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+), members AS (
+  SELECT conv_id, d AS depth, len(names) = d AS ends, md5(array_to_string(names[1:d], '')) AS node,
+    CASE WHEN d > 0 THEN md5(array_to_string(names[1:d - 1], '')) END AS parent, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS words
+  FROM (SELECT *, unnest(range(0, len(names) + 1)) AS d FROM lists)
+), nodes AS (
+  SELECT node, depth, parent, words, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY node, depth, parent, words
+), families AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children
+  FROM nodes n LEFT JOIN (SELECT parent, count(*) AS n_children FROM nodes GROUP BY parent) c ON c.parent = n.node
+), below AS (
+  SELECT a.node, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((f.n_convs - 1) * f.words) AS saved_tokens
+  FROM (SELECT DISTINCT a.node, b.node AS other FROM members a JOIN members b ON a.conv_id = b.conv_id AND a.depth <= b.depth) a
+  JOIN families f ON f.node = a.other GROUP BY a.node
+)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, CAST(f.n_children AS BIGINT) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM families f JOIN below USING (node) LEFT JOIN nodes p ON p.node = f.parent
+"""
+
+ORACLE_SQL = {"op2_source_mix": OP2, "op4_benchmark_containment": OP4, "op5_warc_revisits": OP5, "op12_conversation_trie": OP12}
