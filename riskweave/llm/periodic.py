@@ -71,8 +71,12 @@ def runs(sequences: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
     place, period = candidates(names, ends, lengths)
     if not place.size:
         return out
-    # only sequences with a candidate go into the grammars
+    # only sequences with a candidate, three points within it, go into the grammars
     text = np.searchsorted(ends, place)
+    within = place + 2 * period < ends[text]
+    place, period, text = place[within], period[within], text[within]
+    if not place.size:
+        return out
     wanted = np.unique(text)
     kept = np.concatenate([np.arange(ends[t] - lengths[t], ends[t] + 1) for t in wanted.tolist()])
     moved = np.cumsum(lengths[wanted] + 1) - lengths[wanted] - 1
