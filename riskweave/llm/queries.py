@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import conversations, decontaminate, html_text, licenses, mixing, ngram_join, periodic, substrings, tokens, toxicity, vantage, warc
+from riskweave.llm import bloom_lm, conversations, decontaminate, html_text, licenses, mixing, ngram_join, periodic, substrings, tokens, toxicity, vantage, warc
 from riskweave.llm.common import table
 from riskweave.session import scratch_path
 
@@ -58,6 +58,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_bloom_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -68,5 +72,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_source_mix, op3_license_scan, op4_benchmark_containment, op5_warc_revisits, op6_main_text, op7_token_counts,
-    op8_suffix_dedup, op9_vantage_neighbours, op10_toxicity, op12_conversation_trie, op13_periodic_runs,
+    op8_suffix_dedup, op9_vantage_neighbours, op10_toxicity, op11_bloom_lm_scores, op12_conversation_trie, op13_periodic_runs,
 )}
