@@ -17,8 +17,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 1 << 20
 
 
+#: Rows that Spark hands to Python at once. Texts are long: the default of 10,000 rows is tens of MB, held
+#: several times over by the JVM's buffers and the workers.
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
+    """One of the given tables, in a session that moves texts in batches of ``BATCH_ROWS``."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -34,6 +34,8 @@ GROUPS, MOST_GROUPS = 128, 1 << 15
 #: Entries of the frequency sketch in bits, fewest and most; it has one for about 200 bytes of text, as far
 #: as the bound goes. It only orders shingles. Entries are summed in pieces.
 SKETCH_BITS, PIECE_BITS = (16, 24), 12
+#: Prefix keys that a task holds before it deals them to the buckets (16 bytes each).
+HELD_KEYS = 400_000
 #: Keys per bucket of the block search, members per row of a block, nodes of a leaf and of a search task.
 BUCKET_KEYS = 500_000
 BLOCK_ROW = 512
@@ -133,33 +135,39 @@ def _levels(pieces: DataFrame, bits: int) -> np.ndarray:
 def _blocks(documents: DataFrame, levels: np.ndarray, keys: int, percent: int) -> DataFrame:
     """Nodes that share a prefix shingle: (block, leaders, members), members in rows of bounded length.
 
-    Keys travel packed, a row per batch and bucket. Blocks of equal members are one block.
+    Keys travel packed, a row per HELD_KEYS keys and bucket. Blocks of equal members are one block.
     """
     buckets = keys // BUCKET_KEYS + 1
     shared = documents.sparkSession.sparkContext.broadcast(levels)
     mask = np.uint64(levels.size - 1)
 
+    def dealt(keys, nodes):
+        keys, nodes = np.concatenate(keys), np.concatenate(nodes)
+        bucket = ((keys >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        keys, nodes, bucket = keys[order], nodes[order], bucket[order]
+        names, first = np.unique(bucket, return_index=True)
+        ends = np.append(first[1:], bucket.size)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names), pa.array([keys[a:b].tobytes() for a, b in zip(first, ends)]),
+             pa.array([nodes[a:b].tobytes() for a, b in zip(first, ends)])], ["bucket", "keys", "nodes"])
+
     def deal(batches):
+        keys, nodes, seen, held = [], [], set(), 0
         for batch in batches:
-            keys, nodes, seen = [], [], set()
             for _, own in _sets(batch, 1):
                 if own.size and (node := node_id(own)) not in seen:
                     seen.add(node)
                     level = shared.value[(own & mask).astype(np.int64)]
                     first = prefix_length(own.size, percent)
-                    keys.append(own[np.argsort(level, kind="stable")[:first]] if level.any() else own[:first])
+                    keys.append(own[np.argsort(level, kind="stable")[:first]] if level.any() else own[:first].copy())
                     nodes.append(np.full(first, node, np.int64))
-            if not keys:
-                continue
-            keys, nodes = np.concatenate(keys), np.concatenate(nodes)
-            bucket = ((keys >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            keys, nodes, bucket = keys[order], nodes[order], bucket[order]
-            names, first = np.unique(bucket, return_index=True)
-            ends = np.append(first[1:], bucket.size)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names), pa.array([keys[a:b].tobytes() for a, b in zip(first, ends)]),
-                 pa.array([nodes[a:b].tobytes() for a, b in zip(first, ends)])], ["bucket", "keys", "nodes"])
+                    held += first
+                    if held >= HELD_KEYS:
+                        yield dealt(keys, nodes)
+                        keys, nodes, seen, held = [], [], set(), 0
+        if keys:
+            yield dealt(keys, nodes)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(group["keys"]), np.uint64)
@@ -183,7 +191,8 @@ def _blocks(documents: DataFrame, levels: np.ndarray, keys: int, percent: int) -
                 blocks.append(name)
                 leaders.append(lead)
                 members.append(own[at : at + BLOCK_ROW].tolist())
-        return pd.DataFrame({"block": pd.Series(blocks, dtype="int64"), "leaders": leaders, "members": members})
+        return pd.DataFrame({"block": pd.Series(blocks, dtype="int64"), "leaders": pd.Series(leaders, dtype=object),
+                             "members": pd.Series(members, dtype=object)})
 
     packed = documents.mapInArrow(deal, "bucket long, keys binary, nodes binary")
     return packed.groupBy("bucket").applyInPandas(meet, "block long, leaders array<long>, members array<long>").dropDuplicates(["block", "members"])

@@ -457,3 +457,16 @@ def test_licences_in_parts_of_lines_and_across_lines(spark):
     files = spark.createDataFrame([(f"d{k}/f", t) for k, t in enumerate(want)], "path string, text string")
     got = {r.path: r.license for r in licenses.scan(files).collect()}
     assert {t: got[f"d{k}/f"] for k, t in enumerate(want)} == want
+
+
+@pytest.mark.parametrize("texts, groups", [
+    (["one two three four five six", "seven eight nine ten eleven twelve"], [0, 1]),
+    (["one two three four five six"], [0]),
+    ([""], [0]),
+    ([None, ""], [0, 1]),
+])
+def test_ngram_groups_without_shared_shingles(spark, texts, groups):
+    rows = [(k, t, "en", "a", 0, 0, 0, "k") for k, t in enumerate(texts)]
+    got = ngram_join.linked_groups(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == list(enumerate(groups))
+    assert ngram_join.one_per_group(spark.createDataFrame(rows, DOC)).count() == len(texts)
