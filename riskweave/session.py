@@ -37,22 +37,44 @@ def local_session(cores: int | str = "*", name: str = "riskweave", memory: str =
     )
 
 
+_folders: dict[str, str] = {}  # by application
+
+
+def _on_storage(spark: SparkSession, path: str):
+    """The path and its file system, as Hadoop objects."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The folder the cluster shares for intermediate tables (``spark.checkpoint.dir``).
+    """This application's folder for intermediate tables, below ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of this machine.
+    Only a local session without that setting gets a temporary folder of this machine. The folder is
+    deleted when the application ends in good order.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+    application = spark.sparkContext.applicationId
+    if application not in _folders:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root and not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="riskweave-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+        shared = bool(root)
+        root = root.rstrip("/") if shared else f"file:{tempfile.mkdtemp(prefix='riskweave-')}"
+        folder = f"{root}/riskweave-{application}"
+        path, system = _on_storage(spark, folder)
+        system.mkdirs(path)
+        system.deleteOnExit(path if shared else path.getParent())
+        _folders[application] = folder
+    return _folders[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/riskweave/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    found, system = _on_storage(spark, path)
+    system.delete(found, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
