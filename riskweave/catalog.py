@@ -343,10 +343,6 @@ def _arrival_events(spark, sf):
 
 # ---------------------------------------------------------------- models
 
-#: Most boosting rounds of the registered queries; the library default of 300 took more than three
-#: minutes on 1,500 loans with all tasks on one machine. All are grown and the best prefix is kept; the
-#: patience test needs a higher cap.
-BOOSTING_ROUNDS = 40
 _trained: dict[tuple[str, str], training.TrainedModels] = {}
 
 
@@ -354,7 +350,7 @@ def models(spark: SparkSession, sf: str) -> training.TrainedModels:
     """Models trained on this book; kept per application, since several queries report on them."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _trained:
-        _trained[key] = training.train_models(model_frame(spark, sf), trees=BOOSTING_ROUNDS)
+        _trained[key] = training.train_models(model_frame(spark, sf))
     return _trained[key]
 
 
@@ -372,18 +368,33 @@ def _model_scores_of(column):
 
 def _explained(spark, sf):
     trained = models(spark, sf)
-    tables = shapley.tree_contributions(trained.boosted, trained.features, spark)
-    return shapley.shap_values(tables, trained.test)
+    return shapley.shap_values(shapley.tree_contributions(trained.boosted), trained.test)
+
+
+def _shap_additivity(spark, sf):
+    """Explained rows, and those whose contributions miss the log-odds of the model's probability."""
+    trained = models(spark, sf)
+    explained = shapley.shap_values(
+        shapley.tree_contributions(trained.boosted), trained.test.withColumn("p", trained.boosted.probability()))
+    return shapley.additivity_violations(explained, "p")
 
 
 def _boosting_rounds(spark, sf):
     """AUC of the held slice per round that was grown, and whether the model keeps the round."""
-    trained = models(spark, sf)
-    kept = trained.boosted.getNumTrees
-    rows = [(k, auc, k <= kept) for k, auc in enumerate(trained.rounds, start=1)]
+    boosted = models(spark, sf).boosted
+    rows = [(k, auc, k <= boosted.rounds) for k, auc in enumerate(boosted.history, start=1)]
     return spark.createDataFrame(rows, "round int, held_auc double, kept boolean")
 
 
+def _boosting_stop(spark, sf):
+    """How growth ended: by patience after the best round, or at the 300 rounds allowed."""
+    boosted = models(spark, sf).boosted
+    beyond = len(boosted.history) - boosted.rounds
+    return spark.createDataFrame(
+        [(boosted.rounds >= 1, beyond == 20 or len(boosted.history) == 300, len(boosted.history) <= 300)],
+        "grew boolean, stopped_by_rule boolean, within_allowed boolean")
+
+
 def _gates(spark, sf):
     trained = models(spark, sf)
     return gates.validation_gates(staged(_score_frame(spark, sf), "score-frame"), trained.split)
@@ -479,9 +490,8 @@ QUERIES: dict[str, Query] = {
         "loan_id", "is_default", "if_anomaly_score", "if_is_anomaly"),
     "smote_balance": lambda s, d: models(s, d).balanced,
     "class_balance_report": lambda s, d: training.balance_report(models(s, d)),
-    "importances": lambda s, d: training.feature_importances(s, models(s, d).boosted, models(s, d).features),
-    "top_features": lambda s, d: training.feature_importances(
-        s, models(s, d).boosted, models(s, d).features, top=10),
+    "importances": lambda s, d: training.feature_importances(s, models(s, d).boosted),
+    "top_features": lambda s, d: training.feature_importances(s, models(s, d).boosted, top=10),
     "score_frame": _score_frame,
     "model_summary": _model_summary,
     "shap_values": lambda s, d: _explained(s, d).select("loan_id", "shap", "shap_base"),
@@ -489,6 +499,8 @@ QUERIES: dict[str, Query] = {
     "shap_direction": lambda s, d: shapley.shap_direction(_explained(s, d), models(s, d).features),
     "validation_gates": _gates,
     "boosting_rounds": _boosting_rounds,
+    "boosting_stop": _boosting_stop,
+    "shap_additivity": _shap_additivity,
     "quarantine_clean": lambda s, d: quality.dq_quarantine(raw(s, d))[0],
     "mixed_headers": _mixed_headers,
     "etl_rerun": _etl_rerun,

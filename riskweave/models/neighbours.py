@@ -1,15 +1,15 @@
-"""Exact k nearest neighbours of every row among all rows, as a blocked Spark join.
-
-1. A bounded seeded sample gives the split planes of a k-d tree; every row is given its leaf, and
-   a leaf that holds many rows (copies of one point cannot be told apart by planes) is cut into
-   blocks by a hash of the id.
-2. Each block is searched on its own: k candidates per row and the distance of the k-th.
-3. A row visits another block only if the block's bounding box lies nearer than that distance.
-   Visits are grouped by block; a block with many visitors is copied over several tasks.
-4. Candidates of all visits are merged per row.
-
-The result is exact: a block that is not visited cannot hold a nearer row.  Rows at the very same
-distance as the k-th are interchangeable.
+"""k nearest neighbours of every row among all rows, as a hash-table neighbour join.
+
+1. Each table projects the rows on a few random directions and interleaves the bits of the projected
+   values to one code, so that rows with close codes are close in space.
+2. Rows are ranked by (table, code, id) with one range sort; every ``window`` rows of a table are a bucket.
+   Buckets do not grow with the table, and copies of one point fall into as many buckets as they need.
+3. Each bucket is searched exactly; a row's candidates from all tables are merged by (distance, id).
+4. Neighbours of neighbours are compared with the row, a few times.
+
+The result depends on the rows, the seed and the parameters alone, never on how rows are partitioned. It is
+exact where all rows fit into one bucket, and otherwise nearly so: two rows that no table deals together can
+still meet through a common neighbour.
 """
 
 from __future__ import annotations
@@ -18,202 +18,160 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators.ranking import lowest_hashed
+from riskweave.operators.positions import with_positions
 from riskweave.session import staged
 
-SAMPLE_ROWS = 100_000     # rows behind the split planes; bounds what the driver holds
-MAX_LEAVES = 8_192
-MAX_BLOCKS = 32_768       # bounds the table of bounding boxes
-_CELLS_PER_STEP = 4_000_000
+#: Directions of a table, and bits of the code that each gets.
+DIRECTIONS, DIRECTION_BITS = 4, 15
 _ROUNDING = 1e-9
-
-
-def _split_planes(points: np.ndarray, leaves: int) -> list[tuple[int, float]]:
-    """Planes of a balanced tree in heap order; (-1, 0) marks a node that is not split."""
-    planes: list[tuple[int, float]] = []
-    level = [points]
-    while len(level) < leaves:
-        below = []
-        for part in level:
-            spread = part.max(axis=0) - part.min(axis=0) if len(part) > 1 else np.zeros(points.shape[1])
-            axis = int(np.argmax(spread))
-            if spread[axis] <= 0:
-                planes.append((-1, 0.0))
-                below += [part, part[:0]]
-                continue
-            cut = float(np.median(part[:, axis]))
-            if cut >= part[:, axis].max():
-                cut = float(part[:, axis][part[:, axis] < cut].max())
-            planes.append((axis, cut))
-            left = part[:, axis] <= cut
-            below += [part[left], part[~left]]
-        level = below
-    return planes
-
-
-def _leaf_of(points: np.ndarray, planes: list[tuple[int, float]]) -> np.ndarray:
-    node = np.zeros(len(points), dtype=np.int64)
-    if not planes:
-        return node
-    axis = np.array([a for a, _ in planes])
-    cut = np.array([c for _, c in planes])
-    for _ in range(int(np.log2(len(planes) + 1))):
-        a = axis[node]
-        value = points[np.arange(len(points)), np.maximum(a, 0)]
-        node = 2 * node + 1 + ((a >= 0) & (value > cut[node]))
-    return node - len(planes)
+_CELLS_PER_STEP = 4_000_000
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.vstack(column.to_numpy()) if len(column) else np.zeros((0, 0))
 
 
-def _nearest(query: np.ndarray, member: np.ndarray, member_id: np.ndarray, k: int,
-             radius: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, ascending distances, ids) of the nearest members of each query row.
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distance of each row of ``a`` to the row or rows of ``b``; one formula, so equal pairs get equal values."""
+    return np.sqrt(((a - b) ** 2).sum(axis=1))
+
 
-    Without ``radius`` the members are the query rows themselves and a row is not its own neighbour.
-    With it only members nearer than the row's radius count, and rows without any are left out.
-    """
-    centre = member.mean(axis=0)
-    moved = member - centre
+def _nearest(points: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ascending distances, ids) of each row's k nearest other rows; ties go to the smaller id."""
+    moved = points - points.mean(axis=0)
     size = (moved ** 2).sum(axis=1)
-    step = max(1, _CELLS_PER_STEP // len(member))
-    for start in range(0, len(query), step):
-        part = query[start:start + step] - centre
-        own_size = (part ** 2).sum(axis=1)
+    step = max(1, _CELLS_PER_STEP // len(points))
+    for start in range(0, len(points), step):
+        part = moved[start : start + step]
         # squared distances by one matrix product; off by less than the slack, so they only choose
         # the candidates whose distance is then computed from the coordinates
-        rough = own_size[:, None] + size[None, :] - 2.0 * (part @ moved.T)
-        slack = _ROUNDING * (own_size + size.max())
-        if radius is None:
-            index = np.arange(len(part))
-            rough[index, start + index] = np.inf
-            far = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(member) > k else np.full(len(part), np.inf)
-            limit = far + 2 * slack
-        else:
-            limit = radius[start:start + step] ** 2 + slack
-        candidate = rough <= limit[:, None]
-        if radius is None:
-            candidate[index, start + index] = False
-        for i in np.flatnonzero(candidate.any(axis=1)) if radius is not None else index:
-            near = np.flatnonzero(candidate[i])
-            distance = np.sqrt(((member[near] - query[start + i]) ** 2).sum(axis=1))
-            if radius is not None:
-                near, distance = near[distance < radius[start + i]], distance[distance < radius[start + i]]
-                if not len(near):
-                    continue
-            order = np.lexsort((member_id[near], distance))[:k]
-            yield start + i, distance[order], member_id[near[order]]
-
-
-def _with_blocks(rows: DataFrame, block_rows: int, seed: int) -> DataFrame:
-    """Add ``block``: leaf of the tree, cut further where a leaf is large."""
-    total = rows.count()
-    leaves = 1
-    while leaves < MAX_LEAVES and leaves * block_rows < total:
-        leaves *= 2
-    block_rows = max(block_rows, -(-total // (MAX_BLOCKS - MAX_LEAVES)))
-    planes: list[tuple[int, float]] = []
-    if leaves > 1:
-        drawn = lowest_hashed(rows, ["id"], lambda n: F.least(n, F.lit(SAMPLE_ROWS)), seed).where("chosen")
-        sample = _matrix(drawn.select("x").toPandas()["x"])  # at most SAMPLE_ROWS points
-        planes = _split_planes(sample, leaves)
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rough = size[start : start + step, None] + size[None, :] - 2.0 * (part @ moved.T)
+        slack = _ROUNDING * (size[start : start + step] + size.max())
+        index = np.arange(len(part))
+        rough[index, start + index] = np.inf
+        far = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(points) > k else np.full(len(part), np.inf)
+        close = rough <= (far + 2 * slack)[:, None]
+        close[index, start + index] = False
+        for i in index:
+            near = np.flatnonzero(close[i])
+            gap = distances(points[near], points[start + i])
+            order = np.lexsort((ids[near], gap))[:k]
+            yield gap[order], ids[near[order]]
+
+
+def _directions(width: int, tables: int, seed: int) -> np.ndarray:
+    return np.random.default_rng([seed, width]).normal(size=(width, tables * DIRECTIONS))
+
+
+def _projected(points: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """Projections added up in one order, whatever the number of rows, so that codes repeat bit by bit."""
+    out = np.zeros((len(points), directions.shape[1]))
+    for j in range(points.shape[1]):
+        out += points[:, j, None] * directions[j]
+    return out
+
+
+def _codes(projected: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """rows x tables: bits of the places between the least and the greatest projection, interleaved."""
+    wide = np.where(high > low, high - low, 1.0)
+    place = ((projected - low) / wide * (1 << DIRECTION_BITS)).astype(np.int64)
+    place = np.clip(place, 0, (1 << DIRECTION_BITS) - 1).reshape(len(projected), -1, DIRECTIONS)
+    code = np.zeros(place.shape[:2], np.int64)
+    for bit in range(DIRECTION_BITS):
+        for j in range(DIRECTIONS):
+            code |= (place[:, :, j] >> bit & 1) << (bit * DIRECTIONS + j)
+    return code
+
+
+def _points(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _bounds(rows: DataFrame, directions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest projection of all rows on each direction."""
+    def extremes(batches):
+        for batch in batches:
+            if batch.num_rows:
+                p = _projected(_points(batch.column(0)), directions)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(p.shape[1])), pa.array(p.min(axis=0)), pa.array(p.max(axis=0))], ["at", "low", "high"])
+
+    found = rows.select("x").mapInArrow(extremes, "at long, low double, high double").groupBy("at").agg(
+        F.min("low").alias("low"), F.max("high").alias("high")).orderBy("at").toPandas()  # a row per direction
+    return found["low"].to_numpy(), found["high"].to_numpy()
+
+
+def _dealt(rows: DataFrame, total: int, tables: int, window: int, seed: int) -> DataFrame:
+    """(bucket, id, x): each row once per table."""
+    width = rows.select(F.size("x").alias("n")).first()["n"]
+    directions = _directions(width, tables, seed)
+    low, high = _bounds(rows, directions)
+
+    def coded(batches):
         for batch in batches:
-            if len(batch):
-                yield batch.assign(leaf=_leaf_of(_matrix(batch["x"]), planes))
-
-    if leaves == 1:
-        leaf = rows.select("id", "x", F.lit(0).cast("bigint").alias("leaf"))
-    else:
-        leaf = rows.select("id", "x").mapInPandas(assign, "id string, x array<double>, leaf bigint")
-    placed = staged(leaf, "knn-leaves")
-    sizes = placed.groupBy("leaf").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("parts")
-    )
-    salt = F.pmod(F.xxhash64("id", F.lit(seed)), F.col("parts"))
-    return (
-        placed.join(F.broadcast(sizes), "leaf")  # at most MAX_LEAVES rows
-        .select("id", "x", (F.col("leaf") * MAX_BLOCKS + salt).alias("block"))
-    )
-
-
-def nearest_neighbours(rows: DataFrame, k: int = 5, block_rows: int = 1_000, visitors: int = 20_000,
-                       seed: int = 42) -> DataFrame:
-    """(id, neighbours) for ``rows(id string, x array<double>)``: ids of the k nearest other rows."""
-    found = "id string, x array<double>, block bigint, radius double, distances array<double>, ids array<string>"
-
-    def within(pdf: pd.DataFrame) -> pd.DataFrame:
-        points = _matrix(pdf["x"])
-        _, distances, ids = zip(*_nearest(points, points, pdf["id"].to_numpy(), k))
-        radius = [d[-1] if len(d) == k else np.inf for d in distances]
-        return pdf[["id", "x", "block"]].assign(radius=radius, distances=distances, ids=ids)
-
-    placed = staged(_with_blocks(rows, block_rows, seed), "knn-blocks")
-    own = staged(placed.groupBy("block").applyInPandas(within, found), "knn-own")
-
-    # at most MAX_BLOCKS boxes of 2 x dimensions numbers
-    boxes = (
-        placed.select("block", F.posexplode("x").alias("axis", "v"))
-        .groupBy("block", "axis").agg(F.min("v").alias("low"), F.max("v").alias("high"))
-        .groupBy("block").agg(F.sort_array(F.collect_list(F.struct("axis", "low", "high"))).alias("b"))
-        .select("block", F.col("b.low").alias("low"), F.col("b.high").alias("high"))
-        .toPandas()
-    )
-    if len(boxes) > 1:
-        names = boxes["block"].to_numpy()
-        low, high = _matrix(boxes["low"]), _matrix(boxes["high"])
-
-        def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            step = max(1, _CELLS_PER_STEP // len(names))
-            for batch in batches:
-                for start in range(0, len(batch), step):
-                    part = batch.iloc[start:start + step]
-                    points = _matrix(part["x"])
-                    gap = np.zeros((len(part), len(names)))
-                    for axis in range(points.shape[1]):
-                        v = points[:, axis, None]
-                        gap += np.maximum(0, np.maximum(low[None, :, axis] - v, v - high[None, :, axis])) ** 2
-                    near = np.sqrt(gap) < part["radius"].to_numpy()[:, None]
-                    near &= part["block"].to_numpy()[:, None] != names[None, :]
-                    row, box = np.nonzero(near)
-                    yield part.iloc[row][["id", "x", "radius"]].assign(block=names[box])
-
-        asked = staged(own.select("id", "x", "block", "radius")
-                       .mapInPandas(visits, "id string, x array<double>, radius double, block bigint"), "knn-visits")
-        load = asked.groupBy("block").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(visitors)).cast("bigint").alias("copies")
-        )
-        asked = asked.join(F.broadcast(load), "block").withColumn(
-            "copy", F.pmod(F.xxhash64("id"), F.col("copies"))
-        ).drop("copies")
-        members = placed.join(F.broadcast(load), "block").withColumn(
-            "copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1))
-        ).drop("copies")
-
-        def search(query: pd.DataFrame, member: pd.DataFrame) -> pd.DataFrame:
-            found = []
-            if len(query) and len(member):
-                found = list(_nearest(_matrix(query["x"]), _matrix(member["x"]), member["id"].to_numpy(), k,
-                                      query["radius"].to_numpy()))
-            names = query["id"].to_numpy()
-            return pd.DataFrame({
-                "id": pd.Series([names[i] for i, _, _ in found], dtype=object),
-                "distances": pd.Series([d for _, d, _ in found], dtype=object),
-                "ids": pd.Series([n for _, _, n in found], dtype=object),
-            })
-
-        more = asked.groupBy("block", "copy").cogroup(members.groupBy("block", "copy")).applyInPandas(
-            search, "id string, distances array<double>, ids array<string>")
-        candidates = own.select("id", "distances", "ids").unionByName(more)
-    else:
-        candidates = own.select("id", "distances", "ids")
+            codes = _codes(_projected(_points(batch.column(1)), directions), low, high)
+            for t in range(tables):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(batch.num_rows, t)), pa.array(codes[:, t]), batch.column(0), batch.column(1)], ["t", "code", "id", "x"])
 
+    spread = rows.select("id", "x").mapInArrow(coded, "t long, code long, id string, x array<double>")
+    placed = with_positions(spread, F.col("t"), F.col("code"), F.col("id"))
+    # the tables' buckets begin at different places, so that the same two rows are not parted again and again
+    shift = F.floor(F.col("t") * window / tables)
+    bucket = F.floor((F.col("position") - F.col("t") * total + shift) / window)
+    return placed.select((F.col("t") * F.lit(2 ** 40) + bucket).cast("long").alias("bucket"), "id", "x")
+
+
+def _best(candidates: DataFrame, k: int) -> DataFrame:
+    """The k first different candidates of each id by (distance, id)."""
     pairs = candidates.select("id", F.arrays_zip("distances", "ids").alias("c"))
-    merged = pairs.groupBy("id").agg(F.sort_array(F.flatten(F.collect_list("c"))).alias("c"))
-    return merged.select("id", F.slice(F.col("c.ids"), 1, k).alias("neighbours"))
+    merged = pairs.groupBy("id").agg(F.slice(F.array_distinct(F.sort_array(F.flatten(F.collect_list("c")))), 1, k).alias("c"))
+    return merged.select("id", F.col("c.distances").alias("distances"), F.col("c.ids").alias("ids"))
+
+
+def _refined(near: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """Compare each row with its neighbours' neighbours."""
+    step = near.select("id", F.explode("ids").alias("via"))
+    more = step.join(near.select(F.col("id").alias("via"), F.col("ids").alias("reach")), "via")
+    pairs = more.select("id", F.explode("reach").alias("other")).where("id <> other").distinct()
+    a = rows.select("id", F.col("x").alias("a"))
+    b = rows.select(F.col("id").alias("other"), F.col("x").alias("b"))
+    both = pairs.join(b, "other").join(a, "id").select("id", "other", "a", "b")
+
+    def measure(batches):
+        for batch in batches:
+            if batch.num_rows:
+                gap = distances(_points(batch.column(2)), _points(batch.column(3)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gap)], ["id", "other", "gap"])
+
+    found = both.mapInArrow(measure, "id string, other string, gap double")
+    listed = found.select("id", F.array("gap").alias("distances"), F.array("other").alias("ids"))
+    return _best(near.unionByName(listed), k)
+
+
+def nearest_neighbours(rows: DataFrame, k: int = 5, seed: int = 42, tables: int = 10, window: int = 512,
+                       rounds: int = 2) -> DataFrame:
+    """(id, neighbours) for ``rows(id string, x array<double>)`` with distinct ids: the k nearest other rows found,
+    nearest first, ties to the smaller id. ``rounds`` is how often neighbours of neighbours are tried."""
+    rows = staged(rows.select("id", "x"), "knn-rows")
+    total = rows.count()
+    if total == 0:
+        return rows.select("id", F.lit(None).cast("array<string>").alias("neighbours"))
+    held = 2 * k  # more than are asked for, as stepping stones
+    if total <= window:
+        tables, rounds = 1, 0  # one bucket, which is exact
+
+    def within(bucket: pd.DataFrame) -> pd.DataFrame:
+        gaps, ids = zip(*_nearest(_matrix(bucket["x"]), bucket["id"].to_numpy(), held))
+        return pd.DataFrame({"id": bucket["id"].to_numpy(), "distances": pd.Series(gaps, dtype=object), "ids": pd.Series(ids, dtype=object)})
+
+    found = _dealt(rows, total, tables, window, seed).groupBy("bucket").applyInPandas(
+        within, "id string, distances array<double>, ids array<string>")
+    near = staged(_best(found, held), "knn-found")
+    for _ in range(rounds):
+        near = staged(_refined(near, rows, held), "knn-refined")
+    return near.select("id", F.slice("ids", 1, k).alias("neighbours"))

@@ -13,7 +13,7 @@ _UNIT = 2 ** 32
 
 
 def smote(df: DataFrame, features: list[str], label: str = "is_default", key: str = "loan_id",
-          k: int = 5, seed: int = 42, block_rows: int = 1_000) -> DataFrame:
+          k: int = 5, seed: int = 42) -> DataFrame:
     """(key, label, x): all rows, plus synthetic rows until both classes are equally frequent.
 
     A synthetic row lies on the segment from a minority row to one of its k nearest minority rows.
@@ -33,7 +33,7 @@ def smote(df: DataFrame, features: list[str], label: str = "is_default", key: st
         return out
     each, rest = divmod(need, sizes[minority])
     rows = base.where(F.col("y") == minority).select("id", "x")
-    near = nearest_neighbours(rows, k, block_rows=block_rows, seed=seed)
+    near = nearest_neighbours(rows, k, seed=seed)
     quota = lowest_hashed(rows.select("id"), ["id"], lambda n: F.lit(rest), seed) if rest else \
         rows.select("id", F.lit(False).alias("chosen"))
     wanted = (

@@ -5,9 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,11 +14,11 @@ from pyspark.sql import functions as F
 from riskweave import fixed_values as V
 from riskweave.functions.numeric import round_half_even, round_half_up
 from riskweave.functions.risk import risk_tier
+from riskweave.models import boosting
+from riskweave.models.boosting import BoostedTrees
 from riskweave.models.isolation import IsolationForest, fit_isolation_forest
-from riskweave.models.metrics import auc_roc
 from riskweave.models.smote import smote
 from riskweave.models.split import stratified_split
-from riskweave.operators.ranking import lowest_hashed
 from riskweave.session import scratch_path, staged
 
 
@@ -61,67 +59,9 @@ def fit_logistic(train: DataFrame, label: str = "is_default", column: str = "sca
     return LogisticRegressionModel.load(path)
 
 
-def fit_boosted_trees(train: DataFrame, label: str = "is_default", key: str = "loan_id",
-                      trees: int = 300, depth: int = 6, learning_rate: float = 0.05,
-                      row_share: float = 0.8, column_share: float = 0.8, min_rows: int = 20,
-                      validation: float = 0.1, patience: int = 20, seed: int = 42,
-                      history: list[float] | None = None) -> GBTClassificationModel:
-    """Boosted trees on the unbalanced training part, positives weighted by negatives/positives.
-
-    A slice of the training part decides the number of trees: growing ends once its AUC has not
-    improved for ``patience`` rounds, and the trees up to the best round are kept.  The test part
-    is never looked at.  The built-in early stop has no patience and would end after a few rounds.
-    ``history``, if given, receives the AUC of the slice after every round that was grown.
-    ``min_rows`` of 20 is a child weight of 5, where one row weighs p(1 - p), at most a quarter.
-    """
-    sizes = {r[label]: r["count"] for r in train.groupBy(label).count().collect()}  # two classes
-    weight = F.when(F.col(label) == 1, F.lit(sizes[0] / sizes[1])).otherwise(1.0)
-    weighted = train.withColumn("_weight", weight)
-
-    def grow(rows: DataFrame, rounds: int) -> GBTClassificationModel:
-        return GBTClassifier(
-            featuresCol="features", labelCol=label, weightCol="_weight", maxIter=rounds, maxDepth=depth,
-            stepSize=learning_rate, subsamplingRate=row_share, featureSubsetStrategy=str(column_share),
-            minInstancesPerNode=min_rows, seed=seed,
-        ).setProbabilityCol("xgb_vector").setRawPredictionCol("xgb_raw").setPredictionCol("xgb_class").fit(rows)
-
-    marked = lowest_hashed(
-        weighted, [key], lambda n: F.ceil(n * F.lit(validation)), f"validation-{seed}", [label], "_held"
-    )
-    marked = staged(marked.select(key, label, "features", "_weight", "_held"), "boosting")
-    held, rest = marked.where("_held"), marked.where("NOT _held")
-    rounds = min(trees, 2 * patience)
-    while True:
-        model = grow(rest, rounds)
-        curve = auc_by_round(model, held, label)
-        best = curve.index(max(curve)) + 1
-        if rounds == trees or rounds - best >= patience:
-            break
-        rounds = min(trees, 2 * rounds)
-    if history is not None:
-        history.extend(curve)
-    return model if best == rounds else grow(rest, best)
-
-
-def auc_by_round(model: GBTClassificationModel, rows: DataFrame, label: str) -> list[float]:
-    """AUC on ``rows`` after each boosting round, all rounds in one pass over the rows."""
-    scored, parts = rows.select(label, "features"), []
-    for k, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
-        scored = tree.copy({tree.predictionCol: f"_t{k}"}).transform(scored)
-        parts.append(F.col(f"_t{k}") * F.lit(float(weight)))
-    margin = "aggregate(slice(parts, 1, k), 0D, (a, x) -> a + x)"
-    steps = F.expr(f"transform(sequence(1, {len(parts)}), k -> 1 / (1 + exp(-2 * {margin})))")
-    by_round = scored.select(label, F.array(*parts).alias("parts")).select(
-        label, F.posexplode(steps).alias("round", "score"))
-    found = {r["round"]: r["auc_roc"] for r in auc_roc(by_round, "score", label, by=["round"]).collect()}
-    # a slice of one class only has no curve; every round is as good as another
-    return [found.get(k) or 0.0 for k in range(len(parts))]
-
-
-def feature_importances(spark: SparkSession, model: GBTClassificationModel, features: list[str],
-                        top: int | None = None) -> DataFrame:
-    """(feature, importance) adding up to 1, highest first."""
-    rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
+def feature_importances(spark: SparkSession, model: BoostedTrees, top: int | None = None) -> DataFrame:
+    """(feature, importance) adding up to 1, highest first: the mean gain of the feature's splits."""
+    rows = list(zip(model.features, model.importances()))
     out = spark.createDataFrame(rows, "feature string, importance double")
     out = out.orderBy(F.desc("importance"), "feature")
     return out.limit(top) if top else out
@@ -134,9 +74,8 @@ class TrainedModels:
     balanced: DataFrame        # key, label, x after synthetic balancing
     scaler: StandardScalerModel
     logistic: LogisticRegressionModel
-    boosted: GBTClassificationModel
+    boosted: BoostedTrees
     forest: IsolationForest
-    rounds: list[float]        # AUC of the held slice after each boosting round
 
     @property
     def train(self) -> DataFrame:
@@ -152,9 +91,9 @@ class TrainedModels:
         All models run over the same rows one after the other, so nothing has to be joined.
         """
         out = feature_vector(self.features).transform(df)
-        out = PipelineModel([self.scaler, self.logistic, self.boosted]).transform(out)
+        out = PipelineModel([self.scaler, self.logistic]).transform(out)
         out = out.withColumns({
-            "lr_default_prob": positive("lr_vector"), "xgb_default_prob": positive("xgb_vector"),
+            "lr_default_prob": positive("lr_vector"), "xgb_default_prob": self.boosted.probability(),
         }).select(*df.columns, "lr_default_prob", "xgb_default_prob")
         out = out.withColumn("ensemble_default_prob", (F.col("lr_default_prob") + F.col("xgb_default_prob")) / 2)
         return self.forest.score(out)
@@ -173,11 +112,9 @@ def train_models(frame: DataFrame, features: list[str] | None = None, label: str
     vectors = balanced.select(label, array_to_vector("x").alias("features"))
     scaler = fit_scaler(vectors)
     logistic = fit_logistic(scaler.transform(vectors), label)
-    rounds: list[float] = []
-    boosted = fit_boosted_trees(
-        feature_vector(features).transform(train), label, key, trees, depth, seed=seed, history=rounds)
+    boosted = boosting.fit(train, features, label, key, trees, depth, seed=seed)
     forest = fit_isolation_forest(train, features, key, isolation_trees, seed=seed)
-    return TrainedModels(list(features), split, balanced, scaler, logistic, boosted, forest, rounds)
+    return TrainedModels(list(features), split, balanced, scaler, logistic, boosted, forest)
 
 
 def score_frame(predicted: DataFrame, version: str = "v1.0", key: str = "loan_id",

@@ -3,12 +3,11 @@ from math import factorial
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from riskweave import catalog
-from riskweave.models import gates, isolation, metrics, neighbours, shapley, smote, split, training
+from riskweave.models import boosting, gates, isolation, metrics, neighbours, shapley, smote, split, training
 from riskweave.operators import mutations
 from riskweave.operators.lookups import check_no_leakage
 from riskweave.plans import views
@@ -21,42 +20,60 @@ def points_frame(spark, points):
                                  "id string, x array<double>")
 
 
-def check_neighbours(spark, points, k, block_rows, visitors=20_000):
-    got = {r["id"]: r["neighbours"] for r in
-           neighbours.nearest_neighbours(points_frame(spark, points), k, block_rows, visitors).collect()}
-    assert len(got) == len(points)
+def exact_neighbours(points, k):
     gaps = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2))
     np.fill_diagonal(gaps, np.inf)
-    for i in range(len(points)):
-        found = [int(n[1:]) for n in got[f"r{i:05d}"]]
-        assert len(set(found)) == min(k, len(points) - 1) and i not in found
-        # ids may differ among equally distant rows; the distances may not
-        assert np.allclose(gaps[i, found], np.sort(gaps[i])[:len(found)], atol=1e-9)
+    return gaps, np.array([np.lexsort((np.arange(len(points)), g))[:k] for g in gaps])
+
+
+def found_neighbours(spark, points, k, partitions=3, **options):
+    frame = points_frame(spark, points).repartition(partitions)
+    return {r["id"]: r["neighbours"] for r in neighbours.nearest_neighbours(frame, k, **options).collect()}
 
 
-def test_neighbours_in_one_block(spark):
-    check_neighbours(spark, np.random.default_rng(0).normal(size=(120, 4)), 5, 5_000)
+@pytest.mark.parametrize("n, width", [(120, 4), (4, 2), (2, 1), (1, 3)])
+def test_neighbours_in_one_bucket_are_exact(spark, n, width):
+    points = np.random.default_rng(n).normal(size=(n, width))
+    got = found_neighbours(spark, points, 5)
+    _, want = exact_neighbours(points, min(5, n - 1))
+    assert got == {f"r{i:05d}": [f"r{j:05d}" for j in row] for i, row in enumerate(want)}
 
 
-def test_neighbours_across_blocks(spark):
-    check_neighbours(spark, np.random.default_rng(1).normal(size=(400, 3)), 5, 30)
+@pytest.mark.parametrize("scale", [np.ones(6), np.logspace(0, 5, 20)])
+def test_neighbours_over_buckets_find_nine_of_ten_and_repeat(spark, scale):
+    points = np.random.default_rng(1).normal(size=(1500, len(scale))) * scale
+    got = found_neighbours(spark, points, 5, window=100)
+    gaps, want = exact_neighbours(points, 5)
+    hits = 0
+    for i in range(len(points)):
+        found = [int(x[1:]) for x in got[f"r{i:05d}"]]
+        assert len(set(found)) == 5 and i not in found and list(gaps[i, found]) == sorted(gaps[i, found])
+        hits += len(set(found) & set(want[i]))
+    assert hits >= 0.9 * 5 * len(points)
+    assert got == found_neighbours(spark, points, 5, partitions=7, window=100)
 
 
 def test_neighbours_with_a_third_of_the_rows_identical(spark):
-    points = np.random.default_rng(2).normal(size=(390, 3))
+    points = np.random.default_rng(2).normal(size=(600, 3))
     points[::3] = 0.1
-    check_neighbours(spark, points, 5, 20, visitors=7)
+    got = found_neighbours(spark, points, 5, window=40)
+    for i in range(0, 600, 3):
+        assert all(int(x[1:]) % 3 == 0 for x in got[f"r{i:05d}"]) and len(got[f"r{i:05d}"]) == 5
 
 
-def test_neighbours_of_few_rows(spark):
-    check_neighbours(spark, np.random.default_rng(3).normal(size=(4, 2)), 5, 2)
+def test_buckets_do_not_grow(spark):
+    points = np.random.default_rng(3).normal(size=(1000, 3))
+    points[:400] = 7.0
+    rows = points_frame(spark, points)
+    sizes = [r["count"] for r in neighbours._dealt(rows, 1000, 4, 64, 1).groupBy("bucket").count().collect()]
+    assert max(sizes) <= 64 and sum(sizes) == 4000
 
 
 def test_smote_balances_on_segments_and_repeats(spark):
     rng = np.random.default_rng(4)
     rows = [(f"L{i:04d}", int(i < 37), *map(float, rng.normal(size=3))) for i in range(300)]
     df = spark.createDataFrame(rows, "loan_id string, is_default int, a double, b double, c double")
-    out = smote.smote(df, ["a", "b", "c"], seed=9, block_rows=10)
+    out = smote.smote(df, ["a", "b", "c"], seed=9)
     sizes = {r["is_default"]: r["count"] for r in out.groupBy("is_default").count().collect()}
     assert sizes == {0: 263, 1: 263}
     minority = np.array([r[2:] for r in rows if r[1] == 1])
@@ -69,7 +86,7 @@ def test_smote_balances_on_segments_and_repeats(spark):
         on_segment = [
             abs(np.linalg.norm(x - minority[i]) + np.linalg.norm(minority[j] - x) - gaps[i, j]) < 1e-9 for j in near]
         assert any(on_segment)
-    again = {r["loan_id"]: r["x"] for r in smote.smote(df.repartition(7), ["a", "b", "c"], seed=9, block_rows=10)
+    again = {r["loan_id"]: r["x"] for r in smote.smote(df.repartition(7), ["a", "b", "c"], seed=9)
              .where("loan_id LIKE '%#%'").collect()}
     assert {k: list(v) for k, v in new.items()} == again
 
@@ -122,16 +139,17 @@ def test_average_path_values():
     assert isolation.average_path(256) == pytest.approx(10.244, abs=1e-3)
 
 
-def brute_shapley(nodes, point, n):
+def brute_shapley(tree, point, n):
     """Shapley values of the path-dependent expectation, by subset enumeration."""
-    def expectation(index, known):
-        node = nodes[index]
-        if node["left"] < 0:
-            return node["prediction"]
-        if node["feature"] in known:
-            child = node["left"] if point[node["feature"]] <= node["threshold"] else node["right"]
-            return expectation(child, known)
-        return sum(nodes[c]["cover"] / node["cover"] * expectation(c, known) for c in (node["left"], node["right"]))
+    def expectation(node, known):
+        feature = tree.feature[node]
+        if feature < 0:
+            return tree.value[node]
+        children = (2 * node + 1, 2 * node + 2)
+        if feature in known:
+            return expectation(children[int(point[feature] > tree.threshold[node])], known)
+        total = sum(tree.cover[c] for c in children)
+        return sum(tree.cover[c] / total * expectation(c, known) for c in children)
 
     out = np.zeros(n)
     for j in range(n):
@@ -143,27 +161,48 @@ def brute_shapley(nodes, point, n):
     return out
 
 
-def test_contributions_equal_brute_force_shapley_values():
-    rng = np.random.default_rng(6)
-    nodes = {}
+def random_tree(rng, depth, features):
+    tree = boosting.Tree.empty(depth)
 
-    def grow(index, depth, cover):
-        if depth == 4 or cover < 4:
-            nodes[index] = {"left": -1, "right": -1, "prediction": float(rng.normal()), "cover": cover}
+    def grow(node, level, cover):
+        tree.cover[node] = cover
+        if level == depth or cover < 4:
+            tree.value[node] = rng.normal()
             return
         left = int(rng.integers(1, cover))
-        nodes[index] = {"left": 2 * index + 1, "right": 2 * index + 2, "cover": cover, "prediction": 0.0,
-                        "feature": int(rng.integers(0, 4)), "threshold": float(rng.normal())}
-        grow(2 * index + 1, depth + 1, left)
-        grow(2 * index + 2, depth + 1, cover - left)
+        tree.feature[node], tree.threshold[node] = rng.integers(0, features), rng.normal()
+        grow(2 * node + 1, level + 1, left)
+        grow(2 * node + 2, level + 1, cover - left)
+
+    grow(0, 0, 4000)
+    return tree
+
 
-    grow(0, 0, 200)
-    leaves, base = shapley._leaves(nodes, 1.0)
-    model = shapley.TreeContributions(list("abcd"), leaves, base)
-    points = rng.normal(size=(25, 4))
-    got = model.explain(points)
-    expected = np.array([brute_shapley(nodes, p, 4) for p in points])
-    assert np.allclose(got, expected, atol=1e-12)
+@pytest.mark.parametrize("depth, features", [(1, 2), (4, 4), (7, 6)])
+def test_contributions_equal_brute_force_shapley_values(depth, features):
+    rng = np.random.default_rng(depth)
+    trees = [random_tree(rng, depth, features) for _ in range(2)]
+    model = boosting.BoostedTrees([f"f{i}" for i in range(features)], trees)
+    points = rng.normal(size=(12, features))
+    contributions = shapley.tree_contributions(model)
+    got = contributions.explain(points)
+    expected = np.array([sum(brute_shapley(t, p, features) for t in trees) for p in points])
+    assert np.allclose(got, expected, atol=1e-11)
+    assert np.allclose(got.sum(axis=1) + contributions.base, model.margin(points), atol=1e-11)
+
+
+def test_contributions_of_deep_paths():
+    """Twenty features on one path: subsets would be a million rows a leaf."""
+    rng = np.random.default_rng(5)
+    tree = boosting.Tree.empty(1)
+    tree.feature, tree.threshold = np.array([0, -1, -1], np.int32), np.zeros(3)
+    tree.value, tree.cover = np.array([0.0, 1.0, 2.0]), np.array([4.0, 1.0, 3.0])
+    leaf = shapley._Leaf(np.arange(20), np.full(20, -np.inf), np.zeros(20), rng.uniform(0.1, 0.9, 20), 1.5)
+    points = rng.normal(size=(5, 20))
+    out = np.zeros((5, 20))
+    leaf.add(points, out)
+    met = (points <= 0).all(axis=1)
+    assert np.allclose(out.sum(axis=1), 1.5 * (met - np.prod(leaf.share)), atol=1e-12)
 
 
 @pytest.fixture(scope="module")
@@ -227,24 +266,23 @@ def test_from_score_frame_to_early_warning(trained, spark, sf):
 
 
 def test_importances_sum_to_one(trained, spark):
-    rows = training.feature_importances(spark, trained.boosted, trained.features).collect()
+    rows = training.feature_importances(spark, trained.boosted).collect()
     assert sum(r["importance"] for r in rows) == pytest.approx(1.0)
     assert [r["importance"] for r in rows] == sorted((r["importance"] for r in rows), reverse=True)
-    assert training.feature_importances(spark, trained.boosted, trained.features, 10).count() == 10
+    assert training.feature_importances(spark, trained.boosted, 10).count() == 10
 
 
-def test_contributions_add_up_to_the_log_odds(trained, spark):
-    tables = shapley.tree_contributions(trained.boosted, trained.features, spark)
-    test = training.feature_vector(trained.features).transform(trained.test)
-    raw = trained.boosted.transform(test).select("loan_id", vector_to_array("xgb_vector")[1].alias("p"))
-    rows = shapley.shap_values(tables, trained.test).join(raw, "loan_id").select("shap", "shap_base", "p").collect()
-    for row in rows:
-        assert sum(row["shap"]) + row["shap_base"] == pytest.approx(np.log(row["p"] / (1 - row["p"])), abs=1e-9)
+def test_contributions_add_up_to_the_log_odds(trained):
+    scored = trained.test.withColumn("p", trained.boosted.probability())
+    explained = shapley.shap_values(shapley.tree_contributions(trained.boosted), scored)
+    row = shapley.additivity_violations(explained, "p", 1e-9).first()
+    assert row["explained_rows"] == trained.test.count() and row["violations"] == 0
+    moved = explained.withColumn("shap_base", F.col("shap_base") + 0.001)
+    assert shapley.additivity_violations(moved, "p").first()["violations"] == row["explained_rows"]
 
 
 def test_importance_and_direction(trained, spark):
-    tables = shapley.tree_contributions(trained.boosted, trained.features, spark)
-    explained = shapley.shap_values(tables, trained.test)
+    explained = shapley.shap_values(shapley.tree_contributions(trained.boosted), trained.test)
     importance = shapley.shap_importance(explained, trained.features, ordered=True).collect()
     assert len(importance) == 20 and importance[0]["mean_abs_shap"] >= importance[-1]["mean_abs_shap"] >= 0
     directions = shapley.shap_direction(explained, trained.features).collect()
@@ -253,14 +291,88 @@ def test_importance_and_direction(trained, spark):
     assert by_name.get("credit_score", "decreases default risk") == "decreases default risk"
 
 
-def test_boosting_stops_early_and_keeps_the_best_round(spark, sf):
-    frame = training.feature_vector(["credit_score", "dti_ratio"]).transform(
-        catalog.model_frame(spark, sf).select(
-            "loan_id", "is_default", *[F.col(c).cast("double").alias(c) for c in ("credit_score", "dti_ratio")]).na.drop())
-    curve = []
-    model = training.fit_boosted_trees(frame, trees=60, depth=2, learning_rate=0.5, patience=2, history=curve)
-    assert len(curve) < 60 and len(curve) % 4 == 0
-    assert model.getNumTrees == curve.index(max(curve)) + 1 and len(curve) - model.getNumTrees >= 2
+@pytest.fixture(scope="module")
+def learnable(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(3000, 4))
+    y = rng.uniform(size=3000) < 1 / (1 + np.exp(2 - 2 * x[:, 0] + 3 * (x[:, 1] > 0.5) * (x[:, 2] > 0)))
+    x[::50, 3] = np.nan
+    rows = [(f"L{i:05d}", int(v), *map(float, p)) for i, (v, p) in enumerate(zip(y, x))]
+    return staged(spark.createDataFrame(rows, "loan_id string, is_default int, a double, b double, c double, d double").repartition(4), "learnable")
+
+
+def exact_boosting(rows, names, rounds, depth, rate, min_weight, penalty):
+    """Boosting on all distinct values, rows and features, in plain arrays: the margin of every row."""
+    x, y = np.array([[r[n] for n in names] for r in rows], float), np.array([r["is_default"] for r in rows])
+    x = np.where(np.isnan(x), np.inf, x)
+    weight = np.where(y == 1, (y == 0).sum() / (y == 1).sum(), 1.0)
+    margin = np.zeros(len(y))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = weight * (p - y), weight * p * (1 - p)
+
+        def grow(at, level):
+            best = (0.0, None)
+            for f in range(len(names) if level < depth else 0):
+                for cut in np.unique(x[at, f]):
+                    left = at & (x[:, f] <= cut)
+                    right = at & ~left
+                    if min(h[left].sum(), h[right].sum()) >= min_weight:
+                        score = lambda m: g[m].sum() ** 2 / (h[m].sum() + penalty)
+                        gain = 0.5 * (score(left) + score(right) - score(at))
+                        if gain > best[0] + 1e-9:
+                            best = (gain, (left, right))
+            if best[1] is None:
+                margin[at] += -rate * g[at].sum() / (h[at].sum() + penalty)
+            else:
+                grow(best[1][0], level + 1)
+                grow(best[1][1], level + 1)
+
+        grow(np.ones(len(y), bool), 0)
+    return margin
+
+
+def test_boosting_equals_exact_boosting_on_few_values(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"L{i:04d}", int(rng.uniform() < (0.7 if a + b > 6 else 0.2)), float(a), float(b))
+            for i, (a, b) in enumerate(rng.integers(0, 8, (400, 2)))]
+    frame = spark.createDataFrame(rows, "loan_id string, is_default int, a double, b double")
+    model = boosting.fit(frame, ["a", "b"], trees=3, depth=3, learning_rate=0.3, row_share=1.0, column_share=1.0,
+                         min_weight=1.0, validation=0.0)
+    want = exact_boosting(frame.collect(), ["a", "b"], 3, 3, 0.3, 1.0, 1.0)
+    assert np.allclose(model.margin(np.array([r[2:] for r in rows])), want, atol=1e-4)
+
+
+def test_boosting_learns_and_repeats_on_other_partitions(learnable):
+    names = ["a", "b", "c", "d"]
+    model = boosting.fit(learnable, names, trees=14, depth=4, learning_rate=0.3, patience=14)
+    again = boosting.fit(learnable.repartition(7), names, trees=14, depth=4, learning_rate=0.3, patience=14)
+    assert model.history == again.history and max(model.history) > 0.85
+    points = np.array([[r[n] for n in names] for r in learnable.collect()], float)
+    assert np.array_equal(model.margin(points), again.margin(points))
+    scored = learnable.withColumn("p", model.probability()).collect()
+    assert np.allclose([r["p"] for r in scored], 1 / (1 + np.exp(-model.margin(points))))
+    assert sum(model.importances()) == pytest.approx(1) and np.argmax(model.importances()) < 3
+
+
+def test_boosting_goes_on_from_a_model(learnable):
+    options = {"depth": 3, "learning_rate": 0.2, "patience": 100, "validation": 0.2}
+    whole = boosting.fit(learnable, ["a", "b", "c"], trees=12, **options)
+    part = boosting.fit(learnable, ["a", "b", "c"], trees=5, **options)
+    part = boosting.BoostedTrees(part.features, part.trees, part.history[: part.rounds])
+    rest = boosting.fit(learnable, ["a", "b", "c"], trees=12, start=part, **options)
+    assert 0 < part.rounds <= 5 and rest.history == whole.history and rest.rounds == whole.rounds
+
+
+def test_boosting_stops_by_patience_and_keeps_the_best_round(learnable):
+    model = boosting.fit(learnable, ["a", "b"], trees=200, depth=3, learning_rate=0.6, patience=4)
+    best = model.history.index(max(model.history)) + 1
+    assert model.rounds == best and len(model.history) == best + 4 < 200
+
+
+def test_boosting_needs_two_classes(learnable):
+    with pytest.raises(ValueError):
+        boosting.fit(learnable.where("is_default = 0"), ["a"])
 
 
 @pytest.mark.parametrize("n", [100, 300, 600])
