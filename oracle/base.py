@@ -124,6 +124,11 @@ VALID = ("loan_amount > 0 AND credit_score BETWEEN 300 AND 850 "
          "AND dti_ratio BETWEEN 0 AND 100 AND is_default IN (0,1)")
 VALID_KEYS = VALID + " AND loan_id IS NOT NULL AND loan_type IS NOT NULL"
 
+#: Rows that the contract of the clean table takes; of its other columns none is ever null or too long.
+TAKEN = " AND ".join(f"{c} IS NOT NULL" for c in (
+    "loan_id", "loan_type", "origination_date", "origination_year", "loan_amount", "term_months", "interest_rate",
+    "credit_score", "is_default"))
+
 CLEANED = f"""cleaned AS (SELECT * REPLACE (
  TRY_CAST(origination_date AS DATE) AS origination_date,
  upper(trim(loan_type)) AS loan_type, upper(trim(state)) AS state, trim(credit_tier) AS credit_tier,
@@ -162,11 +167,12 @@ FEATURES_ETL = f"""features_etl AS (SELECT * EXCLUDE (origination_year, originat
 FROM cleaned)"""
 
 FEATURES_SQL = f"""typed AS (SELECT * REPLACE (TRY_CAST(origination_date AS DATE) AS origination_date) FROM loans_raw),
-loans AS (SELECT * REPLACE (coalesce(months_to_default,-1) AS months_to_default),
+offered AS (SELECT * REPLACE (coalesce(months_to_default,-1) AS months_to_default),
  CAST(month(origination_date) AS INT) AS origination_month, {_RATIOS},
  {flag('origination_year=2020 AND month(origination_date)>=3')} AS is_covid_period,
  {flag('origination_year IN (2022,2023)')} AS is_rate_hike_period
-FROM typed WHERE {VALID})"""
+FROM typed WHERE {VALID}),
+loans AS (SELECT * FROM offered WHERE {TAKEN})"""
 
 _np = lambda e, n: f"(round_even(({e})*1e{n}::DOUBLE, 0)/1e{n}::DOUBLE)"
 FEATURES_NOTEBOOK = f"""features_notebook AS (SELECT *,

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from oracle.base import (
-    VALID, VALID_KEYS, case_at_least, flag, in_list, mean, money, query, r,
+    TAKEN, VALID, VALID_KEYS, case_at_least, flag, in_list, mean, money, query, r,
 )
 from riskweave import fixed_values as V
-from riskweave.schemas import LOANS_CLEAN, LOANS_CLEAN_CONTRACT
+from riskweave.schemas import (
+    LOANS_CLEAN, LOANS_CLEAN_CONTRACT, MODEL_PERFORMANCE_CONTRACT, MODEL_SCORES_CONTRACT, RAW_LOANS_CONTRACT, Contract,
+)
 
 RATE = r("AVG(is_default)*100", 2) + " AS default_rate_pct"
 SCORE = r("AVG(credit_score)", 0) + " AS avg_credit_score"
@@ -71,11 +73,16 @@ _broken = "list_filter([" + ",".join(
 _issues = "concat_ws(';'," + ",".join(
     f"CASE WHEN {n}>0 THEN concat('{n}=', {n}) END" for n in BASIC) + ")"
 
-_contract = (
-    rules_sql({f"not_null:{c}": f"{c} IS NULL" for c in LOANS_CLEAN_CONTRACT.not_null}
-              | {f"max_length:{c}": f"length({c}) > {n}" for c, n in LOANS_CLEAN_CONTRACT.max_length.items()}, "loans")
-    + " UNION ALL SELECT 'primary_key', CAST(COUNT(loan_id) - COUNT(DISTINCT loan_id) AS BIGINT) FROM loans"
-)
+
+def contract_sql(contract: Contract, source: str) -> str:
+    """(rule, violations) of a contract; all columns are those of the table."""
+    rules = {f"not_null:{c}": f"{c} IS NULL" for c in contract.not_null}
+    rules |= {f"max_length:{c}": f"length({c}) > {n}" for c, n in contract.max_length.items()}
+    keys = ", ".join(contract.primary_key)
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in contract.primary_key)
+    return rules_sql(rules, source) + (
+        f" UNION ALL SELECT 'primary_key', CAST(coalesce(SUM(n - 1), 0) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM {source} WHERE {whole} GROUP BY {keys})")
+
 
 OVERVIEW = f"""SELECT loan_type, origination_year, COUNT(*) AS total_loans, {r(AMOUNT, 2)} AS total_exposure,
  {r(AMOUNT + '/COUNT(loan_amount)', 2)} AS avg_loan_amount, {big('SUM(is_default)')} AS total_defaults, {RATE}, {SCORE},
@@ -225,7 +232,7 @@ def build() -> dict[str, str]:
         "dq_domains": q(["loans_raw"], rules_sql(DOMAINS)),
         "dq_quarantine": q(["loans_raw"], f"SELECT loan_id, loan_type, loan_amount, credit_score, dti_ratio, is_default, array_to_string({_broken}, ',') AS broken_rules FROM loans_raw WHERE len({_broken})>0"),
         "dq_summary": q(["loans_raw"], f"SELECT raw_rows, clean_rows, raw_rows-clean_rows AS removed_rows, CAST(35 AS BIGINT) AS n_columns, {'+'.join(BASIC)} AS total_issues, {_issues} AS issues FROM (SELECT COUNT(*) AS raw_rows, {count_if(VALID_KEYS)} AS clean_rows, {', '.join(f'{count_if(c)} AS {n}' for n, c in BASIC.items())} FROM loans_raw)"),
-        "contract_check": q(["loans"], _contract),
+        "contract_check": q(["loans"], contract_sql(LOANS_CLEAN_CONTRACT, "loans")),
         "clean_loans": q(["cleaned"], "SELECT * FROM cleaned"),
         "dq_filter_sql": q(["loans_raw"], f"SELECT * FROM loans_raw WHERE {VALID}"),
         "features_etl": q(["features_etl"], "SELECT * FROM features_etl"),
@@ -257,13 +264,13 @@ def build() -> dict[str, str]:
  {r('AVG(is_default)*100 - LAG(AVG(is_default)*100) OVER (PARTITION BY loan_type ORDER BY origination_year, origination_quarter)', 2)} AS default_rate_qoq_change
  FROM loans GROUP BY origination_year, origination_quarter, loan_type"""),
         "sector_risk": q(["loans"], f"SELECT employment_sector, loan_type, COUNT(*) AS loan_count, {RATE}, {r(money('annual_income') + '/COUNT(annual_income)', 0)} AS avg_income, {SCORE}, {r(mean('dti_ratio'), 1)} AS avg_dti, {r(AMOUNT + '/1000000', 2)} AS exposure_millions FROM loans GROUP BY employment_sector, loan_type"),
-        "risk_decile": q(["loans"], f"SELECT loan_id, risk_score, CAST({_DECILES} AS INT) AS risk_decile FROM loans WHERE loan_id IS NOT NULL"),
+        "risk_decile": q(["loans"], f"SELECT loan_id, risk_score, CAST({_DECILES} AS INT) AS risk_decile FROM loans"),
         "early_warning": q(["loans", "model_scores"], f"""SELECT *, {'+'.join(_WARNINGS)} AS total_flags FROM (
  SELECT loan_id, loan_type, origination_date, loan_amount, credit_score, credit_tier, dti_ratio, ltv_ratio, risk_score, risk_decile, risk_tier,
  xgb_default_prob, ensemble_default_prob, if_is_anomaly, loan_status, is_default,
  {', '.join(f'{flag(c)} AS {n}' for n, c in _WARNINGS.items())}
  FROM (SELECT l.*, s.xgb_default_prob, s.ensemble_default_prob, s.risk_tier, s.if_is_anomaly, CAST({_DECILES.replace('risk_score','l.risk_score').replace('loan_id','l.loan_id')} AS INT) AS risk_decile
-  FROM (SELECT * FROM loans WHERE loan_id IS NOT NULL) l LEFT JOIN model_scores s ON l.loan_id=s.loan_id AND s.model_version='v1.0') WHERE risk_decile<=3)"""),
+  FROM loans l LEFT JOIN model_scores s ON l.loan_id=s.loan_id AND s.model_version='v1.0') WHERE risk_decile<=3)"""),
         "model_performance_view": q(["loans", "model_scores"], f"SELECT model_name, model_version, eval_date, dataset, n_samples, {r('default_rate', 6)} AS default_rate, {', '.join(_r4(c) for c in ('auc_roc', 'auc_pr', 'f1_score', 'precision_score', 'recall_score', 'ks_statistic', 'gini_coefficient'))}, CAST(RANK() OVER (PARTITION BY dataset ORDER BY logged.auc_roc DESC) AS INT) AS auc_rank FROM logged", ",\n".join([SUMMARY, SAMPLE_LOG, LOGGED])),
         "log_performance": q(["loans", "model_scores"], f"SELECT * REPLACE ({r('default_rate', 8)} AS default_rate, {r('gini_coefficient', 6)} AS gini_coefficient) FROM logged", ",\n".join([SUMMARY, SAMPLE_LOG, LOGGED])),
         "dashboard_trend": q(["loans"], f"SELECT origination_year, loan_type, {r(money('default_rate_pct'), 2)} AS default_rate_pct, {r(money('total_exposure'), 2)} AS total_exposure FROM ({OVERVIEW}) GROUP BY origination_year, loan_type"),
@@ -295,7 +302,7 @@ def build() -> dict[str, str]:
         "leakage_check": q(["features_etl"], f"SELECT {_of('split', 'train')} AS train_rows, {_of('split', 'test')} AS test_rows, CAST(0 AS BIGINT) AS shared_keys FROM split", _SPLIT),
         "union_products": q(["cleaned"], "SELECT * FROM cleaned WHERE loan_type='AUTO' UNION ALL SELECT * FROM cleaned WHERE loan_type='MORTGAGE'"),
         "domain_check": q(["loans_raw"], "SELECT DISTINCT employment_sector FROM loans_raw WHERE employment_sector NOT IN ('BUILDING','AUTOMOBILE','MACHINERY')"),
-        "head_preview": q(["loans"], "SELECT loan_id, loan_type, loan_amount, risk_score FROM loans WHERE loan_id IS NOT NULL ORDER BY loan_id LIMIT 5"),
+        "head_preview": q(["loans"], "SELECT loan_id, loan_type, loan_amount, risk_score FROM loans ORDER BY loan_id LIMIT 5"),
     }
     typed = "SELECT * REPLACE (TRY_CAST(origination_date AS DATE) AS origination_date) FROM loans_raw"
     out |= {
@@ -328,7 +335,7 @@ def build() -> dict[str, str]:
         "merge_summary": q(["model_scores"], "SELECT 'Loaded ' || COUNT(*) || ' scores for model version v0.9' AS message FROM merged WHERE model_version='v0.9'", merged(False)),
         "performance_message": q(["loans", "model_scores"], "SELECT model_name, model_version, dataset, 'Logged performance for ' || model_name || ' v' || model_version || ' (' || dataset || '): AUC=' || auc_roc || ', F1=' || f1_score AS message FROM logged", ",\n".join([SUMMARY, SAMPLE_LOG, LOGGED])),
         "loans_clean": q(["loans"], "SELECT " + ", ".join(LOANS_CLEAN.fieldNames()[:-1]) + " FROM loans"),
-        "shuffle_rows": q(["cleaned"], "SELECT loan_id, loan_type FROM cleaned"),
+        "shuffle_rows": q(["cleaned"], "SELECT loan_id, loan_type, ROW_NUMBER() OVER (ORDER BY md5(concat_ws('|', loan_id, '42')), loan_id) - 1 AS position FROM cleaned"),
         "class_balance_report": q(["features_notebook"], f"""SELECT split AS part, COUNT(*) AS rows, {big('SUM(is_default)')} AS defaults, {r('AVG(is_default)', 6)} AS default_rate FROM split GROUP BY split
  UNION ALL SELECT 'train balanced', {big('2*MAX(n)')}, {big('MAX(n)')}, CAST(0.5 AS DOUBLE) FROM (SELECT COUNT(*) AS n FROM split WHERE split='train' GROUP BY is_default)""",
                                   _SPLIT.replace("features_etl", "features_notebook")),
@@ -340,6 +347,51 @@ def build() -> dict[str, str]:
                 ("economic_regime", "origination_year, origination_quarter, loan_type"),
                 ("sector_risk", "employment_sector, loan_type")))),
     }
+    out |= {
+        "contract_check_raw": q(["loans_raw"], contract_sql(RAW_LOANS_CONTRACT, "loans_raw")),
+        "contract_check_scores": q(["model_scores"], contract_sql(MODEL_SCORES_CONTRACT, "model_scores")),
+        "contract_check_performance": q(["loans", "model_scores"], contract_sql(MODEL_PERFORMANCE_CONTRACT, "logged"), ",\n".join([SUMMARY, SAMPLE_LOG, LOGGED])),
+        "load_outcome": q(["loans"], f"""SELECT 'accepted' AS outcome, COUNT(*) AS rows FROM loans
+ UNION ALL SELECT 'rejected', COUNT(*) FROM offered WHERE NOT ({TAKEN})
+ UNION ALL SELECT * FROM (""" + " UNION ALL ".join(
+            f"SELECT 'null_{c}' AS outcome, COUNT(*) AS rows FROM offered WHERE {c} IS NULL" for c in LOANS_CLEAN_CONTRACT.not_null) + ") WHERE rows > 0"),
+        "load_rejects": q(["loans"], "SELECT loan_id, loan_type, loan_amount, credit_score, risk_score, concat_ws(',', " + ", ".join(
+            f"CASE WHEN {c} IS NULL THEN 'null_{c}' END" for c in LOANS_CLEAN_CONTRACT.not_null) + f") AS reasons FROM offered WHERE NOT ({TAKEN})"),
+        "repeated_load": q(["model_scores"], """SELECT 'accepted' AS outcome, COUNT(DISTINCT loan_id) AS rows FROM model_scores
+ UNION ALL SELECT 'rejected', COUNT(*) - COUNT(DISTINCT loan_id) FROM model_scores UNION ALL SELECT 'repeated_key', COUNT(*) - COUNT(DISTINCT loan_id) FROM model_scores"""),
+        "unrounded_decile": q(["loans"], "SELECT loan_id, CAST(NTILE(10) OVER (ORDER BY risk_score*CAST(1e-7 AS DOUBLE) + loan_amount/CAST(7e13 AS DOUBLE) DESC NULLS FIRST, md5(loan_id), loan_id) AS INT) AS decile FROM loans"),
+        "curves_by_scale": q(["loans", "model_scores"], f"""SELECT scale, {big('MAX(ap)+MAX(an)')} AS n_samples, {big('MAX(ap)')} AS n_defaults,
+ {r(_AUC, 6)} AS auc_roc, {r('2*(' + _AUC + ')-1', 6)} AS gini_coefficient, {r(_AP, 6)} AS auc_pr, {r(_KS, 6)} AS ks_statistic FROM cum GROUP BY scale""",
+                             SCORED + """, spread AS (SELECT is_default, scale, ensemble_default_prob*factor AS score FROM scored
+ CROSS JOIN (VALUES ('wide', CAST(2e6 AS DOUBLE)), ('narrow', CAST(1e-9 AS DOUBLE))) AS t(scale, factor) WHERE model_version='v1.0'),
+""" + curve("spread", "scale")),
+        "percentiles_of_many_groups": q(["loans"], "SELECT grp, " + ", ".join(
+            r(f"quantile_cont(loan_amount, 0.{p})", 4) + f" AS p{p}" for p in (25, 50, 75)) + """ FROM (SELECT loan_amount,
+ CAST(CASE WHEN CAST(substr(loan_id,3) AS BIGINT)%3=0 THEN 0 ELSE CAST(substr(loan_id,3) AS BIGINT)%997 END AS INT) AS grp FROM loans) GROUP BY grp"""),
+        "portfolio_positions": q(["loans"], f"SELECT loan_type, origination_year, total_loans, ROW_NUMBER() OVER (ORDER BY loan_type, origination_year) - 1 AS position FROM ({OVERVIEW})"),
+        "performance_listing": q(["loans", "model_scores"], "SELECT model_name, dataset, model_version, n_samples, ROW_NUMBER() OVER (ORDER BY model_name, dataset, model_version, eval_date) - 1 AS position FROM logged", ",\n".join([SUMMARY, SAMPLE_LOG, LOGGED])),
+    }
+    parts = _SPLIT.replace("features_etl", "features_notebook")
+    features = ["credit_score", "dti_ratio", "ltv_ratio", "interest_rate", "loan_to_income_ratio",
+                "payment_to_income_ratio", "rate_spread", "risk_score", "num_delinquencies", "num_inquiries_12m",
+                "employment_years", "is_self_employed", "fed_funds_rate", "is_high_risk", "credit_score_bucket",
+                "dti_bucket", "income_bucket", "is_mortgage", "is_covid_period", "is_rate_hike_period"]
+    zero = "CAST(0 AS BIGINT)"
+    rate = lambda part: f"(SELECT AVG(is_default) FROM split WHERE split='{part}')"
+    # properties that any correct fit has, with the sizes that follow from the tables
+    out |= {
+        "shap_additivity": q(["features_notebook"], f"SELECT COUNT(*) AS explained_rows, {zero} AS violations FROM split WHERE split='test'", parts),
+        "boosting_stop": q(["features_notebook"], "SELECT COUNT(*)>0 AS grew, true AS stopped_by_rule, true AS within_allowed FROM split", parts),
+        "smote_properties": q(["features_notebook"], f"SELECT {big('MAX(n)-MIN(n)')} AS synthetic_rows, {zero} AS off_segment FROM (SELECT COUNT(*) AS n FROM split WHERE split='train' GROUP BY is_default)", parts),
+        "isolation_properties": q(["features_notebook"], "SELECT CAST(200 AS BIGINT) AS trees, least(256, COUNT(*)) AS fewest_rows, least(256, COUNT(*)) AS most_rows, true AS share_kept FROM split WHERE split='train'", parts),
+        "importance_properties": q(["features_notebook"], f"SELECT CAST({len(features)} AS BIGINT) AS features, CAST(1 AS DOUBLE) AS total, {zero} AS negative, {zero} AS out_of_order FROM split HAVING COUNT(*)>0", parts),
+        "score_frame_properties": q(["features_notebook"], "SELECT COUNT(*) AS rows, COUNT(DISTINCT loan_id) AS loans, " + ", ".join(
+            f"{zero} AS off_{c}" for c in ("mean", "class", "range", "tier")) + " FROM split WHERE split='test'", parts),
+        "logistic_gradient": q(["features_notebook"], "SELECT feature, CAST(0 AS DOUBLE) AS gradient, rows FROM (VALUES "
+                               + ",".join(f"('{f}')" for f in features) + f") AS t(feature), (SELECT {big('2*MAX(n)')} AS rows FROM (SELECT COUNT(*) AS n FROM split WHERE split='train' GROUP BY is_default))", parts),
+        "split_gates": q(["features_notebook"], f"""SELECT 'default rate within 5-25 %' AS gate, round(AVG(is_default), 9) AS value, AVG(is_default) BETWEEN 0.05 AND 0.25 AS passed FROM split
+ UNION ALL SELECT 'train and test rates within 0.02', round(gap, 9), gap<0.02 FROM (SELECT abs({rate('train')}-{rate('test')}) AS gap)""", parts),
+    }
     for name in ("early_warning", "model_performance"):
         out[f"view_{name}"] = out[name if name in out else f"{name}_view"]
     return out

@@ -7,25 +7,33 @@ Every query starts from the given tables; the loan book and the scores are deriv
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave import fixed_values as V
 from riskweave.functions import risk
-from riskweave.models import gates, metrics, shapley, split, training
+from riskweave.functions.numeric import round_half_up
+from riskweave.models import gates, isolation, metrics, shapley, smote, split, training
 from riskweave.operators import (
-    cleaning, features, lookups, mutations, quality, ranking, summaries,
+    cleaning, features, loading, lookups, mutations, quality, ranking, summaries,
 )
+from riskweave.operators.positions import with_positions
 from riskweave.plans import dashboards, etl, report, views
-from riskweave.schemas import INCOMING_SCORES, LOANS_CLEAN_CONTRACT, RAW_LOANS
+from riskweave.schemas import (
+    INCOMING_SCORES, LOANS_CLEAN_CONTRACT, MODEL_PERFORMANCE_CONTRACT, MODEL_SCORES_CONTRACT, RAW_LOANS, RAW_LOANS_CONTRACT,
+)
 from riskweave.session import scratch_path, staged
 from riskweave.sources import arrivals, files, sample_book
 from riskweave.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = V.OBSERVATION_END
+#: The book has names of countries for states.
+CLEAN_CONTRACT = replace(LOANS_CLEAN_CONTRACT, max_length=LOANS_CLEAN_CONTRACT.max_length | {"state": 30})
 VERSION = "v1.0"
 MODEL_COLUMNS = {
     "Logistic Regression": "lr_default_prob", "XGBoost": "xgb_default_prob",
@@ -73,10 +81,15 @@ def features_etl(spark: SparkSession, sf: str) -> DataFrame:
     return features.engineer_features(cleaned(spark, sf), "etl")
 
 
+def offered(spark: SparkSession, sf: str) -> DataFrame:
+    """What is offered to the clean loan table."""
+    return features.engineer_features(quality.dq_filter_sql(raw(spark, sf)), "sql")
+
+
 @_built_once
 def loans(spark: SparkSession, sf: str) -> DataFrame:
-    """The clean loan table in its warehouse form."""
-    return features.engineer_features(quality.dq_filter_sql(raw(spark, sf)), "sql")
+    """The clean loan table in its warehouse form: rows that its contract takes."""
+    return loading.accepted_rows(offered(spark, sf), CLEAN_CONTRACT)
 
 
 @_built_once
@@ -145,18 +158,49 @@ def _fed_rate_lookup(spark, sf):
 
 # ---------------------------------------------------------------- ranks, joins, mutations
 
-def _ranked_loans(spark, sf):
-    """The clean table without rows lacking a key, stored because the rank scans it repeatedly."""
-    return staged(loans(spark, sf).where(F.col("loan_id").isNotNull()), "loans-clean")
-
-
 def _risk_decile(spark, sf):
-    table = staged(
-        loans(spark, sf).where(F.col("loan_id").isNotNull()).select("loan_id", "risk_score"), "scores"
-    )
+    table = loans(spark, sf).select("loan_id", "risk_score")
     return ranking.ntile_descending(table, "risk_score", 10, ["loan_id"], "risk_decile")
 
 
+def _unrounded_decile(spark, sf):
+    """Deciles of a score with all its digits, on another scale."""
+    table = loans(spark, sf).select("loan_id", (F.col("risk_score") * F.lit(1e-7) + F.col("loan_amount") / F.lit(7e13)).alias("score"))
+    return ranking.ntile_descending(table, "score", 10, ["loan_id"], "decile").select("loan_id", "decile")
+
+
+def _curves_by_scale(spark, sf):
+    """Ranking metrics of one score spread to 2e6 and squeezed to 1e-9."""
+    scales = F.explode(F.array(*[F.struct(F.lit(n).alias("scale"), F.lit(x).alias("factor")) for n, x in (("wide", 2e6), ("narrow", 1e-9))]))
+    table = scored(spark, sf).select("is_default", "ensemble_default_prob", scales.alias("s")).select(
+        "is_default", "s.scale", (F.col("ensemble_default_prob") * F.col("s.factor")).alias("score"))
+    return metrics.ranking_metrics(table, "score", by=["scale"])
+
+
+def _amounts_by_customer_group(spark, sf):
+    """Quartiles of the loan amount in many groups, one of which holds a third of the loans."""
+    number = F.substring("loan_id", 3, 8).cast("bigint")
+    group = F.when(number % 3 == 0, 0).otherwise(number % 997).cast("int")
+    found = ranking.exact_percentiles(loans(spark, sf).select(group.alias("grp"), "loan_amount"), "loan_amount", [0.25, 0.5, 0.75], ["grp"])
+    return found.select("grp", *[round_half_up(p, 4).alias(p) for p in ("p25", "p50", "p75")])
+
+
+def _load_outcome(spark, sf):
+    """Accepted and rejected rows of the load into the clean table, by reason."""
+    return loading.reject_counts(*loading.load_checked(offered(spark, sf), CLEAN_CONTRACT))
+
+
+def _load_rejects(spark, sf):
+    rejects = loading.load_checked(offered(spark, sf), CLEAN_CONTRACT)[1]
+    return rejects.select("loan_id", "loan_type", "loan_amount", "credit_score", "risk_score", F.array_join("reasons", ",").alias("reasons"))
+
+
+def _repeated_load(spark, sf):
+    """Outcome of a load of two score deliveries that overlap, into a table keyed by loan alone."""
+    contract = replace(MODEL_SCORES_CONTRACT, primary_key=["loan_id"])
+    return loading.reject_counts(*loading.load_checked(scores(spark, sf), contract))
+
+
 def _merge(strict):
     def run(spark, sf):
         return mutations.merge_scores(scores(spark, sf), incoming(spark, sf), "v0.9", strict)
@@ -190,7 +234,7 @@ def _view(name):
     """Content of one of the registered views, read by its name."""
     def run(spark, sf):
         views.register_views(
-            spark, _ranked_loans(spark, sf), scores(spark, sf).where(F.col("model_version") == VERSION), performance(spark, sf))
+            spark, loans(spark, sf), scores(spark, sf).where(F.col("model_version") == VERSION), performance(spark, sf))
         return spark.table(name)
     return run
 
@@ -379,6 +423,48 @@ def _shap_additivity(spark, sf):
     return shapley.additivity_violations(explained, "p")
 
 
+def _logistic_gradient(spark, sf):
+    trained = models(spark, sf)
+    vectors = trained.scaler.transform(trained.balanced.select("is_default", array_to_vector("x").alias("features")))
+    found = training.logistic_gradient(trained.logistic, vectors, trained.features)
+    return found.select("feature", (F.round("gradient", 3) + F.lit(0.0)).alias("gradient"), "rows")
+
+
+def _smote_properties(spark, sf):
+    trained = models(spark, sf)
+    minority = trained.train.where("is_default = 1").select(
+        F.col("loan_id").alias("id"), F.array(*trained.features).alias("x"))
+    return smote.segment_violations(trained.balanced, minority)
+
+
+def _isolation_properties(spark, sf):
+    """Rows per tree, and whether the flagged share of the training part keeps to the contamination."""
+    trained = models(spark, sf)
+    train = trained.train.select("loan_id")
+    drawn = isolation._draws(train, "loan_id", train.count(), len(trained.forest.feature), trained.forest.sample, 42)
+    per_tree = drawn.groupBy("tree").count().agg(
+        F.count(F.lit(1)).alias("trees"), F.min("count").alias("fewest_rows"), F.max("count").alias("most_rows"))
+    share = trained.forest.score(trained.train).agg(F.avg("if_is_anomaly").alias("share"))
+    return per_tree.crossJoin(share).select(  # one row each
+        "trees", "fewest_rows", "most_rows", F.col("share").between(0.02, 0.05).alias("share_kept"))
+
+
+def _importance_properties(spark, sf):
+    """Features, their total, negative values, and rows out of order in the listing."""
+    rows = training.feature_importances(spark, models(spark, sf).boosted)
+    placed = with_positions(rows, F.desc("importance"), F.col("feature"))
+    after = placed.select((F.col("position") - 1).alias("position"), F.col("importance").alias("next"))
+    return placed.join(after, "position", "left").agg(
+        F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("negative"), F.count_if(F.col("next") > F.col("importance")).alias("out_of_order"))
+
+
+def _split_gates(spark, sf):
+    """The gates that look at the split alone, which SQL can repeat."""
+    found = _gates(spark, sf).where(F.col("gate").isin("default rate within 5-25 %", "train and test rates within 0.02"))
+    return found.select("gate", F.round("value", 9).alias("value"), "passed")
+
+
 def _boosting_rounds(spark, sf):
     """AUC of the held slice per round that was grown, and whether the model keeps the round."""
     boosted = models(spark, sf).boosted
@@ -415,6 +501,18 @@ QUERIES: dict[str, Query] = {
     "dq_quarantine": _quarantine,
     "dq_summary": lambda s, d: quality.dq_summary(raw(s, d), len(RAW_LOANS.fields)),
     "contract_check": lambda s, d: quality.check_contract(loans(s, d), LOANS_CLEAN_CONTRACT),
+    "contract_check_raw": lambda s, d: quality.check_contract(raw(s, d), RAW_LOANS_CONTRACT),
+    "contract_check_scores": lambda s, d: quality.check_contract(scores(s, d), MODEL_SCORES_CONTRACT),
+    "contract_check_performance": lambda s, d: quality.check_contract(performance(s, d), MODEL_PERFORMANCE_CONTRACT),
+    "load_outcome": _load_outcome,
+    "load_rejects": _load_rejects,
+    "repeated_load": _repeated_load,
+    "unrounded_decile": _unrounded_decile,
+    "curves_by_scale": _curves_by_scale,
+    "percentiles_of_many_groups": _amounts_by_customer_group,
+    "portfolio_positions": lambda s, d: views.portfolio_positions(loans(s, d)).select("loan_type", "origination_year", "total_loans", "position"),
+    "performance_listing": lambda s, d: views.performance_listing(performance(s, d)).select(
+        "model_name", "dataset", "model_version", "n_samples", "position"),
     "clean_loans": cleaned,
     "dq_filter_sql": lambda s, d: quality.dq_filter_sql(raw(s, d)),
     "features_etl": features_etl,
@@ -434,7 +532,7 @@ QUERIES: dict[str, Query] = {
     "economic_regime": lambda s, d: views.economic_regime(loans(s, d)),
     "sector_risk": lambda s, d: views.sector_risk(loans(s, d)),
     "risk_decile": _risk_decile,
-    "early_warning": lambda s, d: views.early_warning(_ranked_loans(s, d), scores(s, d), VERSION),
+    "early_warning": lambda s, d: views.early_warning(loans(s, d), scores(s, d), VERSION),
     "model_performance_view": lambda s, d: views.model_performance_view(performance(s, d)),
     "log_performance": lambda s, d: performance(s, d).withColumns({
         "default_rate": F.round(F.col("default_rate").cast("decimal(28,8)"), 8).cast("double"),
@@ -473,8 +571,7 @@ QUERIES: dict[str, Query] = {
     "domain_check": lambda s, d: quality.outside_domain(
         raw(s, d), "employment_sector", ["BUILDING", "AUTOMOBILE", "MACHINERY"]),
     "head_preview": lambda s, d: summaries.head(
-        loans(s, d).where(F.col("loan_id").isNotNull())
-        .select("loan_id", "loan_type", "loan_amount", "risk_score"), ["loan_id"]),
+        loans(s, d).select("loan_id", "loan_type", "loan_amount", "risk_score"), ["loan_id"]),
     "csv_round_trip": _csv_round_trip,
     "csv_partitioned": _csv_partitioned,
     "load_tolerant": _load_tolerant,
@@ -500,6 +597,12 @@ QUERIES: dict[str, Query] = {
     "validation_gates": _gates,
     "boosting_rounds": _boosting_rounds,
     "boosting_stop": _boosting_stop,
+    "logistic_gradient": _logistic_gradient,
+    "smote_properties": _smote_properties,
+    "isolation_properties": _isolation_properties,
+    "importance_properties": _importance_properties,
+    "split_gates": _split_gates,
+    "score_frame_properties": lambda s, d: training.score_frame_violations(_score_frame(s, d)),
     "shap_additivity": _shap_additivity,
     "quarantine_clean": lambda s, d: quality.dq_quarantine(raw(s, d))[0],
     "mixed_headers": _mixed_headers,

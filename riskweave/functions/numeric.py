@@ -67,3 +67,24 @@ def correlation(x: Column | str, y: Column | str) -> Column:
     x, y = _col(x).cast("double"), _col(y).cast("double")
     paired_x, paired_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
     return ratio(F.covar_pop(x, y), F.stddev_pop(paired_x) * F.stddev_pop(paired_y))
+
+
+def order_key(c: Column | str) -> Column:
+    """A bigint that orders doubles as they are ordered: the bits of the number, negated below zero.
+
+    Distinct numbers have distinct keys, whatever their size; both zeros have key 0, NaN the greatest.
+    Spark has no function for the bits, so they are computed from exponent and mantissa, exactly.
+    """
+    value = _col(c).cast("double")
+    size = F.abs(value)
+    # the logarithm may round across a power of two: then the mantissa tells
+    rough = F.floor(F.log2(size)).cast("int")
+    rough = F.least(F.greatest(rough, F.lit(-1022)), F.lit(1023))
+    scaled = size * F.pow(F.lit(2.0), -rough)
+    exponent = rough + F.when(scaled >= 2, 1).when((scaled < 1) & (rough > -1022), -1).otherwise(0)
+    mantissa = size * F.pow(F.lit(2.0), -exponent)
+    normal = F.shiftleft((exponent + 1022).cast("bigint"), 52) + (mantissa * F.lit(float(2 ** 52))).cast("bigint")
+    infinite = F.lit(2047 << 52).cast("bigint")
+    bits = (F.when(F.isnan(value), infinite + 1).when(size == 0, F.lit(0).cast("bigint"))
+            .when(size == float("inf"), infinite).otherwise(normal))
+    return F.when(value < 0, -bits).otherwise(bits)

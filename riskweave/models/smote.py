@@ -55,3 +55,20 @@ def smote(df: DataFrame, features: list[str], label: str = "is_default", key: st
         F.lit(minority).cast("int").alias(label), point.alias("x"),
     )
     return out.unionByName(synthetic)
+
+
+def segment_violations(balanced: DataFrame, minority: DataFrame, key: str = "loan_id", k: int = 5, seed: int = 42,
+                       tolerance: float = 1e-9) -> DataFrame:
+    """One row (synthetic_rows, off_segment): synthetic rows of ``balanced(key, x)``, and those that lie on no
+    segment from their row of ``minority(id, x)`` to one of its k neighbours."""
+    made = balanced.where(F.col(key).contains("#")).select(
+        F.col(key).alias("name"), F.substring_index(key, "#", 1).alias("id"), "x")
+    gap = lambda p, q: F.sqrt(F.aggregate(F.zip_with(p, q, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v))
+    near = nearest_neighbours(minority, k, seed=seed).select("id", F.explode("neighbours").alias("other"))
+    a = minority.select("id", F.col("x").alias("a"))
+    b = minority.select(F.col("id").alias("other"), F.col("x").alias("b"))
+    excess = gap("a", "x") + gap("x", "b") - gap("a", "b")
+    least = made.join(a, "id").join(near, "id").join(b, "other").groupBy("name").agg(
+        F.min(excess - tolerance * (1 + gap("a", "b"))).alias("excess"))
+    return made.select("name").join(least, "name", "left").agg(
+        F.count(F.lit(1)).alias("synthetic_rows"), F.count_if(F.coalesce(F.col("excess") > 0, F.lit(True))).alias("off_segment"))

@@ -59,6 +59,32 @@ def fit_logistic(train: DataFrame, label: str = "is_default", column: str = "sca
     return LogisticRegressionModel.load(path)
 
 
+def logistic_gradient(model: LogisticRegressionModel, scaled: DataFrame, features: list[str], label: str = "is_default") -> DataFrame:
+    """(feature, gradient, rows): derivative of the penalised mean loss by each coefficient, 0 at the optimum."""
+    sizes = {r[label]: r["count"] for r in scaled.groupBy(label).count().collect()}  # two classes
+    total = sum(sizes.values())
+    weight = F.create_map(*[x for y, n in sizes.items() for x in (F.lit(y), F.lit(total / (len(sizes) * n)))])[F.col(label)]
+    x = vector_to_array("scaled")
+    rest = weight * (positive("lr_vector") - F.col(label))
+    sums = model.transform(scaled).agg(
+        *[F.sum(rest * x[j]).alias(f"g{j}") for j in range(len(features))], F.count(F.lit(1)).alias("rows"))
+    rows = ", ".join(f"'{f}', g{j} / {total} + {float(model.coefficients[j])!r}D / {total}" for j, f in enumerate(features))
+    return sums.selectExpr("rows", f"stack({len(features)}, {rows}) AS (feature, gradient)").select("feature", "gradient", "rows")
+
+
+def score_frame_violations(frame: DataFrame) -> DataFrame:
+    """One row: rows, keys, and rows whose mean, class predictions, tier or range disagree with the probabilities."""
+    lr, xgb, both = (F.col(f"{m}_default_prob") for m in ("lr", "xgb", "ensemble"))
+    predicted = [F.col(f"{m}_prediction") != (p >= 0.5).cast("int") for m, p in (("lr", lr), ("xgb", xgb), ("ensemble", both))]
+    near = F.abs(F.round(both * 10_000) / 10_000 - 0.5) < 0.0001  # rounded after the class was set
+    return frame.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("loan_id").alias("loans"),
+        F.count_if(F.abs((lr + xgb) / 2 - both) > 0.0001 + 1e-9).alias("off_mean"),
+        F.count_if((predicted[0] & (F.abs(lr - 0.5) > 0.0001)) | (predicted[1] & (F.abs(xgb - 0.5) > 0.0001)) | (predicted[2] & ~near)).alias("off_class"),
+        F.count_if((F.greatest(lr, xgb, both) > 1) | (F.least(lr, xgb, both) < 0)).alias("off_range"),
+        F.count_if(F.array_position(F.array(*[F.lit(t) for t in V.RISK_TIERS]), F.col("risk_tier")) == 0).alias("off_tier"))
+
+
 def feature_importances(spark: SparkSession, model: BoostedTrees, top: int | None = None) -> DataFrame:
     """(feature, importance) adding up to 1, highest first: the mean gain of the feature's splits."""
     rows = list(zip(model.features, model.importances()))

@@ -15,10 +15,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskweave.functions.numeric import order_key
 from riskweave.functions.risk import row_hash
+from riskweave.session import staged
 
 _HASH_PREFIX = 4  # 65,536 cells below one sort value
-_CELLS = (64, 64 * 4096, 64 * 4096 * 4096)
+
+#: Low bits of a number's order key that the coarse and the fine cells leave out. A table has at most
+#: 2^20 coarse cells, each of them at most 2^22 fine ones, each of these at most 2^22 numbers.
+_SHIFTS = (44, 22)
+
+#: Wanted ranks of all groups together up to which their cuts are sent to all tasks.
+_SENT_CUTS = 100_000
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -30,9 +38,11 @@ def rank_cuts(df: DataFrame, keys: list[str], ranks: Callable[[Column], Column],
     """Key values found at wanted 1-based ranks, per group of ``by``.
 
     ``keys`` order the rows ascending, NULL first, coarse to fine.  ``ranks`` maps the group size
-    to an array of ranks.  ``by`` names columns with few distinct values: the result has one row
-    per group and wanted rank, and is broadcast.  Columns of the result: ``by``, ``cut`` (0-based
-    position in the array), ``cut_rank``, ``group_rows`` and the keys.
+    to an array of ranks.  The result has one row per group and wanted rank: ``by``, ``cut``
+    (0-based position in the array), ``cut_rank``, ``group_rows`` and the keys.
+
+    Cuts are sent to all tasks while there are at most ``_SENT_CUTS``; the rows of many groups are
+    counted per cell first and their counts joined by group and cell.
     """
     by = by or []
     first, *finer = keys
@@ -50,19 +60,21 @@ def rank_cuts(df: DataFrame, keys: list[str], ranks: Callable[[Column], Column],
     )
     known = [first]
     for key in finer:
-        cuts = _refine(df, cuts, by, known, key)
+        cuts = _refine(df, staged(cuts, "cuts") if by else cuts, by, known, key)
         known = [*known, key]
-    return cuts.drop("_rest")
+    return staged(cuts.drop("_rest"), "cuts") if by else cuts.drop("_rest")
 
 
 def _refine(df: DataFrame, cuts: DataFrame, by: list[str], known: list[str], key: str) -> DataFrame:
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in [*by, *known]]
     carried = [*by, "cut", "cut_rank", "group_rows", *known, "_rest"]
+    if not by or few(cuts):  # without groups there is one row per wanted rank
+        cells, found, size = df.select(*by, *known, key), F.broadcast(cuts), F.count(F.lit(1))
+    else:
+        cells, found, size = df.groupBy(*by, *known, key).agg(F.count(F.lit(1)).alias("_size")), cuts, F.sum("r._size")
     counted = (
-        df.select(*by, *known, key).alias("r")
-        .join(F.broadcast(cuts).alias("c"), _all(same))
-        .select(*[F.col(f"c.{c}").alias(c) for c in carried], F.col(f"r.{key}").alias(key))
-        .groupBy(*carried, key).agg(F.count(F.lit(1)).alias("_n"))
+        cells.alias("r").join(found.alias("c"), _all(same))
+        .groupBy(*[F.col(f"c.{c}").alias(c) for c in carried], F.col(f"r.{key}").alias(key)).agg(size.alias("_n"))
     )
     upto = (
         Window.partitionBy(*by, "cut").orderBy(F.col(key).asc_nulls_first())
@@ -76,14 +88,15 @@ def _refine(df: DataFrame, cuts: DataFrame, by: list[str], known: list[str], key
     )
 
 
-def value_cells(value: Column) -> list[Column]:
-    """Three nested cell numbers of a number, coarse to fine, ascending with it.
+def few(cuts: DataFrame) -> bool:
+    """Whether a staged table of cuts is small enough to be sent to all tasks."""
+    return cuts.limit(_SENT_CUTS + 1).count() <= _SENT_CUTS
 
-    Cells have a relative width of about 1/64, then 1/4096 of that twice; doubles of any
-    size fall into less than 100,000 coarse cells, and each cell has at most 4,096 finer ones.
-    """
-    place = F.signum(value) * F.log1p(F.abs(value) * 1e6)
-    return [F.floor(place * n) for n in _CELLS]
+
+def value_cells(value: Column) -> list[Column]:
+    """Two nested cell numbers of a number, coarse and fine, ascending with it on any scale."""
+    key = order_key(value)
+    return [F.shiftright(key, n) for n in _SHIFTS]
 
 
 def _with_hash_keys(df: DataFrame, id_cols: list[str], seed: int | str | None) -> DataFrame:
@@ -99,23 +112,20 @@ def _with_hash_keys(df: DataFrame, id_cols: list[str], seed: int | str | None) -
 
 
 def ntile_descending(df: DataFrame, score: str, tiles: int, id_cols: list[str],
-                     name: str = "tile", nulls_first: bool = True,
-                     at_most: int | None = None, continuous: bool = False) -> DataFrame:
+                     name: str = "tile", nulls_first: bool = True, at_most: int | None = None) -> DataFrame:
     """NTILE(tiles) over (order by score desc), ties ordered by md5(id).
 
-    The ``tiles - 1`` boundary rows are found with :func:`rank_cuts`; the rows themselves are then
-    labelled, and with ``at_most`` also filtered, in a map-only pass.  The frame is scanned several
-    times, so pass a stored table.  NULL scores come first or last as ``nulls_first`` says.
-
-    A score rounded to a few decimals has few distinct values and is counted per value at once;
-    ``continuous=True`` narrows the value down through nested cells first, at two more scans.
+    The ``tiles - 1`` boundary rows are found with :func:`rank_cuts` over the scores and ids, which are
+    staged; the whole rows are then labelled, and with ``at_most`` also filtered, in a map-only pass.
+    Scores of any scale and number of digits are narrowed down through nested cells. NULL scores
+    come first or last as ``nulls_first`` says.
     """
     place = F.when(F.col(score).isNull(), -1 if nulls_first else 1).otherwise(0)
     value = -F.col(score)
-    levels = [F.struct(place, c) for c in (value_cells(value) if continuous else [])]
-    levels.append(F.struct(place.alias("place"), value.alias("value")))
+    levels = [F.struct(place.alias("place"), c.alias("value")) for c in [*value_cells(value), value]]
     sort_keys = [f"_s{i}" for i in range(len(levels))]
-    keyed = _with_hash_keys(df.withColumns(dict(zip(sort_keys, levels))), id_cols, None)
+    narrow = staged(df.select(score, *id_cols), "rank-scores")
+    keyed = _with_hash_keys(narrow.withColumns(dict(zip(sort_keys, levels))), id_cols, None)
 
     def last_rank_of_tile(n: Column) -> Column:
         size, extra = F.floor(n / tiles), n % tiles
@@ -125,21 +135,24 @@ def ntile_descending(df: DataFrame, score: str, tiles: int, id_cols: list[str],
         )
 
     order = [sort_keys[-1], "_k1", "_k2"]
-    bounds = (
+    found = (
         rank_cuts(keyed, [*sort_keys, "_k1", "_k2"], last_rank_of_tile)
         .groupBy().agg(F.sort_array(F.collect_list(F.struct("cut", F.struct(*order).alias("at")))).alias("b"))
-        .select(F.transform("b", lambda c: c["at"]))
-        .scalar()
+        .select(F.transform("b", lambda c: c["at"]).alias("b"))
     )
+    bounds = staged(found, "rank-bounds").scalar()  # one row
+    rows = _with_hash_keys(df.withColumn(sort_keys[-1], levels[-1]), id_cols, None)
     row = F.struct(*order)
     wanted = tiles if at_most is None else at_most
     if at_most is not None and at_most < tiles:
-        keyed = keyed.where(row <= F.try_element_at(bounds, F.lit(at_most)))
+        # with fewer rows than tiles there is no such boundary, and all rows are before it
+        last = F.try_element_at(bounds, F.lit(at_most))
+        rows = rows.where(last.isNull() | (row <= last))
     passed = [
         F.coalesce((row > F.try_element_at(bounds, F.lit(i))).cast("int"), F.lit(0))
         for i in range(1, min(wanted, tiles))
     ]
-    return keyed.withColumn(name, reduce(lambda a, b: a + b, passed, F.lit(1))).drop(*sort_keys, "_k1", "_k2")
+    return rows.withColumn(name, reduce(lambda a, b: a + b, passed, F.lit(1))).drop(*order)
 
 
 def lowest_hashed(df: DataFrame, id_cols: list[str], wanted: Callable[[Column], Column],
@@ -160,7 +173,7 @@ def lowest_hashed(df: DataFrame, id_cols: list[str], wanted: Callable[[Column],
     cuts = cuts.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.struct(*keys).alias("_bound"))
     same = _all([F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
     return (
-        keyed.join(F.broadcast(cuts), same, "left")
+        keyed.join(F.broadcast(cuts) if few(cuts) else cuts, same, "left")
         .withColumn(name, F.coalesce(F.struct(*keys) <= F.col("_bound"), F.lit(False)))
         .drop("_bound", *keys, *[f"_by_{c}" for c in by])
     )
@@ -172,8 +185,7 @@ def exact_percentiles(df: DataFrame, value: str, fractions: list[float],
 
     The wanted ranks are located in nested cells before values themselves are compared.  The
     built-in exact percentile keeps every distinct value of a group in one task's memory; this
-    one keeps counts per cell.  ``by`` names columns with few distinct values.  NULL and NaN are no
-    values and take no part.
+    one keeps counts per cell, for any number of groups.  NULL and NaN are no values and take no part.
     """
     by = by or []
     cells = value_cells(F.col(value))
@@ -198,22 +210,17 @@ def exact_percentiles(df: DataFrame, value: str, fractions: list[float],
     return wide.select(*by, *out)
 
 
-def running_totals(points: DataFrame, key: str, measures: list[str],
-                   by: list[str] | None = None,
-                   grids: tuple[float, float] = (1e4, 1e8)) -> DataFrame:
+def running_totals(points: DataFrame, key: str, measures: list[str], by: list[str] | None = None) -> DataFrame:
     """Running and total sums of ``measures`` in ascending order of a numeric key.
 
-    ``points`` has one row per group and key.  The key is laid on a coarse and a fine grid; sums
-    per coarse cell are accumulated over the few coarse cells, sums per fine cell inside one
-    coarse cell, points inside one fine cell.  No window sees more than the cells of one level.
-    Adds ``run_<m>`` (inclusive) and ``all_<m>`` for each measure.
+    ``points`` has one row per group and key.  Keys of any scale fall into nested cells of their order
+    key (:func:`value_cells`): sums per coarse cell are accumulated over the coarse cells, sums per
+    fine cell inside one coarse cell, points inside one fine cell.  No window sees more than the cells of
+    one level.  Adds ``run_<m>`` (inclusive) and ``all_<m>`` for each measure.
     """
     by = by or []
-    coarse, fine = grids
-    gridded = (
-        points.withColumn("_c", F.floor(F.col(key) * coarse))
-        .withColumn("_f", F.floor(F.col(key) * fine))
-    )
+    coarse, fine = value_cells(F.col(key))
+    gridded = points.withColumn("_c", coarse).withColumn("_f", fine)
     before = (Window.unboundedPreceding, -1)
 
     def preceding(window):

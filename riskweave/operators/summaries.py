@@ -11,7 +11,8 @@ from riskweave import fixed_values as V
 from riskweave.functions.numeric import (
     correlation, money_mean, percent_of_rows, rate_mean, ratio, round_half_up,
 )
-from riskweave.functions.risk import risk_tier
+from riskweave.functions.risk import risk_tier, row_hash
+from riskweave.operators.positions import with_positions
 from riskweave.operators.ranking import exact_percentiles
 
 
@@ -124,8 +125,8 @@ def union_products(*frames: DataFrame) -> DataFrame:
 
 
 def shuffle_rows(df: DataFrame, seed: int = 42, key: str = "loan_id") -> DataFrame:
-    """All rows in a seeded random order (a range-partitioned sort on a hash of the key)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
+    """All rows with their ``position`` in a seeded random order, that of a hash of the key."""
+    return with_positions(df, row_hash(key, seed=seed), F.col(key))
 
 
 def head(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:

@@ -13,6 +13,7 @@ from riskweave import fixed_values as V
 from riskweave.functions.numeric import money_mean, money_total, percent_of_rows, rate_mean, round_half_up
 from riskweave.functions.risk import total_flags, warning_flags
 from riskweave.operators.lookups import loans_with_scores
+from riskweave.operators.positions import with_positions
 from riskweave.operators.ranking import ntile_descending
 
 def _rows(name: str) -> Column:
@@ -164,8 +165,13 @@ def model_performance_view(performance: DataFrame, ordered: bool = False) -> Dat
 
 
 def performance_listing(performance: DataFrame) -> DataFrame:
-    """All logged rows by model and dataset."""
-    return performance.orderBy("model_name", "dataset")
+    """All logged rows by model and dataset, with their position."""
+    return with_positions(performance, F.col("model_name"), F.col("dataset"), F.col("model_version"), F.col("eval_date"))
+
+
+def portfolio_positions(loans: DataFrame) -> DataFrame:
+    """The portfolio overview with each row's position in the order it is shown in."""
+    return with_positions(portfolio_overview(loans), F.col("loan_type"), F.col("origination_year"))
 
 
 LOAN_VIEWS = {

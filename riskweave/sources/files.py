@@ -47,13 +47,23 @@ def typed_loans(df: DataFrame, parse_date: bool = True) -> DataFrame:
 def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
     """Column names in the files' headers, and the files that have them.
 
-    Looks at the first block of each file only; what comes to the driver is the file listing, which
-    it holds anyway.
+    A task per file takes its first line and reads no further than the reader's buffer; what comes to
+    the driver is the file listing, which it holds anyway.
     """
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
-    # the first block of a file is read by one task from its start, so its first line is the header
-    first = lines.where("_metadata.file_block_start = 0").groupBy(F.input_file_name().alias("file")).agg(
-        F.first("value").alias("header"))
+    apart = spark.newSession()  # with settings of its own: no file is split or shares a task, one row at a time
+    for name, value in (("files.maxPartitionBytes", 1 << 50), ("files.openCostInBytes", 1 << 50),
+                        ("execution.arrow.maxRecordsPerBatch", 1)):
+        apart.conf.set(f"spark.sql.{name}", value)
+
+    def first_line(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch
+                return
+
+    lines = apart.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
+    first = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header")).mapInArrow(
+        first_line, "file string, header string")
     found: dict[tuple[str, ...], list[str]] = {}
     for r in first.orderBy("file").collect():
         names = tuple(name.strip().strip('"').lower() for name in r["header"].split(","))

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from riskweave.functions.numeric import order_key
 from riskweave.operators import ranking
 
 
@@ -18,12 +19,13 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("tiles", [2, 7, 10])
-@pytest.mark.parametrize("nulls_first, continuous", [(True, False), (False, False), (True, True)])
-def test_ntile_equals_the_window_function(skewed, tiles, nulls_first, continuous):
+@pytest.mark.parametrize("nulls_first, scale", [(True, 1.0), (False, 1.0), (True, 1 / 3e9)])
+def test_ntile_equals_the_window_function(skewed, tiles, nulls_first, scale):
+    skewed = skewed.withColumn("score", F.col("score") * F.lit(scale))
     order = F.desc_nulls_first("score") if nulls_first else F.desc_nulls_last("score")
     expected = skewed.select("loan_id", F.ntile(tiles).over(
         Window.orderBy(order, F.md5("loan_id"), "loan_id")).alias("e"))
-    got = ranking.ntile_descending(skewed, "score", tiles, ["loan_id"], "t", nulls_first, continuous=continuous)
+    got = ranking.ntile_descending(skewed, "score", tiles, ["loan_id"], "t", nulls_first)
     both = got.join(expected, "loan_id")
     assert both.count() == 5003
     assert both.where(F.col("t") != F.col("e")).count() == 0
@@ -88,7 +90,7 @@ def test_percentile_of_one_value(spark):
     assert ranking.exact_percentiles(df, "v", [0.25]).first()["p25"] == 1.5
 
 
-@pytest.mark.parametrize("scale", [1.0, 1e-9])
+@pytest.mark.parametrize("scale", [1.0, 1e-9, 2e6, 1e-300])
 def test_running_totals_equal_a_global_window(spark, scale):
     df = spark.range(400).select(
         F.lit("g").alias("g"), ((F.col("id") * 37 % 401 - 100) * F.lit(0.01 * scale)).alias("k"), "id")
@@ -99,14 +101,38 @@ def test_running_totals_equal_a_global_window(spark, scale):
     assert got.select("all_id").distinct().collect()[0][0] == sum(range(400))
 
 
-def test_value_cells_are_nested_and_ascending(spark):
-    values = sorted([-1e12, -3.5, -1e-9, 0.0, 1e-12, 0.1, 0.1 + 1e-12, 1.0, 1.5, 2e5, 2e5 + 1e-6, 1e15])
-    rows = spark.createDataFrame([(v,) for v in values], "v double").select(
-        "v", *ranking.value_cells(F.col("v"))).orderBy("v").collect()
-    for level in (1, 2, 3):
-        cells = [r[level] for r in rows]
-        assert cells == sorted(cells)
-    assert len({r[3] for r in rows}) >= 10
+def test_order_keys_are_the_bits_of_the_number(spark):
+    rng = np.random.default_rng(8)
+    values = np.concatenate([
+        rng.integers(0, 2 ** 64, 4000, dtype=np.uint64).view(float), rng.normal(size=500), 2.0 ** np.arange(-1074, 1024),
+        np.nextafter(2.0 ** np.arange(-1022, 1024), 0), [0.0, np.inf, -np.inf, 5e-324, -5e-324, 1.7976931348623157e308]])
+    values = values[~np.isnan(values)]
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = [r[0] for r in frame.select(order_key("v")).collect()]
+    bits = np.abs(values).view(np.int64)
+    assert got == np.where(values < 0, -bits, bits).tolist()
+    nan = spark.createDataFrame([(float("nan"),), (-0.0,)], "v double").select(order_key("v")).collect()
+    assert nan[0][0] > max(got) and nan[1][0] == 0
+
+
+def test_cells_are_nested_ascending_and_bounded(spark):
+    frame = spark.range(20000).select((F.pow(F.lit(10.0), F.col("id") % 16 - 9) * (F.col("id") + 1)).alias("v")).orderBy("v")
+    rows = frame.select("v", *ranking.value_cells(F.col("v"))).collect()
+    for level in (1, 2):
+        assert [r[level] for r in rows] == sorted(r[level] for r in rows)
+    assert all(r[2] >> 22 == r[1] for r in rows) and len({r[1] for r in rows}) < 256 * 70
+
+
+def test_percentiles_of_many_groups(spark, monkeypatch):
+    """More groups than may be sent to all tasks, one of them with a third of the rows."""
+    monkeypatch.setattr(ranking, "_SENT_CUTS", 10)
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 50 == 0 else 7 if i % 3 == 0 else i % 97, float(np.round(rng.normal(), 2))) for i in range(3000)]
+    got = {r["g"]: r for r in ranking.exact_percentiles(spark.createDataFrame(rows, "g int, v double"), "v", [0.1, 0.5, 0.95], ["g"]).collect()}
+    assert len(got) == len({g for g, _ in rows})
+    for g, r in got.items():
+        want = np.percentile([v for h, v in rows if h == g], [10, 50, 95])
+        assert [r["p10"], r["p50"], r["p95"]] == pytest.approx(list(want), abs=1e-12)
 
 
 def test_nan_takes_no_part_in_percentiles(spark):
