@@ -444,9 +444,9 @@ def _isolation_properties(spark, sf):
     drawn = isolation._draws(train, "loan_id", train.count(), len(trained.forest.feature), trained.forest.sample, 42)
     per_tree = drawn.groupBy("tree").count().agg(
         F.count(F.lit(1)).alias("trees"), F.min("count").alias("fewest_rows"), F.max("count").alias("most_rows"))
-    share = trained.forest.score(trained.train).agg(F.avg("if_is_anomaly").alias("share"))
+    share = trained.forest.score(trained.train).agg(F.sum("if_is_anomaly").alias("flagged"), F.count(F.lit(1)).alias("n"))
     return per_tree.crossJoin(share).select(  # one row each
-        "trees", "fewest_rows", "most_rows", F.col("share").between(0.02, 0.05).alias("share_kept"))
+        "trees", "fewest_rows", "most_rows", F.col("flagged").between(0.02 * F.col("n"), F.ceil(0.05 * F.col("n"))).alias("share_kept"))
 
 
 def _importance_properties(spark, sf):
