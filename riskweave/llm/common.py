@@ -41,9 +41,10 @@ def documents_of(documents: DataFrame) -> DataFrame:
 
 
 def without(documents: DataFrame, gone: DataFrame) -> DataFrame:
-    """Documents, all columns, whose row key is not among those of ``gone``."""
-    keys = gone.select(F.col("row_key").alias("_gone")).distinct()
-    return documents.withColumn("_row_key", row_key()).join(keys, F.col("_row_key") == F.col("_gone"), "left_anti").drop("_row_key")
+    """Documents, all columns whatever their names, whose row key is not among those of ``gone``."""
+    keys = gone.select(F.col("row_key").alias("gone")).distinct()
+    rows = documents.select(F.struct("*").alias("whole"), row_key().alias("key"))
+    return rows.join(keys, F.col("key") == F.col("gone"), "left_anti").select("whole.*")
 
 
 def utf8(column: pa.Array) -> list[bytes]:

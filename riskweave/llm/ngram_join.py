@@ -394,10 +394,10 @@ def _smallest(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def one_per_group(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Documents, all columns, with one of each group: that of the smallest id, null ids last.
+    """Documents, all columns whatever their names, with one of each group: that of the smallest id, null ids last.
 
     Repeated rows of one id and text are one document.
     """
-    kept = _linked(documents_of(documents), percent).where("stands").select(F.col("row_key").alias("_kept")).distinct()
-    keyed = documents.withColumn("_row_key", row_key())
-    return keyed.join(kept, F.col("_row_key") == F.col("_kept"), "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")
+    kept = _linked(documents_of(documents), percent).where("stands").select(F.col("row_key").alias("kept")).distinct()
+    rows = documents.select(F.struct("*").alias("whole"), row_key().alias("key"))
+    return rows.join(kept, F.col("key") == F.col("kept"), "left_semi").dropDuplicates(["key"]).select("whole.*")

@@ -380,7 +380,8 @@ def _cut(spans: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Documents, all columns, with ``kept_text``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``.
+    """Documents, all columns, with ``kept_text``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` (which
+    replace columns of these names).
 
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else in any document,
     the same included; all is judged on the input, so of a repeated string every occurrence goes. Texts
@@ -411,11 +412,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
 def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """Documents, same columns, with repeated strings cut from ``text`` and ``n_chars`` counted anew.
 
-    A document that consists of repeated strings alone is dropped; one that came empty stays.
+    A document that consists of repeated strings alone is dropped; one that came empty stays. Other columns
+    pass unchanged, whatever their names.
     """
-    kept = remove_repeats(documents.select(*documents.columns), length)
+    kept = remove_repeats(documents.select(F.struct("*").alias("whole"), "text"), length)
     changed = F.col("n_removed") > 0
-    kept = kept.where(~changed | (F.length("kept_text") > 0)).withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
-    if "n_chars" in documents.columns:
-        kept = kept.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(documents.schema["n_chars"].dataType))
-    return kept.select(*documents.columns)
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text")}
+    return kept.where(~changed | (F.length("kept_text") > 0)).select(*[
+        F.when(changed, new[f.name].cast(f.dataType)).otherwise(F.col("whole")[f.name]).alias(f.name) if f.name in new
+        else F.col("whole")[f.name].alias(f.name) for f in documents.schema])
