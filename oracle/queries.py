@@ -326,6 +326,7 @@ def build() -> dict[str, str]:
             "state", "loan_type", "loan_count", "default_rate_pct", "total_exposure_millions", "avg_credit_score",
             "avg_dti", "avg_risk_score", "total_defaults", "defaulted_exposure_millions")) + f" FROM ({GEOGRAPHY})"),
         "ingest_arrivals": q(["features_etl"], "SELECT * FROM features_etl"),
+        "ingest_compacted": q(["features_etl"], "SELECT * FROM features_etl"),
         "arrival_events": """SELECT event_id, 'lake-' || event_type AS bucket, 'raw/loans/' || user_id || s || '.csv' AS key,
  CASE WHEN event_id%5=0 THEN CAST(0 AS BIGINT) ELSE coalesce(CAST(props->>'$.k' AS BIGINT),0) END AS size
  FROM events JOIN (VALUES ('_a'),('_b')) AS t(s) ON s='_a' OR event_id%7=0 WHERE event_type<>'error' AND event_id%3<>0""",
@@ -371,6 +372,17 @@ def build() -> dict[str, str]:
         "portfolio_positions": q(["loans"], f"SELECT loan_type, origination_year, total_loans, ROW_NUMBER() OVER (ORDER BY loan_type, origination_year) - 1 AS position FROM ({OVERVIEW})"),
         "performance_listing": q(["loans", "model_scores"], "SELECT model_name, dataset, model_version, n_samples, ROW_NUMBER() OVER (ORDER BY model_name, dataset, model_version, eval_date) - 1 AS position FROM logged", ",\n".join([SUMMARY, SAMPLE_LOG, LOGGED])),
     }
+    out |= {
+        "planted_leakage": q(["features_etl"], f"""SELECT {count_if("split='train' OR loan_id LIKE '%7'")} AS train_rows, {_of('split', 'test')} AS test_rows,
+ {count_if("split='test' AND loan_id LIKE '%7'")} AS shared_keys FROM split""", _SPLIT),
+        "merge_from_view": out["merge_scores"],
+        "list_objects": "SELECT 'view' AS kind, name FROM (VALUES " + ",".join(f"('vw_{n}')" for n in (
+            "portfolio_overview", "default_by_credit_tier", "risk_segmentation", "geographic_risk", "economic_regime",
+            "sector_risk", "early_warning", "model_performance")) + ") AS t(name)",
+        "load_audit": q(["loans_raw"], "SELECT origination_year AS file_year, COUNT(*) AS rows, COUNT(*) AS rows_with_time, COUNT(*) AS rows_with_file FROM loans_raw GROUP BY origination_year"),
+        "rejected_lines": q(["loans_raw"], """SELECT * FROM (SELECT loan_id, loan_type, origination_date, concat_ws(',', CASE WHEN loan_id IS NULL THEN 'null_loan_id' END,
+ CASE WHEN loan_type IS NULL THEN 'null_loan_type' END, CASE WHEN TRY_CAST(origination_date AS DATE) IS NULL THEN 'bad_origination_date' END) AS reasons FROM loans_raw) WHERE reasons <> ''"""),
+    }
     parts = _SPLIT.replace("features_etl", "features_notebook")
     features = ["credit_score", "dti_ratio", "ltv_ratio", "interest_rate", "loan_to_income_ratio",
                 "payment_to_income_ratio", "rate_spread", "risk_score", "num_delinquencies", "num_inquiries_12m",

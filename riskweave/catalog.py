@@ -261,6 +261,26 @@ def _leakage(spark, sf):
     return lookups.check_no_leakage(*parts)
 
 
+def _planted_leakage(spark, sf):
+    """The leakage check where test loans were put into the training part: those whose id ends in 7."""
+    marked = _split(spark, sf)
+    train, test = (marked.where(F.col("split") == p) for p in ("train", "test"))
+    return lookups.check_no_leakage(train.unionByName(test.where(F.col("loan_id").endswith("7"))), test)
+
+
+def _merged_view(spark, sf):
+    """A merge that takes the incoming scores from the session view they were registered as."""
+    name = mutations.incoming_view(incoming(spark, sf), "incoming_scores")
+    return mutations.merge_scores(scores(spark, sf), spark.table(name), "v0.9")
+
+
+def _listed_objects(spark, sf):
+    """The reporting views as the session lists them."""
+    names = views.register_views(
+        spark, loans(spark, sf), scores(spark, sf).where(F.col("model_version") == VERSION), performance(spark, sf))
+    return views.list_objects(spark).where(F.col("name").isin(names) & (F.col("kind") == "view"))
+
+
 def _union(spark, sf):
     book = cleaned(spark, sf)
     return summaries.union_products(*[book.where(F.col("loan_type") == p.upper()) for p in V.PRODUCTS])
@@ -289,6 +309,24 @@ def _csv_partitioned(spark, sf):
     return files.read_raw_loans(spark, path)
 
 
+def _load_audit(spark, sf):
+    """Rows per year folder a file lay in, with those that carry its name and the time they were read."""
+    path = scratch_path(spark, "csv-audit")
+    files.write_raw_partitioned(raw(spark, sf), path)
+    rows = files.read_raw_loans(spark, path, metadata=True)
+    folder = F.regexp_extract("source_file", r"/year=([^/]+)/", 1).cast("int").alias("file_year")
+    return rows.groupBy(folder).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("ingested_at").alias("rows_with_time"),
+        F.count_if(F.col("source_file").endswith(".csv")).alias("rows_with_file"))
+
+
+def _rejected_lines(spark, sf):
+    """Bad rows of a tolerant load over files of two column orders, with their cells and reasons."""
+    root = _two_headers(spark, sf)
+    bad = files.load_tolerant(spark, f"{root}/*")[1]
+    return bad.select("loan_id", "loan_type", "origination_date", F.array_join("reasons", ",").alias("reasons"))
+
+
 def _load_tolerant(spark, sf):
     path = scratch_path(spark, "csv")
     files.write_csv(raw(spark, sf), path)
@@ -338,14 +376,19 @@ def _etl_job(spark, sf):
         *[F.lit(summary[c]).cast("bigint").alias(c) for c in columns], F.lit(issues).alias("issues"), "written_rows")
 
 
-def _mixed_headers(spark, sf):
-    """Good rows of a tolerant load over files with two column orders."""
+def _two_headers(spark, sf):
+    """A folder of files in two column orders."""
     root = scratch_path(spark, "mixed")
     table = raw(spark, sf)
     auto = F.col("loan_type") == "Auto"
     files.write_csv(table.where(auto), f"{root}/a")
     files.write_csv(table.where(~auto | auto.isNull()).select(*reversed(table.columns)), f"{root}/b")
-    return files.load_tolerant(spark, f"{root}/*")[0]
+    return root
+
+
+def _mixed_headers(spark, sf):
+    """Good rows of a tolerant load over files with two column orders."""
+    return files.load_tolerant(spark, f"{_two_headers(spark, sf)}/*")[0]
 
 
 def _etl_rerun(spark, sf):
@@ -380,6 +423,16 @@ def _ingest(spark, sf):
     return ingest.read_ingested(spark, f"{root}/clean")
 
 
+def _ingest_compacted(spark, sf):
+    """Content of the ingested table after several batches, a replay and a compaction."""
+    out = scratch_path(spark, "ingest")
+    text = raw(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in RAW_LOANS.fieldNames()])
+    for batch in (0, 1, 2, 2):
+        ingest.store_batch(text.where(F.pmod(F.crc32(F.coalesce("loan_id", F.lit("")).cast("binary")), F.lit(3)) == batch), batch, out)
+    ingest.compact(spark, out)
+    return ingest.read_ingested(spark, out).select(*features_etl(spark, sf).columns)
+
+
 def _arrival_events(spark, sf):
     events = sample_book.table(spark, sf, "events")
     return arrivals.parse_arrival_events(arrivals.sample_events(events), "event", ["event_id"])
@@ -567,6 +620,11 @@ QUERIES: dict[str, Query] = {
         "loan_id", "model_version", "ensemble_default_prob", "ensemble_prediction"),
     "stratified_split": _split,
     "leakage_check": _leakage,
+    "planted_leakage": _planted_leakage,
+    "merge_from_view": _merged_view,
+    "list_objects": _listed_objects,
+    "load_audit": _load_audit,
+    "rejected_lines": _rejected_lines,
     "union_products": _union,
     "domain_check": lambda s, d: quality.outside_domain(
         raw(s, d), "employment_sector", ["BUILDING", "AUTOMOBILE", "MACHINERY"]),
@@ -580,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "product_subsets": _product_subsets,
     "export_extract": _extract,
     "ingest_arrivals": _ingest,
+    "ingest_compacted": _ingest_compacted,
     "arrival_events": _arrival_events,
     "logistic_scores": _model_scores_of("lr_default_prob"),
     "boosted_scores": _model_scores_of("xgb_default_prob"),

@@ -40,7 +40,7 @@ def local_session(cores: int | str = "*", name: str = "riskweave", memory: str =
 _folders: dict[str, str] = {}  # by application
 
 
-def _on_storage(spark: SparkSession, path: str):
+def on_storage(spark: SparkSession, path: str):
     """The path and its file system, as Hadoop objects."""
     found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -60,7 +60,7 @@ def scratch_root(spark: SparkSession) -> str:
         shared = bool(root)
         root = root.rstrip("/") if shared else f"file:{tempfile.mkdtemp(prefix='riskweave-')}"
         folder = f"{root}/riskweave-{application}"
-        path, system = _on_storage(spark, folder)
+        path, system = on_storage(spark, folder)
         system.mkdirs(path)
         system.deleteOnExit(path if shared else path.getParent())
         _folders[application] = folder
@@ -73,7 +73,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
-    found, system = _on_storage(spark, path)
+    found, system = on_storage(spark, path)
     system.delete(found, True)
 
 

@@ -1,4 +1,5 @@
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -193,6 +194,51 @@ def test_replayed_batch_replaces_itself(spark, raw, tmp_path):
     assert ingest.read_ingested(spark, out).count() == n
 
 
+def files_by_partition(out):
+    found = Counter()
+    for p in out.glob("batches=*/*/*/*.parquet"):
+        found[p.parent.parent.name, p.parent.name] += 1
+    return found
+
+
+def test_compaction_bounds_files_and_survives_a_crash(spark, raw, sf, tmp_path, monkeypatch):
+    out = tmp_path / "out"
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    parts = [text.where(F.pmod(F.crc32("loan_id"), F.lit(6)) == k) for k in range(6)]
+    whole = catalog.features_etl(spark, sf)
+    same = lambda: (lambda got: got.exceptAll(whole).count() == whole.exceptAll(got).count() == 0)(
+        ingest.read_ingested(spark, str(out)).select(*whole.columns))
+    for k, part in enumerate(parts[:4]):
+        ingest.store_batch(part, k, str(out))
+    for k, part in enumerate(parts[4:], start=4):
+        ingest.store_batch(part, k, str(out))
+    before = files_by_partition(out)
+    assert same() and max(before.values()) > 2
+    # dies after writing the joined rows, before they count
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "_LISTS", "absent/\0")
+        with pytest.raises(Exception):
+            ingest.compact(spark, str(out))
+    assert same()
+    # dies before the joined batches are deleted
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "discard", lambda *_: None)
+        assert ingest.compact(spark, str(out)) == 1
+    assert same() and ingest.compact(spark, str(out)) == 1
+    ingest.store_batch(parts[5], 5, str(out))  # a replay of a batch that the range covers
+    assert same()
+    ingest.store_batch(text.limit(0), 6, str(out))
+    ingest.store_batch(text.where("loan_id = 'LN00000001'"), 7, str(out))
+    assert ingest.compact(spark, str(out)) == 2
+    year = ingest.read_ingested(spark, str(out)).where("origination_year = 2020 AND loan_type = 'AUTO'")
+    plan = year._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(origination_year" in plan
+    monkeypatch.setattr(ingest, "MOST_RANGES", 2)
+    for k in (8, 9):
+        ingest.store_batch(text.limit(0), k, str(out))
+    assert ingest.compact(spark, str(out)) == 1
+
+
 def test_jobs(spark, raw, sf, tmp_path, capsys):
     source, target = str(tmp_path / "raw"), str(tmp_path / "clean")
     files.write_csv(raw, source)
