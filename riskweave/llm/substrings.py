@@ -37,7 +37,7 @@ SHALLOW, CHARACTER = 24, 8
 #: A longer text is scanned in overlapping pieces of this many bytes.
 PIECE = 1 << 22
 #: Anchors and windows of a bucket.
-BUCKET_ANCHORS, BUCKET_WINDOWS = 250_000, 750_000
+BUCKET_ANCHORS, BUCKET_WINDOWS = 250_000, 400_000
 
 _POSITION = np.uint64((1 << 24) - 1)
 _VALUE = np.random.default_rng(8).integers(1, 2**63, 256, dtype=np.uint64)
