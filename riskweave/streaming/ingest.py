@@ -63,12 +63,13 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def _folders(spark: SparkSession, out: str) -> dict[tuple[int, int], str]:
-    """Folders of ``out`` that were written to their end, by their first and last batch."""
+    """Folders of ``out`` that were written to their end and hold rows, by their first and last batch."""
     path, system = on_storage(spark, out)
     found = {}
     for status in system.listStatus(path) if system.exists(path) else []:
         if m := _FOLDER.fullmatch(status.getPath().getName()):
-            if system.exists(on_storage(spark, f"{out}/{m[0]}/_SUCCESS")[0]):
+            inside = {s.getPath().getName() for s in system.listStatus(status.getPath())}  # a folder per year
+            if "_SUCCESS" in inside and len(inside) > 1:
                 found[int(m[1]), int(m[2])] = m[0]
     return found
 
@@ -119,13 +120,15 @@ def compact(spark: SparkSession, out: str, least: int = 2) -> int:
     stream.close()
     if not system.rename(draft, place):
         raise RuntimeError(f"another compaction of {out} came first")
-    for f in joined:
-        discard(spark, f"{out}/{_name(*f)}")
-    return len(_live(spark, out))
+    live = _live(spark, out)
+    for f in _folders(spark, out):
+        if f not in live:  # joined now, or left by a run that died
+            discard(spark, f"{out}/{_name(*f)}")
+    return len(live)
 
 
 def _read(spark: SparkSession, out: str, folders: list[tuple[int, int]]) -> DataFrame:
-    return spark.read.parquet(*[f"{out}/{_name(*f)}" for f in folders])
+    return spark.read.option("basePath", out).parquet(*[f"{out}/{_name(*f)}" for f in folders]).drop("batches")
 
 
 def ingest_arrivals(spark: SparkSession, src: str, checkpoint: str, out: str,

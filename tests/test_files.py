@@ -227,16 +227,19 @@ def test_compaction_bounds_files_and_survives_a_crash(spark, raw, sf, tmp_path,
     assert same() and ingest.compact(spark, str(out)) == 1
     ingest.store_batch(parts[5], 5, str(out))  # a replay of a batch that the range covers
     assert same()
-    ingest.store_batch(text.limit(0), 6, str(out))
-    ingest.store_batch(text.where("loan_id = 'LN00000001'"), 7, str(out))
+    for k in (6, 7):
+        ingest.store_batch(parts[k - 6], k, str(out))
     assert ingest.compact(spark, str(out)) == 2
     year = ingest.read_ingested(spark, str(out)).where("origination_year = 2020 AND loan_type = 'AUTO'")
     plan = year._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(origination_year" in plan
     monkeypatch.setattr(ingest, "MOST_RANGES", 2)
     for k in (8, 9):
-        ingest.store_batch(text.limit(0), k, str(out))
-    assert ingest.compact(spark, str(out)) == 1
+        ingest.store_batch(parts[k - 6], k, str(out))
+    n = ingest.read_ingested(spark, str(out)).count()
+    assert ingest.compact(spark, str(out)) == 1 and max(files_by_partition(out).values()) <= 2
+    ingest.store_batch(text.limit(0), 10, str(out))  # a batch without rows
+    assert ingest.compact(spark, str(out)) == 1 and ingest.read_ingested(spark, str(out)).count() == n
 
 
 def test_jobs(spark, raw, sf, tmp_path, capsys):
