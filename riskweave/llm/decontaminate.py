@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import shingles
-from riskweave.llm.common import documents_of, text_chunks, utf8, without
+from riskweave.llm.common import documents_of, lean, text_chunks, utf8, without
 from riskweave.session import staged
 
 THRESHOLD = 0.75
@@ -118,7 +118,7 @@ def _contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float, slice
         rows = items.where(F.pmod(F.xxhash64("hashes"), F.lit(slices)) == s).collect()
         if rows:
             index = spark.sparkContext.broadcast(ItemIndex(rows, threshold))
-            parts.append(docs.mapInArrow(_search(index), RESULT))
+            parts.append(docs.mapInArrow(lean(_search(index)), RESULT))
     return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], RESULT)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import shingles
-from riskweave.llm.common import documents_of, low_bits, may_hold, row_key, text_chunks
+from riskweave.llm.common import documents_of, lean, lean_group, low_bits, may_hold, row_key, text_chunks
 from riskweave.llm.components import components, merged
 from riskweave.session import staged
 
@@ -114,7 +114,7 @@ def _nodes(documents: DataFrame, bits: int) -> DataFrame:
             columns = (none, none, none, none, none, *zip(*pieces))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    return documents.mapInArrow(read, schema)
+    return documents.mapInArrow(lean(read), schema)
 
 
 def _levels(pieces: DataFrame, bits: int) -> np.ndarray:
@@ -194,8 +194,8 @@ def _blocks(documents: DataFrame, levels: np.ndarray, keys: int, percent: int) -
         return pd.DataFrame({"block": pd.Series(blocks, dtype="int64"), "leaders": pd.Series(leaders, dtype=object),
                              "members": pd.Series(members, dtype=object)})
 
-    packed = documents.mapInArrow(deal, "bucket long, keys binary, nodes binary")
-    return packed.groupBy("bucket").applyInPandas(meet, "block long, leaders array<long>, members array<long>").dropDuplicates(["block", "members"])
+    packed = documents.mapInArrow(lean(deal), "bucket long, keys binary, nodes binary")
+    return packed.groupBy("bucket").applyInPandas(lean_group(meet), "block long, leaders array<long>, members array<long>").dropDuplicates(["block", "members"])
 
 
 def _within_bound(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -211,7 +211,7 @@ def _within_bound(pairs: DataFrame, points: DataFrame, percent: int) -> DataFram
     p, q = (points.select(F.col("node").alias(f"{x}_node"), F.col("n").alias(f"{x}_n"), F.col("point").alias(f"{x}_point")) for x in "pq")
     sized = pairs.join(p, F.col("a") == F.col("p_node")).join(q, F.col("b") == F.col("q_node")).where(
         (F.least("p_n", "q_n") * 100 >= F.greatest("p_n", "q_n") * percent))
-    return sized.select("a", "b", "p_point", "q_point").mapInArrow(keep, "a long, b long")
+    return sized.select("a", "b", "p_point", "q_point").mapInArrow(lean(keep), "a long, b long")
 
 
 class CountTree:
@@ -326,7 +326,7 @@ def _verified(documents: DataFrame, pairs: DataFrame, percent: int) -> DataFrame
                         [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["node", "shingles"])
                     found, size = {}, 0
 
-    sent = documents.mapInArrow(send, "node long, shingles binary").join(wanted.withColumnRenamed("node", "w_node"), F.col("node") == F.col("w_node"), "left_semi")
+    sent = documents.mapInArrow(lean(send), "node long, shingles binary").join(wanted.withColumnRenamed("node", "w_node"), F.col("node") == F.col("w_node"), "left_semi")
     sets = staged(sent.groupBy("node").agg(F.first("shingles").alias("shingles")), "join-sets")
     p, q = (sets.select(F.col("node").alias(f"{x}_node"), F.col("shingles").alias(f"{x}_set")) for x in "pq")
     both = pairs.join(q, F.col("b") == F.col("q_node")).join(p, F.col("a") == F.col("p_node")).select("a", "b", "p_set", "q_set")
@@ -340,7 +340,7 @@ def _verified(documents: DataFrame, pairs: DataFrame, percent: int) -> DataFrame
                 good.append(100 * shared >= percent * (x.size + y.size - shared))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(link, "a long, b long")
+    return both.mapInArrow(lean(link), "a long, b long")
 
 
 def linked_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import low_bits, may_hold, text_chunks, utf8
+from riskweave.llm.common import lean, lean_group, low_bits, may_hold, text_chunks, utf8
 from riskweave.llm.shingles import mix, powers
 from riskweave.session import staged
 
@@ -187,8 +187,8 @@ def _shared_anchors(texts: DataFrame, total: int, length: int, gram: int) -> Dat
         return pd.DataFrame({"k1": k1[many], "k2": k2[many], "anchor": anchor[many].view(np.int64), "start": start[many],
                              "windows": windows[many].astype(np.int64)})
 
-    return texts.mapInArrow(deal, schema).groupBy("bucket").applyInPandas(
-        meet, "k1 long, k2 long, anchor long, start long, windows long")
+    return texts.mapInArrow(lean(deal), schema).groupBy("bucket").applyInPandas(
+        lean_group(meet), "k1 long, k2 long, anchor long, start long, windows long")
 
 
 def _heavy_anchors(anchors: DataFrame) -> set[int]:
@@ -253,10 +253,10 @@ def _repeated_of_heavy(candidates: DataFrame, heavy: set[int], length: int) -> D
     contents = staged(held.groupBy("c1", "c2").agg(F.max("content").alias("content"), F.count("*").alias("copies")), "dedup-contents")
     schema = f"{key}, {window}, at long, copies long"
     many = staged(
-        contents.mapInArrow(cut(None), schema).groupBy("w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1")
+        contents.mapInArrow(lean(cut(None)), schema).groupBy("w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1")
         .select(F.col("w1").alias("m1"), F.col("w2").alias("m2")), "dedup-windows")
     bits = candidates.sparkSession.sparkContext.broadcast(low_bits(many, "m1"))
-    again = contents.mapInArrow(cut(bits), schema).join(many, (F.col("w1") == F.col("m1")) & (F.col("w2") == F.col("m2")))
+    again = contents.mapInArrow(lean(cut(bits)), schema).join(many, (F.col("w1") == F.col("m1")) & (F.col("w2") == F.col("m2")))
     runs = again.groupBy("c1", "c2").agg(F.collect_list("at").alias("at")).mapInArrow(
         join_up, "d1 long, d2 long, firsts array<long>, lasts array<long>")
     return held.join(runs, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2"))).select(
@@ -318,7 +318,7 @@ def _repeated(candidates: DataFrame, windows: int, length: int, heavy: set[int])
         rows = np.concatenate(out) if out else np.empty((0, 4), np.int64)
         return pd.DataFrame(rows, columns=["k1", "k2", "first", "last"])
 
-    return candidates.mapInArrow(deal, schema).groupBy("bucket").applyInPandas(sort, "k1 long, k2 long, first long, last long")
+    return candidates.mapInArrow(lean(deal), schema).groupBy("bucket").applyInPandas(lean_group(sort), "k1 long, k2 long, first long, last long")
 
 
 def kept_bytes(text: bytes, firsts: list[int], lasts: list[int], length: int = LENGTH) -> tuple[bytes, int]:
@@ -352,7 +352,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     per_text = anchors.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("anchors"))
-    sent = texts.mapInArrow(wanted, "k1 long, k2 long, text string").groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    sent = texts.mapInArrow(lean(wanted), "k1 long, k2 long, text string").groupBy("k1", "k2").agg(F.first("text").alias("text"))
     candidates = staged(sent.join(per_text, ["k1", "k2"]), "dedup-candidates")
     heavy, dealt = _heavy_anchors(anchors), candidates.select("k1", "k2", "text", "anchors")
     runs = _repeated(dealt, windows, length, heavy)
@@ -376,7 +376,7 @@ def _cut(spans: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)], names)
 
     return spans.select("k1", "k2", "text", "runs").mapInArrow(
-        cut, "k1 long, k2 long, n_left long, n_spans long, sha string, kept string")
+        lean(cut), "k1 long, k2 long, n_left long, n_spans long, sha string, kept string")
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -415,9 +415,12 @@ def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     A document that consists of repeated strings alone is dropped; one that came empty stays. Other columns
     pass unchanged, whatever their names.
     """
-    kept = remove_repeats(documents.select(F.struct("*").alias("whole"), "text"), length)
+    others = [c for c in documents.columns if c != "text"]
+    rest = F.struct(*others) if others else F.lit(None)
+    kept = remove_repeats(documents.select(rest.alias("rest"), "text"), length)
     changed = F.col("n_removed") > 0
+    old = lambda f: F.col("text") if f.name == "text" else F.col("rest")[f.name]
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text")}
     return kept.where(~changed | (F.length("kept_text") > 0)).select(*[
-        F.when(changed, new[f.name].cast(f.dataType)).otherwise(F.col("whole")[f.name]).alias(f.name) if f.name in new
-        else F.col("whole")[f.name].alias(f.name) for f in documents.schema])
+        (F.when(changed, new[f.name].cast(f.dataType)).otherwise(old(f)) if f.name in new else old(f)).alias(f.name)
+        for f in documents.schema])

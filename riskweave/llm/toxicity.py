@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import documents_of, text_chunks, without
+from riskweave.llm.common import documents_of, lean, text_chunks, without
 from riskweave.llm.shingles import Words
 from riskweave.session import staged
 
@@ -189,7 +189,7 @@ def found_features(documents: DataFrame, features: Features) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(held, pa.list_(pa.int32()))], ["doc_id", "row_key", "held"])
 
-    return documents.mapInArrow(find, "doc_id long, row_key string, held array<int>")
+    return documents.mapInArrow(lean(find), "doc_id long, row_key string, held array<int>")
 
 
 @dataclass
