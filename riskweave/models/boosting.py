@@ -28,6 +28,8 @@ from riskweave.session import discard, scratch_path, staged
 BINS = 256
 #: Rows whose values set the edges of the bins; all rows are then binned and counted.
 EDGE_ROWS = 200_000
+#: Rows of a block, about.
+BLOCK_ROWS = 8192
 #: Trees whose values are added on the fly before the blocks are written again with new margins.
 STAGED_ROUNDS = 10
 #: Derivatives are counted in units of 1 / _UNIT.
@@ -126,18 +128,27 @@ def bin_edges(rows: DataFrame, features: list[str], bins: int = BINS, most: int
 
 
 def _blocks(rows: DataFrame, features: list[str], edges: list[np.ndarray]) -> DataFrame:
-    """Rows (label, held, draw, features) as blocks of one Arrow batch each, margins 0."""
+    """Rows (label, held, draw, features) as blocks of some ``BLOCK_ROWS``, margins 0."""
+    def block(batches):
+        rows = pa.Table.from_batches(batches)
+        columns = [rows.column(3 + i).to_numpy().astype(float) for i in range(len(features))]
+        bins = [np.searchsorted(e, np.where(np.isnan(c), np.inf, c), side="left").astype(np.uint8) for e, c in zip(edges, columns)]
+        label, held, draw = (rows.column(i).to_numpy() for i in range(3))
+        values = (np.column_stack(bins), label.astype(np.uint8), held.astype(np.uint8), draw.astype(np.int64), np.zeros(rows.num_rows))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([rows.num_rows], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)],
+            ["n", "bins", "label", "held", "draw", "margin"])
+
     def pack(batches):
+        waiting, n = [], 0
         for batch in batches:
-            n = batch.num_rows
-            if n:
-                columns = [batch.column(3 + i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(features))]
-                bins = [np.searchsorted(e, np.where(np.isnan(c), np.inf, c), side="left").astype(np.uint8) for e, c in zip(edges, columns)]
-                label, held, draw = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-                values = (np.column_stack(bins), label.astype(np.uint8), held.astype(np.uint8), draw.astype(np.int64), np.zeros(n))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([n], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)],
-                    ["n", "bins", "label", "held", "draw", "margin"])
+            waiting.append(batch)
+            n += batch.num_rows
+            if n >= BLOCK_ROWS:
+                yield block(waiting)
+                waiting, n = [], 0
+        if n:
+            yield block(waiting)
 
     wide = rows.select("label", "held", "draw", *[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])
     return wide.mapInArrow(pack, _BLOCK)
