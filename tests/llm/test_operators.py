@@ -358,13 +358,13 @@ def test_long_text_in_pieces_finds_the_same(monkeypatch, spark):
     assert substrings.remove_repeats(frame).first() == whole and whole.n_spans == 2
 
 
-@pytest.mark.parametrize("relax, least", [(1.0, 1.0), (vantage.RELAX, 0.9)])
-def test_neighbours_equal_brute_force(spark, relax, least):
+@pytest.mark.parametrize("relax, least, cell_rows", [(1.0, 1.0, 8192), (1.0, 1.0, 60), (0.8, 0.9, 60)])
+def test_neighbours_equal_brute_force(spark, relax, least, cell_rows):
     rng = np.random.default_rng(3)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(700)]
     rows += [(700 + i, rows[20][1]) for i in range(300)] + [(1000, None), (1020, [0.0] * 8), (1040, [float("nan")] * 8), (1060, [None] * 8), (1080, []), (None, rows[1][1]), rows[3]]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = vantage.nearest(frame, F.col("vec_id") % 20 == 0, relax=relax, shard_rows=200, query_rows=16).collect()
+    got = vantage.nearest(frame, F.col("vec_id") % 20 == 0, relax=relax, shard_rows=200, query_rows=16, cell_rows=cell_rows).collect()
     good = {i: np.array(v) for i, v in rows if i is not None and i < 1000}
     hits = total = 0
     for q in range(0, 1000, 20):
@@ -385,6 +385,31 @@ def test_neighbours_equal_brute_force(spark, relax, least):
     assert vantage.nearest(empty(spark, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0).collect() == []
 
 
+@pytest.mark.parametrize("relax, least", [(1.0, 1.0), (0.6, 0.9)])
+def test_neighbours_in_clusters_skip_cells(spark, monkeypatch, relax, least):
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(30, 24))
+    vectors = middles[np.arange(3000) % 30] + rng.normal(size=(3000, 24)) * 0.05
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(3000 + i, [float(i + 1)] * 3) for i in range(5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    routed, elsewhere = [], vantage._elsewhere
+
+    def counted(queries, pivots, radius, factor):
+        out = elsewhere(queries, pivots, radius, factor)
+        routed.append((out.count(), queries.count() * (len(radius) - 1)))
+        return out
+
+    monkeypatch.setattr(vantage, "_elsewhere", counted)
+    got = vantage.nearest(frame, F.col("vec_id") % 20 == 0, relax=relax, cell_rows=50, shard_rows=100).collect()
+    products = vectors @ vectors.T
+    np.fill_diagonal(products, -np.inf)
+    hits = sum(r.vec_id in set(np.argsort(-products[r.query_id], kind="stable")[:20]) for r in got if r.query_id < 3000)
+    assert hits >= least * 20 * 150 and (relax < 1 or hits == 20 * 150)
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 3000] == [3004, 3003, 3002, 3001]
+    assert routed[0][0] < (0.6 if relax == 1 else 0.3) * routed[0][1]
+
+
 def test_neighbours_with_a_few_long_vectors(spark):
     rng = np.random.default_rng(11)
     vectors = rng.normal(size=(3000, 16))
