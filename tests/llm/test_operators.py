@@ -1,7 +1,10 @@
 """Operators against brute force on small tables with nulls, empty and long texts, ties and repeats."""
 
+import gzip
 import hashlib
 import random
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -187,12 +190,54 @@ def test_archives_round_trip(spark, tmp_path):
     rows = [(5, "http://a/x", "<p>é</p>"), (2, "http://a/y\r\nX: 1", "<p>é</p>"), (3, None, None), (4, "http://b", ""), (None, "http://c", "a\r\n\r\nWARC/1.1\r\n\r\n"),
             (9, "http://d", "z" * 3_000_000), (8, "http://d", "z" * 3_000_000), (2, "http://e", "other")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    warc.write_archives(pages, str(tmp_path / "w"), records_per_file=2)
+    warc.write_archives(pages.coalesce(1), str(tmp_path / "w"), archive_bytes=200)
     records = warc.with_originals(warc.read_archives(spark, str(tmp_path / "w"), with_payload=True))
     got = sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in records.collect()), key=repr)
     assert got == sorted(oracle("op5_warc_revisits", pages=pages), key=repr)
     payloads = {r.page_id: bytes(r.payload) for r in records.where("record_type = 'response'").collect()}
     assert payloads[8] == b"z" * 3_000_000 and payloads[None] == rows[4][2].encode()
+    archives = [p.read_bytes() for p in (tmp_path / "w").glob("part-*")]
+    assert len(archives) > 2 and max(map(len, archives)) < 5000  # closed by their bytes
+    revisits = 0
+    for archive in archives:
+        members, rest = [], archive
+        while rest:
+            inflate = zlib.decompressobj(31)
+            members.append(inflate.decompress(rest))
+            rest = inflate.unused_data
+        assert members[0].startswith(b"WARC/1.1\r\nWARC-Type: warcinfo") and members[-1] == b""
+        for m in members[1:-1]:  # a record a member
+            length = int(re.search(rb"\r\nContent-Length: (\d+)\r\n\r\n", m)[1])
+            assert m.startswith(b"WARC/1.1\r\n") and m.endswith(b"\r\n\r\n") and len(m.split(b"\r\n\r\n", 1)[1]) == length + 4
+            revisits += b"WARC-Refers-To-Target-URI: http" in m and b"WARC-Refers-To-Date: 20" in m
+    assert revisits == 2
+
+
+def test_archives_of_no_pages_and_of_equal_pages(spark, tmp_path):
+    warc.write_archives(empty(spark, "page_id long, url string, html string"), str(tmp_path / "none"))
+    assert warc.with_originals(warc.read_archives(spark, str(tmp_path / "none"))).collect() == []
+    pages = spark.range(3000).selectExpr("id AS page_id", "'u' AS url", "if(id % 3 = 0, repeat('same', 99), concat('page ', id div 2)) AS html",
+                                         "1 AS digest", "2 AS kept_by", "'x' AS first_id", "4 AS size")
+    warc.write_archives(pages, str(tmp_path / "many"), min_bytes=8)
+    got = warc.with_originals(warc.read_archives(spark, str(tmp_path / "many"), with_payload=True)).collect()
+    kept, want = {}, set()
+    for r in pages.orderBy("page_id").collect():
+        first = kept.setdefault(r.html, r.page_id) if len(r.html) >= 8 else r.page_id
+        want.add((r.page_id, "response" if first == r.page_id else "revisit", None if first == r.page_id else first))
+    refers = {(r.page_id, r.record_type, r.refers_to if r.record_type == "revisit" else None) for r in got}
+    assert len(got) == 3000 and refers == want
+    texts = dict(pages.select("page_id", "html").collect())
+    assert all(bytes(r.payload).decode() == texts[r.page_id] for r in got if r.record_type == "response")
+
+
+def test_archives_inflate_in_linear_time():
+    members = [gzip.compress(f"record {k} {random.Random(k).random()}".encode(), mtime=0) for k in range(20_000)] + [gzip.compress(bytes(50_000_000), mtime=0)]
+    stream, began = warc._Inflated(b"".join(members)), time.monotonic()
+    size = 0
+    while stream._more():
+        stream.at = len(stream.buffer)
+        size += stream.at
+    assert size > 50_000_000 and time.monotonic() - began < 10
 
 
 def test_blocks_of_pages():
