@@ -48,12 +48,30 @@ TEMPLATES = [
     ("BSD-3-Clause", "BSD 3-Clause License"),
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("ISC", "ISC License"),
+    ("MIT", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("GPL-2.0", "it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("EPL-2.0", "Licensed under the Eclipse Public License 2.0."),
+    ("MPL-2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
 ]
 _NAMED = list(dict.fromkeys(licence for licence, _ in TEMPLATES))
 TEMPLATES += [(licence, f"SPDX-License-Identifier: {licence}") for licence in _NAMED]
 TEMPLATES += [(licence, f"SPDX-License-Identifier: {licence}-{end}") for licence in _NAMED if "GPL" in licence for end in ("only", "or-later")]
 #: A line with one of these is a statement to compare.
-STATEMENT = r"(?i)licen[sc]e|unlicense|permission is hereby granted|mozilla public|spdx"
+STATEMENT = r"(?i)licen[sc]e|unlicense|permission is hereby granted|permission to use|redistribution and use|endorse or promote|copy of the MPL|authors be held liable|mozilla public|spdx"
 WORD = r"[a-z0-9]+"
 #: Ends of sentences, beginnings of the part of a sentence that names the licence, and SPDX identifiers.
 SENTENCE_END = r"(?<=[.!?;:])\s+|\s+[-\u2013\u2014]+\s+"
@@ -186,7 +204,8 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ``files`` has (path, text). A file's own best statement counts first (highest cosine, then the first
     line); a file named as a licence or consisting of a statement covers its directory and those below.
     Null texts have no statement; a null path lies in the top directory; repeated rows of a path are
-    scanned as one file.
+    scanned as one file. Of equally good licence files of a directory the first path covers it. A line is compared
+    whole however long it is, its parts as far as they have at most ``STATEMENT_WORDS`` words.
     """
     named = files.select(F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), F.col("text").cast("string").alias("text"))
     lines = staged(statements(named), "licence-lines")
@@ -209,6 +228,19 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def documents_as_files(documents: DataFrame) -> DataFrame:
-    """Documents laid out as files: source/language/id, with unknown parts named none."""
-    part = [F.coalesce(F.regexp_replace(F.col(c).cast("string"), "/", "_"), F.lit("none")) for c in ("source", "lang", "doc_id")]
+    """Documents laid out as files: source/language/id, with unknown parts named none.
+
+    Documents without id are told apart by their text.
+    """
+    part = [F.coalesce(F.regexp_replace(F.col(c).cast("string"), "/", "_"), F.lit("none")) for c in ("source", "lang")]
+    unnamed = F.concat(F.lit("none-"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    part.append(F.coalesce(F.col("doc_id").cast("string"), unnamed))
     return documents.select(F.col("doc_id"), F.concat_ws("/", *part).alias("path"), F.col("text"))
+
+
+def scan_documents(documents: DataFrame) -> DataFrame:
+    """Licence of every document, repeated rows included: (doc_id, path, license, cosine, found)."""
+    files = documents_as_files(documents)
+    found = scan(files).withColumnRenamed("path", "f_path")
+    return files.select("doc_id", "path").join(found, F.col("path") == F.col("f_path")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "path", "license", "cosine", "found")

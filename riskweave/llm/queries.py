@@ -20,9 +20,7 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan(licenses.documents_as_files(table(spark, sf_dir, "documents")))
-    return found.select(F.expr("try_cast(element_at(split(path, '/'), -1) AS bigint)").alias("doc_id"), "path", "license",
-                        "cosine", "found")
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
 
 
 def op4_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:

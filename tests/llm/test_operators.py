@@ -540,3 +540,78 @@ def test_ngram_groups_without_shared_shingles(spark, texts, groups):
     got = ngram_join.linked_groups(spark.createDataFrame(rows, DOC)).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == list(enumerate(groups))
     assert ngram_join.one_per_group(spark.createDataFrame(rows, DOC)).count() == len(texts)
+
+
+GPL_HEADER = """ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version {} of the License, or
+ * (at your option) any later version."""
+
+
+def test_licences_of_common_headers(spark):
+    want = {
+        GPL_HEADER.format(2): "GPL-2.0", GPL_HEADER.format(3): "GPL-3.0",
+        GPL_HEADER.format("2.1").replace("GNU General", "GNU Lesser General"): "LGPL-2.1",
+        "// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided that the following conditions are\n// met:": "BSD-2-Clause",
+        "// Copyright 2009 The Authors. All rights reserved.\n// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.": "BSD-3-Clause",
+        "# This program and the accompanying materials are made available under the\n# terms of the Eclipse Public License 2.0 which is available at\n# https://www.eclipse.org/legal/epl-2.0/": "EPL-2.0",
+        "SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1", "Permission to use the room was given on Monday.": None,
+        "The redistribution and use of water was debated.": None,
+    }
+    files = spark.createDataFrame([(f"{k}/x", t) for k, t in enumerate(want)], "path string, text string")  # none inherits
+    assert {r.path: r.license for r in licenses.scan(files).collect()} == {f"{k}/x": v for k, v in enumerate(want.values())}
+
+
+def test_licence_matches_equal_brute_force(spark):
+    rng = random.Random(17)
+    words = sorted({w for _, t in licenses.TEMPLATES for w in re.findall(licenses.WORD, t.lower())} | {"alpha", "beta", "gamma"})
+    made = []
+    for k in range(300):
+        base = re.findall(r"\S+", licenses.TEMPLATES[k % len(licenses.TEMPLATES)][1])
+        for _ in range(rng.randint(0, 4)):
+            base.insert(rng.randrange(len(base) + 1), rng.choice(words))
+        made.append(" ".join(x for x in base if rng.random() > 0.1))
+    made += made[:5] + ["", "none of them", "word " * 50_000]
+    vectors, idf, other = licenses.template_weights()
+    unit = defaultdict(dict)
+    for k, _, w, weight in vectors:
+        unit[k][w] = weight
+    want = {}
+    for t in made:
+        own = {w: n * idf.get(w, other) for w, n in Counter(re.findall(licenses.WORD, t.lower())).items()}
+        length = sum(v * v for v in own.values()) ** 0.5
+        scores = [round(sum(v * unit[k].get(w, 0.0) for w, v in own.items()) / length, 6) if length else 0.0 for k in range(len(licenses.TEMPLATES))]
+        if max(scores) >= licenses.THRESHOLD:
+            best = scores.index(max(scores))
+            want[t] = (licenses.TEMPLATES[best][0], scores[best])
+    got = {r.m_statement: (r.license, r.cosine) for r in licenses.matched(spark.createDataFrame([(t,) for t in made], "statement string")).collect()}
+    assert got.keys() == want.keys() and len(got) > 100
+    assert all(got[t][0] == want[t][0] and abs(got[t][1] - want[t][1]) < 2e-6 for t in got)
+
+
+def test_inheritance_equals_brute_force(spark):
+    rng = random.Random(23)
+    dirs = sorted({"/".join(rng.choice("abc") for _ in range(rng.randint(0, 6))) for _ in range(150)})
+    held = [("/".join(filter(None, [rng.choice(dirs), f"f{k % 3}"])), rng.choice(["X", "Y", "Z"]), rng.choice([0.8, 0.9, 1.0])) for k in range(40)]
+    held = list({p: (p, lic, c) for p, lic, c in held}.values())
+
+    def nearest(d):
+        while True:
+            own = sorted((-c, p, lic) for p, lic, c in held if (p.rsplit("/", 1)[0] if "/" in p else "") == d)
+            if own:
+                return own[0][2], -own[0][0]
+            if not d:
+                return None
+            d = d.rsplit("/", 1)[0] if "/" in d else ""
+
+    got = licenses.inherited(spark.createDataFrame([(d,) for d in dirs], "dir string"), spark.createDataFrame(held, "path string, license string, cosine double"))
+    assert {r.i_dir: (r.dir_license, r.dir_cosine) for r in got.collect()} == {d: nearest(d) for d in dirs if nearest(d)}
+
+
+def test_licences_of_documents_without_id_and_repeated(spark):
+    rows = [(None, "a"), (None, "Released under the MIT License."), (3, "b"), (3, "b"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'s' AS source", "NULL AS lang", "1 AS path", "2 AS license", "'x' AS f_path")
+    got = licenses.scan_documents(docs).collect()
+    assert sorted((r.doc_id or -1, r.license, r.found) for r in got) == [
+        (-1, "MIT", "file"), (-1, "MIT", "inherited"), (3, "MIT", "inherited"), (3, "MIT", "inherited"), (4, "MIT", "inherited")]
+    assert licenses.scan_documents(empty(spark, "doc_id long, text string, source string, lang string")).collect() == []
