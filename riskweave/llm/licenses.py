@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,8 +72,12 @@ TEMPLATES = [
 _NAMED = list(dict.fromkeys(licence for licence, _ in TEMPLATES))
 TEMPLATES += [(licence, f"SPDX-License-Identifier: {licence}") for licence in _NAMED]
 TEMPLATES += [(licence, f"SPDX-License-Identifier: {licence}-{end}") for licence in _NAMED if "GPL" in licence for end in ("only", "or-later")]
-#: A line with one of these is a statement to compare.
-STATEMENT = r"(?i)licen[sc]e|unlicense|permission is hereby granted|permission to use|redistribution and use|endorse or promote|copy of the MPL|authors be held liable|mozilla public|spdx"
+#: A line with one of these, in any case, is a statement to compare.
+NEEDLES = [
+    "license", "licence", "permission is hereby granted", "permission to use", "redistribution and use", "endorse or promote",
+    "copy of the mpl", "authors be held liable", "mozilla public", "spdx",
+]
+STATEMENT = "(?i)" + "|".join(NEEDLES)
 WORD = r"[a-z0-9]+"
 #: Ends of sentences, beginnings of the part of a sentence that names the licence, and SPDX identifiers.
 SENTENCE_END = r"(?<=[.!?;:])\s+|\s+[-\u2013\u2014]+\s+"
@@ -138,7 +144,8 @@ def statements(files: DataFrame) -> DataFrame:
     ``files`` has (path, text). Whole texts are searched; blank lines do not separate a statement.
     """
     lines = F.split(F.col("text"), r"\r\n|\r|\n")
-    held = files.where(F.col("text").rlike(STATEMENT))
+    low = files.withColumn("low", F.lower("text"))  # whole texts are searched for bytes, their lines by pattern
+    held = low.where(reduce(or_, [F.contains(F.col("low"), F.lit(n)) for n in NEEDLES])).drop("low")
     by_line = held.select("path", F.posexplode(lines).alias("line", "statement")).where(F.col("statement").rlike(STATEMENT))
     filled = held.select("path", F.filter(lines, lambda x: x.rlike(r"[A-Za-z0-9]")).alias("lines"))
     starts = F.transform("lines", lambda x, i: F.concat_ws("\n", x, F.get("lines", i + 1), F.get("lines", i + 2)))
