@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from riskweave import catalog
 from riskweave.operators import loading
 from riskweave.operators.positions import with_positions
 from riskweave.schemas import Contract
@@ -77,3 +78,16 @@ print("ROOT", scratch_root(spark), staged(spark.range(10), "t").count())
     _, root, n = next(line for line in done.stdout.splitlines() if line.startswith("ROOT")).split()
     assert n == "10" and root.startswith(f"file:{tmp_path}/riskweave-")
     assert not list(tmp_path.glob("riskweave-*"))
+
+
+def test_loans_that_a_load_rejects_stay_in_the_views(spark, loan, monkeypatch):
+    book = loan({}, {"loan_id": None}, {"loan_type": None}, {"origination_date": None})
+    monkeypatch.setattr(catalog, "raw", lambda *_: book)
+    run = lambda name: catalog.QUERIES[name](spark, "rejected-rows")
+    for name in ("features_sql", "loans_clean", "risk_decile", "head_preview"):
+        assert run(name).count() == 4, name
+    assert run("portfolio_overview").agg(F.sum("total_loans")).first()[0] == 4
+    assert [r["loan_id"] for r in run("head_preview").collect()][-1] is None
+    broken = {r["rule"]: r["violations"] for r in run("contract_check").collect()}
+    assert broken["not_null:loan_id"] == broken["not_null:loan_type"] == broken["not_null:origination_date"] == 1
+    assert {r["outcome"]: r["rows"] for r in run("load_outcome").collect()}["accepted"] == 1

@@ -44,6 +44,14 @@ def test_ntile_sizes_differ_by_at_most_one(skewed):
     assert len(sizes) == 10 and max(sizes) - min(sizes) <= 1
 
 
+def test_ntile_splits_rows_without_id_after_the_others(spark):
+    rows = [(f"L{i}" if i % 5 else None, 1.0 if i < 40 else 2.0, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "loan_id string, score double, amount int")
+    got = ranking.ntile_descending(df, "score", 4, ["loan_id"], "t", ties=["amount"]).collect()
+    assert sorted(r["t"] for r in got) == [t for t in (1, 2, 3, 4) for _ in range(15)]
+    assert {r["t"] for r in got if r["loan_id"] is None and r["score"] == 1.0} == {4}
+
+
 def test_ntile_of_fewer_rows_than_tiles(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 2.0)], "loan_id string, score double")
     got = {r["loan_id"]: r["t"] for r in ranking.ntile_descending(df, "score", 10, ["loan_id"], "t").collect()}
