@@ -343,6 +343,21 @@ def test_runs_of_a_host_are_combined_before_the_shuffle(spark):
     parsed.unpersist()
 
 
+def test_suffix_array_of_a_host():
+    rng = random.Random(12)
+    streams = [[rng.randrange(3) for _ in range(rng.randint(1, 60))] for _ in range(12)]
+    streams += [streams[0], [1] * 70, [1] * 9]
+    order, _, owner, left = html_text.suffix_array([np.array(s, np.uint32) for s in streams])
+    suffixes = [streams[i][-n:] for i, n in zip(owner[order].tolist(), left[order].tolist())]
+    assert suffixes == sorted(s[k:] for s in streams for k in range(len(s)))
+    contents = np.array([hash(tuple(s)) for s in streams])
+    for run in (1, 5, 8):
+        content, found = html_text._host_runs([np.array(s, np.uint32) for s in streams], contents, run)
+        want = {(c, tuple(s[k : k + run])) for s, c in zip(streams, contents.tolist()) for k in range(len(s) - run + 1)}
+        assert len(set(zip(content.tolist(), found.tolist()))) == content.size == len(want)
+        assert sorted(Counter(found.tolist()).values()) == sorted(Counter(r for _, r in want).values())
+
+
 def test_several_distinct_contents(spark):
     rng = random.Random(10)
     some = [rng.getrandbits(64) - 2**63 for _ in range(600)]
