@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.numeric import ratio, round_half_up
 from riskweave.operators.ranking import running_totals
+from riskweave.session import staged
 
 _DIGITS = 6
 
@@ -20,13 +21,16 @@ def _d(c: Column | str) -> Column:
 
 
 def score_curve(df: DataFrame, score: str, label: str, by: list[str] | None = None) -> DataFrame:
-    """Per distinct score: positives, negatives and running totals from the lowest score up."""
+    """Per distinct score: positives, negatives and running totals from the lowest score up.
+
+    The totals read the distinct scores several times; they are staged, so that the rows behind them are read once.
+    """
     by = by or []
     points = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*by, score).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"),
         F.sum((1 - F.col(label)).cast("bigint")).alias("neg"),
     )
-    return running_totals(points, score, ["pos", "neg"], by)
+    return running_totals(staged(points, "curve-points"), score, ["pos", "neg"], by)
 
 
 def _auc_terms() -> Column:

@@ -13,17 +13,25 @@ from riskweave.session import staged
 _REASONS = "reasons"
 
 
-def broken_constraints(df: DataFrame, contract: Contract) -> Column:
-    """Array of the constraints of a row of its own that it breaks: null_<column>, too_long_<column>."""
+def _rules(df: DataFrame, contract: Contract) -> dict[str, Column]:
+    """What breaks a constraint of a row of its own, by name; NULL breaks none."""
     rules = {f"null_{c}": F.col(c).isNull() for c in contract.not_null}
     rules |= {f"null_{c}": F.col(c).isNull() for c in contract.primary_key}
-    rules |= {f"too_long_{c}": F.length(c) > n for c, n in contract.max_length.items() if c in df.columns}
+    return rules | {f"too_long_{c}": F.length(c) > n for c, n in contract.max_length.items() if c in df.columns}
+
+
+def broken_constraints(df: DataFrame, contract: Contract) -> Column:
+    """Array of the constraints of a row of its own that it breaks: null_<column>, too_long_<column>."""
+    rules = _rules(df, contract)
     return F.filter(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]), lambda x: x.isNotNull())
 
 
 def accepted_rows(df: DataFrame, contract: Contract) -> DataFrame:
-    """Rows that break no constraint of their own, in a map-only pass; repeated keys are not looked for."""
-    return df.where(F.size(broken_constraints(df, contract)) == 0)
+    """Rows that break no constraint of their own, in a map-only pass; repeated keys are not looked for.
+
+    Plain conditions compile with the rest of the pass; the array of reasons would be interpreted for every row.
+    """
+    return df.where(reduce(lambda a, b: a & b, [~F.coalesce(broken, F.lit(False)) for broken in _rules(df, contract).values()], F.lit(True)))
 
 
 def load_checked(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:

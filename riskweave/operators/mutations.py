@@ -14,6 +14,7 @@ from riskweave.functions.numeric import ratio
 from riskweave.functions.risk import risk_tier
 from riskweave.operators.summaries import tier_distribution, with_risk_tier
 from riskweave.schemas import MODEL_PERFORMANCE, MODEL_SCORES
+from riskweave.session import staged
 
 _PREDICTIONS = ["lr_prediction", "xgb_prediction", "ensemble_prediction"]
 
@@ -89,9 +90,12 @@ def performance_rows(metrics: DataFrame, eval_date=None) -> DataFrame:
 
 
 def log_performance(target: DataFrame, metrics: DataFrame, eval_date=None) -> DataFrame:
-    """Upsert metric rows by (model_name, model_version, dataset)."""
+    """Upsert metric rows by (model_name, model_version, dataset).
+
+    The rows are used twice and staged, so that the metrics are computed once.
+    """
     keys = ["model_name", "model_version", "dataset"]
-    rows = performance_rows(metrics, eval_date)
+    rows = staged(performance_rows(metrics, eval_date), "performance-rows")
     same = [F.col(f"t.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
     return target.alias("t").join(rows.alias("r"), same, "left_anti").unionByName(rows)
 

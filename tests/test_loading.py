@@ -32,6 +32,17 @@ def test_load_parts_rows_by_their_constraints(spark):
     assert counts == {"accepted": 4, "rejected": 7, "null_name": 2, "null_id": 2, "too_long_name": 1, "repeated_key": 3}
 
 
+def test_accepted_rows_are_those_without_reasons_and_compiled(spark):
+    rows = [(1, "a", 1.0), (2, None, 1.0), (None, "b", 1.0), (3, "too long", 1.0), (None, None, None), (4, "x", 2.0), (4, "x", 2.0), (6, "", None)]
+    df = spark.createDataFrame(rows, "id long, name string, v double")
+    accepted = loading.accepted_rows(df, CONTRACT)
+    assert rows_of(accepted) == rows_of(df.where(F.size(loading.broken_constraints(df, CONTRACT)) == 0))
+    assert rows_of(accepted) == rows_of(spark.createDataFrame([rows[0], *rows[5:]], df.schema))
+    assert "lambda" not in accepted._jdf.queryExecution().optimizedPlan().toString()  # is interpreted for every row
+    free = loading.accepted_rows(df, Contract([], []))
+    assert free.count() == len(rows)
+
+
 def test_load_of_a_hot_key_and_of_no_rows(spark):
     many = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 10).alias("id"), F.lit("n").alias("name"), F.col("id").alias("v"))
     accepted, rejects = loading.load_checked(many, CONTRACT)

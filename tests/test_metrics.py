@@ -97,3 +97,9 @@ def test_ensemble(spark):
     rows = metrics.ensemble(df).collect()
     assert [(r["ensemble_default_prob"], r["ensemble_prediction"]) for r in rows][0] == (0.5, 1)
     assert rows[1]["ensemble_prediction"] == 0 and rows[2]["ensemble_prediction"] is None
+
+
+def test_the_rows_behind_a_curve_are_read_once(frame):
+    marked = frame.where("s + 0.0 >= -12345")
+    plan = metrics.performance_summary(marked, {"m": "s"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "12345" not in plan  # the totals read the staged scores
