@@ -16,6 +16,8 @@ of near copies costs a few comparisons per copy. No link between different group
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -36,6 +38,9 @@ GROUPS, MOST_GROUPS = 128, 1 << 15
 SKETCH_BITS, PIECE_BITS = (16, 24), 12
 #: Prefix keys that a task holds before it deals them to the buckets (16 bytes each).
 HELD_KEYS = 400_000
+#: Bits of a key below the 32 that are sent. The highest are alike, as prefixes of one level are the lowest
+#: shingles; those from 20 on choose the bucket.
+KEY_SHIFT = 28
 #: Keys per bucket of the block search, members per row of a block, nodes of a leaf and of a search task.
 BUCKET_KEYS = 500_000
 BLOCK_ROW = 512
@@ -88,6 +93,19 @@ def _points(packed: list[bytes], groups: int | None = None) -> np.ndarray:
     return np.stack([r if r.size == groups else r.reshape(-1, groups).sum(axis=0, dtype=np.uint32) for r in rows]).astype(np.uint32)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """A piece of a task's sketch, most of it small counts, with the width of an entry before it.
+
+    Every task sends a whole sketch, so what it takes uncompressed grows with the tasks and with the entries.
+    """
+    kind = np.uint8 if counts.max() < 256 else np.uint16
+    return bytes([np.dtype(kind).itemsize]) + zlib.compress(counts.astype(kind).tobytes(), 1)
+
+
+def _unpacked(piece: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(piece[1:]), np.uint8 if piece[0] == 1 else np.uint16)
+
+
 def _nodes(documents: DataFrame, bits: int) -> DataFrame:
     """Rows of two kinds: a document's set size, node and point; or a piece of the frequency sketch."""
     schema = "doc_id long, row_key string, n long, node long, point binary, piece int, counts binary"
@@ -108,7 +126,7 @@ def _nodes(documents: DataFrame, bits: int) -> DataFrame:
                 sketch[at] += sketch[at] < 65535
             none = [None] * len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((ids, batch.column(2).to_pylist(), sizes, nodes, points, none, none), types)], names)
-        pieces = [(k, p.tobytes()) for k, p in enumerate(sketch.reshape(-1, 1 << PIECE_BITS)) if p.any()]
+        pieces = [(k, _packed(p)) for k, p in enumerate(sketch.reshape(-1, 1 << PIECE_BITS)) if p.any()]
         if pieces:
             none = [None] * len(pieces)
             columns = (none, none, none, none, none, *zip(*pieces))
@@ -122,7 +140,7 @@ def _levels(pieces: DataFrame, bits: int) -> np.ndarray:
     def total(group: pd.DataFrame) -> pd.DataFrame:
         counts = np.zeros(1 << PIECE_BITS, np.int64)
         for c in group["counts"]:
-            counts += np.frombuffer(c, np.uint16)
+            counts += _unpacked(c)
         return pd.DataFrame({"piece": [group["piece"].iloc[0]], "counts": [counts.tobytes()]})
 
     sketch = np.zeros((1 << (bits - PIECE_BITS), 1 << PIECE_BITS), np.int64)
@@ -135,7 +153,8 @@ def _levels(pieces: DataFrame, bits: int) -> np.ndarray:
 def _blocks(documents: DataFrame, levels: np.ndarray, keys: int, percent: int) -> DataFrame:
     """Nodes that share a prefix shingle: (block, leaders, members), members in rows of bounded length.
 
-    Keys travel packed, a row per HELD_KEYS keys and bucket. Blocks of equal members are one block.
+    Keys travel packed, a row per HELD_KEYS keys and bucket, as 32 of their bits: shingles of one bucket that
+    agree in these share a block, which adds candidates and loses none. Blocks of equal members are one block.
     """
     buckets = keys // BUCKET_KEYS + 1
     shared = documents.sparkSession.sparkContext.broadcast(levels)
@@ -145,7 +164,7 @@ def _blocks(documents: DataFrame, levels: np.ndarray, keys: int, percent: int) -
         keys, nodes = np.concatenate(keys), np.concatenate(nodes)
         bucket = ((keys >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        keys, nodes, bucket = keys[order], nodes[order], bucket[order]
+        keys, nodes, bucket = (keys[order] >> np.uint64(KEY_SHIFT)).astype(np.uint32), nodes[order], bucket[order]
         names, first = np.unique(bucket, return_index=True)
         ends = np.append(first[1:], bucket.size)
         return pa.RecordBatch.from_arrays(
@@ -170,7 +189,7 @@ def _blocks(documents: DataFrame, levels: np.ndarray, keys: int, percent: int) -
             yield dealt(keys, nodes)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        keys = np.frombuffer(b"".join(group["keys"]), np.uint64)
+        keys = np.frombuffer(b"".join(group["keys"]), np.uint32)
         nodes = np.frombuffer(b"".join(group["nodes"]), np.int64)
         order = np.lexsort((nodes, keys))
         keys, nodes = keys[order], nodes[order]
@@ -327,7 +346,8 @@ def _verified(documents: DataFrame, pairs: DataFrame, percent: int) -> DataFrame
                     found, size = {}, 0
 
     sent = documents.mapInArrow(lean(send), "node long, shingles binary").join(wanted.withColumnRenamed("node", "w_node"), F.col("node") == F.col("w_node"), "left_semi")
-    sets = staged(sent.groupBy("node").agg(F.first("shingles").alias("shingles")), "join-sets")
+    # one shuffle by node serves both joins: only the pairs move to it, the second time with one set each
+    sets = sent.groupBy("node").agg(F.first("shingles").alias("shingles"))
     p, q = (sets.select(F.col("node").alias(f"{x}_node"), F.col("shingles").alias(f"{x}_set")) for x in "pq")
     both = pairs.join(q, F.col("b") == F.col("q_node")).join(p, F.col("a") == F.col("p_node")).select("a", "b", "p_set", "q_set")
 

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from riskweave.llm import (
-    components, decontaminate, html_text, licenses, mixing, ngram_join, sql, substrings, tokens, toxicity, vantage, warc,
+    components, decontaminate, html_text, licenses, mixing, ngram_join, shingles, sql, substrings, tokens, toxicity, vantage, warc,
 )
+from riskweave.session import staged
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, size long, node long, row_key string"
 
@@ -108,6 +109,42 @@ def test_one_per_group_keeps_one(docs, spark):
     assert ngram_join.linked_groups(empty(spark, DOC)).collect() == []
 
 
+def test_join_sends_small_sketches_and_keys(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [prose(rng, 60) for _ in range(300)]
+    docs = spark.createDataFrame([(k, t, None) for k, t in enumerate(texts)], "doc_id long, text string, row_key string").coalesce(2)
+    bits = 16
+    pieces = ngram_join._nodes(docs, bits).where("piece IS NOT NULL").select("piece", "counts").collect()
+    # sent whole, the sketches of all tasks grow with the tasks times the entries
+    assert sum(len(r["counts"]) for r in pieces) < 2 * 2 * (1 << bits) / 4
+    total = np.zeros((1 << bits) >> ngram_join.PIECE_BITS << ngram_join.PIECE_BITS, np.int64).reshape(-1, 1 << ngram_join.PIECE_BITS)
+    for r in pieces:
+        total[r["piece"]] += ngram_join._unpacked(r["counts"])
+    want = np.zeros(1 << bits, np.int64)
+    for own in shingles.shingle_sets([t.encode() for t in texts]):
+        want[(own & np.uint64((1 << bits) - 1)).astype(int)] += 1
+    assert (total.reshape(-1) == want).all()
+    for counts in (np.array([0, 255, 3], np.uint16), np.array([65535, 0, 256], np.uint16)):
+        assert (ngram_join._unpacked(ngram_join._packed(counts)) == counts).all()
+
+    # keys that agree in the bits that are sent only add candidates
+    copies = [(k, texts[k % 40] + (" more" if k >= 40 else ""), "en") for k in range(80)]
+    table = spark.createDataFrame(copies, "doc_id long, text string, lang string")
+    want = sorted((k, k % 40) for k in range(80))
+    for shift in (ngram_join.KEY_SHIFT, 54):
+        monkeypatch.setattr(ngram_join, "KEY_SHIFT", shift)
+        assert sorted((r["doc_id"], r["component_id"]) for r in ngram_join.linked_groups(table).collect()) == want
+
+
+def test_join_writes_no_shingle_sets_between_shuffles(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(ngram_join, "staged", lambda df, label: (kept.append(label), staged(df, label))[1])
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, text), (2, text + " eleven"), (3, "others " + text[4:])], "doc_id long, text string")
+    assert len(ngram_join.linked_groups(docs).collect()) == 3
+    assert "join-links" in kept and "join-sets" not in kept
+
+
 def test_merged_components(spark):
     rng = random.Random(11)
     first = [(rng.randrange(300), rng.randrange(300)) for _ in range(120)] + [(500, k) for k in range(501, 560)]
