@@ -67,23 +67,34 @@ class IsolationForest:
     sample: int
     cutoff: float | None = None
 
-    def anomaly_scores(self, points: np.ndarray) -> np.ndarray:
-        """Minus the anomaly score of each row; lower is more anomalous."""
-        trees = np.arange(self.feature.shape[0])[None, :]
-        node = np.zeros((len(points), self.feature.shape[0]), dtype=np.int32)
-        rows = np.arange(len(points))[:, None]
-        depth = np.zeros(node.shape)
-        while True:
-            axis = self.feature[trees, node]
-            inner = axis >= 0
-            if not inner.any():
-                break
-            value = points[rows, np.maximum(axis, 0)]
-            below = np.where(value <= self.threshold[trees, node], self.left[trees, node], self.right[trees, node])
-            node = np.where(inner, below, node)
-            depth += inner
-        mean = (depth + self.path[trees, node]).mean(axis=1)
-        return -np.power(2.0, -mean / average_path(self.sample))
+    def full_trees(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The trees in heap order, all of one depth: feature, threshold (trees x inner nodes) and mean path by leaf.
+
+        The children of node i are 2 i + 1 and 2 i + 2; what stood above a leaf of a shorter branch leads there either way.
+        """
+        trees = np.arange(self.feature.shape[0])[:, None]
+        node, depth = np.zeros((len(trees), 1), np.int32), np.zeros((len(trees), 1))
+        features, thresholds = [], []
+        while (inner := self.feature[trees, node] >= 0).any():
+            features.append(np.maximum(self.feature[trees, node], 0))
+            thresholds.append(np.where(inner, self.threshold[trees, node], 0.0))
+            children = [np.where(inner, side[trees, node], node) for side in (self.left, self.right)]
+            node = np.stack(children, axis=2).reshape(len(trees), -1)
+            depth = np.repeat(depth + inner, 2, axis=1)
+        empty = np.zeros((len(trees), 0))
+        return (np.hstack([empty.astype(np.int64), *features]), np.hstack([empty, *thresholds]), depth + self.path[trees, node])
+
+    def anomaly_scores(self, points: np.ndarray, full: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """Minus the anomaly score of each row; lower is more anomalous. ``full`` are the :meth:`full_trees`, if at hand."""
+        features, thresholds, paths = full or self.full_trees()
+        flat, rows = np.ascontiguousarray(points.T).ravel(), np.arange(len(points))
+        found = np.empty((len(points), len(paths)))
+        for t, path in enumerate(paths):
+            start, node = features[t] * len(points), np.zeros(len(points), np.int64)  # where the node's column begins
+            for _ in range(path.size.bit_length() - 1):
+                node = 2 * node + 2 - (flat[start[node] + rows] <= thresholds[t][node])
+            found[:, t] = path[node - start.size]
+        return -np.power(2.0, -found.mean(axis=1) / average_path(self.sample))
 
     def score(self, df: DataFrame, name: str = "if_anomaly_score", flag: str = "if_is_anomaly") -> DataFrame:
         """Add the score and, once a cutoff is known, the 0/1 flag."""
@@ -92,10 +103,11 @@ class IsolationForest:
 
         @F.pandas_udf("double")
         def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+            full = forest.full_trees()
             for part in batches:
                 points = part.to_numpy(dtype=float)
-                step = 20_000
-                out = [forest.anomaly_scores(points[i:i + step]) for i in range(0, len(points), step)]
+                step = 8192
+                out = [forest.anomaly_scores(points[i:i + step], full) for i in range(0, len(points), step)]
                 yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
         scored = df.select(*columns, scores(_point(features)).alias(name))
