@@ -1,10 +1,13 @@
 """Gradient-boosted trees on histograms of first and second derivatives.
 
 Rows are binned once and packed into blocks that also hold each row's margin, the sum of the trees so
-far. One pass per tree level adds up, for every node, feature and bin, the derivatives of the logistic
-loss at that margin; sums of tasks meet per (node, feature), where the best cut is found, and the driver
-sees one candidate per node and feature. Growth therefore always goes on from the trees there are:
-round k costs the same whether it is part of a fit of k or of 300 rounds.
+far. A tree's values enter it once, when the tree is grown. The rows drawn for a tree, with the derivatives of
+the logistic loss at their margin, stay with the executors while it grows, on disk where memory ends. One pass
+per level then adds up the derivatives per node, feature and bin, of two children only over the one with less
+weight: the other's sums are those of their parent without it. Features of few values are counted together, by the cells of their
+product. Sums of many tasks are merged in tasks; the driver sees one table of sums and finds the cuts. Growth
+always goes on from the trees there are: round k costs the same whether it is part of a fit of k or of 300
+rounds.
 
 Derivatives are summed as whole numbers, so that a model depends neither on the order in which tasks end
 nor on how rows are partitioned.
@@ -18,6 +21,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,19 +32,22 @@ from riskweave.session import discard, scratch_path, staged
 BINS = 256
 #: Rows whose values set the edges of the bins; all rows are then binned and counted.
 EDGE_ROWS = 200_000
-#: Rows of a block, about.
-BLOCK_ROWS = 8192
-#: Trees whose values are added on the fly before the blocks are written again with new margins.
+#: Rows of a block and of a task, about.
+BLOCK_ROWS, TASK_ROWS = 32_768, 2_000_000
+#: Rows up to which one task grows the trees: fewer than it takes to outweigh the jobs of the levels.
+HERE_ROWS = 1_500_000
+#: Rounds after which the blocks are written to the shared folder and read from there.
 STAGED_ROUNDS = 10
 #: Derivatives are counted in units of 1 / _UNIT.
 _UNIT = float(1 << 20)
-#: Cells of [0, 1] in which held rows are counted for their AUC, and cells in a row of counts.
-_CELLS, _CELLS_PER_ROW = 1 << 16, 1 << 10
-#: Bytes of histograms that one task merges.
+#: Cells of [0, 1] in which held rows are counted for their AUC.
+_CELLS = 1 << 16
+#: Bytes of sums of all tasks that the driver adds up itself.
 _MERGED_BYTES = 64 << 20
+#: Marks of a row: its class, whether it is held back.
+_LABEL, _HELD = 1, 2
 
-_BLOCK = "n int, bins binary, label binary, held binary, draw binary, margin binary"
-_FOUND = "node int, feature int, cut int, gain double, left_g long, left_h long, g long, h long, cells binary"
+_BLOCK = "n int, bins binary, marks binary, draw binary, margin binary"
 
 
 @dataclass
@@ -86,9 +93,9 @@ class BoostedTrees:
 
     def margin(self, points: np.ndarray) -> np.ndarray:
         out = np.zeros(len(points))
-        points = np.where(np.isnan(points), np.inf, points)  # as they were binned
+        columns = np.ascontiguousarray(np.where(np.isnan(points), np.inf, points).T)  # as they were binned
         for tree in self.trees:
-            out += tree.value[tree.nodes(points, tree.threshold)]
+            _add_values(out, columns, tree, tree.threshold)
         return out
 
     def probability(self) -> Column:
@@ -128,16 +135,17 @@ def bin_edges(rows: DataFrame, features: list[str], bins: int = BINS, most: int
 
 
 def _blocks(rows: DataFrame, features: list[str], edges: list[np.ndarray]) -> DataFrame:
-    """Rows (label, held, draw, features) as blocks of some ``BLOCK_ROWS``, margins 0."""
+    """Rows (label, held, draw, features) as blocks of some ``BLOCK_ROWS``, bins by feature, margins 0."""
     def block(batches):
         rows = pa.Table.from_batches(batches)
         columns = [rows.column(3 + i).to_numpy().astype(float) for i in range(len(features))]
         bins = [np.searchsorted(e, np.where(np.isnan(c), np.inf, c), side="left").astype(np.uint8) for e, c in zip(edges, columns)]
         label, held, draw = (rows.column(i).to_numpy() for i in range(3))
-        values = (np.column_stack(bins), label.astype(np.uint8), held.astype(np.uint8), draw.astype(np.int64), np.zeros(rows.num_rows))
+        marks = (label * _LABEL + held * _HELD).astype(np.uint8)
+        values = (np.stack(bins), marks, draw.astype(np.int64), np.zeros(rows.num_rows))
         return pa.RecordBatch.from_arrays(
             [pa.array([rows.num_rows], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)],
-            ["n", "bins", "label", "held", "draw", "margin"])
+            ["n", "bins", "marks", "draw", "margin"])
 
     def pack(batches):
         waiting, n = [], 0
@@ -154,26 +162,30 @@ def _blocks(rows: DataFrame, features: list[str], edges: list[np.ndarray]) -> Da
     return wide.mapInArrow(pack, _BLOCK)
 
 
-def _unpacked(batch, width: int):
-    for n, bins, label, held, draw, margin in zip(*(batch.column(i).to_pylist() for i in range(6))):
-        yield (np.frombuffer(bins, np.uint8).reshape(n, width), np.frombuffer(label, np.uint8),
-               np.frombuffer(held, np.uint8) > 0, np.frombuffer(draw, np.int64), np.frombuffer(margin, float))
-
-
-def _margins(bins: np.ndarray, margin: np.ndarray, trees: list[Tree]) -> np.ndarray:
-    for tree in trees:
-        margin = margin + tree.value[tree.nodes(bins, tree.cut)]
-    return margin
-
-
-def _with_margins(blocks: DataFrame, trees: list[Tree], width: int) -> DataFrame:
-    """The blocks with the values of more trees in their margins."""
-    def add(batches):
-        for batch in batches:
-            new = [_margins(bins, margin, trees).tobytes() for bins, _, _, _, margin in _unpacked(batch, width)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(new, pa.binary())], batch.schema.names)
-
-    return blocks.mapInArrow(add, _BLOCK)
+def _add_values(margin: np.ndarray, columns: np.ndarray, tree: Tree, cuts: np.ndarray) -> None:
+    """Add to each row's margin the value of its leaf; ``columns`` is features x rows."""
+    ends = np.flatnonzero(tree.feature < 0)
+    leaf = np.zeros(margin.size, np.min_scalar_type(len(tree.feature)))
+    for node, rows in _reached(columns, np.ones(margin.size, bool), tree, cuts, ends.tolist()):
+        np.putmask(leaf, rows, node)
+    margin += tree.value[leaf]
+
+
+def _reached(columns: np.ndarray, rows: np.ndarray, tree: Tree, cuts: np.ndarray, nodes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Of some nodes, none of them above another, those that are in the tree, with the marks of the rows that reach them."""
+    wanted, above = set(nodes), set()
+    for node in nodes:
+        while node and (node - 1) // 2 not in above:
+            node = (node - 1) // 2
+            above.add(node)
+    stack = [(0, rows)]
+    while stack:
+        node, rows = stack.pop()
+        if node in wanted:
+            yield node, rows
+        elif node in above and tree.feature[node] >= 0:
+            right = columns[tree.feature[node]] > cuts[node]
+            stack += [(2 * node + 2, rows & right), (2 * node + 1, rows & ~right)]
 
 
 def _drawn(draw: np.ndarray, seed: int, share: float) -> np.ndarray:
@@ -184,88 +196,111 @@ def _drawn(draw: np.ndarray, seed: int, share: float) -> np.ndarray:
     return (x >> np.uint64(11)) < np.uint64(int(share * 2 ** 53))
 
 
-@dataclass
-class _Pass:
-    """What one level of one tree needs: derivatives at the present margin, summed by node, feature and bin."""
-
-    width: int
-    columns: list[int]         # features this tree may use
-    bins: int
-    nodes: list[int]           # open nodes
-    tree: Tree                 # as far as it is grown
-    done: list[Tree]           # not yet in the margins of the blocks
-    weight: float              # of class 1
-    seed: int
-    share: float
-    count_held: bool
-
-    def sums(self, batches):
-        place = np.full(len(self.tree.feature), -1)
-        place[self.nodes] = np.arange(len(self.nodes))
-        size = len(self.nodes) * self.bins
-        totals = np.zeros((2, len(self.columns), size), np.int64)
-        cells = np.zeros((2, _CELLS), np.int64)
-        for batch in batches:
-            for bins, label, held, draw, margin in _unpacked(batch, self.width):
-                p = 1 / (1 + np.exp(-_margins(bins, margin, self.done)))
-                if self.count_held and held.any():
-                    cell = np.minimum((p[held] * _CELLS).astype(np.int64), _CELLS - 1)
-                    for kind in (0, 1):
-                        cells[kind] += np.bincount(cell[label[held] == kind], minlength=_CELLS)
-                used = ~held & _drawn(draw, self.seed, self.share)
-                node = np.full(len(p), -1)
-                node[used] = place[self.tree.nodes(bins[used], self.tree.cut)]
-                used = node >= 0
-                w = np.where(label[used] == 1, self.weight, 1.0) * _UNIT
-                g, h = np.rint(w * (p[used] - label[used])), np.rint(w * p[used] * (1 - p[used]))
-                base = node[used] * self.bins
-                for k, f in enumerate(self.columns):
-                    at = base + bins[used, f]
-                    totals[0, k] += np.bincount(at, g, size).astype(np.int64)
-                    totals[1, k] += np.bincount(at, h, size).astype(np.int64)
-        shaped = totals.reshape(2, len(self.columns), len(self.nodes), self.bins)
-        rows = [(node, f, shaped[:, k, i].tobytes()) for i, node in enumerate(self.nodes) for k, f in enumerate(self.columns)
-                if shaped[1, k, i].any()]
-        for k in range(0, _CELLS, _CELLS_PER_ROW):
-            if cells[:, k : k + _CELLS_PER_ROW].any():
-                rows.append((-1, k, cells[:, k : k + _CELLS_PER_ROW].tobytes()))
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))], ["node", "feature", "sums"])
-
-
-def _merge(bins: int, penalty: float, min_weight: float):
-    """Sums of all tasks per (node, feature), and the best cut of each; counts of held rows as they are."""
-    def best(sums: np.ndarray):
-        left = np.cumsum(sums.reshape(2, bins), axis=1)
-        (g, h), (left_g, left_h) = left[:, -1], left[:, :-1]
-        part = lambda a, b: (a / _UNIT) ** 2 / (b / _UNIT + penalty)
+def _moved(trees: list[Tree], width: int):
+    """Blocks with the values of more trees in their margins."""
+    def move(block):
+        n, bins, marks, draw, margin = block
+        columns, sums = np.frombuffer(bins, np.uint8).reshape(width, n), np.frombuffer(margin, float).copy()
+        for tree in trees:
+            _add_values(sums, columns, tree, tree.cut)
+        return n, bins, marks, draw, sums.tobytes()
+
+    return move
+
+
+def _level_rows(columns: list[int], width: int, weight: float, seed: int, share: float, wide: bool):
+    """What the levels of one tree need of a block: number, bins and derivatives of the rows drawn for the tree, its
+    features only, and the held rows' cells of probability by class."""
+    def rows(block):
+        n, bins, marks, draw, margin = block
+        bins, marks, margin = np.frombuffer(bins, np.uint8).reshape(width, n), np.frombuffer(marks, np.uint8), np.frombuffer(margin, float)
+        at = np.flatnonzero((marks & _HELD == 0) & _drawn(np.frombuffer(draw, np.int64), seed, share))
+        label, p = (marks[at] & _LABEL).astype(float), 1 / (1 + np.exp(-margin[at]))
+        w = np.where(label == 1, weight, 1.0) * _UNIT
+        derivatives = np.stack([np.rint(w * (p - label)), np.rint(w * p * (1 - p))]).astype(np.int64 if wide else np.int32)
+        held = np.flatnonzero(marks & _HELD)
+        cell = np.minimum((1 / (1 + np.exp(-margin[held])) * _CELLS).astype(np.int64), _CELLS - 1)
+        cell = (marks[held] & _LABEL) * np.int64(_CELLS) + cell
+        return at.size, np.stack([bins[f][at] for f in columns]).tobytes(), derivatives.tobytes(), cell.astype(np.int32).tobytes()
+
+    return rows
+
+
+def _bundles(columns: list[int], sizes: list[int], most: int = BINS) -> list[list[int]]:
+    """The features in groups whose numbers of bins multiply to at most ``most``; a feature of many bins is alone."""
+    groups: list[list[int]] = []
+    cells: list[int] = []
+    for f in sorted(columns, key=lambda f: (-sizes[f], f)):
+        k = next((k for k, n in enumerate(cells) if n * sizes[f] <= most), None)
+        if k is None:
+            groups.append([f])
+            cells.append(sizes[f])
+        else:
+            groups[k].append(f)
+            cells[k] *= sizes[f]
+    return groups
+
+
+def _sums(tree: Tree, nodes: list[int], columns: list[int], groups: list[list[int]], sizes: list[int], wide: bool, count_held: bool):
+    """Sums of a task's rows of a tree as one array: derivatives per kind, group of features, node and cell; counts of
+    held rows per class and cell of their probability behind them."""
+    def add_up(blocks):
+        totals = np.zeros((len(groups), len(nodes) * BINS), complex)
+        held = np.zeros(2 * _CELLS if count_held else 0, np.int64)
+        for n, bins, derivatives, cell in blocks:
+            if count_held:
+                held += np.bincount(np.frombuffer(cell, np.int32), minlength=2 * _CELLS)
+            by_feature = dict(zip(columns, np.frombuffer(bins, np.uint8).reshape(len(columns), n)))
+            parts = {node: np.flatnonzero(rows) for node, rows in _reached(by_feature, np.ones(n, bool), tree, tree.cut, nodes)}
+            if not any(at.size for at in parts.values()):
+                continue
+            at = np.concatenate([parts[node] for node in nodes])
+            # two whole numbers to a complex one: both are added at once, exactly
+            pairs = np.empty(at.size, complex)
+            pairs.real, pairs.imag = (d[at] for d in np.frombuffer(derivatives, np.int64 if wide else np.int32).reshape(2, n))
+            base = np.repeat(np.arange(len(nodes)) * BINS, [parts[node].size for node in nodes])
+            for total, group in zip(totals, groups):
+                code, step = by_feature[group[0]], sizes[group[0]]
+                for f in group[1:]:
+                    code, step = code + by_feature[f] * np.uint8(step), step * sizes[f]
+                np.add.at(total, base + code[at], pairs)
+        yield np.concatenate([totals.real.ravel().astype(np.int64), totals.imag.ravel().astype(np.int64), held])
+
+    return add_up
+
+
+def _by_feature(total: np.ndarray, groups: list[list[int]], columns: list[int], sizes: list[int]) -> np.ndarray:
+    """Sums of one node by kind, feature and bin, from those by kind, group and cell."""
+    out = np.zeros((2, len(columns), max(sizes)), np.int64)
+    for k, group in enumerate(groups):
+        shape = [sizes[f] for f in reversed(group)]  # the first feature's bins are next to each other
+        cells = total[:, k, : int(np.prod(shape))].reshape(2, *shape)
+        for i, f in enumerate(group):
+            axes = tuple(a for a in range(1, len(shape) + 1) if a != len(shape) - i)
+            out[:, columns.index(f), : sizes[f]] = cells.sum(axis=axes)
+    return out
+
+
+def _best_cuts(node: int, sums: np.ndarray, columns: list[int], penalty: float, min_weight: float) -> list[dict]:
+    """The best cut of every feature at a node, -1 where none gains."""
+    left = np.cumsum(sums, axis=2)
+    (g, h), (left_g, left_h) = left[:, :, -1:], left[:, :, :-1]
+    part = lambda a, b: (a / _UNIT) ** 2 / (b / _UNIT + penalty)
+    with np.errstate(divide="ignore", invalid="ignore"):
         gain = 0.5 * (part(left_g, left_h) + part(g - left_g, h - left_h) - part(g, h))
-        gain[np.minimum(left_h, h - left_h) < min_weight * _UNIT] = -np.inf
-        at = int(np.argmax(gain)) if gain.size else 0
-        if not gain.size or not gain[at] > 0:
-            return -1, 0.0, 0, 0, int(g), int(h)
-        return at, float(gain[at]), int(left_g[at]), int(left_h[at]), int(g), int(h)
-
-    def merge(batches):
-        totals: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for node, feature, sums in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                sums = np.frombuffer(sums, np.int64)
-                totals[node, feature] = totals[node, feature] + sums if (node, feature) in totals else sums
-        rows = [(node, f, -1, 0.0, 0, 0, 0, 0, s.tobytes()) if node < 0 else (node, f, *best(s), None) for (node, f), s in totals.items()]
-        if rows:
-            types = (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [f.split()[0] for f in _FOUND.split(", ")])
-
-    return merge
-
-
-def _auc(rows) -> float | None:
-    """AUC from counts of held rows by cell of their probability, ties of a cell counted half."""
-    cells = np.zeros((2, _CELLS), np.int64)
-    for r in rows:
-        cells[:, r["feature"] : r["feature"] + _CELLS_PER_ROW] = np.frombuffer(r["cells"], np.int64).reshape(2, -1)
+    gain[np.minimum(left_h, h - left_h) < min_weight * _UNIT] = -np.inf
+    found = []
+    for k, f in enumerate(columns):
+        row = {"node": node, "feature": f, "cut": -1, "gain": 0.0, "left_g": 0, "left_h": 0, "g": int(g[k, 0]), "h": int(h[k, 0])}
+        at = int(np.argmax(gain[k])) if gain.shape[1] else 0
+        if gain.shape[1] and gain[k, at] > 0:
+            row |= {"cut": at, "gain": float(gain[k, at]), "left_g": int(left_g[k, at]), "left_h": int(left_h[k, at])}
+        found.append(row)
+    return found
+
+
+def _auc(cells: np.ndarray) -> float | None:
+    """AUC from counts of held rows by class and cell of their probability, ties of a cell counted half."""
     negative, positive = (int(c.sum()) for c in cells)
     if not negative or not positive:
         return None
@@ -273,10 +308,144 @@ def _auc(rows) -> float | None:
     return float((cells[1] * (below + cells[0] / 2)).sum() / (negative * positive))
 
 
+@dataclass
+class _Growth:
+    """One fit: its parameters, and the rounds over blocks that may be anywhere."""
+
+    features: list[str]
+    edges: list[np.ndarray]
+    weight: float              # of class 1
+    trees: int
+    depth: int
+    learning_rate: float
+    row_share: float
+    column_share: float
+    min_weight: float
+    penalty: float
+    patience: int
+    seed: int
+    grown: list[Tree]
+    history: list[float]
+
+    @property
+    def sizes(self) -> list[int]:
+        return [len(e) + 1 for e in self.edges]
+
+    @property
+    def wide(self) -> bool:
+        """Whether a derivative may need more than 32 bits."""
+        return max(self.weight, 1.0) * _UNIT >= 2 ** 31
+
+    def columns(self) -> list[int]:
+        """Features that the next tree may use."""
+        width = len(self.features)
+        drawn = np.random.default_rng([self.seed, len(self.grown)]).permutation(np.arange(width))
+        return sorted(drawn[: max(1, round(self.column_share * width))].tolist())
+
+    def move(self, new: list[Tree]):
+        return _moved(new, len(self.features))
+
+    def rows(self):
+        """Function that gives a block's rows of the next tree."""
+        seed = self.seed * 100_003 + len(self.grown)
+        return _level_rows(self.columns(), len(self.features), self.weight, seed, self.row_share, self.wide)
+
+    def add_up(self, tree: Tree, nodes: list[int], groups: list[list[int]], count_held: bool):
+        return _sums(tree, nodes, self.columns(), groups, self.sizes, self.wide, count_held)
+
+    def run(self, begin, summed) -> BoostedTrees:
+        """Rounds until the model is whole. ``begin(new)`` adds trees to the margins of all blocks and gets their rows
+        of the next tree ready, ``summed(tree, nodes, groups, count_held)`` is the sum of ``add_up`` over all of them."""
+        sizes, grown, history = self.sizes, self.grown, self.history
+        begin(list(grown))
+        while True:
+            columns = self.columns()
+            groups = _bundles(columns, sizes)
+            tree, nodes, last = Tree.empty(self.depth), [0], len(grown) >= self.trees
+            sums: dict[int, np.ndarray] = {}
+            for d in range(self.depth):
+                # of two children the one of less weight is counted, the other has what is left of their parent
+                light = nodes if d == 0 else [min(pair, key=lambda c: (tree.cover[c], c)) for pair in zip(nodes[::2], nodes[1::2])]
+                wanted = [] if last else light
+                total = summed(tree, wanted, groups, d == 0)
+                n = 2 * len(groups) * len(wanted) * BINS
+                if d == 0 and grown and len(history) < len(grown):
+                    auc = _auc(total[n:].reshape(2, -1))
+                    history.append(float("nan") if auc is None else auc)
+                best = int(np.nanargmax(history)) + 1 if history and not np.isnan(history).all() else len(grown)
+                if last or len(grown) - best >= self.patience:
+                    return BoostedTrees(list(self.features), grown[:best], history)
+                counted = total[:n].reshape(2, len(groups), len(light), BINS).transpose(2, 0, 1, 3)
+                above, sums = sums, dict(zip(light, counted))
+                if d:
+                    for node, own in list(sums.items()):
+                        sums[node + 1 if node % 2 else node - 1] = above[(node - 1) // 2] - own
+                found = [r for node in nodes if sums[node][1].any() for r in _best_cuts(
+                    node, _by_feature(sums[node], groups, columns, sizes), columns, self.penalty, self.min_weight)]
+                nodes = _split(tree, found, self.edges, self.penalty, self.learning_rate)
+                if not nodes:
+                    break
+            grown.append(tree)
+            begin([tree])
+
+
+def _grown_here(growth: _Growth, blocks: list[tuple]) -> BoostedTrees:
+    """The rounds over blocks at hand."""
+    rows: list[tuple] = []
+
+    def begin(new: list[Tree]) -> None:
+        blocks[:] = map(growth.move(new), blocks)
+        rows[:] = map(growth.rows(), blocks)
+
+    return growth.run(begin, lambda *level: next(growth.add_up(*level)(rows)))
+
+
+def _grown_by_tasks(growth: _Growth, packed: DataFrame, tasks: int, path: str) -> BoostedTrees:
+    """The rounds over blocks that stay with the executors: a job per level of a tree."""
+    spark, context = packed.sparkSession, packed.sparkSession.sparkContext
+    kept: list[RDD] = []  # the present round's blocks and their rows come last
+    folder, staged_rounds = path, len(growth.grown)
+
+    def keep(rdd: RDD) -> RDD:
+        kept.append(rdd.persist(StorageLevel.MEMORY_AND_DISK_DESER))
+        return rdd
+
+    def release(most: int) -> None:
+        while len(kept) > most:
+            kept.pop(0).unpersist()
+
+    def begin(new: list[Tree]) -> None:
+        nonlocal folder, staged_rounds
+        before = kept[-2] if kept else packed.repartition(tasks).rdd.map(tuple)
+        blocks = keep(before.map(growth.move(new)))
+        if len(growth.grown) - staged_rounds >= STAGED_ROUNDS:
+            old, folder, staged_rounds = folder, scratch_path(spark, "boosting-blocks"), len(growth.grown)
+            blocks.saveAsPickleFile(folder)
+            release(0)
+            discard(spark, old)
+            blocks = keep(context.pickleFile(folder, tasks).coalesce(tasks))
+        keep(blocks.map(growth.rows()))
+
+    def summed(tree: Tree, nodes: list[int], groups: list[list[int]], count_held: bool) -> np.ndarray:
+        parts = kept[-1].mapPartitions(growth.add_up(tree, nodes, groups, count_held))
+        if tasks * 16 * (len(groups) * len(nodes) * BINS + _CELLS * count_held) > _MERGED_BYTES:
+            total = parts.treeReduce(np.add)
+        else:
+            total = np.sum(parts.collect(), axis=0)
+        release(2)  # the round's own are computed now
+        return total
+
+    try:
+        return growth.run(begin, summed)
+    finally:
+        release(0)
+        discard(spark, folder)
+
+
 def fit(train: DataFrame, features: list[str], label: str = "is_default", key: str = "loan_id", trees: int = 300,
         depth: int = 6, learning_rate: float = 0.05, row_share: float = 0.8, column_share: float = 0.8,
         min_weight: float = 5.0, penalty: float = 1.0, validation: float = 0.1, patience: int = 20, seed: int = 42,
-        start: BoostedTrees | None = None) -> BoostedTrees:
+        start: BoostedTrees | None = None, here_rows: int = HERE_ROWS) -> BoostedTrees:
     """Boosted trees on the unbalanced training part, class 1 weighted by negatives / positives.
 
     A slice of the training part, the rows of lowest seeded hash of each class, is held back. Growing ends once its
@@ -285,7 +454,8 @@ def fit(train: DataFrame, features: list[str], label: str = "is_default", key: s
     ``start`` is a model of the same features to go on from; its trees count as rounds.
 
     A slice without both classes has no AUC: then all rounds are grown and kept. Missing feature values count
-    as above all others; rows without label are left out.
+    as above all others; rows without label are left out. Up to ``here_rows`` rows one task grows all trees, beyond
+    that the tasks' sums meet at every level; the model is the same.
     """
     spark = train.sparkSession
     usable = train.where(F.col(label).isNotNull())
@@ -297,44 +467,24 @@ def fit(train: DataFrame, features: list[str], label: str = "is_default", key: s
         F.col(label).cast("int").alias("label"), F.col("_held").cast("int").alias("held"),
         F.xxhash64(F.col(key), F.lit(seed)).alias("draw"), *features), "boosting-rows")
     edges = bin_edges(rows, features)
-    bins = 1 + max(len(e) for e in edges)
     path = scratch_path(spark, "boosting-blocks")
     _blocks(rows, features, edges).write.parquet(path)
-    blocks = spark.read.parquet(path)
-    tasks = blocks.count()  # at most
-
-    grown, staged_rounds = list(start.trees) if start else [], 0
-    history: list[float] = list(start.history) if start else []
-    names = np.arange(len(features))
-
-    def level(tree: Tree, nodes: list[int], columns: list[int], count_held: bool):
-        step = _Pass(len(features), columns, bins, nodes, tree, grown[staged_rounds:], sizes[0] / sizes[1],
-                     seed * 100_003 + len(grown), row_share, count_held)
-        parts = 1 + tasks * len(nodes) * len(columns) * bins * 16 // _MERGED_BYTES
-        sums = blocks.mapInArrow(step.sums, "node int, feature int, sums binary").repartition(parts, "node", "feature")
-        return sums.mapInArrow(_merge(bins, penalty, min_weight), _FOUND).collect()  # one row per node and feature
-
-    while True:
-        if len(grown) - staged_rounds >= STAGED_ROUNDS:
-            new = scratch_path(spark, "boosting-blocks")
-            _with_margins(blocks, grown[staged_rounds:], len(features)).write.parquet(new)
-            discard(spark, path)
-            path, blocks, staged_rounds = new, spark.read.schema(blocks.schema).parquet(new), len(grown)
-        columns = sorted(np.random.default_rng([seed, len(grown)]).permutation(names)[: max(1, round(column_share * len(features)))].tolist())
-        tree, nodes, last = Tree.empty(depth), [0], len(grown) >= trees
-        for d in range(depth):
-            found = level(tree, nodes, columns, d == 0)
-            if d == 0 and grown and len(history) < len(grown):
-                auc = _auc(r for r in found if r["node"] < 0)
-                history.append(float("nan") if auc is None else auc)
-            best = int(np.nanargmax(history)) + 1 if history and not np.isnan(history).all() else len(grown)
-            if last or len(grown) - best >= patience:
-                discard(spark, path)
-                return BoostedTrees(list(features), grown[:best], history)
-            nodes = _split(tree, found, edges, penalty, learning_rate)
-            if not nodes:
-                break
-        grown.append(tree)
+    packed = spark.read.parquet(path)
+    growth = _Growth(
+        list(features), edges, sizes[0] / sizes[1], trees, depth, learning_rate, row_share, column_share, min_weight,
+        penalty, patience, seed, list(start.trees) if start else [], list(start.history) if start else [])
+    if sum(sizes.values()) <= here_rows:
+        # one task has all the rows: no sums have to meet, and no round waits for a job
+        def whole(blocks):
+            model = _grown_here(growth, list(blocks))
+            return [([vars(tree) for tree in model.trees], model.history)]  # as arrays: the task has copies of the classes
+
+        grown, history = packed.coalesce(1).rdd.map(tuple).mapPartitions(whole).collect()[0]  # one model
+        discard(spark, path)
+        return BoostedTrees(list(features), [Tree(**arrays) for arrays in grown], history)
+    slots = spark.sparkContext.defaultParallelism
+    tasks = min(packed.count(), slots * -(-sum(sizes.values()) // (TASK_ROWS * slots)))  # the same number for every slot
+    return _grown_by_tasks(growth, packed, tasks, path)
 
 
 def _split(tree: Tree, found, edges: list[np.ndarray], penalty: float, learning_rate: float) -> list[int]:

@@ -381,3 +381,101 @@ def test_every_isolation_tree_gets_its_sample(spark, n):
     drawn = isolation._draws(rows, "loan_id", n, 40, min(256, n), 42).dropDuplicates(["loan_id", "tree"])
     counts = [r["count"] for r in drawn.groupBy("tree").count().collect()]
     assert counts == [min(256, n)] * 40
+
+
+def test_boosting_of_one_task_and_of_many_is_the_same(learnable, monkeypatch):
+    """Features of few and many values, tasks whose sums the driver adds up or tasks merge, blocks written again."""
+    names = ["a", "b", "c", "d", "few", "two", "more"]
+    rows = staged(learnable.withColumns({
+        "few": F.floor(F.col("a") * 2), "two": (F.col("b") > 0.5).cast("int"), "more": F.round(F.col("c") * 3)}), "many-features")
+    options = {"trees": 13, "depth": 4, "learning_rate": 0.3, "patience": 20}
+    here = boosting.fit(rows, names, **options)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 500)
+    for merged in (boosting._MERGED_BYTES, 0):
+        monkeypatch.setattr(boosting, "_MERGED_BYTES", merged)
+        spread = boosting.fit(rows, names, here_rows=0, **options)
+        assert spread.history == here.history and len(spread.trees) == len(here.trees)
+        for one, other in zip(here.trees, spread.trees):
+            assert all(np.array_equal(x, vars(other)[name]) for name, x in vars(one).items())
+
+
+def test_features_of_few_values_are_counted_together():
+    sizes = [256, 2, 7, 20, 2, 10]
+    groups = boosting._bundles([0, 1, 2, 3, 4, 5], sizes)
+    assert sorted(f for g in groups for f in g) == list(range(6)) and len(groups) < 6
+    assert all(np.prod([sizes[f] for f in g]) <= boosting.BINS for g in groups)
+    rng = np.random.default_rng(1)
+    bins = np.array([rng.integers(0, s, 500) for s in sizes])
+    total = np.zeros((2, len(groups), boosting.BINS), np.int64)
+    for k, group in enumerate(groups):
+        code, step = np.zeros(500, np.int64), 1
+        for f in group:
+            code, step = code + bins[f] * step, step * sizes[f]
+        total[:, k] = np.bincount(code, minlength=boosting.BINS)
+    found = boosting._by_feature(total, groups, [0, 1, 2, 3, 4, 5], sizes)
+    for f, size in enumerate(sizes):
+        assert found[0, f].tolist() == np.bincount(bins[f], minlength=256).tolist()
+
+
+def test_a_level_reads_the_rows_of_its_tree_alone():
+    """The rows drawn and the features of one tree, and of two children only the lighter one."""
+    rng = np.random.default_rng(3)
+    n, width = 4000, 20
+    block = (n, rng.integers(0, 256, (width, n)).astype(np.uint8).tobytes(), rng.integers(0, 2, n).astype(np.uint8).tobytes(),
+             rng.integers(-2 ** 62, 2 ** 62, n).tobytes(), np.zeros(n).tobytes())
+    columns = [1, 3, 5]
+    m, bins, derivatives, held = boosting._level_rows(columns, width, 2.0, 7, 0.5, False)(block)
+    assert 0.45 * n < m < 0.55 * n and len(bins) == 3 * m and len(derivatives) == 8 * m and not held
+
+
+def test_subtrees_of_leaves_at_any_depth_and_of_many_cuts():
+    rng = np.random.default_rng(8)
+    for depth in (0, 1, 3, 9):
+        tree = random_tree(rng, depth, 5)
+        points = rng.normal(size=(50, 5))
+        want = np.zeros((50, 5))
+        for leaf in shapley._leaves(tree)[0]:
+            leaf.add(points, want)
+        model = boosting.BoostedTrees(list("abcde"), [tree])
+        assert (shapley._subtrees(tree) is None) == (depth == 9)
+        assert np.allclose(shapley.tree_contributions(model).explain(points), want, atol=1e-12)
+
+
+def test_contributions_of_rows_beyond_one_table(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    model = boosting.BoostedTrees(["a", "b"], [random_tree(rng, 3, 2)])
+    points = rng.normal(size=(700, 2))
+    frame = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], "id int, a double, b double").repartition(2)
+    monkeypatch.setattr(shapley, "_TABLED_ROWS", 150)
+    monkeypatch.setattr(shapley, "_ROWS", 40)
+    contributions = shapley.tree_contributions(model)
+    got = {r["id"]: r["shap"] for r in shapley.shap_values(contributions, frame).collect()}
+    assert np.allclose([got[i] for i in range(700)], contributions.explain(points), atol=1e-12)
+
+
+def test_anomaly_scores_follow_the_trees():
+    """Against a walk from node to node, with missing values, constant samples and trees of unequal depth."""
+    rng = np.random.default_rng(4)
+    grown = [isolation._grow(rng.normal(size=(n, 3)), rng, 5) for n in (20, 7, 2, 1)]
+    width = max(map(len, grown))
+    nodes = np.zeros((5, 4, width))
+    nodes[0] = -1
+    for t, tree in enumerate(grown):
+        nodes[:, t, : len(tree)] = np.array(tree, float).T
+    forest = isolation.IsolationForest(
+        ["a", "b", "c"], nodes[0].astype(np.int32), nodes[1], nodes[2].astype(np.int32), nodes[3].astype(np.int32),
+        isolation.average_path(nodes[4]), 20)
+    points = rng.normal(size=(60, 3))
+    points[::7, 1] = np.nan
+    want = []
+    for p in points:
+        lengths = []
+        for t in range(4):
+            node, depth = 0, 0
+            while forest.feature[t, node] >= 0:
+                side = forest.left if p[forest.feature[t, node]] <= forest.threshold[t, node] else forest.right
+                node, depth = side[t, node], depth + 1
+            lengths.append(depth + forest.path[t, node])
+        want.append(-2.0 ** (-np.mean(lengths) / isolation.average_path(20)))
+    assert np.allclose(forest.anomaly_scores(points), want, rtol=1e-13)
+    assert forest.anomaly_scores(points[:0]).size == 0
