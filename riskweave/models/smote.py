@@ -67,8 +67,10 @@ def segment_violations(balanced: DataFrame, minority: DataFrame, key: str = "loa
     near = nearest_neighbours(minority, k, seed=seed).select("id", F.explode("neighbours").alias("other"))
     a = minority.select("id", F.col("x").alias("a"))
     b = minority.select(F.col("id").alias("other"), F.col("x").alias("b"))
-    excess = gap("a", "x") + gap("x", "b") - gap("a", "b")
-    least = made.join(a, "id").join(near, "id").join(b, "other").groupBy("name").agg(
-        F.min(excess - tolerance * (1 + gap("a", "b"))).alias("excess"))
+    # a row's few neighbours meet their points once, not once per synthetic row
+    ends = near.join(b, "other").groupBy("id").agg(F.collect_list("b").alias("ends"))
+    beyond = F.transform("ends", lambda q: F.col("first") + gap("x", q) - gap("a", q) - tolerance * (1 + gap("a", q)))
+    least = made.join(a, "id").join(ends, "id").withColumn("first", gap("a", "x")).groupBy("name").agg(
+        F.min(F.array_min(beyond)).alias("excess"))
     return made.select("name").join(least, "name", "left").agg(
         F.count(F.lit(1)).alias("synthetic_rows"), F.count_if(F.coalesce(F.col("excess") > 0, F.lit(True))).alias("off_segment"))

@@ -479,3 +479,38 @@ def test_anomaly_scores_follow_the_trees():
         want.append(-2.0 ** (-np.mean(lengths) / isolation.average_path(20)))
     assert np.allclose(forest.anomaly_scores(points), want, rtol=1e-13)
     assert forest.anomaly_scores(points[:0]).size == 0
+
+
+def test_neighbours_of_repeated_ids_and_of_packed_lists(spark):
+    """Ids that come twice list themselves, as in a search of all pairs; packed lists keep their numbers."""
+    points = np.random.default_rng(7).normal(size=(40, 3))
+    frame = points_frame(spark, points)
+    got = {r["id"]: r["neighbours"] for r in neighbours.nearest_neighbours(frame.unionAll(frame.limit(40)), 3).collect()}
+    once = {r["id"]: r["neighbours"] for r in neighbours.nearest_neighbours(frame, 3).collect()}
+    assert got == {name: [name, *near[:2]] for name, near in once.items()}
+    counts = np.array([2, 0, 3])
+    column = neighbours._packed(np.arange(5.0), counts)
+    values, sizes = neighbours._lists(column.slice(1), float)
+    assert values.tolist() == [2.0, 3.0, 4.0] and sizes.tolist() == [0, 3]
+
+
+def test_neighbours_move_no_pairs_of_points(spark):
+    """A round of neighbours of neighbours sends lists and points once per neighbour, no joined pair of points."""
+    points = points_frame(spark, np.random.default_rng(9).normal(size=(300, 3)))
+    near = spark.createDataFrame([], neighbours._NEAR)
+    packed = points.select(F.monotonically_increasing_id().alias("id"), F.lit(b"").alias("x"))
+    plan = neighbours._refined(near, packed, 4)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") == 1 and "Generate" not in plan
+
+
+def test_points_off_their_segments_are_counted(spark):
+    rng = np.random.default_rng(14)
+    rows = [(f"L{i:03d}", int(i < 20), *map(float, rng.normal(size=2))) for i in range(70)]
+    df = spark.createDataFrame(rows, "loan_id string, is_default int, a double, b double")
+    made = staged(smote.smote(df, ["a", "b"], seed=3), "made")
+    minority = df.where("is_default = 1").select(F.col("loan_id").alias("id"), F.array("a", "b").alias("x"))
+    assert smote.segment_violations(made, minority, seed=3).first()[:] == (30, 0)
+    moved = made.withColumn("x", F.when(F.col("loan_id").contains("#") & F.col("loan_id").startswith("L000"),
+                                        F.transform("x", lambda v: v + 5)).otherwise(F.col("x")))
+    off = made.where("loan_id LIKE 'L000#%'").count()
+    assert off and smote.segment_violations(moved, minority, seed=3).first()[:] == (30, off)
