@@ -380,6 +380,19 @@ def test_runs_of_a_host_are_combined_before_the_shuffle(spark):
     parsed.unpersist()
 
 
+def test_articles_lose_what_their_host_repeats(spark):
+    """Pages with an article go through the host's runs like any other; what two contents share stays."""
+    rng = random.Random(21)
+    bar, quote = prose(rng, 12), prose(rng, 12)
+    own = [prose(rng, 20) for _ in range(6)]
+    texts = [f"{own[k]} {bar}" for k in range(3)] + [f"{own[k]} {quote}" for k in (3, 4)] + [own[5]]
+    rows = [(k, f"http://h/{k}", f"<nav>menu {k}</nav><article><p>{t}</p></article>") for k, t in enumerate(texts)]
+    rows += [(10, "http://h/10", f"<nav>{own[5]}</nav><article>ten</article>"), (11, "http://h/5", rows[5][2]), (12, "http://two/", rows[0][2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+    assert got == {0: own[0], 1: own[1], 2: own[2], 3: texts[3], 4: texts[4], 5: own[5], 10: "ten", 11: own[5], 12: texts[0]}
+
+
 def test_suffix_array_of_a_host():
     rng = random.Random(12)
     streams = [[rng.randrange(3) for _ in range(rng.randint(1, 60))] for _ in range(12)]
